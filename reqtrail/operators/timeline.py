@@ -64,32 +64,38 @@ def reqs_per_po(po_line: DataFrame, null_req: str = "each", po_key: str = "PO_No
     return po_line.groupBy(po_key).agg(n.cast("bigint").alias("n_req"))
 
 
-def classify_requests(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
-                      null_req: str = "each", req_worklist: DataFrame | None = None,
-                      require_worklist: bool = False) -> DataFrame:
-    """One row per requisition with its class and message.
-
-    Output: REQ_No, PO_No ("" unless complete), Business_Unit (NULL unless complete),
-    Complicated (message, "" when complete), Footnote, cls, cause (none / mismatch /
-    invalid for NoValidPO, else NULL), n_po, n_req.
-    """
-    r = req.select("REQ_No", "Business_Unit").join(pos_per_req(req_line), "REQ_No", "left")
+REQ_FIELDS = ["Buyer", "REQ_Date", "Approved_By", "Approved_On"]
+PO_FIELDS = {"Business_Unit": "_po_bu", "Status": "Status", "PO_Approval_Date": "PO_Approval_Date",
+             "Buyer": "_po_buyer", "Approved_By": "_po_approved_by", "PO_Date": "PO_Date"}
+
+
+def _classified_wide(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame, null_req: str,
+                     req_worklist: DataFrame | None, require_worklist: bool,
+                     carry: bool) -> DataFrame:
+    """One row per requisition with its class; with ``carry`` also the REQ and PO fields the
+    events need, so the timeline never joins the requisition or PO tables a second time."""
+    req_cols = ["REQ_No", "Business_Unit"] + (REQ_FIELDS if carry else [])
+    r = req.select(*req_cols).join(pos_per_req(req_line), "REQ_No", "left")
     if require_worklist:
         has = req_worklist.select("REQ_No").distinct().withColumn("_has_wl", F.lit(True))
         r = r.join(has, "REQ_No", "left")
-    p = (po.select("PO_No", F.col("Business_Unit").alias("_po_bu"), "Status", "PO_Approval_Date")
+    po_cols = {k: v for k, v in PO_FIELDS.items() if carry or v in ("_po_bu", "Status", "PO_Approval_Date")}
+    p = (po.select("PO_No", *[F.col(k).alias(v) for k, v in po_cols.items()])
            .join(reqs_per_po(po_line, null_req), "PO_No", "left"))
     # PO_DATA is keyed by PO number alone (D18): join on it, then test the unit.
     j = r.join(p, r["link_po"] == p["PO_No"], "left")
     n_po = F.coalesce(F.col("n_po"), F.lit(0)).cast("bigint")
     found = F.col("PO_No").isNotNull() & F.col("_po_bu").eqNullSafe(F.col("Business_Unit"))
     n_req = F.coalesce(F.col("n_req"), F.lit(0))
-    valid = valid_po()
-    cls = F.when(n_po > 1, SPLIT).when(found & (n_req > 1), BUNDLED).when(~found | ~valid, NO_VALID) \
+    cls = F.when(n_po > 1, SPLIT).when(found & (n_req > 1), BUNDLED).when(~found | ~valid_po(), NO_VALID) \
            .otherwise(COMPLETE)
     if require_worklist:
         cls = F.when(~F.coalesce(F.col("_has_wl"), F.lit(False)), NO_WORKLIST).otherwise(cls)
-    j = j.withColumn("cls", cls).withColumn("n_po", n_po).withColumn("n_req", F.when(found, n_req))
+    return (j.withColumn("cls", cls).withColumn("_found", found)
+             .withColumn("n_po", n_po).withColumn("n_req", F.when(found, n_req)))
+
+
+def _classified_view(j: DataFrame) -> DataFrame:
     msg = (F.when(F.col("cls") == SPLIT, fmt(MSG_SPLIT[0], F.col("REQ_No"), MSG_SPLIT[1], F.col("n_po"), MSG_SPLIT[2]))
             .when(F.col("cls") == BUNDLED, fmt(MSG_BUNDLED[0], F.col("n_req"), MSG_BUNDLED[1], F.col("link_po"),
                                                MSG_BUNDLED[2]))
@@ -97,7 +103,7 @@ def classify_requests(req: DataFrame, req_line: DataFrame, po: DataFrame, po_lin
             .when(F.col("cls") == NO_WORKLIST, fmt(MSG_NO_WORKLIST[0], F.col("REQ_No"), MSG_NO_WORKLIST[1]))
             .otherwise(F.lit("")))
     cause = (F.when(F.col("cls") != NO_VALID, F.lit(None).cast("string"))
-              .when(F.col("n_po") == 0, "none").when(~found, "mismatch").otherwise("invalid"))
+              .when(F.col("n_po") == 0, "none").when(~F.col("_found"), "mismatch").otherwise("invalid"))
     complete = F.col("cls") == COMPLETE
     return j.select(
         "REQ_No",
@@ -108,6 +114,19 @@ def classify_requests(req: DataFrame, req_line: DataFrame, po: DataFrame, po_lin
         "cls", cause.alias("cause"), "n_po", "n_req")
 
 
+def classify_requests(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
+                      null_req: str = "each", req_worklist: DataFrame | None = None,
+                      require_worklist: bool = False) -> DataFrame:
+    """One row per requisition with its class and message.
+
+    Output: REQ_No, PO_No ("" unless complete), Business_Unit (NULL unless complete),
+    Complicated (message, "" when complete), Footnote, cls, cause (none / mismatch /
+    invalid for NoValidPO, else NULL), n_po, n_req.
+    """
+    return _classified_view(_classified_wide(req, req_line, po, po_line, null_req, req_worklist,
+                                             require_worklist, carry=False))
+
+
 def _event(id_: Column, start: Column, etype: str | Column, text: Column, person: Column, internal: bool | Column,
            auto: bool | Column, lifecycle: str) -> Column:
     lit = lambda v: F.lit(v) if not isinstance(v, Column) else v
@@ -154,8 +173,9 @@ def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst") -> DataFra
         fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), "."))
     ev = _event(F.col("Appr_Inst"), F.col("Event_Date_Time"), decode(stat), text, F.col("User"),
                 matches_from_start(F.col("Work_List")), F.col("_auto"), "PO")
-    w = Window.partitionBy("PO_No").orderBy(order_key(["Event_Date_Time", "Approval_Number", order]))
-    return (flagged.select("PO_No", (F.row_number().over(w) - 1).cast("int").alias("seq"), ev.alias("e"))
+    w = Window.partitionBy("PO_No").orderBy("_ord")
+    return (flagged.withColumn("_ord", order_key(["Event_Date_Time", "Approval_Number", order]))
+                   .select("PO_No", (F.row_number().over(w) - 1).cast("int").alias("seq"), ev.alias("e"))
                    .select("PO_No", "seq", "e.*"))
 
 
@@ -186,39 +206,108 @@ def with_end_times(events: DataFrame, as_of: dt.datetime | Column | None, key: s
     return events.withColumn("End_DTTM", end)
 
 
+def _events_from_wide(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetime | Column | None,
+                      worklist_order: str, req_worklist: DataFrame | None) -> DataFrame:
+    """Events of complete requisitions from a frame that carries REQ and PO fields.
+
+    ``done`` is consumed once: its PO's worklist steps are left-joined on the PO
+    number (``done`` is already partitioned by it), one exchange by REQ_No ranks
+    the steps (position and repeated-timestamp flag), and the first row of each
+    requisition also emits the REQ and PO events. The End-time window reuses the
+    same partitioning, so it adds a sort, not a shuffle.
+    """
+    k3_type = po_worklist.schema[worklist_order].dataType
+    stat = F.col("Appr_Stat")
+    steps = po_worklist.select(
+        F.col("PO_No").alias("_wl_po"), F.lit(4).alias("_blk"),
+        F.col("Appr_Inst").cast("string").alias("_id"), F.col("Event_Date_Time").alias("_k1"),
+        F.col("Approval_Number").alias("_k2"), F.col(worklist_order).alias("_k3"),
+        decode(stat).alias("_etype"),
+        F.when(stat == "I", F.lit("PO Initiated.")).otherwise(
+            fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), ".")).alias("_text"),
+        F.col("User").cast("string").alias("_person"), matches_from_start(F.col("Work_List")).alias("_internal"),
+        F.lit("PO").alias("_life"))
+    j = done.join(steps, done["link_po"] == steps["_wl_po"], "left").withColumn("_blk", F.lit(4))
+    if req_worklist is not None:
+        rsteps = req_worklist_events(req_worklist).select(
+            F.col("REQ_No").alias("_rq"), F.lit(5).alias("_blk"), F.col("ID").alias("_id"),
+            F.col("Start_DTTM").alias("_k1"), F.col("ID").alias("_k2"), F.lit(None).cast(k3_type).alias("_k3"),
+            F.col("EventType").alias("_etype"), F.col("Text").alias("_text"), F.col("Person").alias("_person"),
+            F.col("Internal").alias("_internal"), F.col("Lifecycle").alias("_life"))
+        rj = done.join(rsteps, done["REQ_No"] == rsteps["_rq"]).drop("_rq")
+        j = j.drop("_wl_po").unionByName(rj)
+    # The order key is a column, so every ordered window below shares one sort.
+    j = j.withColumn("_ord", order_key(["_k1", "_k2", "_k3"]))
+    part = Window.partitionBy("REQ_No")
+    w = part.orderBy("_blk", "_ord")
+    is_step = F.col("_id").isNotNull()
+    no_po_steps = F.max(((F.col("_blk") == 4) & ~is_step).cast("int")).over(part)
+    prev_blk, prev_ts = F.lag("_blk").over(w), F.lag("_k1").over(w)
+    base = F.col("PO_Approval_Date").isNotNull().cast("int") + 3
+    ranked = (j.withColumn("_rn", F.row_number().over(w))
+               .withColumn("_auto", (F.col("_blk") == 4) & is_step & F.coalesce(prev_blk == 4, F.lit(False))
+                           & prev_ts.eqNullSafe(F.col("_k1")))
+               .withColumn("_seq", base + F.col("_rn") - 1 - no_po_steps))
+
+    def ev(seq, id_, start, etype, text, person, internal, auto, life):
+        lit = lambda v: F.lit(v) if not isinstance(v, Column) else v
+        return F.struct(lit(seq).cast("int").alias("seq"), id_.cast("string").alias("ID"),
+                        start.alias("Start_DTTM"), lit(etype).alias("EventType"), text.alias("Text"),
+                        person.cast("string").alias("Person"), lit(internal).cast("boolean").alias("Internal"),
+                        F.lit(False).alias("Neutral"), lit(auto).alias("Auto"), F.lit(life).alias("Lifecycle"))
+
+    first = F.col("_rn") == 1
+    arr = F.array(
+        F.when(first, ev(0, F.col("REQ_No"), F.col("REQ_Date"), "Creation", fmt("REQ Creation by ", F.col("Buyer")),
+                         F.col("Buyer"), False, False, "REQ")),
+        F.when(first, ev(1, F.col("REQ_No"), F.col("Approved_On"), "Approval",
+                         fmt("REQ Approved by ", F.col("Approved_By")), F.col("Approved_By"), True, False, "REQ")),
+        F.when(first, ev(2, F.col("link_po"), F.col("PO_Date"), "Creation", F.lit("PO Creation"),
+                         F.col("_po_buyer"), True, False, "PO")),
+        F.when(first & F.col("PO_Approval_Date").isNotNull(),
+               ev(3, F.col("link_po"), F.col("PO_Approval_Date"), "Approval",
+                  fmt("PO Approved by ", F.col("_po_approved_by")), F.col("_po_approved_by"), True, False, "PO")),
+        F.when(is_step, ev(F.col("_seq"), F.col("_id"), F.col("_k1"), F.col("_etype"), F.col("_text"),
+                           F.col("_person"), F.col("_internal"), F.col("_auto"), F.col("_life"))))
+    events = (ranked.select("REQ_No", F.col("link_po").alias("PO_No"),
+                            F.inline(F.filter(arr, lambda x: x.isNotNull())))
+                    .select("REQ_No", "PO_No", *EVENT_COLS))
+    return with_end_times(events, as_of).select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM",
+                                                *EVENT_COLS[3:])
+
+
+def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
+                         po_worklist: DataFrame, as_of: dt.datetime | Column | None = None,
+                         null_req: str = "each", worklist_order: str = "Appr_Inst",
+                         req_worklist: DataFrame | None = None, require_worklist: bool = False,
+                         include_req_worklist: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(classified requisitions, flat timeline events) from the source tables.
+
+    Both outputs come from one classification frame; used in the same job, Spark
+    reuses its exchanges instead of classifying twice.
+    """
+    wide = _classified_wide(req, req_line, po, po_line, null_req, req_worklist, require_worklist, carry=True)
+    done = wide.where(F.col("cls") == COMPLETE)
+    events = _events_from_wide(done, po_worklist, as_of, worklist_order,
+                               req_worklist if include_req_worklist else None)
+    return _classified_view(wide), events
+
+
 def build_timeline(classified: DataFrame, req: DataFrame, po: DataFrame, po_worklist: DataFrame,
                    as_of: dt.datetime | Column | None = None, worklist_order: str = "Appr_Inst",
                    req_worklist: DataFrame | None = None) -> DataFrame:
-    """Flat timeline events of every complete requisition.
+    """Flat timeline events of every complete requisition of ``classified``.
 
     Output: REQ_No, PO_No, seq (construction order: REQ creation, REQ approval, PO
     creation, PO approval if dated, worklist steps, then REQ steps if given),
     ID, Start_DTTM, End_DTTM, EventType, Text, Person, Internal, Neutral, Auto, Lifecycle.
+    Prefer ``requisition_timeline`` when starting from the source tables.
     """
-    done = classified.where(F.col("cls") == COMPLETE).select("REQ_No", "PO_No")
-    re = req_events(req.join(done.select("REQ_No"), "REQ_No", "left_semi")).join(done, "REQ_No")
-    po_sel = po.join(done.select("PO_No").distinct(), "PO_No", "left_semi")
-    pe = po_events(po_sel).withColumn("seq", F.col("seq") + 2)
-    pe = done.join(pe, "PO_No")
-    n_po_events = po_sel.select("PO_No", (F.col("PO_Approval_Date").isNotNull().cast("int") + 3).alias("_base"))
-    we = worklist_events(po_worklist.join(done.select("PO_No").distinct(), "PO_No", "left_semi"), worklist_order)
-    we = we.join(n_po_events, "PO_No").withColumn("seq", F.col("seq") + F.col("_base")).drop("_base")
-    we = done.join(we, "PO_No")
-    parts = [re, pe, we]
-    if req_worklist is not None:
-        counts = (we.groupBy("REQ_No").agg(F.max("seq").alias("_m")))
-        rw = req_worklist_events(req_worklist.join(done.select("REQ_No"), "REQ_No", "left_semi"))
-        w = Window.partitionBy("REQ_No").orderBy(order_key(["Start_DTTM", "ID"]))
-        rw = (rw.join(done, "REQ_No").join(counts, "REQ_No", "left")
-                .withColumn("seq", (F.coalesce(F.col("_m"), F.lit(3)) + F.row_number().over(w)).cast("int"))
-                .drop("_m"))
-        parts.append(rw)
-    cols = ["REQ_No", "PO_No"] + EVENT_COLS
-    ev = parts[0].select(*cols)
-    for p in parts[1:]:
-        ev = ev.unionByName(p.select(*cols))
-    return with_end_times(ev, as_of).select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM",
-                                            *EVENT_COLS[3:])
+    done = (classified.where(F.col("cls") == COMPLETE).select("REQ_No", F.col("PO_No").alias("link_po"))
+                      .join(req.select("REQ_No", *REQ_FIELDS), "REQ_No")
+                      .join(po.select(F.col("PO_No").alias("link_po"),
+                                      *[F.col(k).alias(v) for k, v in PO_FIELDS.items()]), "link_po"))
+    return _events_from_wide(done, po_worklist, as_of, worklist_order, req_worklist)
 
 
 def timeline_documents(classified: DataFrame, events: DataFrame) -> DataFrame:

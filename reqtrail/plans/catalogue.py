@@ -45,7 +45,7 @@ def _t(spark: SparkSession, sf_dir: str) -> fx.Tables:
 # ---------------------------------------------------------------- cleaning (P*, F*, S3)
 
 # Report headers as a PO report prints them, and the P3 map of the PO loader.
-PO_REPORT_HEADERS = ["PO No.", "Vendor", "Vendor Name", "Status", "PO Date", "PO/Aprv. Date", "Sum Amount"]
+PO_REPORT_HEADERS = ["PO No.", "Vendor", "Vendor Name", "Status", "PO Date", "PO/AprvDate.", "Sum Amount"]
 PO_HEADER_MAP = {"PO_No": "PO_No", "Vendor": "Vendor_ID", "Vendor_Name": "Vendor", "Status": "Status",
                  "PO_Date": "PO_Date", "PO_AprvDate": "PO_Approval_Date", "Sum_Amount": "Line_Total"}
 
@@ -622,8 +622,7 @@ def req_worklist_events(spark, sf_dir):
 
 def _timeline(spark, sf_dir):
     t, req, lnk, po, pl = _inputs(spark, sf_dir)
-    cls = timeline.classify_requests(req, lnk, po, pl)
-    return cls, timeline.build_timeline(cls, req, po, fx.fx_po_worklist(t), as_of=AS_OF)
+    return timeline.requisition_timeline(req, lnk, po, pl, fx.fx_po_worklist(t), as_of=AS_OF)
 
 
 @query("timeline_events", "select REQ_No, PO_No, seq, ID, Start_DTTM, End_DTTM, EventType, Text, Person, Internal, "
