@@ -28,23 +28,36 @@ def _clean(snapshot: DataFrame, dataset: str) -> DataFrame:
     return clean_headers(snapshot, S.RULES[dataset])
 
 
+def _without(mapping, key_src: str):
+    return type(mapping)((s, d) for s, d in mapping.items() if s != key_src)
+
+
 def _children(df: DataFrame, key_src: str, key: str, mapping) -> DataFrame:
-    return S.project(df.withColumnRenamed(key_src, "_key_"), mapping, keep=["_key_", ORD]) \
+    return S.project(df.withColumn("_key_", F.col(key_src)), _without(mapping, key_src), keep=["_key_", ORD]) \
             .withColumnRenamed("_key_", key)
 
 
-def _header_upsert(target: DataFrame, snap: DataFrame, key_src: str, key: str, mapping) -> DataFrame:
-    """A3 (first row per key) + K1 upsert of the listed header fields."""
+def _header_upsert(target: DataFrame | None, snap: DataFrame, key_src: str, key: str, mapping) -> DataFrame:
+    """A3 (first row per key) + K1 upsert of the listed header fields. ``target=None``: first load."""
     first = keyed.first_per_key(snap.where(F.col(key_src).isNotNull()), [key_src], [ORD])
-    src = S.project(first.withColumnRenamed(key_src, "_key_"), mapping, keep=["_key_"]) \
+    src = S.project(first.withColumn("_key_", F.col(key_src)), _without(mapping, key_src), keep=["_key_"]) \
            .withColumnRenamed("_key_", key)
+    if target is None:
+        return src
     return merge.upsert(target, src, [key], [c for c in S.targets(mapping) if c != key])
 
 
-def _stub_upsert(target: DataFrame, snap: DataFrame, key_src: str, key: str) -> DataFrame:
+def _stub_upsert(target: DataFrame | None, snap: DataFrame, key_src: str, key: str) -> DataFrame:
     """K1 stub: keys missing from the target are inserted with only the key."""
     keys = keyed.distinct_keys(snap, [key_src]).withColumnRenamed(key_src, key)
-    return merge.upsert(target, keys, [key], [])
+    return keys if target is None else merge.upsert(target, keys, [key], [])
+
+
+def _replace(children: DataFrame | None, rows: DataFrame, keys, **kw) -> DataFrame:
+    """K7 + K5/K6; ``children=None``: first load (no stored children yet)."""
+    if children is None:
+        children = rows.limit(0)
+    return merge.replace_children(children, rows, keys, **kw)
 
 
 def load_req(snapshot: DataFrame, req: DataFrame, req_line: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -54,7 +67,7 @@ def load_req(snapshot: DataFrame, req: DataFrame, req_line: DataFrame) -> tuple[
     new_req = _header_upsert(req, snap, "Req_ID", "REQ_No", S.REQ_HEADER)
     lines = _children(snap.where(F.col("Req_ID").isNotNull()), "Req_ID", "REQ_No", S.REQ_LINE)
     fields = S.targets(S.REQ_LINE)
-    new_lines = merge.replace_children(req_line, lines, ["REQ_No"], dedup_fields=fields, order=ORD)
+    new_lines = _replace(req_line, lines, ["REQ_No"], dedup_fields=fields, order=ORD)
     return new_req, new_lines
 
 
@@ -66,7 +79,7 @@ def load_po(snapshot: DataFrame, po: DataFrame, po_line: DataFrame) -> tuple[Dat
     snap = _clean(snapshot, "po")
     new_po = _header_upsert(po, snap, "PO_No", "PO_No", S.PO_HEADER)
     lines = _children(snap.where(F.col("PO_No").isNotNull()), "PO_No", "PO_No", S.PO_LINE)
-    return new_po, merge.replace_children(po_line, lines, ["PO_No"])
+    return new_po, _replace(po_line, lines, ["PO_No"])
 
 
 def link_po_into_req_lines(snapshot: DataFrame, req: DataFrame, req_line: DataFrame) -> DataFrame:
@@ -88,7 +101,7 @@ def _approvals(snapshot: DataFrame, dataset: str, key_src: str, key: str, mappin
     snap = _clean(snapshot, dataset)
     snap = snap.withColumns({c: text_or_empty(c) for c in text_defaults})     # P5
     rows = _children(snap, key_src, key, mapping)
-    return merge.replace_children(children, rows, [key], parent=parent)       # K7 + K5, update-only
+    return _replace(children, rows, [key], parent=parent)       # K7 + K5, update-only
 
 
 def load_po_approvals(snapshot: DataFrame, po: DataFrame, po_worklist: DataFrame) -> DataFrame:
@@ -111,7 +124,7 @@ def load_po_approvals_legacy(snapshot: DataFrame, po: DataFrame, po_worklist_leg
     """
     snap = _clean(snapshot, "po_approval_legacy")
     rows = _children(snap.where(F.col("PO_No").isNotNull()), "PO_No", "PO_No", S.PO_APPROVAL_LEGACY)
-    return _stub_upsert(po, snap, "PO_No", "PO_No"), merge.replace_children(po_worklist_legacy, rows, ["PO_No"])
+    return _stub_upsert(po, snap, "PO_No", "PO_No"), _replace(po_worklist_legacy, rows, ["PO_No"])
 
 
 def load_contracts(snapshot: DataFrame, contract: DataFrame, contract_line: DataFrame
@@ -120,7 +133,7 @@ def load_contracts(snapshot: DataFrame, contract: DataFrame, contract_line: Data
     snap = _clean(snapshot, "contract")
     new_c = _header_upsert(contract, snap, "Contract", "Contract_ID", S.CONTRACT_HEADER)
     lines = _children(snap.where(F.col("Contract").isNotNull()), "Contract", "Contract_ID", S.CONTRACT_LINE)
-    return new_c, merge.replace_children(contract_line, lines, ["Contract_ID"],
+    return new_c, _replace(contract_line, lines, ["Contract_ID"],
                                          dedup_fields=S.targets(S.CONTRACT_LINE), order=ORD)
 
 
@@ -134,14 +147,14 @@ def load_item_aliases(snapshot: DataFrame, item: DataFrame, item_subs: DataFrame
     snap = _items(snapshot, "item_alias")
     new_item = _header_upsert(item, snap, "Item", "Item_No", S.ITEM_ALIAS_HEADER)
     subs = _children(snap.where(F.col("Item").isNotNull()), "Item", "Item_No", S.ITEM_SUBS)
-    return new_item, merge.replace_children(item_subs, subs, ["Item_No"])
+    return new_item, _replace(item_subs, subs, ["Item_No"])
 
 
 def _item_array(snapshot: DataFrame, dataset: str, mapping, item: DataFrame, children: DataFrame
                 ) -> tuple[DataFrame, DataFrame]:
     snap = _items(snapshot, dataset)
     rows = _children(snap.where(F.col("Item").isNotNull()), "Item", "Item_No", mapping)
-    return _stub_upsert(item, snap, "Item", "Item_No"), merge.replace_children(children, rows, ["Item_No"])
+    return _stub_upsert(item, snap, "Item", "Item_No"), _replace(children, rows, ["Item_No"])
 
 
 def load_item_po_history(snapshot: DataFrame, item: DataFrame, item_prev_po: DataFrame
@@ -160,7 +173,7 @@ def load_item_warehouse(snapshot: DataFrame, item: DataFrame, item_warehouse: Da
     """Warehouse stats replace those of existing items only (K7 + K5, update-only)."""
     snap = _items(snapshot, "item_warehouse")
     rows = _children(snap, "Item", "Item_No", S.ITEM_WAREHOUSE)
-    return merge.replace_children(item_warehouse, rows, ["Item_No"], parent=item)
+    return _replace(item_warehouse, rows, ["Item_No"], parent=item)
 
 
 def load_item_backorders(snapshot: DataFrame, item: DataFrame) -> DataFrame:
@@ -188,7 +201,7 @@ def accumulate_missing_pos(snapshot: DataFrame, missing_po: DataFrame) -> DataFr
     """First vendor per PO upserted into a table that is never cleared."""
     snap = _clean(snapshot, "missing_po")
     first = keyed.first_per_key(snap.where(F.col("PO_No").isNotNull()), ["PO_No"], [ORD], cols=["Vendor"])
-    return merge.upsert(missing_po, first, ["PO_No"], ["Vendor"])
+    return first if missing_po is None else merge.upsert(missing_po, first, ["PO_No"], ["Vendor"])
 
 
 def build_timelines(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
