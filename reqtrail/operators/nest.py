@@ -7,17 +7,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqtrail.operators.keyed import ColLike, order_key
+from reqtrail.operators.sequence import sequence_groups
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], name: str = "pos") -> DataFrame:
-    """A1, flat form: the 0-based position of each child row inside its key."""
-    w = Window.partitionBy(*keys).orderBy(order_key(order))
-    return df.withColumn(name, (F.row_number().over(w) - 1).cast("int"))
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], name: str = "pos",
+              skew_safe: bool | None = None) -> DataFrame:
+    """A1, flat form: the 0-based position of each child row inside its key (skew-safe)."""
+    out = sequence_groups(df, keys, order, rank_col="_pos_rank", skew_safe=skew_safe)
+    return out.withColumn(name, (F.col("_pos_rank") - 1).cast("int")).drop("_pos_rank")
 
 
 def nest_lines(header: DataFrame, lines: DataFrame, keys: Sequence[str], order: Sequence[ColLike],

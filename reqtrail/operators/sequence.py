@@ -7,7 +7,8 @@ samples inside the same query) spreads a hot key over many tasks:
 
 1. ``repartitionByRange(key, order)`` + ``sortWithinPartitions``: one shuffle.
 2. ``mapInPandas`` per partition: local position and previous/next values,
-   vectorised, streaming batch by batch (only one row is held back).
+   vectorised, streaming batch by batch (only one row is held back). This pass
+   is checkpointed so every later step sees the same partitions.
 3. A summary with one row per partition (first/last row, local count of the
    last group) fixes the rows at partition borders: offsets for positions of
    a group that began earlier, and previous/next values across the border.
@@ -28,19 +29,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqtrail.operators.keyed import ColLike, order_key
+from reqtrail.session import ensure_checkpoint_dir
 
 # Default for the library: skew-safe sequencing. ``False`` uses plain windows
 # (fine when every group is known to be small).
 SKEW_SAFE = True
 
 
-def _null_safe_eq(a: pd.Series, b: pd.Series) -> np.ndarray:
-    an, bn = a.isna().to_numpy(), b.isna().to_numpy()
-    eq = (a.to_numpy(dtype=object) == b.to_numpy(dtype=object))
-    return np.where(an | bn, an & bn, eq).astype(bool)
-
-
 def _local_sequencer(keys: list[str], lag_cols: list[str], lead_cols: list[str]):
+    # Everything the Python workers run is defined inside this closure, so it is
+    # shipped by value: executors need numpy/pandas, not this package.
+    def _null_safe_eq(a, b):
+        an, bn = a.isna().to_numpy(), b.isna().to_numpy()
+        eq = (a.to_numpy(dtype=object) == b.to_numpy(dtype=object))
+        return np.where(an | bn, an & bn, eq).astype(bool)
+
     def run(batches):
         from pyspark import TaskContext
 
@@ -134,6 +137,13 @@ def sequence_groups(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike]
     fields += [T.StructField(n_, T.BooleanType()) for n_ in ("_head_run", "_first", "_last")]
     fields += [T.StructField("_part", T.IntegerType())]
     local = ranged.mapInPandas(_local_sequencer(keys, lag_cols, lead_cols), T.StructType(fields))
+    # Materialise the local pass once, in its own job: partition ids are then the
+    # range partitions (not shifted by a union downstream), and the summary and the
+    # rows come from the same run. A range partitioner re-run on re-fetched shuffle
+    # data may sample other bounds, so recomputing would not be safe. The checkpoint
+    # lives in the shared ``spark.checkpoint.dir`` and also cuts the lineage.
+    ensure_checkpoint_dir(spark)
+    local = local.checkpoint(eager=True)
 
     # One row per non-empty partition: its first row (keys, lead values) and last row
     # (keys, lag values, local rank, whether the partition is one group).

@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reqtrail.functions.nulls import ts_literal
 from reqtrail.functions.text import decode, fmt, matches_from_start
-from reqtrail.operators.keyed import order_key, repeated_flag
+from reqtrail.operators.sequence import sequence_groups
+from reqtrail.session import ensure_checkpoint_dir
 
 # Class labels and message texts of the timeline job.
 SPLIT, BUNDLED, NO_VALID, COMPLETE, NO_WORKLIST = "SPLITREQ", "BundledPO", "NoValidPO", "complete", "NoWorklist"
@@ -159,24 +160,24 @@ def po_events(po: DataFrame) -> DataFrame:
               .select("PO_No", "seq", "e.*"))
 
 
-def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst") -> DataFrame:
+def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst", skew_safe: bool | None = None) -> DataFrame:
     """T4: one event per PO approval step.
 
     Steps are ordered by (Event_Date_Time, Approval_Number), ties in stored
-    ``order``. Auto = the same timestamp already appeared earlier in this PO's
-    ordered worklist (W2, aggregation + join, not a window). ``seq`` is the
-    0-based position in that order.
+    ``order``; ``seq`` is the 0-based position in that order. Auto = the previous
+    step of the same PO has the same timestamp (W2). Ordering uses the skew-safe
+    sequencer, so one PO holding most steps is spread over many tasks.
     """
-    flagged = repeated_flag(po_worklist, ["PO_No", "Event_Date_Time"], ["Approval_Number", order], name="_auto")
+    ranked = sequence_groups(po_worklist, ["PO_No"], ["Event_Date_Time", "Approval_Number", order],
+                             lag_cols=["Event_Date_Time"], skew_safe=skew_safe)
+    auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(F.col("Event_Date_Time"))
     stat = F.col("Appr_Stat")
     text = F.when(stat == "I", F.lit("PO Initiated.")).otherwise(
         fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), "."))
     ev = _event(F.col("Appr_Inst"), F.col("Event_Date_Time"), decode(stat), text, F.col("User"),
-                matches_from_start(F.col("Work_List")), F.col("_auto"), "PO")
-    w = Window.partitionBy("PO_No").orderBy("_ord")
-    return (flagged.withColumn("_ord", order_key(["Event_Date_Time", "Approval_Number", order]))
-                   .select("PO_No", (F.row_number().over(w) - 1).cast("int").alias("seq"), ev.alias("e"))
-                   .select("PO_No", "seq", "e.*"))
+                matches_from_start(F.col("Work_List")), auto, "PO")
+    return (ranked.select("PO_No", (F.col("_rank") - 1).cast("int").alias("seq"), ev.alias("e"))
+                  .select("PO_No", "seq", "e.*"))
 
 
 def req_worklist_events(req_worklist: DataFrame, time_col: str = "Date_Time") -> DataFrame:
@@ -194,102 +195,98 @@ def _as_of(as_of: dt.datetime | Column | None) -> Column:
     return as_of.cast("timestamp_ntz") if isinstance(as_of, Column) else ts_literal(as_of)
 
 
-def with_end_times(events: DataFrame, as_of: dt.datetime | Column | None, key: str = "REQ_No") -> DataFrame:
+def with_end_times(events: DataFrame, as_of: dt.datetime | Column | None, key: str = "REQ_No",
+                   skew_safe: bool | None = None) -> DataFrame:
     """End = the next Start in time order (ties by ``seq``); the last dated event ends at ``as_of``.
 
     Events without a Start sort last and get no End (D12). The stored order of the
     events stays the construction order ``seq`` (D5).
     """
-    w = Window.partitionBy(key).orderBy(F.col("Start_DTTM").asc_nulls_last(), F.col("seq"))
-    nxt = F.lead("Start_DTTM").over(w)
-    end = F.when(F.col("Start_DTTM").isNotNull(), F.coalesce(nxt, _as_of(as_of)))
-    return events.withColumn("End_DTTM", end)
+    nxt = sequence_groups(events, [key], ["Start_DTTM", "seq"], lead_cols=["Start_DTTM"], skew_safe=skew_safe)
+    end = F.when(F.col("Start_DTTM").isNotNull(), F.coalesce(F.col("_lead_Start_DTTM"), _as_of(as_of)))
+    return nxt.withColumn("End_DTTM", end).drop("_rank", "_lead_Start_DTTM")
 
 
-def _events_from_wide(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetime | Column | None,
-                      worklist_order: str, req_worklist: DataFrame | None) -> DataFrame:
-    """Events of complete requisitions from a frame that carries REQ and PO fields.
+def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetime | Column | None,
+                      worklist_order: str, req_worklist: DataFrame | None,
+                      skew_safe: bool | None = None) -> DataFrame:
+    """Events of complete requisitions from a (materialised) frame carrying REQ and PO fields.
 
-    ``done`` is consumed once: its PO's worklist steps are left-joined on the PO
-    number (``done`` is already partitioned by it), one exchange by REQ_No ranks
-    the steps (position and repeated-timestamp flag), and the first row of each
-    requisition also emits the REQ and PO events. The End-time window reuses the
-    same partitioning, so it adds a sort, not a shuffle.
+    * REQ and PO events: row-local ``inline`` of up to four structs, no shuffle.
+    * worklist steps: INNER join on the PO number (AQE may split a hot PO on either
+      side), then the skew-safe sequencer gives each step its position and the
+      previous step's time (``Auto``).
+    * End times: a second sequencer pass over all events in time order.
     """
-    k3_type = po_worklist.schema[worklist_order].dataType
-    stat = F.col("Appr_Stat")
-    steps = po_worklist.select(
-        F.col("PO_No").alias("_wl_po"), F.lit(4).alias("_blk"),
-        F.col("Appr_Inst").cast("string").alias("_id"), F.col("Event_Date_Time").alias("_k1"),
-        F.col("Approval_Number").alias("_k2"), F.col(worklist_order).alias("_k3"),
-        decode(stat).alias("_etype"),
-        F.when(stat == "I", F.lit("PO Initiated.")).otherwise(
-            fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), ".")).alias("_text"),
-        F.col("User").cast("string").alias("_person"), matches_from_start(F.col("Work_List")).alias("_internal"),
-        F.lit("PO").alias("_life"))
-    j = done.join(steps, done["link_po"] == steps["_wl_po"], "left").withColumn("_blk", F.lit(4))
-    if req_worklist is not None:
-        rsteps = req_worklist_events(req_worklist).select(
-            F.col("REQ_No").alias("_rq"), F.lit(5).alias("_blk"), F.col("ID").alias("_id"),
-            F.col("Start_DTTM").alias("_k1"), F.col("ID").alias("_k2"), F.lit(None).cast(k3_type).alias("_k3"),
-            F.col("EventType").alias("_etype"), F.col("Text").alias("_text"), F.col("Person").alias("_person"),
-            F.col("Internal").alias("_internal"), F.col("Lifecycle").alias("_life"))
-        rj = done.join(rsteps, done["REQ_No"] == rsteps["_rq"]).drop("_rq")
-        j = j.drop("_wl_po").unionByName(rj)
-    # The order key is a column, so every ordered window below shares one sort.
-    j = j.withColumn("_ord", order_key(["_k1", "_k2", "_k3"]))
-    part = Window.partitionBy("REQ_No")
-    w = part.orderBy("_blk", "_ord")
-    is_step = F.col("_id").isNotNull()
-    no_po_steps = F.max(((F.col("_blk") == 4) & ~is_step).cast("int")).over(part)
-    prev_blk, prev_ts = F.lag("_blk").over(w), F.lag("_k1").over(w)
-    base = F.col("PO_Approval_Date").isNotNull().cast("int") + 3
-    ranked = (j.withColumn("_rn", F.row_number().over(w))
-               .withColumn("_auto", (F.col("_blk") == 4) & is_step & F.coalesce(prev_blk == 4, F.lit(False))
-                           & prev_ts.eqNullSafe(F.col("_k1")))
-               .withColumn("_seq", base + F.col("_rn") - 1 - no_po_steps))
+    base = (F.col("PO_Approval_Date").isNotNull().cast("int") + 3).alias("_base")
 
     def ev(seq, id_, start, etype, text, person, internal, auto, life):
         lit = lambda v: F.lit(v) if not isinstance(v, Column) else v
         return F.struct(lit(seq).cast("int").alias("seq"), id_.cast("string").alias("ID"),
                         start.alias("Start_DTTM"), lit(etype).alias("EventType"), text.alias("Text"),
                         person.cast("string").alias("Person"), lit(internal).cast("boolean").alias("Internal"),
-                        F.lit(False).alias("Neutral"), lit(auto).alias("Auto"), F.lit(life).alias("Lifecycle"))
-
-    first = F.col("_rn") == 1
-    arr = F.array(
-        F.when(first, ev(0, F.col("REQ_No"), F.col("REQ_Date"), "Creation", fmt("REQ Creation by ", F.col("Buyer")),
-                         F.col("Buyer"), False, False, "REQ")),
-        F.when(first, ev(1, F.col("REQ_No"), F.col("Approved_On"), "Approval",
-                         fmt("REQ Approved by ", F.col("Approved_By")), F.col("Approved_By"), True, False, "REQ")),
-        F.when(first, ev(2, F.col("link_po"), F.col("PO_Date"), "Creation", F.lit("PO Creation"),
-                         F.col("_po_buyer"), True, False, "PO")),
-        F.when(first & F.col("PO_Approval_Date").isNotNull(),
+                        F.lit(False).alias("Neutral"), lit(auto).cast("boolean").alias("Auto"),
+                        F.lit(life).alias("Lifecycle"))
+
+    fixed = F.array(
+        ev(0, F.col("REQ_No"), F.col("REQ_Date"), "Creation", fmt("REQ Creation by ", F.col("Buyer")),
+           F.col("Buyer"), False, False, "REQ"),
+        ev(1, F.col("REQ_No"), F.col("Approved_On"), "Approval", fmt("REQ Approved by ", F.col("Approved_By")),
+           F.col("Approved_By"), True, False, "REQ"),
+        ev(2, F.col("link_po"), F.col("PO_Date"), "Creation", F.lit("PO Creation"), F.col("_po_buyer"),
+           True, False, "PO"),
+        F.when(F.col("PO_Approval_Date").isNotNull(),
                ev(3, F.col("link_po"), F.col("PO_Approval_Date"), "Approval",
-                  fmt("PO Approved by ", F.col("_po_approved_by")), F.col("_po_approved_by"), True, False, "PO")),
-        F.when(is_step, ev(F.col("_seq"), F.col("_id"), F.col("_k1"), F.col("_etype"), F.col("_text"),
-                           F.col("_person"), F.col("_internal"), F.col("_auto"), F.col("_life"))))
-    events = (ranked.select("REQ_No", F.col("link_po").alias("PO_No"),
-                            F.inline(F.filter(arr, lambda x: x.isNotNull())))
+                  fmt("PO Approved by ", F.col("_po_approved_by")), F.col("_po_approved_by"), True, False, "PO")))
+    fixed_ev = (done.select("REQ_No", F.col("link_po").alias("PO_No"),
+                            F.inline(F.filter(fixed, lambda x: x.isNotNull())))
                     .select("REQ_No", "PO_No", *EVENT_COLS))
-    return with_end_times(events, as_of).select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM",
-                                                *EVENT_COLS[3:])
+
+    owners = done.select(F.col("link_po").alias("PO_No"), "REQ_No", base)
+    stat = F.col("Appr_Stat")
+    steps = po_worklist.join(owners, "PO_No")
+    steps = sequence_groups(steps, ["REQ_No"], ["Event_Date_Time", "Approval_Number", worklist_order],
+                            lag_cols=["Event_Date_Time"], skew_safe=skew_safe)
+    auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(F.col("Event_Date_Time"))
+    text = F.when(stat == "I", F.lit("PO Initiated.")).otherwise(
+        fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), "."))
+    step_ev = steps.select("REQ_No", "PO_No", ev(F.col("_base") + F.col("_rank") - 1, F.col("Appr_Inst"),
+                                                 F.col("Event_Date_Time"), decode(stat), text, F.col("User"),
+                                                 matches_from_start(F.col("Work_List")), auto, "PO").alias("e")) \
+                   .select("REQ_No", "PO_No", "e.*")
+    events = fixed_ev.unionByName(step_ev)
+    if req_worklist is not None:
+        n_steps = steps.groupBy("REQ_No").agg(F.count(F.lit(1)).alias("_nwl"))
+        rw = req_worklist_events(req_worklist).join(done.select("REQ_No", F.col("link_po").alias("PO_No"), base),
+                                                    "REQ_No")
+        rw = sequence_groups(rw, ["REQ_No"], ["Start_DTTM", "ID"], skew_safe=skew_safe)
+        rw = rw.join(n_steps, "REQ_No", "left").withColumn(
+            "seq", (F.col("_base") + F.coalesce(F.col("_nwl"), F.lit(0)) + F.col("_rank") - 1).cast("int"))
+        events = events.unionByName(rw.select("REQ_No", "PO_No", *EVENT_COLS))
+    return with_end_times(events, as_of, skew_safe=skew_safe).select(
+        "REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM", *EVENT_COLS[3:])
 
 
 def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
                          po_worklist: DataFrame, as_of: dt.datetime | Column | None = None,
                          null_req: str = "each", worklist_order: str = "Appr_Inst",
                          req_worklist: DataFrame | None = None, require_worklist: bool = False,
-                         include_req_worklist: bool = False) -> tuple[DataFrame, DataFrame]:
+                         include_req_worklist: bool = False, materialize: bool = True,
+                         skew_safe: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """(classified requisitions, flat timeline events) from the source tables.
 
-    Both outputs come from one classification frame; used in the same job, Spark
-    reuses its exchanges instead of classifying twice.
+    With ``materialize`` the classification (one row per requisition) is
+    checkpointed into ``spark.checkpoint.dir``: both outputs and every event
+    branch read it instead of re-running the classification shuffles, and a lost
+    executor does not send the job back to the source scans.
     """
     wide = _classified_wide(req, req_line, po, po_line, null_req, req_worklist, require_worklist, carry=True)
+    if materialize:
+        ensure_checkpoint_dir(wide.sparkSession)
+        wide = wide.checkpoint(eager=True)
     done = wide.where(F.col("cls") == COMPLETE)
-    events = _events_from_wide(done, po_worklist, as_of, worklist_order,
-                               req_worklist if include_req_worklist else None)
+    events = _events_from_done(done, po_worklist, as_of, worklist_order,
+                               req_worklist if include_req_worklist else None, skew_safe)
     return _classified_view(wide), events
 
 
@@ -307,7 +304,7 @@ def build_timeline(classified: DataFrame, req: DataFrame, po: DataFrame, po_work
                       .join(req.select("REQ_No", *REQ_FIELDS), "REQ_No")
                       .join(po.select(F.col("PO_No").alias("link_po"),
                                       *[F.col(k).alias(v) for k, v in PO_FIELDS.items()]), "link_po"))
-    return _events_from_wide(done, po_worklist, as_of, worklist_order, req_worklist)
+    return _events_from_done(done, po_worklist, as_of, worklist_order, req_worklist)
 
 
 def timeline_documents(classified: DataFrame, events: DataFrame) -> DataFrame:
@@ -324,3 +321,20 @@ def timeline_documents(classified: DataFrame, events: DataFrame) -> DataFrame:
     docs = classified.join(arr, "REQ_No", "left")
     return docs.select("REQ_No", "PO_No", "Business_Unit", "Complicated", "Footnote", "cls",
                        F.coalesce(F.col("events"), F.array().cast(arr_type)).alias("events"))
+
+
+def timeline_summary(classified: DataFrame, events: DataFrame) -> DataFrame:
+    """T6/T7/U2 as one flat row per requisition: class, message, number of events, first
+    Start, last End, first event type and last event text (in ``seq`` order).
+
+    Built with partial aggregation over the flat events, so no requisition's events
+    are gathered into one array or one task.
+    """
+    agg = events.groupBy("REQ_No").agg(
+        F.count(F.lit(1)).alias("n_events"), F.min("Start_DTTM").alias("first_start"),
+        F.max("End_DTTM").alias("last_end"), F.min_by("EventType", "seq").alias("first_type"),
+        F.max_by("Text", "seq").alias("last_text"))
+    return (classified.join(agg, "REQ_No", "left")
+                      .select("REQ_No", "PO_No", "Business_Unit", "cls", "Complicated", "Footnote",
+                              F.coalesce(F.col("n_events"), F.lit(0)).cast("bigint").alias("n_events"),
+                              "first_start", "last_end", "first_type", "last_text"))

@@ -642,14 +642,7 @@ select c.REQ_No, c.PO_No, c.Business_Unit, c.cls, c.Complicated, c.Footnote, coa
 from c left join e on e.REQ_No = c.REQ_No left join l on l.REQ_No = c.REQ_No""")
 def timeline_documents(spark, sf_dir):
     cls, ev = _timeline(spark, sf_dir)
-    docs = timeline.timeline_documents(cls, ev)
-    n = F.size("events")
-    return docs.select("REQ_No", "PO_No", "Business_Unit", "cls", "Complicated", "Footnote",
-                       n.cast("bigint").alias("n_events"),
-                       F.array_min("events.Start_DTTM").alias("first_start"),
-                       F.array_max("events.End_DTTM").alias("last_end"),
-                       F.get("events", 0)["EventType"].alias("first_type"),
-                       F.get("events", n - 1)["Text"].alias("last_text"))
+    return timeline.timeline_summary(cls, ev)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
