@@ -125,9 +125,10 @@ def sequence_groups(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike]
         return out
 
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit count, AQE sizes the range partitions from the data.
+    range_cols = [F.col(k) for k in keys] + [F.col("_o")]
     ranged = (df.withColumn("_o", order_key(order))
-                .repartitionByRange(n, *[F.col(k) for k in keys], F.col("_o"))
+                .repartitionByRange(*([partitions] if partitions else []), *range_cols)
                 .sortWithinPartitions(*keys, "_o")
                 .drop("_o"))
     fields = list(ranged.schema.fields)
