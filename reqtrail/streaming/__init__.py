@@ -1,0 +1,3 @@
+from reqtrail.streaming.snapshots import TableStore, apply_snapshots
+
+__all__ = ["TableStore", "apply_snapshots"]
