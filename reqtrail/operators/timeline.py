@@ -212,59 +212,83 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
                       skew_safe: bool | None = None) -> DataFrame:
     """Events of complete requisitions from a (materialised) frame carrying REQ and PO fields.
 
-    * REQ and PO events: row-local ``inline`` of up to four structs, no shuffle.
     * worklist steps: INNER join on the PO number (AQE may split a hot PO on either
-      side), then the skew-safe sequencer gives each step its position and the
-      previous step's time (``Auto``).
-    * End times: a second sequencer pass over all events in time order.
+      side), then one skew-safe sequencer pass gives each step its position, the
+      previous step's time (``Auto``) and the next step's time.
+    * End = the smallest Start ordered after the event (time, then ``seq``). For a
+      step that is the next step's time or the first later fixed start (the row
+      carries the four fixed starts). For a REQ/PO event it is a later fixed start
+      or the first step at or after it, a per-requisition partial aggregation.
+      So no second shuffle over all events is needed.
+    * REQ and PO events: row-local ``inline`` of up to four structs.
     """
+    as_of_c = _as_of(as_of)
+    starts = ["REQ_Date", "Approved_On", "PO_Date", "PO_Approval_Date"]
     base = (F.col("PO_Approval_Date").isNotNull().cast("int") + 3).alias("_base")
+    owners = done.select(F.col("link_po").alias("PO_No"), "REQ_No", base,
+                         *[F.col(c).alias(f"_s{k}") for k, c in enumerate(starts)])
+    steps = po_worklist.join(owners, "PO_No")
+    steps = sequence_groups(steps, ["REQ_No"], ["Event_Date_Time", "Approval_Number", worklist_order],
+                            lag_cols=["Event_Date_Time"], lead_cols=["Event_Date_Time"], skew_safe=skew_safe)
+    t = F.col("Event_Date_Time")
 
-    def ev(seq, id_, start, etype, text, person, internal, auto, life):
+    def ev(seq, id_, start, etype, text, person, internal, auto, life, end):
         lit = lambda v: F.lit(v) if not isinstance(v, Column) else v
         return F.struct(lit(seq).cast("int").alias("seq"), id_.cast("string").alias("ID"),
-                        start.alias("Start_DTTM"), lit(etype).alias("EventType"), text.alias("Text"),
-                        person.cast("string").alias("Person"), lit(internal).cast("boolean").alias("Internal"),
-                        F.lit(False).alias("Neutral"), lit(auto).cast("boolean").alias("Auto"),
-                        F.lit(life).alias("Lifecycle"))
-
-    fixed = F.array(
-        ev(0, F.col("REQ_No"), F.col("REQ_Date"), "Creation", fmt("REQ Creation by ", F.col("Buyer")),
-           F.col("Buyer"), False, False, "REQ"),
-        ev(1, F.col("REQ_No"), F.col("Approved_On"), "Approval", fmt("REQ Approved by ", F.col("Approved_By")),
-           F.col("Approved_By"), True, False, "REQ"),
-        ev(2, F.col("link_po"), F.col("PO_Date"), "Creation", F.lit("PO Creation"), F.col("_po_buyer"),
-           True, False, "PO"),
-        F.when(F.col("PO_Approval_Date").isNotNull(),
-               ev(3, F.col("link_po"), F.col("PO_Approval_Date"), "Approval",
-                  fmt("PO Approved by ", F.col("_po_approved_by")), F.col("_po_approved_by"), True, False, "PO")))
-    fixed_ev = (done.select("REQ_No", F.col("link_po").alias("PO_No"),
-                            F.inline(F.filter(fixed, lambda x: x.isNotNull())))
-                    .select("REQ_No", "PO_No", *EVENT_COLS))
-
-    owners = done.select(F.col("link_po").alias("PO_No"), "REQ_No", base)
+                        start.alias("Start_DTTM"), end.alias("End_DTTM"), lit(etype).alias("EventType"),
+                        text.alias("Text"), person.cast("string").alias("Person"),
+                        lit(internal).cast("boolean").alias("Internal"), F.lit(False).alias("Neutral"),
+                        lit(auto).cast("boolean").alias("Auto"), F.lit(life).alias("Lifecycle"))
+
+    # Steps. A later fixed event has a strictly later start (its seq is smaller).
+    later_fixed = F.least(*[F.when(F.col(f"_s{k}") > t, F.col(f"_s{k}")) for k in range(4)])
+    step_end = F.when(t.isNotNull(), F.coalesce(F.least(F.col("_lead_Event_Date_Time"), later_fixed), as_of_c))
+    auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(t)
     stat = F.col("Appr_Stat")
-    steps = po_worklist.join(owners, "PO_No")
-    steps = sequence_groups(steps, ["REQ_No"], ["Event_Date_Time", "Approval_Number", worklist_order],
-                            lag_cols=["Event_Date_Time"], skew_safe=skew_safe)
-    auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(F.col("Event_Date_Time"))
     text = F.when(stat == "I", F.lit("PO Initiated.")).otherwise(
         fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), "."))
-    step_ev = steps.select("REQ_No", "PO_No", ev(F.col("_base") + F.col("_rank") - 1, F.col("Appr_Inst"),
-                                                 F.col("Event_Date_Time"), decode(stat), text, F.col("User"),
-                                                 matches_from_start(F.col("Work_List")), auto, "PO").alias("e")) \
-                   .select("REQ_No", "PO_No", "e.*")
+    step_ev = (steps.select("REQ_No", "PO_No", ev(F.col("_base") + F.col("_rank") - 1, F.col("Appr_Inst"), t,
+                                                  decode(stat), text, F.col("User"),
+                                                  matches_from_start(F.col("Work_List")), auto, "PO",
+                                                  step_end).alias("e"))
+                    .select("REQ_No", "PO_No", "e.*"))
+
+    # REQ/PO events. First step at or after each fixed start: one partial aggregation.
+    first_after = steps.groupBy("REQ_No").agg(
+        *[F.min(F.when(t >= F.col(f"_s{k}"), t)).alias(f"_m{k}") for k in range(4)])
+    fx = done.join(first_after, "REQ_No", "left")
+    s_ = [F.col(c) for c in starts]
+    s_[3] = F.when(F.col("PO_Approval_Date").isNotNull(), F.col("PO_Approval_Date"))
+
+    def fixed_end(k: int) -> Column:
+        later = [F.when((s_[g] > s_[k]) | ((s_[g] == s_[k]) & F.lit(g > k)), s_[g]) for g in range(4) if g != k]
+        return F.when(s_[k].isNotNull(), F.coalesce(F.least(F.col(f"_m{k}"), *later), as_of_c))
+
+    fixed = F.array(
+        ev(0, F.col("REQ_No"), s_[0], "Creation", fmt("REQ Creation by ", F.col("Buyer")), F.col("Buyer"),
+           False, False, "REQ", fixed_end(0)),
+        ev(1, F.col("REQ_No"), s_[1], "Approval", fmt("REQ Approved by ", F.col("Approved_By")),
+           F.col("Approved_By"), True, False, "REQ", fixed_end(1)),
+        ev(2, F.col("link_po"), s_[2], "Creation", F.lit("PO Creation"), F.col("_po_buyer"), True, False, "PO",
+           fixed_end(2)),
+        F.when(F.col("PO_Approval_Date").isNotNull(),
+               ev(3, F.col("link_po"), s_[3], "Approval", fmt("PO Approved by ", F.col("_po_approved_by")),
+                  F.col("_po_approved_by"), True, False, "PO", fixed_end(3))))
+    fixed_ev = (fx.select("REQ_No", F.col("link_po").alias("PO_No"),
+                          F.inline(F.filter(fixed, lambda x: x.isNotNull())))
+                  .select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM", *EVENT_COLS[3:]))
     events = fixed_ev.unionByName(step_ev)
     if req_worklist is not None:
+        # Optional branch (T5): REQ steps follow the PO steps; End times over all events.
         n_steps = steps.groupBy("REQ_No").agg(F.count(F.lit(1)).alias("_nwl"))
         rw = req_worklist_events(req_worklist).join(done.select("REQ_No", F.col("link_po").alias("PO_No"), base),
                                                     "REQ_No")
         rw = sequence_groups(rw, ["REQ_No"], ["Start_DTTM", "ID"], skew_safe=skew_safe)
         rw = rw.join(n_steps, "REQ_No", "left").withColumn(
             "seq", (F.col("_base") + F.coalesce(F.col("_nwl"), F.lit(0)) + F.col("_rank") - 1).cast("int"))
-        events = events.unionByName(rw.select("REQ_No", "PO_No", *EVENT_COLS))
-    return with_end_times(events, as_of, skew_safe=skew_safe).select(
-        "REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM", *EVENT_COLS[3:])
+        events = events.drop("End_DTTM").unionByName(rw.select("REQ_No", "PO_No", *EVENT_COLS))
+        events = with_end_times(events, as_of, skew_safe=skew_safe)
+    return events.select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM", *EVENT_COLS[3:])
 
 
 def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,

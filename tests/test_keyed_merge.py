@@ -98,3 +98,16 @@ def test_nest_and_unnest(spark):
     assert [e["v"] for e in docs["k1"]] == ["a", "b"] and docs["k2"] == []
     flat = nest.unnest_lines(nest.nest_lines(header, lines, ["k"], ["o"], ["v"]), ["k"], "lines")
     assert [(r["pos"], r["v"]) for r in rows(flat, "pos")] == [(0, "a"), (1, "b")]
+
+
+def test_versioned_writes_and_fan_out(spark):
+    import os
+    import tempfile
+    root = tempfile.mkdtemp(prefix="reqtrail-out-")
+    df = spark.createDataFrame([("k1", "a", 1)], T)
+    dev, prod = os.path.join(root, "dev"), os.path.join(root, "prod")
+    paths = merge.fan_out(df, [dev, prod], "TIMELINE")
+    assert [p.startswith(b) for p, b in zip(paths, [dev, prod])] == [True, True]
+    again = merge.write_version(df, dev, "TIMELINE")
+    assert again != paths[0]                                   # a new version, never over the old one
+    assert spark.read.parquet(paths[0]).collect() == spark.read.parquet(again).collect()

@@ -193,3 +193,22 @@ def test_worklist_events_standalone(spark):
     assert got["2"]["seq"] == 0 and got["1"]["seq"] == 1 and got["1"]["Auto"] and not got["2"]["Auto"]
     assert got["1"]["EventType"] == "Denied" and got["2"]["EventType"] == "Z" and got["2"]["Internal"]
     assert got["3"]["Text"] == ", ." and not got["3"]["Auto"] and got["4"]["Auto"]
+
+
+def test_end_times_equal_general_definition_with_ties(spark):
+    import random
+    rnd = random.Random(7)
+    day = lambda: ts(2020, 1, rnd.randint(1, 4))  # noqa: E731  tiny domain: many ties
+    reqs = [(i, "A", f"b{i}", day() if rnd.random() > 0.1 else None, "a", day()) for i in range(40)]
+    pos = [(f"P{i}", "A", "pb", "pa", day(), "A", day() if rnd.random() > 0.4 else None) for i in range(40)]
+    wl = [(f"P{rnd.randint(0, 39)}", n, "w", str(rnd.randint(0, 2)), "A", day() if rnd.random() > 0.1 else None, "u")
+          for n in range(300)]
+    _, ev = T.requisition_timeline(spark.createDataFrame(reqs, REQ),
+                                   spark.createDataFrame([(i, f"P{i}") for i in range(40)], LINK),
+                                   spark.createDataFrame(pos, PO),
+                                   spark.createDataFrame([(f"P{i}", i) for i in range(40)], PO_LINE),
+                                   spark.createDataFrame(wl, WL), as_of=AS_OF)
+    general = T.with_end_times(ev.drop("End_DTTM"), AS_OF, skew_safe=False)
+    got = sorted(((r["REQ_No"], r["seq"], r["End_DTTM"]) for r in ev.collect()), key=repr)
+    want = sorted(((r["REQ_No"], r["seq"], r["End_DTTM"]) for r in general.collect()), key=repr)
+    assert got == want and len(got) > 400
