@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqtrail.operators.keyed import ColLike, order_key
-from reqtrail.session import ensure_checkpoint_dir
+from reqtrail.session import materialize
 
 # Default for the library: skew-safe sequencing. ``False`` uses plain windows
 # (fine when every group is known to be small).
@@ -141,10 +141,9 @@ def sequence_groups(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike]
     # Materialise the local pass once, in its own job: partition ids are then the
     # range partitions (not shifted by a union downstream), and the summary and the
     # rows come from the same run. A range partitioner re-run on re-fetched shuffle
-    # data may sample other bounds, so recomputing would not be safe. The checkpoint
+    # data may sample other bounds, so recomputing would not be safe. The table
     # lives in the shared ``spark.checkpoint.dir`` and also cuts the lineage.
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)
+    local = materialize(local, "sequence")
 
     # One row per non-empty partition: its first row (keys, lead values) and last row
     # (keys, lag values, local rank, whether the partition is one group).

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from reqtrail.functions.nulls import ts_literal
 from reqtrail.functions.text import decode, fmt, matches_from_start
 from reqtrail.operators.sequence import sequence_groups
-from reqtrail.session import ensure_checkpoint_dir
+from reqtrail.session import materialize as materialize_table
 
 # Class labels and message texts of the timeline job.
 SPLIT, BUNDLED, NO_VALID, COMPLETE, NO_WORKLIST = "SPLITREQ", "BundledPO", "NoValidPO", "complete", "NoWorklist"
@@ -299,15 +299,14 @@ def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_
                          skew_safe: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """(classified requisitions, flat timeline events) from the source tables.
 
-    With ``materialize`` the classification (one row per requisition) is
-    checkpointed into ``spark.checkpoint.dir``: both outputs and every event
+    With ``materialize`` the classification (one row per requisition) is written
+    once as a table in ``spark.checkpoint.dir``: both outputs and every event
     branch read it instead of re-running the classification shuffles, and a lost
     executor does not send the job back to the source scans.
     """
     wide = _classified_wide(req, req_line, po, po_line, null_req, req_worklist, require_worklist, carry=True)
     if materialize:
-        ensure_checkpoint_dir(wide.sparkSession)
-        wide = wide.checkpoint(eager=True)
+        wide = materialize_table(wide, "classified")
     done = wide.where(F.col("cls") == COMPLETE)
     events = _events_from_done(done, po_worklist, as_of, worklist_order,
                                req_worklist if include_req_worklist else None, skew_safe)

@@ -4,7 +4,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "reqtrail",
@@ -50,3 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for an intermediate table."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads the table, not
+    the sources), but computes the plan once; ``checkpoint(eager=True)`` runs it a
+    second time to write. The folder name is unique, so retries never collide.
+    """
+    import uuid
+
+    path = scratch_table_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
