@@ -109,10 +109,10 @@ def _classified_view(j: DataFrame) -> DataFrame:
     return j.select(
         "REQ_No",
         F.when(complete, F.col("link_po")).otherwise(F.lit("")).alias("PO_No"),
-        F.when(complete, F.col("Business_Unit")).alias("Business_Unit"),
+        F.when(complete, F.col("Business_Unit").cast("string")).otherwise(F.lit("")).alias("Business_Unit"),
         msg.alias("Complicated"),
         F.lit("").alias("Footnote"),
-        "cls", cause.alias("cause"), "n_po", "n_req")
+        "cls", cause.alias("cause"), "n_po")
 
 
 def classify_requests(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
@@ -120,9 +120,9 @@ def classify_requests(req: DataFrame, req_line: DataFrame, po: DataFrame, po_lin
                       require_worklist: bool = False) -> DataFrame:
     """One row per requisition with its class and message.
 
-    Output: REQ_No, PO_No ("" unless complete), Business_Unit (NULL unless complete),
-    Complicated (message, "" when complete), Footnote, cls, cause (none / mismatch /
-    invalid for NoValidPO, else NULL), n_po, n_req.
+    Output: REQ_No, PO_No and Business_Unit (text; "" unless complete, as the
+    source writes them), Complicated (message, "" when complete), Footnote, cls,
+    cause (none / mismatch / invalid for NoValidPO, else NULL), n_po.
     """
     return _classified_view(_classified_wide(req, req_line, po, po_line, null_req, req_worklist,
                                              require_worklist, carry=False))
@@ -181,11 +181,14 @@ def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst", skew_safe:
 
 
 def req_worklist_events(req_worklist: DataFrame, time_col: str = "Date_Time") -> DataFrame:
-    """T5 (off by default): REQ approval steps as blank events starting at their time."""
+    """T5 (off by default): REQ approval steps as blank events starting at their time.
+
+    The source writes "" into the flag fields; as booleans they are False.
+    """
     return req_worklist.select(
         "REQ_No", F.col("Appr_Inst").cast("string").alias("ID"), F.col(time_col).alias("Start_DTTM"),
         F.lit("").alias("EventType"), F.lit("").alias("Text"), F.lit("").alias("Person"),
-        F.lit(None).cast("boolean").alias("Internal"), F.lit(None).cast("boolean").alias("Neutral"),
+        F.lit(False).alias("Internal"), F.lit(False).alias("Neutral"),
         F.lit(False).alias("Auto"), F.lit("").alias("Lifecycle"))
 
 

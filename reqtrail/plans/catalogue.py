@@ -149,9 +149,9 @@ def distinct_keys(spark, sf_dir):
 # with changed values and some NULLs. Keys overlap on 'P'.
 
 SET_COLS = ["Status", "Amount", "Priority", "Clerk"]
-OX_TGT = """select o_orderkey as PO_No, o_custkey as Vendor_ID, o_orderstatus as Status, o_orderdate as PO_Date,
+OX_TGT = """select o_orderkey as PO_No, cast(o_custkey as string) as Vendor_ID, o_orderstatus as Status, o_orderdate as PO_Date,
        o_totalprice as Amount, o_orderpriority as Priority from orders where o_orderstatus <> 'O'"""
-OX_SRC = """select o_orderkey as PO_No, o_custkey + 1 as Vendor_ID, lower(o_orderstatus) as Status,
+OX_SRC = """select o_orderkey as PO_No, cast(o_custkey + 1 as string) as Vendor_ID, lower(o_orderstatus) as Status,
        case when o_orderpriority = '5-LOW' then null else o_totalprice * 2 end as Amount,
        concat(o_orderpriority, '*') as Priority, concat('C', cast(o_custkey % 10 as string)) as Clerk
 from orders where o_orderstatus <> 'F'"""
@@ -159,14 +159,15 @@ from orders where o_orderstatus <> 'F'"""
 
 def _merge_target(t: fx.Tables) -> DataFrame:
     o = t.orders.where(F.col("o_orderstatus") != "O")
-    return o.select(o.o_orderkey.alias("PO_No"), o.o_custkey.alias("Vendor_ID"), o.o_orderstatus.alias("Status"),
+    return o.select(o.o_orderkey.alias("PO_No"), o.o_custkey.cast("string").alias("Vendor_ID"),
+                    o.o_orderstatus.alias("Status"),
                     o.o_orderdate.alias("PO_Date"), o.o_totalprice.alias("Amount"),
                     o.o_orderpriority.alias("Priority"))
 
 
 def _merge_source(t: fx.Tables) -> DataFrame:
     o = t.orders.where(F.col("o_orderstatus") != "F")
-    return o.select(o.o_orderkey.alias("PO_No"), (o.o_custkey + 1).alias("Vendor_ID"),
+    return o.select(o.o_orderkey.alias("PO_No"), (o.o_custkey + 1).cast("string").alias("Vendor_ID"),
                     F.lower(o.o_orderstatus).alias("Status"),
                     F.when(o.o_orderpriority != "5-LOW", o.o_totalprice * 2).alias("Amount"),
                     F.concat(o.o_orderpriority, F.lit("*")).alias("Priority"),
@@ -550,7 +551,7 @@ def req_po_join(spark, sf_dir):
 
 CLASS_SQL = """select REQ_No,
        case when cls = 'complete' then link_po else '' end as PO_No,
-       case when cls = 'complete' then Business_Unit end as Business_Unit,
+       case when cls = 'complete' then cast(Business_Unit as string) else '' end as Business_Unit,
        case cls when 'SPLITREQ' then concat('[SPLITREQ] REQ ', cast(REQ_No as string), ' has ', cast(n_po as string),
                                             ' POs associated with it.')
                 when 'BundledPO' then concat('[BundledPO] ', cast(n_req as string), ' REQs found with ', link_po, '.')
@@ -560,7 +561,7 @@ CLASS_SQL = """select REQ_No,
        '' as Footnote, cls,
        case when cls <> 'NoValidPO' then null when n_po = 0 then 'none' when found_po is null then 'mismatch'
             else 'invalid' end as cause,
-       n_po, case when found_po is not null then coalesce(n_req, 0) end as n_req
+       n_po
 from ox_class"""
 
 
@@ -581,11 +582,11 @@ def reqs_without_valid_po(spark, sf_dir):
 
 @query("classify_requests_worklist_rule", f"""
 select c.REQ_No, case when w.REQ_No is null then '' else c.PO_No end as PO_No,
-       case when w.REQ_No is null then null else c.Business_Unit end as Business_Unit,
+       case when w.REQ_No is null then '' else c.Business_Unit end as Business_Unit,
        case when w.REQ_No is null then concat('[NoWorklist] Req ', cast(c.REQ_No as string), ' does not have a worklist.')
             else c.Complicated end as Complicated,
        c.Footnote, case when w.REQ_No is null then 'NoWorklist' else c.cls end as cls,
-       case when w.REQ_No is null then null else c.cause end as cause, c.n_po, c.n_req
+       case when w.REQ_No is null then null else c.cause end as cause, c.n_po
 from ({CLASS_SQL}) c left join (select distinct REQ_No from fx_req_worklist) w on w.REQ_No = c.REQ_No""")
 def classify_requests_worklist_rule(spark, sf_dir):
     t, req, lnk, po, pl = _inputs(spark, sf_dir)
@@ -614,7 +615,7 @@ def worklist_events(spark, sf_dir):
 
 @query("req_worklist_events", """
 select REQ_No, cast(Appr_Inst as string) as ID, Date_Time as Start_DTTM, '' as EventType, '' as Text, '' as Person,
-       cast(null as boolean) as Internal, cast(null as boolean) as Neutral, false as Auto, '' as Lifecycle
+       false as Internal, false as Neutral, false as Auto, '' as Lifecycle
 from fx_req_worklist""")
 def req_worklist_events(spark, sf_dir):
     return timeline.req_worklist_events(fx.fx_req_worklist(_t(spark, sf_dir)))

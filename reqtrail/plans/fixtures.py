@@ -122,4 +122,4 @@ def fx_xwalk(t: Tables) -> DataFrame:
     li = t.lineitem.where(F.col("l_quantity") <= 10)
     return li.select(li.l_orderkey.alias("Req_ID"), (li.l_orderkey % 2).alias("Unit"),
                      li.l_linenumber.alias("REQ_Line"), po_number(li.l_partkey, li.l_shipdate).alias("PO_No"),
-                     (li.l_suppkey % 100).cast("int").alias("PO_Line"), *LINEITEM_ORDER)
+                     (li.l_suppkey % 100).cast("string").alias("PO_Line"), *LINEITEM_ORDER)

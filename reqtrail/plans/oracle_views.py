@@ -48,7 +48,7 @@ from events e join fx_link k on k.REQ_No = cast(floor(e.event_id / 3) as bigint)
 from events e join fx_req q on q.REQ_No = cast(floor(e.event_id / 3) as bigint)""",
     "fx_xwalk": f"""select l_orderkey as Req_ID, l_orderkey % 2 as Unit, l_linenumber as REQ_Line,
        concat(cast(l_partkey as string), '-', cast(year(l_shipdate) * 100 + month(l_shipdate) as string)) as PO_No,
-       cast(l_suppkey % 100 as integer) as PO_Line, {LI_ORDER}
+       cast(l_suppkey % 100 as string) as PO_Line, {LI_ORDER}
 from lineitem where l_quantity <= 10""",
 }
 

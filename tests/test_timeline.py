@@ -81,7 +81,7 @@ def test_split_duplicate_link_and_no_link(spark):
     got = {r["REQ_No"]: r for r in out.collect()}
     assert got[1]["cls"] == "SPLITREQ"
     assert got[1]["Complicated"] == "[SPLITREQ] REQ 1 has 2 POs associated with it."
-    assert got[1]["PO_No"] == "" and got[1]["Business_Unit"] is None
+    assert got[1]["PO_No"] == "" and got[1]["Business_Unit"] == ""
     assert got[2]["cls"] == "complete" and got[2]["PO_No"] == "P1" and got[2]["Complicated"] == ""
     assert (got[3]["cls"], got[3]["cause"]) == ("NoValidPO", "none")
     assert got[3]["Complicated"] == "No POs associated with REQ 3 are valid. Did not insert in DB."
