@@ -341,11 +341,12 @@ select l.l_orderkey as o_orderkey,
        l.l_linenumber, l.l_partkey, l.l_quantity
 from lineitem l join orders o on o.o_orderkey = l.l_orderkey""")
 def nest_lines_positions(spark, sf_dir):
+    """A1 in the flat canonical form: each line's position under its order (the array
+    index of the document view), from the skew-safe sequencer, for lines whose order exists."""
     t = _t(spark, sf_dir)
-    docs = nest.nest_lines(t.orders.select("o_orderkey"),
-                           t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"],
-                           ["o_orderkey"] + fx.LINEITEM_ORDER[1:], ["l_linenumber", "l_partkey", "l_quantity"])
-    return nest.unnest_lines(docs, ["o_orderkey"], "lines")
+    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    pos = nest.positions(lines, ["l_orderkey"], fx.LINEITEM_ORDER[1:])
+    return pos.select(F.col("l_orderkey").alias("o_orderkey"), "pos", "l_linenumber", "l_partkey", "l_quantity")
 
 
 @query("add_to_set_positions", f"""

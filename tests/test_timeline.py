@@ -212,3 +212,28 @@ def test_end_times_equal_general_definition_with_ties(spark):
     got = sorted(((r["REQ_No"], r["seq"], r["End_DTTM"]) for r in ev.collect()), key=repr)
     want = sorted(((r["REQ_No"], r["seq"], r["End_DTTM"]) for r in general.collect()), key=repr)
     assert got == want and len(got) > 400
+
+
+def test_hot_requisition_spans_partitions(spark):
+    """One PO holds most worklist steps; the skew-safe path must equal the window path."""
+    import random
+    rnd = random.Random(11)
+    reqs = [req_row(i) for i in range(6)]
+    pos = [po_row(f"P{i}", appr=None if i % 2 else ts(2020, 1, 6)) for i in range(6)]
+    wl = [("P0" if rnd.random() < 0.8 else f"P{rnd.randint(1, 5)}", n, rnd.choice(["x procurement", "y"]),
+           str(rnd.randint(0, 3)), rnd.choice(["I", "A", "D"]), ts(2020, 1, rnd.randint(1, 9), rnd.randint(0, 3)), "u")
+          for n in range(700)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = {}
+        for safe in (True, False):
+            _, ev = T.requisition_timeline(spark.createDataFrame(reqs, REQ),
+                                           spark.createDataFrame([(i, f"P{i}") for i in range(6)], LINK),
+                                           spark.createDataFrame(pos, PO),
+                                           spark.createDataFrame([(f"P{i}", i) for i in range(6)], PO_LINE),
+                                           spark.createDataFrame(wl, WL).repartition(5), as_of=AS_OF,
+                                           skew_safe=safe)
+            out[safe] = sorted((tuple(r) for r in ev.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert out[True] == out[False] and len(out[True]) > 700
