@@ -35,11 +35,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a shared file system path). Only when it is unset, as in
-    local tests, a private scratch folder is made here.
+    A cluster names it (a shared file system path). Only when it is unset and the
+    master is local (tests), a private scratch folder is made here; on a cluster an
+    unset value is an error, never a machine-local folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/NFS) "
+                               "visible to every executor")
         current = tempfile.mkdtemp(prefix="reqtrail-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
