@@ -9,7 +9,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reqtrail.operators.keyed import ColLike, order_key
 from reqtrail.operators.sequence import sequence_groups
@@ -64,7 +63,3 @@ def set_in_array(docs: DataFrame, links: DataFrame, keys: Sequence[str], arr: st
         return F.when(F.col("_m").isNotNull() & hit.isNotNull(), e.withField(field, hit)).otherwise(e)
 
     return j.withColumn(arr, F.transform(arr, upd)).drop("_m")
-
-
-def empty_array(element: T.DataType) -> Column:
-    return F.array().cast(T.ArrayType(element))

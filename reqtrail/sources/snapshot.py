@@ -5,8 +5,6 @@ folder and selecting one prunes every other date without listing its files.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -237,3 +237,14 @@ def test_hot_requisition_spans_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert out[True] == out[False] and len(out[True]) > 700
+
+
+def test_build_timeline_from_classified_equals_requisition_timeline(spark):
+    wl = [("P1", 10, "Central Procurement", "1", "I", ts(2020, 1, 7), "u1"),
+          ("P1", 11, "Budget", "2", "A", ts(2020, 1, 8), "u2")]
+    req, pos = spark.createDataFrame([req_row(1), req_row(2)], REQ), spark.createDataFrame([po_row("P1")], PO)
+    link, lines = spark.createDataFrame([(1, "P1")], LINK), spark.createDataFrame([("P1", 1)], PO_LINE)
+    worklist = spark.createDataFrame(wl, WL)
+    cls, ev = T.requisition_timeline(req, link, pos, lines, worklist, as_of=AS_OF)
+    again = T.build_timeline(T.classify_requests(req, link, pos, lines), req, pos, worklist, as_of=AS_OF)
+    assert sorted(tuple(r) for r in ev.collect()) == sorted(tuple(r) for r in again.collect())
