@@ -164,14 +164,14 @@ def write_version(df: DataFrame, base: str, table: str, partition_by: Sequence[s
 
 
 def fan_out(df: DataFrame, bases: Sequence[str], table: str) -> list[str]:
-    """Compute once, write the same table to several targets (dev, prod)."""
-    if len(bases) > 1:
-        df = df.persist()
-    try:
-        return [write_version(df, b, table) for b in bases]
-    finally:
-        if len(bases) > 1:
-            df.unpersist()
+    """Compute once, write the same table to several targets (dev, prod).
+
+    The first target is written from the plan; the others copy that written
+    version, so nothing is recomputed or held in executor memory.
+    """
+    first = write_version(df, bases[0], table)
+    copy = df.sparkSession.read.parquet(first)
+    return [first] + [write_version(copy, b, table) for b in bases[1:]]
 
 
 __all__ = ["upsert", "update_only", "unmatched", "replace_all", "append", "dedup_children",

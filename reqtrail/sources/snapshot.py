@@ -36,6 +36,22 @@ def read_snapshot(spark: SparkSession, base: str, dataset: str, date: str, schem
     return df
 
 
+def read_snapshots(spark: SparkSession, base: str, dataset: str, schema: T.StructType,
+                   dates: list[str] | None = None) -> DataFrame:
+    """S2 over the whole history: every ``snapshot_date=`` folder of a Parquet dataset.
+
+    ``snapshot_date`` is a partition column, so ``dates`` (or any later filter on it)
+    prunes the other folders at planning time (``PartitionFilters`` in the plan).
+    """
+    with_date = T.StructType(list(schema.fields) + [T.StructField("snapshot_date", T.StringType())])
+    df = (spark.read.schema(with_date)
+               .option("basePath", snapshot_path(base, dataset)).parquet(snapshot_path(base, dataset)))
+    if dates is not None:
+        df = df.where(F.col("snapshot_date").isin(list(dates)))
+    return df.withColumn(ORD, F.struct(F.col("_metadata.file_path").alias("f"),
+                                       F.col("_metadata.row_index").alias("r")))
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, skip_lines: int = 1,
                    sep: str = ",") -> DataFrame:
     """S1 for delimited text: drop ``skip_lines`` banner lines and the header line.
@@ -67,4 +83,4 @@ def header_of(spark: SparkSession, path: str, skip_lines: int = 1, sep: str = ",
     return first[skip_lines][0].split(sep)
 
 
-__all__ = ["snapshot_path", "read_snapshot", "read_delimited", "header_of", "ORD"]
+__all__ = ["snapshot_path", "read_snapshot", "read_snapshots", "read_delimited", "header_of", "ORD"]

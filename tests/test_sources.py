@@ -39,3 +39,15 @@ def test_parquet_snapshot_has_row_order(spark):
     df = read_snapshot(spark, base, "po-6", "d1", schema)
     got = [r["n"] for r in df.orderBy(ORD).collect()]
     assert got == list(range(50))
+
+
+def test_snapshot_history_prunes_dates(spark):
+    from reqtrail.sources.snapshot import read_snapshots
+    base = tempfile.mkdtemp(prefix="reqtrail-hist-")
+    for d in ("2020-01-01", "2020-01-02", "2020-01-03"):
+        spark.createDataFrame([(f"P-{d}", 1)], "PO_No string, n int").write.parquet(snapshot_path(base, "po", d))
+    schema = T.StructType([T.StructField("PO_No", T.StringType()), T.StructField("n", T.IntegerType())])
+    df = read_snapshots(spark, base, "po", schema, dates=["2020-01-02"])
+    assert [r["PO_No"] for r in df.collect()] == ["P-2020-01-02"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and "2020-01-02" in plan
