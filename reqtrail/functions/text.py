@@ -40,6 +40,17 @@ def decode(c: str | Column, mapping: Mapping[str, str] = WORKLIST_STATUS) -> Col
     return expr.otherwise(col) if expr is not None else col
 
 
+def template(text: str, *cols: str | Column) -> Column:
+    """fill the ``{}`` slots of a message template with columns (NULL prints as "")."""
+    pieces = text.split("{}")
+    if len(pieces) != len(cols) + 1:
+        raise ValueError(f"{text!r} has {len(pieces) - 1} slots, got {len(cols)} columns")
+    parts: list[str | Column] = [pieces[0]]
+    for c, piece in zip(cols, pieces[1:]):
+        parts += [F.col(c) if isinstance(c, str) else c, piece]
+    return fmt(*parts)
+
+
 def fmt(*parts: str | Column) -> Column:
     """concatenate literals and columns; a NULL column prints as the empty string."""
     cols = [F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts]

@@ -21,16 +21,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reqtrail.functions.nulls import ts_literal
-from reqtrail.functions.text import decode, fmt, matches_from_start
+from reqtrail.functions.text import decode, matches_from_start, template
 from reqtrail.operators.sequence import sequence_groups
 from reqtrail.session import materialize as materialize_table
 
-# Class labels and message texts of the timeline job.
+# Class labels, message templates and event texts of the timeline job
+# ("{}" marks where a value is filled in).
 SPLIT, BUNDLED, NO_VALID, COMPLETE, NO_WORKLIST = "SPLITREQ", "BundledPO", "NoValidPO", "complete", "NoWorklist"
-MSG_SPLIT = ("[SPLITREQ] REQ ", " has ", " POs associated with it.")
-MSG_BUNDLED = ("[BundledPO] ", " REQs found with ", ".")
-MSG_NO_VALID = ("No POs associated with REQ ", " are valid. Did not insert in DB.")
-MSG_NO_WORKLIST = ("[NoWorklist] Req ", " does not have a worklist.")
+MSG_SPLIT = "[SPLITREQ] REQ {} has {} POs associated with it."
+MSG_BUNDLED = "[BundledPO] {} REQs found with {}."
+MSG_NO_VALID = "No POs associated with REQ {} are valid. Did not insert in DB."
+MSG_NO_WORKLIST = "[NoWorklist] Req {} does not have a worklist."
+TXT_REQ_CREATION = "REQ Creation by {}"
+TXT_REQ_APPROVAL = "REQ Approved by {}"
+TXT_PO_CREATION = "PO Creation"
+TXT_PO_APPROVAL = "PO Approved by {}"
+TXT_PO_INITIATED = "PO Initiated."
+TXT_WORKLIST_STEP = "{}, {}."
 INVALID_STATUSES = ("C", "D")
 
 EVENT_COLS = ["seq", "ID", "Start_DTTM", "EventType", "Text", "Person", "Internal", "Neutral", "Auto", "Lifecycle"]
@@ -97,11 +104,10 @@ def _classified_wide(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line
 
 
 def _classified_view(j: DataFrame) -> DataFrame:
-    msg = (F.when(F.col("cls") == SPLIT, fmt(MSG_SPLIT[0], F.col("REQ_No"), MSG_SPLIT[1], F.col("n_po"), MSG_SPLIT[2]))
-            .when(F.col("cls") == BUNDLED, fmt(MSG_BUNDLED[0], F.col("n_req"), MSG_BUNDLED[1], F.col("link_po"),
-                                               MSG_BUNDLED[2]))
-            .when(F.col("cls") == NO_VALID, fmt(MSG_NO_VALID[0], F.col("REQ_No"), MSG_NO_VALID[1]))
-            .when(F.col("cls") == NO_WORKLIST, fmt(MSG_NO_WORKLIST[0], F.col("REQ_No"), MSG_NO_WORKLIST[1]))
+    msg = (F.when(F.col("cls") == SPLIT, template(MSG_SPLIT, "REQ_No", "n_po"))
+            .when(F.col("cls") == BUNDLED, template(MSG_BUNDLED, "n_req", "link_po"))
+            .when(F.col("cls") == NO_VALID, template(MSG_NO_VALID, "REQ_No"))
+            .when(F.col("cls") == NO_WORKLIST, template(MSG_NO_WORKLIST, "REQ_No"))
             .otherwise(F.lit("")))
     cause = (F.when(F.col("cls") != NO_VALID, F.lit(None).cast("string"))
               .when(F.col("n_po") == 0, "none").when(~F.col("_found"), "mismatch").otherwise("invalid"))
@@ -138,10 +144,10 @@ def _event(id_: Column, start: Column, etype: str | Column, text: Column, person
 
 def req_events(req: DataFrame) -> DataFrame:
     """Creation and approval event of each requisition (narrow, no shuffle)."""
-    creation = _event(F.col("REQ_No"), F.col("REQ_Date"), "Creation", fmt("REQ Creation by ", F.col("Buyer")),
+    creation = _event(F.col("REQ_No"), F.col("REQ_Date"), "Creation", template(TXT_REQ_CREATION, "Buyer"),
                       F.col("Buyer"), False, False, "REQ")
     approval = _event(F.col("REQ_No"), F.col("Approved_On"), "Approval",
-                      fmt("REQ Approved by ", F.col("Approved_By")), F.col("Approved_By"), True, False, "REQ")
+                      template(TXT_REQ_APPROVAL, "Approved_By"), F.col("Approved_By"), True, False, "REQ")
     return (req.select("REQ_No", F.inline(F.array(
                 F.struct(F.lit(0).alias("seq"), creation.alias("e")),
                 F.struct(F.lit(1).alias("seq"), approval.alias("e")))))
@@ -150,10 +156,10 @@ def req_events(req: DataFrame) -> DataFrame:
 
 def po_events(po: DataFrame) -> DataFrame:
     """PO creation, and PO approval only when it is dated."""
-    creation = _event(F.col("PO_No"), F.col("PO_Date"), "Creation", F.lit("PO Creation"), F.col("Buyer"),
+    creation = _event(F.col("PO_No"), F.col("PO_Date"), "Creation", F.lit(TXT_PO_CREATION), F.col("Buyer"),
                       True, False, "PO")
     approval = _event(F.col("PO_No"), F.col("PO_Approval_Date"), "Approval",
-                      fmt("PO Approved by ", F.col("Approved_By")), F.col("Approved_By"), True, False, "PO")
+                      template(TXT_PO_APPROVAL, "Approved_By"), F.col("Approved_By"), True, False, "PO")
     arr = F.array(F.struct(F.lit(0).alias("seq"), creation.alias("e")),
                   F.when(F.col("PO_Approval_Date").isNotNull(), F.struct(F.lit(1).alias("seq"), approval.alias("e"))))
     return (po.select("PO_No", F.inline(F.filter(arr, lambda x: x.isNotNull())))
@@ -172,8 +178,8 @@ def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst", skew_safe:
                              lag_cols=["Event_Date_Time"], skew_safe=skew_safe)
     auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(F.col("Event_Date_Time"))
     stat = F.col("Appr_Stat")
-    text = F.when(stat == "I", F.lit("PO Initiated.")).otherwise(
-        fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), "."))
+    text = F.when(stat == "I", F.lit(TXT_PO_INITIATED)).otherwise(
+        template(TXT_WORKLIST_STEP, "Work_List", "Approval_Number"))
     ev = _event(F.col("Appr_Inst"), F.col("Event_Date_Time"), decode(stat), text, F.col("User"),
                 matches_from_start(F.col("Work_List")), auto, "PO")
     return (ranked.select("PO_No", (F.col("_rank") - 1).cast("int").alias("seq"), ev.alias("e"))
@@ -248,8 +254,8 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
     step_end = F.when(t.isNotNull(), F.coalesce(F.least(F.col("_lead_Event_Date_Time"), later_fixed), as_of_c))
     auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(t)
     stat = F.col("Appr_Stat")
-    text = F.when(stat == "I", F.lit("PO Initiated.")).otherwise(
-        fmt("", F.col("Work_List"), ", ", F.col("Approval_Number"), "."))
+    text = F.when(stat == "I", F.lit(TXT_PO_INITIATED)).otherwise(
+        template(TXT_WORKLIST_STEP, "Work_List", "Approval_Number"))
     step_ev = (steps.select("REQ_No", "PO_No", ev(F.col("_base") + F.col("_rank") - 1, F.col("Appr_Inst"), t,
                                                   decode(stat), text, F.col("User"),
                                                   matches_from_start(F.col("Work_List")), auto, "PO",
@@ -268,14 +274,14 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
         return F.when(s_[k].isNotNull(), F.coalesce(F.least(F.col(f"_m{k}"), *later), as_of_c))
 
     fixed = F.array(
-        ev(0, F.col("REQ_No"), s_[0], "Creation", fmt("REQ Creation by ", F.col("Buyer")), F.col("Buyer"),
+        ev(0, F.col("REQ_No"), s_[0], "Creation", template(TXT_REQ_CREATION, "Buyer"), F.col("Buyer"),
            False, False, "REQ", fixed_end(0)),
-        ev(1, F.col("REQ_No"), s_[1], "Approval", fmt("REQ Approved by ", F.col("Approved_By")),
+        ev(1, F.col("REQ_No"), s_[1], "Approval", template(TXT_REQ_APPROVAL, "Approved_By"),
            F.col("Approved_By"), True, False, "REQ", fixed_end(1)),
-        ev(2, F.col("link_po"), s_[2], "Creation", F.lit("PO Creation"), F.col("_po_buyer"), True, False, "PO",
+        ev(2, F.col("link_po"), s_[2], "Creation", F.lit(TXT_PO_CREATION), F.col("_po_buyer"), True, False, "PO",
            fixed_end(2)),
         F.when(F.col("PO_Approval_Date").isNotNull(),
-               ev(3, F.col("link_po"), s_[3], "Approval", fmt("PO Approved by ", F.col("_po_approved_by")),
+               ev(3, F.col("link_po"), s_[3], "Approval", template(TXT_PO_APPROVAL, "_po_approved_by"),
                   F.col("_po_approved_by"), True, False, "PO", fixed_end(3))))
     fixed_ev = (fx.select("REQ_No", F.col("link_po").alias("PO_No"),
                           F.inline(F.filter(fixed, lambda x: x.isNotNull())))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reqtrail.functions import headers as H
 from reqtrail.functions.nulls import DEFAULT_DUE, fill_columns, fill_timestamp, is_missing, text_or_empty
-from reqtrail.functions.text import decode, matches_from_start, strip_ws
+from reqtrail.functions.text import decode, matches_from_start, strip_ws, template
 from reqtrail.operators import keyed, link, merge, nest, timeline
 from reqtrail.plans import fixtures as fx
 from reqtrail.plans.oracle_views import LI_ORDER, with_views
@@ -519,11 +519,9 @@ def bundled_pos(spark, sf_dir):
     one = timeline.reqs_per_po(pl, "one").withColumnRenamed("n_req", "n_req_one")
     ign = timeline.reqs_per_po(pl, "ignore").withColumnRenamed("n_req", "n_req_ignore")
     out = each.join(one, "PO_No").join(ign, "PO_No")
-    m = timeline.MSG_BUNDLED
     return out.select("PO_No", "n_req_each", "n_req_one", "n_req_ignore",
                       (F.col("n_req_each") > 1).alias("is_bundled"),
-                      F.concat(F.lit(m[0]), F.col("n_req_each").cast("string"), F.lit(m[1]), F.col("PO_No"),
-                               F.lit(m[2])).alias("message"))
+                      template(timeline.MSG_BUNDLED, "n_req_each", "PO_No").alias("message"))
 
 
 @query("valid_pos", """
