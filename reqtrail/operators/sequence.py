@@ -115,6 +115,11 @@ def sequence_groups(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike]
     Equivalent to ``row_number``/``lag``/``lead`` over ``partitionBy(keys).orderBy(order)``.
     """
     keys, lag_cols, lead_cols = list(keys), list(lag_cols), list(lead_cols)
+    reserved = {"_o", "_rank", "_head_run", "_first", "_last", "_part", rank_col}
+    reserved |= {"_lag_" + c for c in lag_cols} | {"_lead_" + c for c in lead_cols}
+    clash = reserved & set(df.columns)
+    if clash:
+        raise ValueError(f"sequence_groups: input already has reserved columns {sorted(clash)}")
     if not (SKEW_SAFE if skew_safe is None else skew_safe):
         w = Window.partitionBy(*keys).orderBy(order_key(order))
         out = df.withColumn(rank_col, F.row_number().over(w).cast("long"))

@@ -42,3 +42,9 @@ def test_sequencer_inside_a_union(spark):
         return sorted((tuple(r) for r in pad.unionByName(seq).collect()), key=repr)
 
     assert run(True) == run(False)
+
+
+def test_reserved_column_names_are_refused(spark):
+    df = spark.createDataFrame([("a", 1, 5)], "k string, o long, _rank long")
+    with pytest.raises(ValueError):
+        sequence_groups(df, ["k"], ["o"])
