@@ -48,3 +48,18 @@ def test_reserved_column_names_are_refused(spark):
     df = spark.createDataFrame([("a", 1, 5)], "k string, o long, _rank long")
     with pytest.raises(ValueError):
         sequence_groups(df, ["k"], ["o"])
+
+
+def test_sequencer_across_many_arrow_batches(spark):
+    """Runs and neighbours must continue across Arrow batch borders inside a partition."""
+    df = spark.createDataFrame(_data(5, 1500), "k string, g int, o long, x double, s string")
+    args = dict(keys=["k"], order=["o"], lag_cols=["x", "s"], lead_cols=["o"])
+    cols = ["k", "o", "_rank", "_lag_x", "_lag_s", "_lead_o"]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        fast = sorted((tuple(r) for r in sequence_groups(df, skew_safe=True, partitions=3, **args)
+                       .select(*cols).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    ref = sorted((tuple(r) for r in sequence_groups(df, skew_safe=False, **args).select(*cols).collect()), key=repr)
+    assert fast == ref
