@@ -56,21 +56,26 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, skip_li
                    sep: str = ",") -> DataFrame:
     """S1 for delimited text: drop ``skip_lines`` banner lines and the header line.
 
-    ``_ord`` = (file, line id). Within a file's first split the line ids are
-    consecutive, so the lines to drop are those within ``skip_lines`` of the file's
-    smallest id: one partial aggregation (one row per input file, a list the driver
-    already holds from file listing), no driver loop, no RDD. Embedded newlines
-    inside quoted cells are not supported.
+    A large file is read as several splits that Spark may pack into partitions in
+    any order. Lines are therefore located by (file, split start offset, line id):
+    ids are consecutive inside a split, and the banner and header are the first
+    lines of the split that starts at offset 0. Finding that split's first id is one
+    partial aggregation (one row per input file, a list the driver already holds
+    from file listing), so no driver loop and no RDD. ``_ord`` = (file, split start,
+    line id) is the line order of the file. Embedded newlines inside quoted cells
+    are not supported.
     """
     raw = (spark.read.text(path)
-                .withColumn("_file", F.input_file_name())
+                .withColumn("_file", F.col("_metadata.file_path"))
+                .withColumn("_block", F.col("_metadata.file_block_start"))
                 .withColumn("_line", F.monotonically_increasing_id()))
-    firsts = raw.groupBy("_file").agg(F.min("_line").alias("_first"))
-    body = (raw.join(F.broadcast(firsts), "_file")
-               .where(F.col("_line") - F.col("_first") > skip_lines))
+    firsts = raw.where(F.col("_block") == 0).groupBy("_file").agg(F.min("_line").alias("_first"))
+    head = (F.col("_block") == 0) & (F.col("_line") - F.col("_first") <= skip_lines)
+    body = raw.join(F.broadcast(firsts), "_file").where(~head)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = body.select(F.from_csv(F.col("value"), ddl, {"sep": sep}).alias("_r"),
-                         F.struct(F.col("_file").alias("f"), F.col("_line").alias("r")).alias(ORD))
+                         F.struct(F.col("_file").alias("f"), F.col("_block").alias("b"),
+                                  F.col("_line").alias("r")).alias(ORD))
     return parsed.select("_r.*", ORD)
 
 
