@@ -1,15 +1,15 @@
 """Rows and flags chosen by a key and an explicit row order.
 
 Spark rows have no order, so every "first"/"last" takes an ``order``: a list of
-columns that is total within a key (decision D2). All of them are aggregations
-with a map-side partial step: a key that holds a third of the data is reduced
-on every map task before the shuffle, never sorted inside one task.
+columns that is total within a key (decision D2). Each has a map-side step that
+reduces a key holding a third of the data on every map task before the shuffle
+(partial aggregation, or the partial WindowGroupLimit of a top-1 window).
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ColLike = str | Column
@@ -30,26 +30,30 @@ def order_key(order: Sequence[ColLike]) -> Column:
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], cols: Sequence[str] | None,
-          fn) -> DataFrame:
+          last: bool) -> DataFrame:
     keys = list(keys)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    # Wrapping the row in a struct keeps NULL fields (first(ignorenulls) would skip them).
-    row = F.struct(*[F.col(c) for c in cols])
-    return (df.groupBy(*keys)
-              .agg(fn(row, order_key(order)).alias("_row"))
-              .select(*keys, *[F.col("_row")[c].alias(c) for c in cols]))
+    # Ascending with NULLs last; "last" is the exact reverse of that order.
+    spec = [(_col(c).desc_nulls_first() if last else _col(c).asc_nulls_last()) for c in order]
+    w = Window.partitionBy(*keys).orderBy(*spec)
+    # ``row_number() == 1`` is planned with a partial WindowGroupLimit before the
+    # shuffle: each map task keeps one row per key, so a hot key is reduced map-side
+    # like a partial aggregation (tests/test_keyed_merge.py checks the plan).
+    return (df.withColumn("_pick_rn", F.row_number().over(w))
+              .where(F.col("_pick_rn") == 1)
+              .select(*keys, *cols))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
                   cols: Sequence[str] | None = None) -> DataFrame:
     """A3: the first row of each key in ``order`` (header from its first line)."""
-    return _pick(df, keys, order, cols, F.min_by)
+    return _pick(df, keys, order, cols, last=False)
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
                  cols: Sequence[str] | None = None) -> DataFrame:
     """A4: the last row of each key in ``order`` (repeated overwrite: last one wins)."""
-    return _pick(df, keys, order, cols, F.max_by)
+    return _pick(df, keys, order, cols, last=True)
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

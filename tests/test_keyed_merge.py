@@ -111,3 +111,12 @@ def test_versioned_writes_and_fan_out(spark):
     again = merge.write_version(df, dev, "TIMELINE")
     assert again != paths[0]                                   # a new version, never over the old one
     assert spark.read.parquet(paths[0]).collect() == spark.read.parquet(again).collect()
+
+
+def test_first_row_is_reduced_before_the_shuffle(spark):
+    df = spark.createDataFrame([("k", i % 3, i) for i in range(50)], "k string, a long, o long")
+    plan = keyed.first_per_key(df, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    below_exchange = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "WindowGroupLimit" in below_exchange          # partial top-1 on the map side
+    assert [r["a"] for r in keyed.first_per_key(df, ["k"], ["o"]).collect()] == [0]
+    assert [r["a"] for r in keyed.last_per_key(df, ["k"], ["o"]).collect()] == [49 % 3]
