@@ -69,3 +69,26 @@ def test_reset_and_set_matches_model(spark, items, rows):
     src = spark.createDataFrame([(k, float(q), i) for i, (k, q) in enumerate(rows)], "k string, q double, o long")
     out = merge.reset_and_set(tgt, src, ["k"], "q", ["o"], default=0.0)
     assert {r["k"]: r["q"] for r in out.collect()} == model
+
+
+ORDERED = st.lists(st.tuples(KEYS, st.one_of(st.none(), st.integers(0, 3)), VAL), max_size=14)
+
+
+@SETTINGS
+@given(rows=ORDERED)
+def test_first_and_last_per_key_match_model(spark, rows):
+    from reqtrail.operators import keyed
+    # order = (o1 ascending with NULLs last, then the row number) -- total within a key
+    data = [(k, o1, i, v) for i, (k, o1, v) in enumerate(rows)]
+
+    def sort_key(r):
+        return (r[1] is None, r[1] if r[1] is not None else 0, r[2])
+
+    first, last = {}, {}
+    for r in sorted(data, key=sort_key):
+        first.setdefault(r[0], r[3])
+        last[r[0]] = r[3]
+    df = spark.createDataFrame(data, "k string, o1 long, o2 long, v string")
+    got_first = {r["k"]: r["v"] for r in keyed.first_per_key(df, ["k"], ["o1", "o2"], cols=["v"]).collect()}
+    got_last = {r["k"]: r["v"] for r in keyed.last_per_key(df, ["k"], ["o1", "o2"], cols=["v"]).collect()}
+    assert got_first == first and got_last == last
