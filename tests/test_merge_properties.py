@@ -92,3 +92,22 @@ def test_first_and_last_per_key_match_model(spark, rows):
     got_first = {r["k"]: r["v"] for r in keyed.first_per_key(df, ["k"], ["o1", "o2"], cols=["v"]).collect()}
     got_last = {r["k"]: r["v"] for r in keyed.last_per_key(df, ["k"], ["o1", "o2"], cols=["v"]).collect()}
     assert got_first == first and got_last == last
+
+
+LINE_KEYS = st.tuples(st.integers(0, 3), st.integers(1, 3))
+
+
+@SETTINGS
+@given(lines=st.lists(st.tuples(LINE_KEYS, st.one_of(st.none(), st.sampled_from(["old1", "old2"]))), max_size=10),
+       xwalk=st.lists(st.tuples(LINE_KEYS, st.sampled_from(["P1", "P2", "P3"])), max_size=10))
+def test_attach_link_matches_model(spark, lines, xwalk):
+    from reqtrail.operators import link
+    last = {}
+    for key, po in xwalk:          # rows in order: the last one per key wins
+        last[key] = po
+    model = sorted((((r, n), last.get((r, n), old)) for (r, n), old in lines), key=repr)
+    ln = spark.createDataFrame([(r, n, old) for (r, n), old in lines], "REQ_No long, Line_No long, PO string")
+    xw = spark.createDataFrame([(r, n, po, i) for i, ((r, n), po) in enumerate(xwalk)],
+                               "Req_ID long, REQ_Line long, PO_No string, o long")
+    out = link.attach_link(ln, xw, ["REQ_No", "Line_No"], ["Req_ID", "REQ_Line"], {"PO_No": "PO"}, ["o"])
+    assert sorted((((r["REQ_No"], r["Line_No"]), r["PO"]) for r in out.collect()), key=repr) == model
