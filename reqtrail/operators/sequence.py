@@ -109,10 +109,12 @@ def _local_sequencer(keys: list[str], lag_cols: list[str], lead_cols: list[str])
 
 def sequence_groups(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], lag_cols: Sequence[str] = (),
                     lead_cols: Sequence[str] = (), rank_col: str = "_rank", partitions: int | None = None,
-                    skew_safe: bool | None = None) -> DataFrame:
+                    skew_safe: bool | None = None, partition_col: str | None = None) -> DataFrame:
     """Add ``rank_col`` (1-based position in the group), ``_lag_<c>`` and ``_lead_<c>``.
 
     Equivalent to ``row_number``/``lag``/``lead`` over ``partitionBy(keys).orderBy(order)``.
+    ``partition_col`` keeps the range partition each row was sequenced in (skew-safe
+    path only), e.g. to see how a hot key was spread.
     """
     keys, lag_cols, lead_cols = list(keys), list(lag_cols), list(lead_cols)
     reserved = {"_o", "_rank", "_head_run", "_first", "_last", "_part", rank_col}
@@ -186,4 +188,6 @@ def sequence_groups(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike]
     for c in lead_cols:
         cols.append(F.when(F.col("_last") & F.coalesce(F.col("_next_match"), F.lit(False)),
                            F.col("_fix_lead_" + c)).otherwise(F.col("_lead_" + c)).alias("_lead_" + c))
+    if partition_col:
+        cols.append(F.col("_part").alias(partition_col))
     return j.select(*cols)

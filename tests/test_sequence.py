@@ -63,3 +63,15 @@ def test_sequencer_across_many_arrow_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     ref = sorted((tuple(r) for r in sequence_groups(df, skew_safe=False, **args).select(*cols).collect()), key=repr)
     assert fast == ref
+
+
+def test_hot_key_is_spread_over_many_partitions(spark):
+    """A key holding 40% of the rows is sequenced by several tasks, none holding most of it."""
+    df = spark.createDataFrame(_data(6, 4000), "k string, g int, o long, x double, s string")
+    out = sequence_groups(df, ["k"], ["o"], lead_cols=["o"], partitions=8, partition_col="_p")
+    hot = out.where("k = 'hot'").groupBy("_p").count().collect()
+    sizes = sorted(r["count"] for r in hot)
+    assert len(sizes) >= 3                              # the hot key spans several range partitions
+    assert max(sizes) < 0.6 * sum(sizes)                # no single task holds most of it
+    ranks = sorted(r["_rank"] for r in out.where("k = 'hot'").collect())
+    assert ranks == list(range(1, len(ranks) + 1))      # positions still continue across them
