@@ -16,7 +16,8 @@ samples inside the same query) spreads a hot key over many tasks:
 
 The result equals ``row_number`` / ``lag`` / ``lead`` over
 ``Window.partitionBy(keys).orderBy(order)`` (order: NULLs last, ties must not
-exist in ``order``).
+exist in ``order``). The Python pass is opaque to column pruning: select only
+the columns needed downstream before calling it.
 """
 from __future__ import annotations
 

@@ -344,7 +344,9 @@ def nest_lines_positions(spark, sf_dir):
     """A1 in the flat canonical form: each line's position under its order (the array
     index of the document view), from the skew-safe sequencer, for lines whose order exists."""
     t = _t(spark, sf_dir)
-    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    # Project first: the sequencer's Python pass is opaque to column pruning.
+    lines = (t.lineitem.select(*fx.LINEITEM_ORDER)
+              .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"))
     pos = nest.positions(lines, ["l_orderkey"], fx.LINEITEM_ORDER[1:])
     return pos.select(F.col("l_orderkey").alias("o_orderkey"), "pos", "l_linenumber", "l_partkey", "l_quantity")
 
