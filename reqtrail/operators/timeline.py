@@ -41,6 +41,12 @@ TXT_WORKLIST_STEP = "{}, {}."
 INVALID_STATUSES = ("C", "D")
 
 EVENT_COLS = ["seq", "ID", "Start_DTTM", "EventType", "Text", "Person", "Internal", "Neutral", "Auto", "Lifecycle"]
+WORKLIST_COLS = ["PO_No", "Appr_Inst", "Work_List", "Approval_Number", "Appr_Stat", "Event_Date_Time", "User"]
+
+
+def _worklist(po_worklist: DataFrame, order: str) -> DataFrame:
+    """Only the worklist fields the events use (the sequencer cannot prune columns itself)."""
+    return po_worklist.select(*dict.fromkeys(WORKLIST_COLS + [order]))
 
 
 def valid_po(status: str | Column = "Status", approval: str | Column = "PO_Approval_Date") -> Column:
@@ -174,7 +180,8 @@ def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst", skew_safe:
     step of the same PO has the same timestamp (W2). Ordering uses the skew-safe
     sequencer, so one PO holding most steps is spread over many tasks.
     """
-    ranked = sequence_groups(po_worklist, ["PO_No"], ["Event_Date_Time", "Approval_Number", order],
+    ranked = sequence_groups(_worklist(po_worklist, order), ["PO_No"],
+                             ["Event_Date_Time", "Approval_Number", order],
                              lag_cols=["Event_Date_Time"], skew_safe=skew_safe)
     auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(F.col("Event_Date_Time"))
     stat = F.col("Appr_Stat")
@@ -236,7 +243,7 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
     base = (F.col("PO_Approval_Date").isNotNull().cast("int") + 3).alias("_base")
     owners = done.select(F.col("link_po").alias("PO_No"), "REQ_No", base,
                          *[F.col(c).alias(f"_s{k}") for k, c in enumerate(starts)])
-    steps = po_worklist.join(owners, "PO_No")
+    steps = _worklist(po_worklist, worklist_order).join(owners, "PO_No")
     steps = sequence_groups(steps, ["REQ_No"], ["Event_Date_Time", "Approval_Number", worklist_order],
                             lag_cols=["Event_Date_Time"], lead_cols=["Event_Date_Time"], skew_safe=skew_safe)
     t = F.col("Event_Date_Time")
