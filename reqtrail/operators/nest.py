@@ -41,25 +41,36 @@ def unnest_lines(docs: DataFrame, keys: Sequence[str], arr: str, pos: str = "pos
 
 
 def set_in_array(docs: DataFrame, links: DataFrame, keys: Sequence[str], arr: str, elem_key: str,
-                 link_key: str, field: str, value_cols: Sequence[str]) -> DataFrame:
+                 link_key: str, field: str, value_cols: Sequence[str],
+                 partition_keys: Sequence[str] | None = None) -> DataFrame:
     """K9: on each document, set ``arr[*].field`` for every element whose ``elem_key`` has a link.
 
-    ``links`` holds one row per (keys, link_key) (reduce it with ``last_per_key``).
-    Elements without a link keep their current ``field``.
+    ``links`` holds one row per (keys, link_key) (reduce it with ``last_per_key``);
+    NULL keys never match. Elements without a link keep their current ``field``.
+    ``partition_keys`` (a subset of ``keys`` that is unique per document, e.g. the
+    document id) groups the links by those columns only, with the other keys inside
+    the map key: documents that are already partitioned by them join without being
+    shuffled again, and only the small link side moves.
     """
     keys = list(keys)
+    part = list(partition_keys or keys)
+    rest = [k for k in keys if k not in part]
     value = F.struct(*[F.col(c) for c in value_cols])
-    per_doc = (links.where(F.col(link_key).isNotNull())
-                    .groupBy(*keys)
-                    .agg(F.map_from_entries(F.collect_list(F.struct(F.col(link_key), value))).alias("_m")))
+    map_key = F.struct(*[F.col(k).alias(k) for k in rest], F.col(link_key).alias("_lk"))
+    notnull = F.lit(True)
+    for k in keys + [link_key]:
+        notnull = notnull & F.col(k).isNotNull()
+    per_doc = (links.where(notnull)
+                    .groupBy(*part)
+                    .agg(F.map_from_entries(F.collect_list(F.struct(map_key, value))).alias("_m")))
     elem_type = docs.schema[arr].dataType.elementType
     val_type = per_doc.schema["_m"].dataType.valueType
     if field not in elem_type.fieldNames():
         docs = docs.withColumn(arr, F.transform(arr, lambda e: e.withField(field, F.lit(None).cast(val_type))))
-    j = docs.join(per_doc, keys, "left")
+    j = docs.join(per_doc, part, "left")
 
     def upd(e: Column) -> Column:
-        hit = F.element_at(F.col("_m"), e[elem_key])
+        hit = F.element_at(F.col("_m"), F.struct(*[F.col(k).alias(k) for k in rest], e[elem_key].alias("_lk")))
         return F.when(F.col("_m").isNotNull() & hit.isNotNull(), e.withField(field, hit)).otherwise(e)
 
     return j.withColumn(arr, F.transform(arr, upd)).drop("_m")

@@ -430,7 +430,8 @@ def attach_po_nested(spark, sf_dir):
                            ["Line_No", "Line_Total", "Quantity", "Item"])
     linked = link.attach_link_nested(docs, fx.fx_xwalk(t), ["REQ_No", "Business_Unit"], ["Req_ID", "Unit"],
                                      "lines", "Line_No", "REQ_Line", "PO",
-                                     {"PO_No": "PO_Number", "PO_Line": "Line_No"}, fx.LINEITEM_ORDER)
+                                     {"PO_No": "PO_Number", "PO_Line": "Line_No"}, fx.LINEITEM_ORDER,
+                                     doc_id=["REQ_No"])
     flat = linked.select("REQ_No", "Business_Unit", F.explode("lines").alias("l"))
     return flat.select("REQ_No", "Business_Unit", "l.Line_No", "l.Line_Total", "l.Quantity", "l.Item",
                        F.col("l.PO.PO_Number").alias("PO_Number"), F.col("l.PO.Line_No").alias("PO_Line_No"))
