@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, token_files
+from reqtrail.llm import bpe, mixing, simhash, token_files
 from reqtrail.llm.common import documents
 
 
@@ -20,6 +20,15 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_corpus(spark, documents(spark, sf_dir), tokenizer_path(), end_id=2)
 
 
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), width=3, distance=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), tokenizer_path(), decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -28,6 +37,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op10_bpe)
+    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
