@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, mixing, simhash, token_files
-from reqtrail.llm.common import documents
+from reqtrail.llm import bpe, lm_scoring, mixing, simhash, token_files
+from reqtrail.llm.common import documents, remainder
 
 
 def tokenizer_path() -> str:
@@ -29,6 +29,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scored = lm_scoring.lm_scores(documents(spark, sf_dir), held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), tokenizer_path(), decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -37,6 +43,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op10_bpe)
+    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op5_lm_scores, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
