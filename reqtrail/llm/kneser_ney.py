@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -227,7 +228,7 @@ class Model:
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each key's last symbol after the symbols before it."""
-        keys, back = np.unique(keys, return_inverse=True)
+        back, keys = pd.factorize(keys)
         p = np.full(len(keys), 1.0 / (self.meta["vocabulary"] + 1))
         for k in range(1, self.order + 1):
             own = keys & np.uint64((1 << (self.bits * k)) - 1)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, lm_scoring, mixing, simhash, token_files
+from reqtrail.llm import bpe, lm_scoring, mixing, quality, simhash, token_files
 from reqtrail.llm.common import documents, remainder
 
 
@@ -35,6 +35,11 @@ def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.quality(documents(spark, sf_dir))
+    return judged.select("doc_id", *quality.RULES, "base_failed", "kept", "perplexity")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), tokenizer_path(), decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -43,6 +48,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op5_lm_scores, op10_bpe)
+    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op5_lm_scores, op7_quality, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
