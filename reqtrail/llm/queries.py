@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, lm_scoring, mixing, quality, simhash, token_files
+from reqtrail.llm import bpe, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files
 from reqtrail.llm.common import documents, remainder
 
 
@@ -35,11 +35,29 @@ def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = scaled_sketch.fingerprints_with_edits(documents(spark, sf_dir))
+    like = {f"{name}_{other}": f(F.col("sketch"), F.col(f"{other}_sketch"))
+            for name, f in (("near", scaled_sketch.containment), ("jaccard", scaled_sketch.jaccard)) for other in ("edited", "next")}
+    return made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       scaled_sketch.fingerprint(F.col("sketch")).alias("fingerprint"),
+                       scaled_sketch.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+                       *(c.alias(name) for name, c in like.items()))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(documents(spark, sf_dir))
     return judged.select("doc_id", *quality.RULES, "base_failed", "kept", "perplexity")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["number"] < 3)
+    count = lambda n: F.size(F.filter("spans", lambda s: s["number"] == n)).cast("long")
+    return found.select("doc_id", *(count(n).alias(f"n_{kind[0]}") for n, kind in enumerate(secret_scan.PATTERNS)),
+                        F.sha2(secret_scan.written(base), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), tokenizer_path(), decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -48,6 +66,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op5_lm_scores, op7_quality, op10_bpe)
+    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op9_secrets, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -20,8 +20,8 @@ columns of the table are not read.
 from __future__ import annotations
 
 import io
-import os
 import posixpath
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reqtrail.llm import bpe
 from reqtrail.llm.common import materialize, offsets_of, running_total, shared_folder, slices, text_bytes
 
 LANES, BLOCK, CHECKPOINT_STEP = 64, 65_536, 16_384  # ids; a checkpoint after every CHECKPOINT_STEP ids
@@ -43,7 +44,7 @@ LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63)
 TOGETHER = 64  # blocks coded side by side
 MAGIC = b"RANSIDS1"
 FILE_BYTES = 16_000_000  # of packed ids aimed at in a file
-CHUNK_CACHE = 1_000_000
+CHUNK_CACHE = 800_000
 
 
 class Table:
@@ -223,25 +224,39 @@ def load_table(folder: str) -> Table:
 
 
 class _Chunks:
-    """Ids, as the tokenizers library gives them, of the white-space-free chunks a worker has seen."""
+    """Ids, as the tokenizers library merges them, of the pre-tokens and the white-space-free chunks a worker has seen."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.vocabulary = bpe.vocabulary(path)
+        self.merge = self.vocabulary.library.model.tokenize
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def chunk(self, chunk: bytes) -> bytes:
+        v, out = self.vocabulary, []
+        text = chunk.decode("utf-8")
+        for part in v.at_special.split(text) if v.at_special and "<" in text else (text,):
+            if part in v.special:
+                out.append(np.array([v.special[part]], "<u4").tobytes())
+            else:
+                out += map(self.piece, (part.lower(),) if v.lower and part.isascii() and part.isalpha() else v.pieces_of(part))
+        return b"".join(out)
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            found = self.merge(piece if piece.isascii() and piece.isprintable() else piece.encode("utf-8").decode("latin-1").translate(self.vocabulary.letters))
+            ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *(x.id for x in found))
+        return ids
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Ids of each text and the end id, uint32. The tokenizer's pre-tokens never reach over ASCII white space."""
         split = [t.split() for t in texts]
-        if len(self.known) > CHUNK_CACHE:
-            self.known.clear()
-        new = list(set().union(*split).difference(self.known))
-        for chunk, found in zip(new, self.library.encode_batch_fast([c.decode("utf-8") for c in new], add_special_tokens=False)):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
+        for cache in (self.known, self.pieces):
+            if len(cache) > CHUNK_CACHE:
+                cache.clear()
+        for chunk in set().union(*split).difference(self.known):
+            self.known[chunk] = self.chunk(chunk)
         end = np.array([end_id], "<u4").tobytes()
         return [b"".join([*map(self.known.__getitem__, s), end]) for s in split]
 
@@ -355,8 +370,7 @@ def read_token_files(manifest: DataFrame, folder: str, with_ids: bool = True) ->
                         rest, done, doc = rest[bounds[-1]:], int(ends[last]), last
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    files = manifest.select("uri", "start")
-    return files.repartition(F.col("uri")).mapInArrow(run, schema)
+    return manifest.select("uri", "start").repartition(max(1, manifest.count()), "uri").mapInArrow(run, schema)
 
 
 def encode_corpus(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 2, files: int | None = None) -> DataFrame:
