@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files
+from reqtrail.llm import bpe, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files, wrappers
 from reqtrail.llm.common import documents, remainder
 
 
@@ -24,6 +24,11 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), width=3, distance=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -66,6 +71,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_mix, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op9_secrets, op10_bpe)
+    f.__name__: f for f in (op1_token_files, op2_mix, op3_wrappers, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op9_secrets, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
