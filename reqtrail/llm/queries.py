@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files, wrappers
+from reqtrail.llm import bpe, language_id, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files, wrappers
 from reqtrail.llm.common import documents, remainder
 
 
@@ -55,6 +55,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.RULES, "base_failed", "kept", "perplexity")
 
 
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    found = language_id.languages(documents(spark, sf_dir), held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["number"] < 3)
@@ -71,6 +77,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_mix, op3_wrappers, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op9_secrets, op10_bpe)
+    f.__name__: f for f in (op1_token_files, op2_mix, op3_wrappers, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op8_languages, op9_secrets, op10_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
