@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reqtrail.session import ensure_checkpoint_dir, materialize  # noqa: F401  (re-exported)
 
@@ -79,6 +80,17 @@ def offsets_of(lengths) -> np.ndarray:
     return out
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a table as one, so that none of their names can clash."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def schema(fields: str, carried: T.StructType | None = None) -> T.StructType:
+    """A schema from its text, and a column ``_carried`` if given."""
+    out = T.StructType([T.StructField(name, T._parse_datatype_string(kind)) for name, kind in (f.split(" ", 1) for f in fields.split(", "))])
+    return out.add("_carried", carried) if carried is not None else out
+
+
 def running_total(df: DataFrame, order: str, value: str, out: str, block: int = 4096) -> DataFrame:
     """Add the sum of ``value`` over all rows with a smaller ``order``, numbered 0, 1, 2, ...
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reqtrail.llm import kneser_ney as kn
-from reqtrail.llm.common import materialize, offsets_of, slices, text_bytes
+from reqtrail.llm.common import materialize, offsets_of, schema, slices, text_bytes, whole_row
 
 ORDER, BITS = 4, 16  # code points, and bits of each
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words in repeated windows
@@ -99,9 +99,11 @@ def train(docs: DataFrame, text_col: str = "text") -> str:
 
 
 def measure(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            row_col: str | None = None) -> DataFrame:
-    """(id, language, the counts of RULES, base_failed, log10 perplexity per character) of every row."""
-    carried = [row_col] if row_col else []
+            carry: bool = False) -> DataFrame:
+    """(id, language, the counts of RULES, base_failed, log10 perplexity per character) of every row; ``carry``: and the row."""
+
+    out = schema(f"{id_col} long, _lang string, " + ", ".join(f"{r} long" for r in RULES) + ", base_failed boolean, perplexity double",
+                 docs.schema if carry else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = kn.load(folder)
@@ -113,18 +115,17 @@ def measure(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str
             sums = np.add.reduceat(model.log10(different)[codes], offsets[:-1])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in zip(*counts)), pa.array(map(base_failed, counts), pa.bool_()),
-                pa.array(-sums / np.diff(offsets)), *batch.columns[3:]], names=[id_col, "_lang", *RULES, "base_failed", "perplexity", *carried])
+                pa.array(-sums / np.diff(offsets)), *batch.columns[3:]], names=out.names)
 
     slim = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(lang_col).cast("string").alias("_lang"),
-                       F.col(text_col).cast("string").alias("_text"), *carried)
-    schema = f"{id_col} long, _lang string, " + ", ".join(f"{r} long" for r in RULES) + ", base_failed boolean, perplexity double"
-    return slim.mapInArrow(run, schema + "".join(f", {c} long" for c in carried))
+                       F.col(text_col).cast("string").alias("_text"), *([whole_row(docs).alias("_carried")] if carry else []))
+    return slim.mapInArrow(run, out)
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", row_col: str | None = None,
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: bool = False,
             width: float = WIDTH, least: float = LEAST) -> DataFrame:
-    """(id, counts, base_failed, perplexity, kept) of every row; ``row_col`` (a long) is carried along if given."""
-    measured = materialize(measure(docs, train(docs, text_col), id_col, text_col, lang_col, row_col), "perplexities")
+    """(id, counts, base_failed, perplexity, kept) of every row; with ``carry`` the row itself as ``_carried``."""
+    measured = materialize(measure(docs, train(docs, text_col), id_col, text_col, lang_col, carry), "perplexities")
     judged = measured.where(~F.col("base_failed"))
     middle = judged.groupBy("_lang").agg(F.percentile_approx("perplexity", 0.5, 10_000).alias("_middle"))
 

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqtrail.llm.common import materialize
+from reqtrail.llm.common import materialize, whole_row
 
 #: Fixed patterns of the contract: kind, pattern, group and least length of what it matches.
 PATTERNS = [
@@ -154,13 +154,13 @@ def pattern_spans(spans: str, number: int, kind: str, pattern: str, group: int,
         s["start"].alias("start"), F.lit(number).alias("number"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_share: float = FALSE_SHARE, row_col: str | None = None) -> DataFrame:
-    """(id, spans array<struct<start, kind number, end, kind>>) of every row; ``row_col`` is carried along if given.
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_share: float = FALSE_SHARE, carry: bool = False) -> DataFrame:
+    """(id, spans array<struct<start, kind number, end, kind>>) of every row; with ``carry`` the row itself as ``_carried``.
 
     Kind numbers 0, 1, 2 are the patterns as listed, 3 what the battery added. Sorted by start, then kind.
     """
-    carried = [row_col] if row_col else []
-    df = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *carried)
+    carried = ["_carried"] if carry else []
+    df = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *([whole_row(docs).alias("_carried")] if carry else []))
     spans = []
     for number, (kind, pattern, group, least) in enumerate(PATTERNS):
         df = with_spans(df, "_text", pattern, f"_{kind}")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqtrail.llm.common import materialize, slices, text_bytes
+from reqtrail.llm.common import materialize, schema, slices, text_bytes, whole_row
 from reqtrail.llm.components import components
 
 SEED = 42
@@ -72,16 +72,19 @@ def fingerprints(texts: list[bytes], width: int) -> np.ndarray:
     return np.packbits(2 * ones > sizes[:, None], axis=1).view(">u8").astype(np.uint64).reshape(-1)
 
 
-def with_fingerprint(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint as long) of every row."""
+def with_fingerprint(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text",
+                     carry: bool = False) -> DataFrame:
+    """(id, fingerprint as long) of every row; with ``carry`` the row itself as ``_carried``."""
+    out = schema(f"{id_col} long, fingerprint long", docs.schema if carry else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             prints = fingerprints(text_bytes(batch.column(1)), width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=[id_col, "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], names=out.names)
 
-    slim = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, f"{id_col} long, fingerprint long")
+    slim = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"),
+                       *([whole_row(docs).alias("_carried")] if carry else []))
+    return slim.mapInArrow(run, out)
 
 
 def blocks_of(distance: int) -> list[tuple[int, int]]:
@@ -267,6 +270,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col:
     return prints.join(print_components(prints, distance, id_col), "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their group: those with its component id; of several such rows, one.
+
+    Which rows stay is decided on ids and fingerprints alone; then the rows are filtered by a row number.
+    """
+    rows = with_fingerprint(docs, width, id_col, text_col, carry=True).withColumn("_row", F.monotonically_increasing_id())
+    rows = materialize(rows.withColumn("_hash", F.xxhash64(F.col("_carried").getField(text_col))), "fingerprinted-rows")
+    slim = rows.select("_row", "_hash", id_col, "fingerprint")
+    first = slim.join(print_components(slim, distance, id_col), "fingerprint").where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    # a group without any id is one by its fingerprint; equal texts of one id are told apart by row number alone
+    one = first.groupBy(F.coalesce("component_id", "fingerprint"), F.col("component_id").isNull()).agg(F.min(F.struct("_hash", "_row"))["_row"].alias("_row"))
+    return rows.join(one.select("_row"), "_row", "left_semi").select("_carried.*")
+
+
 def print_components(prints: DataFrame, distance: int, id_col: str = "doc_id") -> DataFrame:
     """(fingerprint, component_id) of every different fingerprint."""
     leaves = materialize(prints.groupBy("fingerprint").agg(F.min(id_col).alias("_least")), "fingerprint-leaves")
