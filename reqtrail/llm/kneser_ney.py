@@ -124,7 +124,7 @@ def merge_shards(parts: DataFrame, shards: int, then: Callable[[str, int, np.nda
         if held:
             yield rows_of(list(then(*now, *merged(held))))
 
-    return materialize(parts.repartition(max(shards, 2), "kind", "shard").sortWithinPartitions("kind", "shard").mapInArrow(run, PART), "ngrams")
+    return materialize(parts.repartition(4 * shards, "kind", "shard").sortWithinPartitions("kind", "shard").mapInArrow(run, PART), "ngrams")
 
 
 def save(folder: str, name: str, shard: int, array: np.ndarray) -> None:
@@ -178,23 +178,28 @@ def build(parts: DataFrame, folder: str, order: int, bits: int, shards: int, ext
 
 
 def discounts(n: list[int]) -> list[float]:
-    """The three discounts from the numbers of n-grams seen 1, 2, 3, 4 times; where one of them is 0, 1/2, 1, 3/2."""
-    if not all(n):
-        return [0.5, 1.0, 1.5]
-    y = n[0] / (n[0] + 2 * n[1])
-    return [min(max(c - (c + 1) * y * n[c] / n[c - 1], 0.0), float(c)) for c in (1, 2, 3)]
+    """The three discounts from the numbers of n-grams seen 1, 2, 3, 4 times.
+
+    Where these do not fall off (few texts), so that a discount c would not be within 0 and c, they are 1/2, 1, 3/2.
+    """
+    if all(n):
+        y = n[0] / (n[0] + 2 * n[1])
+        out = [c - (c + 1) * y * n[c] / n[c - 1] for c in (1, 2, 3)]
+        if all(0 < d <= c for c, d in enumerate(out, 1)):
+            return out
+    return [0.5, 1.0, 1.5]
 
 
 class Table:
     """Memory-mapped shards of sorted keys with value columns."""
 
-    def __init__(self, folder: str, keys: str, values: str, shards: int):
+    def __init__(self, folder: str, keys: str, values: str, shards: int, width: int = 1):
         def load(name: str, s: int):
             path = f"{folder}/{name}-{s:05d}.npy"
             return np.load(path, mmap_mode="r") if os.path.exists(path) else None
 
         self.shards = [(load(keys, s), load(values, s)) for s in range(shards)]
-        self.width = next((v.shape[1] if v.ndim > 1 else 1 for _, v in self.shards if v is not None), 1)
+        self.width = width  # of the values
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Values of each key, 0 where it is not there."""
@@ -220,7 +225,7 @@ class Model:
         n, shards = self.meta["order"], self.meta["shards"]
         self.folder, self.order, self.bits = folder, n, self.meta["bits"]
         self.grams = {k: Table(folder, f"g{k}", f"v{k}", shards) for k in range(1, n + 1)}
-        self.contexts = {k: Table(folder, f"c{k}", f"s{k}", shards) for k in range(1, n + 1)}
+        self.contexts = {k: Table(folder, f"c{k}", f"s{k}", shards, 4) for k in range(1, n + 1)}
         self.discounts = {k: np.array([0.0, *self.meta["discounts"][str(k)]]) for k in range(1, n + 1)}
 
     def table(self, kind: str) -> Table:

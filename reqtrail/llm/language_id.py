@@ -144,8 +144,9 @@ class Scorer:
                     of.append(i)
             bins, word, script, letters = grams(words)
             of = np.array(of, np.int64)
-            score = np.stack([np.bincount(word, self.likely[bins, k], len(words)) for k in range(len(self.langs))], 1) / (len(ORDERS) + 1)
-            score += self.narrow[script]
+            score = self.narrow[script]
+            for k in range(len(self.langs)):
+                score[:, k] += np.bincount(word, self.likely[bins, k], len(words)) / (len(ORDERS) + 1)
             rows = np.zeros((len(new), len(self.langs)), np.float32)
             np.add.at(rows, of, score)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))

@@ -22,7 +22,7 @@ from reqtrail.llm.common import WORD, materialize, whole_row
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2  # of all sizes; of a source's and a document's size
 PROGRAMME = 1 << 17  # words that the dynamic programme fits
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 
 def n_words(text: Column) -> Column:

@@ -184,6 +184,8 @@ class Trie:
 
 def near_links(prints: DataFrame, distance: int, trie_rows: int = TRIE_ROWS) -> DataFrame:
     """(a, b): links that connect all pairs of the different fingerprints within the distance."""
+    if not distance:  # different fingerprints are never equal
+        return prints.select(F.col("fingerprint").alias("a"), F.col("fingerprint").alias("b")).limit(0)
     blocks = blocks_of(distance)
 
     def block_key(k: int, first: int, bits: int):
@@ -279,15 +281,16 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str
     rows = materialize(rows.withColumn("_hash", F.xxhash64(F.col("_carried").getField(text_col))), "fingerprinted-rows")
     slim = rows.select("_row", "_hash", id_col, "fingerprint")
     first = slim.join(print_components(slim, distance, id_col), "fingerprint").where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    # a group without any id is one by its fingerprint; equal texts of one id are told apart by row number alone
-    one = first.groupBy(F.coalesce("component_id", "fingerprint"), F.col("component_id").isNull()).agg(F.min(F.struct("_hash", "_row"))["_row"].alias("_row"))
+    # equal texts of one id are told apart by row number alone
+    one = first.groupBy("group").agg(F.min(F.struct("_hash", "_row"))["_row"].alias("_row"))
     return rows.join(one.select("_row"), "_row", "left_semi").select("_carried.*")
 
 
 def print_components(prints: DataFrame, distance: int, id_col: str = "doc_id") -> DataFrame:
-    """(fingerprint, component_id) of every different fingerprint."""
+    """(fingerprint, group, component_id) of every different fingerprint; a group is named by its least fingerprint."""
     leaves = materialize(prints.groupBy("fingerprint").agg(F.min(id_col).alias("_least")), "fingerprint-leaves")
     roots = components(near_links(leaves, distance), "a", "b").toDF("fingerprint", "_root")
     rooted = leaves.join(roots, "fingerprint", "left").select("fingerprint", "_least", F.coalesce("_root", "fingerprint").alias("_root"))
     rooted = materialize(rooted, "fingerprint-roots")
-    return rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("fingerprint", "component_id")
+    return rooted.join(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select(
+        "fingerprint", F.col("_root").alias("group"), "component_id")
