@@ -1,8 +1,8 @@
 """HTML extraction by wrapper induction.
 
 The pages of a host are aligned with a wrapper tree, that of its page with the least seeded hash, by simple tree matching;
-repeated siblings are one node. A node of the wrapper whose text is the same on nearly all pages, counted over pages
-with different titles, is template; varying nodes are slots and hold content. Slots inside elements or classes that
+repeated siblings are one node. A text that a node of the wrapper has on nearly all pages, counted over pages with
+different titles, is template; what varies is content of the node's slot. Slots inside elements or classes that
 name menus, headers, footers, sidebars, notices, adverts, forms or comments are not content either, and where a page
 marks its article, only what is inside it is.
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reqtrail.llm.common import materialize, mounted_path, offsets_of, shared_folder, slices, write_once
-from reqtrail.llm.kneser_ney import Table, mixed, save
+from reqtrail.llm.kneser_ney import Table, mixed, save, shard_of
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 LEAST_TITLES, SAME_SHARE = 5, 0.9  # pages with different titles that a template needs; share of one text among them
@@ -318,7 +318,7 @@ def write_wrappers(pages: DataFrame, folder: str, shards: int) -> None:
 
 
 def write_template(pages: DataFrame, folder: str, shards: int) -> None:
-    """Slots whose text is the same on nearly all pages with different titles, as one sorted array for each shard."""
+    """Texts that a slot has on nearly all pages with different titles, as one sorted array of hashes for each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wrappers = Wrappers(folder, shards)
@@ -331,11 +331,11 @@ def write_template(pages: DataFrame, folder: str, shards: int) -> None:
             columns = np.array(list(rows), np.uint64).reshape(-1, 3).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(columns.T)], names=["slot", "text", "title"])
 
-    seen = pages.select("host", "html").mapInArrow(run, "slot long, text long, title long")
-    # titles of each text of a slot; a text on every page of a very large host is counted in the map tasks first
-    counts = seen.distinct().groupBy("slot", "text").agg(F.count(F.lit(1)).alias("n"))
-    template = counts.groupBy("slot").agg(F.max("n").alias("most"), F.sum("n").alias("all")).where(
-        (F.col("most") >= LEAST_TITLES) & (F.col("most") >= SAME_SHARE * F.col("all"))).select("slot")
+    seen = materialize(pages.select("host", "html").mapInArrow(run, "slot long, text long, title long").distinct(), "slot-texts")
+    # titles of a slot, and of each of its texts: counted in the map tasks first
+    texts = seen.groupBy("slot", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_TITLES)
+    slots = seen.select("slot", "title").distinct().groupBy("slot").agg(F.count(F.lit(1)).alias("all"))
+    template = texts.join(slots, "slot").where(F.col("n") >= SAME_SHARE * F.col("all")).select("slot", "text")
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
@@ -350,11 +350,10 @@ def write_template(pages: DataFrame, folder: str, shards: int) -> None:
 
     def with_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy().view(np.uint64)
-            of = (mixed(keys) >> np.uint64(32)) % np.uint64(shards)
-            yield pa.RecordBatch.from_arrays([pa.array(of.astype(np.int32)), batch.column(0)], names=["shard", "slot"])
+            keys = in_slot(*(c.to_numpy().view(np.uint64) for c in batch.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(shard_of(keys, shards).astype(np.int32)), pa.array(keys.view(np.int64))], names=["shard", "key"])
 
-    materialize(template.mapInArrow(with_shard, "shard int, slot long").repartition(shards, "shard").mapInArrow(store, "shard int"), "template-slots")
+    materialize(template.mapInArrow(with_shard, "shard int, key long").repartition(shards, "shard").mapInArrow(store, "shard int"), "template-slots")
 
 
 @lru_cache(maxsize=2)
@@ -362,13 +361,18 @@ def load(folder: str, shards: int) -> tuple[Wrappers, Table]:
     return Wrappers(folder, shards), Table(folder, "slot", "slot-v", shards)
 
 
+def in_slot(slot: np.ndarray, text: np.ndarray) -> np.ndarray:
+    return mixed(slot) + text
+
+
 def main_text(page: str, host: str, wrappers: Wrappers, template: Table) -> str:
     root, blocks, _ = parse(page)
     if not blocks:
         return ""
     marked = max(inside for _, _, inside, _ in blocks)
     slots, tree = wrappers.slots(host, root)
-    constant = template.find(np.array([slots[tree.number[id(b[1])]] for b in blocks], np.uint64))[:, 0]
+    constant = template.find(in_slot(np.array([slots[tree.number[id(b[1])]] for b in blocks], np.uint64),
+                                     np.array([hashed(b[0]) for b in blocks], np.uint64)))[:, 0]
     # paragraphs of a marked article are content even where all pages of a host are copies
     keep = [text for (text, _, inside, links), c in zip(blocks, constant)
             if (inside == marked if marked else not c and links <= LINKS) and not (c and inside < 2)]
