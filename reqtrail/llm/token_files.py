@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from reqtrail.llm import bpe
 from reqtrail.llm.common import materialize, offsets_of, running_total, shared_folder, slices, text_bytes
 
-LANES, BLOCK, CHECKPOINT_STEP = 64, 65_536, 16_384  # ids; a checkpoint after every CHECKPOINT_STEP ids
+LANES, BLOCK, CHECKPOINT_STEP = 128, 65_536, 16_384  # ids; a checkpoint after every CHECKPOINT_STEP ids
 SCALE = 22  # bits of the quantised frequencies
 LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63)
 TOGETHER = 64  # blocks coded side by side
@@ -223,42 +223,46 @@ def load_table(folder: str) -> Table:
     return Table(np.load(io.BytesIO(get(f"{folder}/table.npy"))))
 
 
-class _Chunks:
-    """Ids, as the tokenizers library merges them, of the pre-tokens and the white-space-free chunks a worker has seen."""
+class _Chunks(dict):
+    """Ids, as the tokenizers library merges them, of the white-space-free chunks a worker has seen."""
 
     def __init__(self, path: str):
         self.vocabulary = bpe.vocabulary(path)
         self.merge = self.vocabulary.library.model.tokenize
-        self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def chunk(self, chunk: bytes) -> bytes:
-        v, out = self.vocabulary, []
-        text = chunk.decode("utf-8")
-        for part in v.at_special.split(text) if v.at_special and "<" in text else (text,):
-            if part in v.special:
-                out.append(np.array([v.special[part]], "<u4").tobytes())
-            else:
-                out += map(self.piece, (part.lower(),) if v.lower and part.isascii() and part.isalpha() else v.pieces_of(part))
-        return b"".join(out)
+    def __missing__(self, chunk: bytes) -> bytes:
+        if len(self) >= CHUNK_CACHE:
+            self.clear()
+        v = self.vocabulary
+        # mostly a word of ASCII letters, perhaps with one mark after it, which is a pre-token of its own
+        if v.lower and chunk[:-1].isalpha() and chunk.isascii():
+            text = chunk.decode("ascii").lower()
+            ids = self.piece(text) if text.isalpha() else self.piece(text[:-1]) + self.piece(text[-1])
+        else:
+            text, out = chunk.decode("utf-8"), []
+            for part in v.at_special.split(text) if v.at_special and "<" in text else (text,):
+                if part in v.special:
+                    out.append(np.array([v.special[part]], "<u4").tobytes())
+                else:
+                    out += map(self.piece, v.pieces_of(part))
+            ids = b"".join(out)
+        self[chunk] = ids
+        return ids
 
     def piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
+            if len(self.pieces) >= CHUNK_CACHE:
+                self.pieces.clear()
             found = self.merge(piece if piece.isascii() and piece.isprintable() else piece.encode("utf-8").decode("latin-1").translate(self.vocabulary.letters))
-            ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *(x.id for x in found))
+            ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *[x.id for x in found])
         return ids
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Ids of each text and the end id, uint32. The tokenizer's pre-tokens never reach over ASCII white space."""
-        split = [t.split() for t in texts]
-        for cache in (self.known, self.pieces):
-            if len(cache) > CHUNK_CACHE:
-                cache.clear()
-        for chunk in set().union(*split).difference(self.known):
-            self.known[chunk] = self.chunk(chunk)
-        end = np.array([end_id], "<u4").tobytes()
-        return [b"".join([*map(self.known.__getitem__, s), end]) for s in split]
+        end, ids_of = struct.pack("<I", end_id), self.__getitem__
+        return [b"".join(map(ids_of, t.split())) + end for t in texts]
 
 
 @lru_cache(maxsize=2)
