@@ -14,10 +14,9 @@ from reqtrail.operators.keyed import ColLike, order_key
 from reqtrail.operators.sequence import sequence_groups
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], name: str = "pos",
-              skew_safe: bool | None = None) -> DataFrame:
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], name: str = "pos") -> DataFrame:
     """A1, flat form: the 0-based position of each child row inside its key (skew-safe)."""
-    out = sequence_groups(df, keys, order, rank_col="_pos_rank", skew_safe=skew_safe)
+    out = sequence_groups(df, keys, order, rank_col="_pos_rank")
     return out.withColumn(name, (F.col("_pos_rank") - 1).cast("int")).drop("_pos_rank")
 
 

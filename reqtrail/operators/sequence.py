@@ -2,193 +2,93 @@
 
 A window ``partitionBy(key)`` sorts a whole group in one task: a key holding a
 third of the rows becomes a third of the job in one task. Here rows are
-range-partitioned on (key, order) instead, so Spark's range partitioner (which
-samples inside the same query) spreads a hot key over many tasks:
-
-1. ``repartitionByRange(key, order)`` + ``sortWithinPartitions``: one shuffle.
-2. ``mapInPandas`` per partition: local position and previous/next values,
-   vectorised, streaming batch by batch (only one row is held back). This pass
-   is checkpointed so every later step sees the same partitions.
-3. A summary with one row per partition (first/last row, local count of the
-   last group) fixes the rows at partition borders: offsets for positions of
-   a group that began earlier, and previous/next values across the border.
-   The summary is bounded by the partition count, so it is broadcast.
+range-partitioned on (key, order) first, so Spark's range partitioner cuts a hot
+key into many ranges:
+
+1. ``repartitionByRange(key, order)``, each row tagged with its range (``_part``), written
+   once to the shared folder. Every later step sees the same ranges, also after
+   a lost executor (a range partitioner that runs again may choose other bounds).
+2. Built-in ``row_number`` / ``lag`` / ``lead`` over ``partitionBy("_part")`` and
+   ``partitionBy("_part", *keys)``: one shuffle; no window is larger than one range.
+3. Only groups that touch a range border are stitched: at most two rows for each range,
+   in a window over their key, give the offset of a group that began earlier and its
+   neighbours across the border. They are joined back by range; Spark chooses the
+   join by their size.
 
 The result equals ``row_number`` / ``lag`` / ``lead`` over
 ``Window.partitionBy(keys).orderBy(order)`` (order: NULLs last, ties must not
-exist in ``order``). The Python pass is opaque to column pruning: select only
-the columns needed downstream before calling it.
+exist in ``order``). No Python runs, so every type keeps its exact values.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reqtrail.operators.keyed import ColLike, order_key
 from reqtrail.session import materialize
 
-# Default for the library: skew-safe sequencing. ``False`` uses plain windows
-# (fine when every group is known to be small).
-SKEW_SAFE = True
-
-
-def _local_sequencer(keys: list[str], lag_cols: list[str], lead_cols: list[str]):
-    # Everything the Python workers run is defined inside this closure, so it is
-    # shipped by value: executors need numpy/pandas, not this package.
-    def _null_safe_eq(a, b):
-        an, bn = a.isna().to_numpy(), b.isna().to_numpy()
-        eq = (a.to_numpy(dtype=object) == b.to_numpy(dtype=object))
-        return np.where(an | bn, an & bn, eq).astype(bool)
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        held = None           # last row of the previous batch, waiting for its "next" values
-        prev = None           # last processed row (one-row frame) to continue runs across batches
-        head_open = True      # still inside the partition's first group
-        first_done = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            m = len(pdf)
-            same = np.ones(m, dtype=bool)
-            for k in keys:
-                s = pdf[k]
-                prev_vals = s.shift(1)
-                if prev is not None:
-                    prev_vals.iloc[0] = prev[k].iloc[0]
-                eq = _null_safe_eq(s, prev_vals)
-                same &= eq
-            if prev is None:
-                same[0] = False
-            run_id = np.cumsum(~same)
-            rank = pd.Series(np.ones(m, dtype=np.int64)).groupby(run_id).cumsum().to_numpy()
-            if same[0]:
-                rank[run_id == run_id[0]] += int(prev["_rank"].iloc[0])
-            out = pdf.copy()
-            out["_rank"] = rank
-            for c in lag_cols:
-                v = pdf[c].shift(1)
-                if prev is not None:
-                    v.iloc[0] = prev[c].iloc[0]
-                out["_lag_" + c] = v.where(same, None)
-            same_next = np.append(same[1:], False)
-            for c in lead_cols:
-                out["_lead_" + c] = pdf[c].shift(-1).where(same_next, None)
-            head = np.zeros(m, dtype=bool)
-            if head_open:
-                head = run_id == run_id[0] if (not first_done or same[0]) else head
-                head_open = bool(head.all())
-            out["_head_run"] = head
-            out["_first"] = False
-            if not first_done:
-                out.loc[0, "_first"] = True
-                first_done = True
-            out["_last"] = False
-            out["_part"] = part
-            if held is not None:
-                if same[0]:
-                    for c in lead_cols:
-                        held["_lead_" + c] = pdf[c].iloc[:1].to_numpy()
-                yield held
-            held = out.iloc[m - 1:].copy()
-            prev = out.iloc[m - 1:][keys + lag_cols + ["_rank"]].copy()
-            if m > 1:
-                yield out.iloc[: m - 1]
-        if held is not None:
-            held["_last"] = True
-            yield held
-    return run
-
 
 def sequence_groups(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], lag_cols: Sequence[str] = (),
                     lead_cols: Sequence[str] = (), rank_col: str = "_rank", partitions: int | None = None,
-                    skew_safe: bool | None = None, partition_col: str | None = None) -> DataFrame:
+                    partition_col: str | None = None) -> DataFrame:
     """Add ``rank_col`` (1-based position in the group), ``_lag_<c>`` and ``_lead_<c>``.
 
     Equivalent to ``row_number``/``lag``/``lead`` over ``partitionBy(keys).orderBy(order)``.
-    ``partition_col`` keeps the range partition each row was sequenced in (skew-safe
-    path only), e.g. to see how a hot key was spread.
+    ``partition_col`` keeps the range each row was sequenced in, e.g. to see how a hot
+    key was spread.
     """
     keys, lag_cols, lead_cols = list(keys), list(lag_cols), list(lead_cols)
-    reserved = {"_o", "_rank", "_head_run", "_first", "_last", "_part", rank_col}
+    reserved = {"_o", "_rank", "_n", "_key", "_before", "_after", "_part", "_offset", "_first", "_last", rank_col}
     reserved |= {"_lag_" + c for c in lag_cols} | {"_lead_" + c for c in lead_cols}
     clash = reserved & set(df.columns)
     if clash:
         raise ValueError(f"sequence_groups: input already has reserved columns {sorted(clash)}")
-    if not (SKEW_SAFE if skew_safe is None else skew_safe):
-        w = Window.partitionBy(*keys).orderBy(order_key(order))
-        out = df.withColumn(rank_col, F.row_number().over(w).cast("long"))
-        for c in lag_cols:
-            out = out.withColumn("_lag_" + c, F.lag(c).over(w))
-        for c in lead_cols:
-            out = out.withColumn("_lead_" + c, F.lead(c).over(w))
-        return out
-
-    spark = df.sparkSession
-    # Without an explicit count, AQE sizes the range partitions from the data.
-    range_cols = [F.col(k) for k in keys] + [F.col("_o")]
-    ranged = (df.withColumn("_o", order_key(order))
-                .repartitionByRange(*([partitions] if partitions else []), *range_cols)
-                .sortWithinPartitions(*keys, "_o")
-                .drop("_o"))
-    fields = list(ranged.schema.fields)
-    fields += [T.StructField("_rank", T.LongType())]
-    fields += [T.StructField("_lag_" + c, ranged.schema[c].dataType) for c in lag_cols]
-    fields += [T.StructField("_lead_" + c, ranged.schema[c].dataType) for c in lead_cols]
-    fields += [T.StructField(n_, T.BooleanType()) for n_ in ("_head_run", "_first", "_last")]
-    fields += [T.StructField("_part", T.IntegerType())]
-    local = ranged.mapInPandas(_local_sequencer(keys, lag_cols, lead_cols), T.StructType(fields))
-    # Materialise the local pass once, in its own job: partition ids are then the
-    # range partitions (not shifted by a union downstream), and the summary and the
-    # rows come from the same run. A range partitioner re-run on re-fetched shuffle
-    # data may sample other bounds, so recomputing would not be safe. The table
-    # lives in the shared ``spark.checkpoint.dir`` and also cuts the lineage.
-    local = materialize(local, "sequence")
-
-    # One row per non-empty partition: its first row (keys, lead values) and last row
-    # (keys, lag values, local rank, whether the partition is one group).
-    heads = local.where("_first").select("_part", *[F.col(k).alias("_hk_" + k) for k in keys],
-                                         *[F.col(c).alias("_hv_" + c) for c in lead_cols])
-    tails = local.where("_last").select("_part", *[F.col(k).alias("_tk_" + k) for k in keys],
-                                        *[F.col(c).alias("_tv_" + c) for c in lag_cols],
-                                        F.col("_rank").alias("_trank"), F.col("_head_run").alias("_uniform"))
-    summary = heads.join(tails, "_part")
-    order_p = Window.orderBy("_part")   # over the summary only: at most one row per partition
-    same_tail = Window.partitionBy(*["_tk_" + k for k in keys]).orderBy("_part")
-    summary = summary.withColumn("_cum", F.sum("_trank").over(same_tail))
-
-    def eq(prefix_a: str, prefix_b_col) -> Column:
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & F.col(prefix_a + k).eqNullSafe(prefix_b_col(k))
-        return cond
 
-    prev_match = eq("_hk_", lambda k: F.lag("_tk_" + k).over(order_p))
-    next_match = eq("_tk_", lambda k: F.lead("_hk_" + k).over(order_p))
-    fix = summary.select(
-        "_part",
-        F.when(prev_match, F.lag("_cum").over(order_p)).otherwise(F.lit(0)).alias("_offset"),
-        prev_match.alias("_prev_match"), next_match.alias("_next_match"),
-        *[F.lag("_tv_" + c).over(order_p).alias("_fix_lag_" + c) for c in lag_cols],
-        *[F.lead("_hv_" + c).over(order_p).alias("_fix_lead_" + c) for c in lead_cols])
-    j = local.join(F.broadcast(fix), "_part", "left")
+    # Without an explicit count, AQE sizes the ranges from the data.
+    ranged = df.withColumn("_o", order_key(order)).repartitionByRange(
+        *([partitions] if partitions else []), *[F.col(k) for k in keys], F.col("_o"))
+    local = materialize(ranged.withColumn("_part", F.spark_partition_id()), "sequence")
+
+    key = F.struct(*[F.col(k) for k in keys])
+    in_part = Window.partitionBy("_part").orderBy(*keys, "_o")
+    in_group = Window.partitionBy("_part", *keys)
+    ordered = in_group.orderBy("_o")
+    local = local.withColumn("_key", key).withColumns({
+        "_before": F.lag("_key").over(in_part), "_after": F.lead("_key").over(in_part),
+        "_rank": F.row_number().over(ordered).cast("long"), "_n": F.count(F.lit(1)).over(in_group),
+        **{"_lag_" + c: F.lag(c).over(ordered) for c in lag_cols},
+        **{"_lead_" + c: F.lead(c).over(ordered) for c in lead_cols}})
+
+    # The first and the last row of a range: what its border groups give to their neighbours.
+    border = local.where(F.col("_before").isNull() | F.col("_after").isNull())
+    groups = border.groupBy("_part", *keys).agg(
+        F.max("_n").alias("_n"), F.bool_or(F.col("_before").isNull()).alias("_first"),
+        F.bool_or(F.col("_after").isNull()).alias("_last"),
+        F.first(F.when(F.col("_before").isNull(), F.struct(F.lit(1), *lead_cols)), ignorenulls=True).alias("_head"),
+        F.first(F.when(F.col("_after").isNull(), F.struct(F.lit(1), *lag_cols)), ignorenulls=True).alias("_tail"))
+    across = Window.partitionBy(*keys).orderBy("_part")
+    groups = groups.select(
+        "_part", "_first", "_last",
+        F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.lag("_tail").over(across).alias("_tail"), F.lead("_head").over(across).alias("_head"))
+    fix = groups.groupBy("_part").agg(
+        F.max(F.when(F.col("_first"), F.col("_offset"))).alias("_offset"),
+        F.first(F.when(F.col("_first"), F.col("_tail")), ignorenulls=True).alias("_tail"),
+        F.first(F.when(F.col("_last"), F.col("_head")), ignorenulls=True).alias("_head"))
+
+    first_key = F.first("_key").over(in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = local.withColumn("_in_first", F.col("_key").eqNullSafe(first_key))
+    j = local.join(fix, "_part")
     cols = [F.col(c) for c in df.columns]
-    cols.append((F.col("_rank") + F.when(F.col("_head_run"), F.coalesce(F.col("_offset"), F.lit(0)))
-                 .otherwise(F.lit(0))).alias(rank_col))
+    cols.append((F.col("_rank") + F.when(F.col("_in_first"), F.col("_offset")).otherwise(F.lit(0))).alias(rank_col))
     for c in lag_cols:
-        cols.append(F.when(F.col("_first") & F.coalesce(F.col("_prev_match"), F.lit(False)),
-                           F.col("_fix_lag_" + c)).otherwise(F.col("_lag_" + c)).alias("_lag_" + c))
+        cols.append(F.when(F.col("_before").isNull() & F.col("_tail").isNotNull(), F.col("_tail")[c])
+                    .otherwise(F.col("_lag_" + c)).alias("_lag_" + c))
     for c in lead_cols:
-        cols.append(F.when(F.col("_last") & F.coalesce(F.col("_next_match"), F.lit(False)),
-                           F.col("_fix_lead_" + c)).otherwise(F.col("_lead_" + c)).alias("_lead_" + c))
+        cols.append(F.when(F.col("_after").isNull() & F.col("_head").isNotNull(), F.col("_head")[c])
+                    .otherwise(F.col("_lead_" + c)).alias("_lead_" + c))
     if partition_col:
         cols.append(F.col("_part").alias(partition_col))
     return j.select(*cols)

@@ -172,7 +172,7 @@ def po_events(po: DataFrame) -> DataFrame:
               .select("PO_No", "seq", "e.*"))
 
 
-def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst", skew_safe: bool | None = None) -> DataFrame:
+def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst") -> DataFrame:
     """T4: one event per PO approval step.
 
     Steps are ordered by (Event_Date_Time, Approval_Number), ties in stored
@@ -182,7 +182,7 @@ def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst", skew_safe:
     """
     ranked = sequence_groups(_worklist(po_worklist, order), ["PO_No"],
                              ["Event_Date_Time", "Approval_Number", order],
-                             lag_cols=["Event_Date_Time"], skew_safe=skew_safe)
+                             lag_cols=["Event_Date_Time"])
     auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(F.col("Event_Date_Time"))
     stat = F.col("Appr_Stat")
     text = F.when(stat == "I", F.lit(TXT_PO_INITIATED)).otherwise(
@@ -211,21 +211,19 @@ def _as_of(as_of: dt.datetime | Column | None) -> Column:
     return as_of.cast("timestamp_ntz") if isinstance(as_of, Column) else ts_literal(as_of)
 
 
-def with_end_times(events: DataFrame, as_of: dt.datetime | Column | None, key: str = "REQ_No",
-                   skew_safe: bool | None = None) -> DataFrame:
+def with_end_times(events: DataFrame, as_of: dt.datetime | Column | None, key: str = "REQ_No") -> DataFrame:
     """End = the next Start in time order (ties by ``seq``); the last dated event ends at ``as_of``.
 
     Events without a Start sort last and get no End (D12). The stored order of the
     events stays the construction order ``seq`` (D5).
     """
-    nxt = sequence_groups(events, [key], ["Start_DTTM", "seq"], lead_cols=["Start_DTTM"], skew_safe=skew_safe)
+    nxt = sequence_groups(events, [key], ["Start_DTTM", "seq"], lead_cols=["Start_DTTM"])
     end = F.when(F.col("Start_DTTM").isNotNull(), F.coalesce(F.col("_lead_Start_DTTM"), _as_of(as_of)))
     return nxt.withColumn("End_DTTM", end).drop("_rank", "_lead_Start_DTTM")
 
 
 def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetime | Column | None,
-                      worklist_order: str, req_worklist: DataFrame | None,
-                      skew_safe: bool | None = None) -> DataFrame:
+                      worklist_order: str, req_worklist: DataFrame | None) -> DataFrame:
     """Events of complete requisitions from a (materialised) frame carrying REQ and PO fields.
 
     * worklist steps: INNER join on the PO number (AQE may split a hot PO on either
@@ -245,7 +243,7 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
                          *[F.col(c).alias(f"_s{k}") for k, c in enumerate(starts)])
     steps = _worklist(po_worklist, worklist_order).join(owners, "PO_No")
     steps = sequence_groups(steps, ["REQ_No"], ["Event_Date_Time", "Approval_Number", worklist_order],
-                            lag_cols=["Event_Date_Time"], lead_cols=["Event_Date_Time"], skew_safe=skew_safe)
+                            lag_cols=["Event_Date_Time"], lead_cols=["Event_Date_Time"])
     t = F.col("Event_Date_Time")
 
     def ev(seq, id_, start, etype, text, person, internal, auto, life, end):
@@ -299,11 +297,11 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
         n_steps = steps.groupBy("REQ_No").agg(F.count(F.lit(1)).alias("_nwl"))
         rw = req_worklist_events(req_worklist).join(done.select("REQ_No", F.col("link_po").alias("PO_No"), base),
                                                     "REQ_No")
-        rw = sequence_groups(rw, ["REQ_No"], ["Start_DTTM", "ID"], skew_safe=skew_safe)
+        rw = sequence_groups(rw, ["REQ_No"], ["Start_DTTM", "ID"])
         rw = rw.join(n_steps, "REQ_No", "left").withColumn(
             "seq", (F.col("_base") + F.coalesce(F.col("_nwl"), F.lit(0)) + F.col("_rank") - 1).cast("int"))
         events = events.drop("End_DTTM").unionByName(rw.select("REQ_No", "PO_No", *EVENT_COLS))
-        events = with_end_times(events, as_of, skew_safe=skew_safe)
+        events = with_end_times(events, as_of)
     return events.select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM", *EVENT_COLS[3:])
 
 
@@ -311,8 +309,7 @@ def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_
                          po_worklist: DataFrame, as_of: dt.datetime | Column | None = None,
                          null_req: str = "each", worklist_order: str = "Appr_Inst",
                          req_worklist: DataFrame | None = None, require_worklist: bool = False,
-                         include_req_worklist: bool = False, materialize: bool = True,
-                         skew_safe: bool | None = None) -> tuple[DataFrame, DataFrame]:
+                         include_req_worklist: bool = False, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(classified requisitions, flat timeline events) from the source tables.
 
     With ``materialize`` the classification (one row per requisition) is written
@@ -325,7 +322,7 @@ def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_
         wide = materialize_table(wide, "classified")
     done = wide.where(F.col("cls") == COMPLETE)
     events = _events_from_done(done, po_worklist, as_of, worklist_order,
-                               req_worklist if include_req_worklist else None, skew_safe)
+                               req_worklist if include_req_worklist else None)
     return _classified_view(wide), events
 
 

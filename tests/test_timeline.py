@@ -4,6 +4,9 @@ from __future__ import annotations
 import pytest
 from conftest import rows, ts
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from reqtrail.operators import timeline as T
 
 REQ = "REQ_No long, Business_Unit string, Buyer string, REQ_Date timestamp_ntz, Approved_By string, Approved_On timestamp_ntz"
@@ -195,6 +198,13 @@ def test_worklist_events_standalone(spark):
     assert got["3"]["Text"] == ", ." and not got["3"]["Auto"] and got["4"]["Auto"]
 
 
+def window_end_times(ev):
+    """W1 with one plain window per requisition."""
+    w = Window.partitionBy("REQ_No").orderBy(F.col("Start_DTTM").asc_nulls_last(), "seq")
+    return ev.withColumn("End_DTTM", F.when(F.col("Start_DTTM").isNotNull(), F.coalesce(
+        F.lead("Start_DTTM").over(w), F.lit(AS_OF).cast("timestamp_ntz"))))
+
+
 def test_end_times_equal_general_definition_with_ties(spark):
     import random
     rnd = random.Random(7)
@@ -208,14 +218,14 @@ def test_end_times_equal_general_definition_with_ties(spark):
                                    spark.createDataFrame(pos, PO),
                                    spark.createDataFrame([(f"P{i}", i) for i in range(40)], PO_LINE),
                                    spark.createDataFrame(wl, WL), as_of=AS_OF)
-    general = T.with_end_times(ev.drop("End_DTTM"), AS_OF, skew_safe=False)
+    general = window_end_times(ev.drop("End_DTTM"))
     got = sorted(((r["REQ_No"], r["seq"], r["End_DTTM"]) for r in ev.collect()), key=repr)
     want = sorted(((r["REQ_No"], r["seq"], r["End_DTTM"]) for r in general.collect()), key=repr)
     assert got == want and len(got) > 400
 
 
 def test_hot_requisition_spans_partitions(spark):
-    """One PO holds most worklist steps; the skew-safe path must equal the window path."""
+    """One PO holds most worklist steps; positions, flags and End times equal plain windows."""
     import random
     rnd = random.Random(11)
     reqs = [req_row(i) for i in range(6)]
@@ -225,18 +235,25 @@ def test_hot_requisition_spans_partitions(spark):
           for n in range(700)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        out = {}
-        for safe in (True, False):
-            _, ev = T.requisition_timeline(spark.createDataFrame(reqs, REQ),
-                                           spark.createDataFrame([(i, f"P{i}") for i in range(6)], LINK),
-                                           spark.createDataFrame(pos, PO),
-                                           spark.createDataFrame([(f"P{i}", i) for i in range(6)], PO_LINE),
-                                           spark.createDataFrame(wl, WL).repartition(5), as_of=AS_OF,
-                                           skew_safe=safe)
-            out[safe] = sorted((tuple(r) for r in ev.collect()), key=repr)
+        _, ev = T.requisition_timeline(spark.createDataFrame(reqs, REQ),
+                                       spark.createDataFrame([(i, f"P{i}") for i in range(6)], LINK),
+                                       spark.createDataFrame(pos, PO),
+                                       spark.createDataFrame([(f"P{i}", i) for i in range(6)], PO_LINE),
+                                       spark.createDataFrame(wl, WL).repartition(5), as_of=AS_OF)
+        got = sorted((tuple(r) for r in ev.collect()), key=repr)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert out[True] == out[False] and len(out[True]) > 700
+    again = sorted((tuple(r) for r in window_end_times(ev.drop("End_DTTM")).select(*ev.columns).collect()), key=repr)
+    assert got == again and len(got) > 700
+    steps = {}
+    for po, n, *_, at, _u in sorted(wl, key=lambda w: (w[0], w[5], w[3], w[1])):
+        steps.setdefault(po, []).append((str(n), at))
+    by_po = {}
+    for r in ev.where("EventType not in ('Creation', 'Approval') or Text not like '% by %' and Text <> 'PO Creation'").orderBy("seq").collect():
+        by_po.setdefault(r["PO_No"], []).append((r["ID"], r["Auto"]))
+    for po, want in steps.items():
+        auto = [i > 0 and want[i - 1][1] == at for i, (_, at) in enumerate(want)]
+        assert by_po[po] == [(n, a) for (n, _), a in zip(want, auto)]
 
 
 def test_build_timeline_from_classified_equals_requisition_timeline(spark):
