@@ -78,11 +78,11 @@ def with_next(df: DataFrame, id_col: str, text_col: str, columns: list[str], row
     none = F.lit(None).cast("struct<bucket:int,guest:int>")
     guest = F.when(F.get(starts, F.col("_bucket") - 1) == F.col(id_col), place(F.col("_bucket") - 1, 1)) if bounds else none
     places = F.array(place(F.col("_bucket"), 0), guest, F.when(first, place(F.lit(len(bounds)), 2)).otherwise(none))
-    df = df.withColumn("_place", F.explode(F.filter(places, lambda p: p.isNotNull()))).drop("_bucket")
-    order = W.partitionBy("_place.bucket").orderBy("_place.guest", id_col, text_col)
-    for c in columns:
-        df = df.withColumn(f"next_{c}", F.lead(c).over(order))
-    return df.where("_place.guest = 0").drop("_place")
+    df = df.withColumn("_place", F.explode(F.filter(places, lambda p: p.isNotNull())))
+    df = df.withColumn("_bucket", F.col("_place.bucket")).withColumn("_guest", F.col("_place.guest")).drop("_place")
+    order = W.partitionBy("_bucket").orderBy("_guest", id_col, text_col)
+    df = df.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
+    return df.where("_guest = 0").drop("_bucket", "_guest")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, fraction: float = FRACTION) -> DataFrame:
