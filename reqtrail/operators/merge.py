@@ -14,7 +14,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqtrail.operators.keyed import ColLike, distinct_keys, last_per_key, order_key
+from reqtrail.operators.keyed import ColLike, last_per_key, order_key
+from reqtrail.session import materialize
 
 SRC = "_src_present"
 
@@ -104,19 +105,22 @@ def dedup_children(rows: DataFrame, keys: Sequence[str], fields: Sequence[str],
 
 def replace_children(children: DataFrame, new_rows: DataFrame, keys: Sequence[str],
                      parent: DataFrame | None = None, dedup_fields: Sequence[str] | None = None,
-                     order: str | None = None) -> DataFrame:
+                     order: str | None = None, once: bool = False) -> DataFrame:
     """K7 + K5/K6: children of keys in the snapshot are replaced, others untouched.
 
     ``parent`` given = update-only (K2): snapshot keys without a parent row are
     ignored. ``dedup_fields`` given = add-to-set inside the snapshot (K6).
+    The snapshot is read twice (its keys, its rows); ``once`` writes it to the shared
+    folder first, for a snapshot that is costly to compute.
     """
     keys = list(keys)
-    rows = new_rows.where(_not_null(keys))
+    rows = materialize(new_rows, "snapshot") if once else new_rows
+    rows = rows.where(_not_null(keys))
     if parent is not None:
-        rows = rows.join(parent.select(*keys).distinct(), keys, "left_semi")
+        rows = rows.join(parent.select(*keys), keys, "left_semi")
     if dedup_fields is not None:
         rows = dedup_children(rows, keys, dedup_fields, order)
-    kept = children.join(distinct_keys(rows, keys), keys, "left_anti")
+    kept = children.join(rows.select(*keys), keys, "left_anti")  # needs no distinct keys
     return kept.unionByName(rows, allowMissingColumns=True)
 
 

@@ -63,19 +63,30 @@ def pos_per_req(req_line: DataFrame, req_key: str = "REQ_No", po_key: str = "PO_
                     .agg(F.count_distinct(po_key).alias("n_po"), F.min(po_key).alias("link_po")))
 
 
-def reqs_per_po(po_line: DataFrame, null_req: str = "each", po_key: str = "PO_No",
-                req_key: str = "Req_ID") -> DataFrame:
-    """Distinct requisitions named by a PO's lines.
+NULL_REQ_MODES = ("each", "one", "ignore")
 
-    ``null_req`` (D3): "each" = every line without a requisition counts as its own
-    value (what the stored data does), "one" = all of them count once, "ignore".
-    """
-    distinct = F.count_distinct(req_key)
-    nulls = F.count_if(F.col(req_key).isNull())
+
+def _n_req(null_req: str) -> Column:
+    """D3: "each" = every line without a requisition counts as its own value (what the
+    stored data does), "one" = all of them count once, "ignore"."""
+    distinct, nulls = F.col("n_distinct"), F.col("n_null")
     n = {"each": distinct + nulls,
          "one": distinct + F.when(nulls > 0, 1).otherwise(0),
          "ignore": distinct}[null_req]
-    return po_line.groupBy(po_key).agg(n.cast("bigint").alias("n_req"))
+    return n.cast("bigint")
+
+
+def req_counts_per_po(po_line: DataFrame, po_key: str = "PO_No", req_key: str = "Req_ID") -> DataFrame:
+    """A7 in every mode of ``null_req`` from one aggregation: n_req_each, n_req_one, n_req_ignore."""
+    counts = po_line.groupBy(po_key).agg(F.count_distinct(req_key).alias("n_distinct"),
+                                         F.count_if(F.col(req_key).isNull()).alias("n_null"))
+    return counts.select(po_key, *[_n_req(m).alias(f"n_req_{m}") for m in NULL_REQ_MODES])
+
+
+def reqs_per_po(po_line: DataFrame, null_req: str = "each", po_key: str = "PO_No",
+                req_key: str = "Req_ID") -> DataFrame:
+    """Distinct requisitions named by a PO's lines, in one mode of ``null_req`` (D3)."""
+    return req_counts_per_po(po_line, po_key, req_key).select(po_key, F.col(f"n_req_{null_req}").alias("n_req"))
 
 
 REQ_FIELDS = ["Buyer", "REQ_Date", "Approved_By", "Approved_On"]
@@ -89,15 +100,18 @@ def _classified_wide(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line
     """One row per requisition with its class; with ``carry`` also the REQ and PO fields the
     events need, so the timeline never joins the requisition or PO tables a second time."""
     req_cols = ["REQ_No", "Business_Unit"] + (REQ_FIELDS if carry else [])
-    r = req.select(*req_cols).join(pos_per_req(req_line), "REQ_No", "left")
-    if require_worklist:
-        has = req_worklist.select("REQ_No").distinct().withColumn("_has_wl", F.lit(True))
-        r = r.join(has, "REQ_No", "left")
     po_cols = {k: v for k, v in PO_FIELDS.items() if carry or v in ("_po_bu", "Status", "PO_Approval_Date")}
     p = (po.select("PO_No", *[F.col(k).alias(v) for k, v in po_cols.items()])
            .join(reqs_per_po(po_line, null_req), "PO_No", "left"))
+    # Only requisitions with exactly one PO look it up: split ones and those without a link leave early.
     # PO_DATA is keyed by PO number alone (D18): join on it, then test the unit.
-    j = r.join(p, r["link_po"] == p["PO_No"], "left")
+    linked = pos_per_req(req_line)
+    one = linked.where(F.col("n_po") == 1).join(p, F.col("link_po") == F.col("PO_No"), "left")
+    found_pos = one.unionByName(linked.where(F.col("n_po") > 1), allowMissingColumns=True)
+    j = req.select(*req_cols).join(found_pos, "REQ_No", "left")
+    if require_worklist:
+        has = req_worklist.select("REQ_No").distinct().withColumn("_has_wl", F.lit(True))
+        j = j.join(has, "REQ_No", "left")
     n_po = F.coalesce(F.col("n_po"), F.lit(0)).cast("bigint")
     found = F.col("PO_No").isNotNull() & F.col("_po_bu").eqNullSafe(F.col("Business_Unit"))
     n_req = F.coalesce(F.col("n_req"), F.lit(0))
@@ -172,11 +186,11 @@ def po_events(po: DataFrame) -> DataFrame:
               .select("PO_No", "seq", "e.*"))
 
 
-def worklist_events(po_worklist: DataFrame, order: str = "Appr_Inst") -> DataFrame:
+def worklist_events(po_worklist: DataFrame, order: str) -> DataFrame:
     """T4: one event per PO approval step.
 
-    Steps are ordered by (Event_Date_Time, Approval_Number), ties in stored
-    ``order``; ``seq`` is the 0-based position in that order. Auto = the previous
+    Steps are ordered by (Event_Date_Time, Approval_Number), ties in the stored
+    ``order``, a column that is unique within a PO (an approval instance alone is not); ``seq`` is the 0-based position in that order. Auto = the previous
     step of the same PO has the same timestamp (W2). Ordering uses the skew-safe
     sequencer, so one PO holding most steps is spread over many tasks.
     """

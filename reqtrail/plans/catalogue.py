@@ -19,6 +19,7 @@ from reqtrail.functions.nulls import DEFAULT_DUE, fill_columns, fill_timestamp,
 from reqtrail.functions.text import decode, matches_from_start, strip_ws, template
 from reqtrail.operators import keyed, link, merge, nest, timeline
 from reqtrail.plans import fixtures as fx
+from reqtrail.plans.job_queries import JOBS
 from reqtrail.plans.oracle_views import LI_ORDER, with_views
 
 # Fixed value: the "now" of every catalogue query, so results are reproducible.
@@ -518,11 +519,7 @@ select PO_No,
 from fx_po_line group by PO_No""")
 def bundled_pos(spark, sf_dir):
     _, _, _, _, pl = _inputs(spark, sf_dir)
-    each = timeline.reqs_per_po(pl, "each").withColumnRenamed("n_req", "n_req_each")
-    one = timeline.reqs_per_po(pl, "one").withColumnRenamed("n_req", "n_req_one")
-    ign = timeline.reqs_per_po(pl, "ignore").withColumnRenamed("n_req", "n_req_ignore")
-    out = each.join(one, "PO_No").join(ign, "PO_No")
-    return out.select("PO_No", "n_req_each", "n_req_one", "n_req_ignore",
+    return timeline.req_counts_per_po(pl).select("PO_No", "n_req_each", "n_req_one", "n_req_ignore",
                       (F.col("n_req_each") > 1).alias("is_bundled"),
                       template(timeline.MSG_BUNDLED, "n_req_each", "PO_No").alias("message"))
 
@@ -612,7 +609,7 @@ def po_events(spark, sf_dir):
 
 @query("worklist_events", f"select PO_No, {EV} from ox_wl_events")
 def worklist_events(spark, sf_dir):
-    return timeline.worklist_events(fx.fx_po_worklist(_t(spark, sf_dir)))
+    return timeline.worklist_events(fx.fx_po_worklist(_t(spark, sf_dir)), "Appr_Inst")  # an event of its own here
 
 
 @query("req_worklist_events", """
@@ -648,6 +645,16 @@ def timeline_documents(spark, sf_dir):
     return timeline.timeline_summary(cls, ev)
 
 
+# ---------------------------------------------------------------- dataset jobs
+
+def _job(run):
+    return lambda spark, sf_dir: run(_t(spark, sf_dir))
+
+
+for _name, (_run, _sql) in JOBS.items():
+    query(_name, _sql)(_job(_run))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -54,11 +54,18 @@ def po_number(partkey: Column, shipdate: Column) -> Column:
     return F.concat(_s(partkey), F.lit("-"), _s(F.year(shipdate) * 100 + F.month(shipdate)))
 
 
+def is_requested(quantity: Column) -> Column:
+    """Small quantities are bought for a requisition; larger ones are stock orders, which name none."""
+    return quantity <= 10
+
+
 def fx_po_line(t: Tables) -> DataFrame:
-    li = t.lineitem.where(F.col("l_quantity") <= 10)
+    """Every line: of a purchase order made for a requisition, or of a stock order with a number of its own kind."""
+    li = t.lineitem
+    number, own = po_number(li.l_partkey, li.l_shipdate), is_requested(li.l_quantity)
     return li.select(
-        po_number(li.l_partkey, li.l_shipdate).alias("PO_No"), li.l_orderkey.alias("REQ_No"),
-        F.when(li.l_linenumber != 7, li.l_orderkey).alias("Req_ID"), li.l_linenumber.alias("Req_Line"),
+        F.when(own, number).otherwise(F.concat(F.lit("S"), number)).alias("PO_No"), li.l_orderkey.alias("REQ_No"),
+        F.when(own & (li.l_linenumber != 7), li.l_orderkey).alias("Req_ID"), li.l_linenumber.alias("Req_Line"),
         (li.l_suppkey % 2).alias("Business_Unit"), li.l_suppkey.alias("Vendor"), li.l_shipdate.alias("PO_Date"),
         F.when(li.l_returnflag == "A", "A").when(li.l_returnflag == "N", "D").otherwise("C").alias("Status"),
         F.when(li.l_linestatus == "F", li.l_shipdate + F.expr("interval 1 day")).alias("PO_Approval_Date"),
@@ -76,8 +83,9 @@ def fx_po(t: Tables) -> DataFrame:
 
 
 def fx_link(t: Tables) -> DataFrame:
-    """REQ -> PO links (distinct), in the flat line-table shape the timeline reads."""
-    return fx_po_line(t).select("REQ_No", F.col("PO_No").alias("PO_Number")).distinct()
+    """REQ -> PO links (distinct), in the flat line-table shape the timeline reads; lines from stock have no link."""
+    linked = F.when(is_requested(F.col("Quantity")), F.col("PO_No"))
+    return fx_po_line(t).select("REQ_No", linked.alias("PO_Number")).distinct()
 
 
 def _worklist_name(event_type: Column) -> Column:
@@ -98,7 +106,7 @@ def hour_trunc(ts: Column) -> Column:
 
 def fx_po_worklist(t: Tables) -> DataFrame:
     e = t.events
-    k = fx_link(t)
+    k = fx_link(t).where(F.col("PO_Number").isNotNull())
     j = e.join(k, k.REQ_No == F.floor(e.event_id / 3).cast("bigint"))
     return j.select(F.col("PO_Number").alias("PO_No"), e.event_id.alias("Appr_Inst"),
                     _worklist_name(e.event_type).alias("Work_List"), _s(e.event_id % 3).alias("Approval_Number"),
@@ -118,8 +126,12 @@ def fx_req_worklist(t: Tables) -> DataFrame:
 
 
 def fx_xwalk(t: Tables) -> DataFrame:
-    """REQ-line -> PO-line crosswalk rows (repeats per key are real: last row wins)."""
-    li = t.lineitem.where(F.col("l_quantity") <= 10)
-    return li.select(li.l_orderkey.alias("Req_ID"), (li.l_orderkey % 2).alias("Unit"),
+    """REQ-line -> PO-line crosswalk rows (repeats per key are real: last row wins).
+
+    Rows of stock orders carry a unit that no requisition has, so only the test of all three keys leaves them out.
+    """
+    li = t.lineitem
+    unit = F.when(is_requested(li.l_quantity), li.l_orderkey % 2).otherwise(F.lit(9))
+    return li.select(li.l_orderkey.alias("Req_ID"), unit.cast("long").alias("Unit"),
                      li.l_linenumber.alias("REQ_Line"), po_number(li.l_partkey, li.l_shipdate).alias("PO_No"),
                      (li.l_suppkey % 100).cast("string").alias("PO_Line"), *LINEITEM_ORDER)

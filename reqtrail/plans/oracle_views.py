@@ -18,27 +18,27 @@ from orders""",
        l_extendedprice as Line_Total, l_quantity as Quantity, l_shipdate as Due_Date,
        cast(l_partkey as string) as Item, l_suppkey as Supp
 from lineitem""",
-    "fx_po_line": """select concat(cast(l_partkey as string), '-', cast(year(l_shipdate) * 100 + month(l_shipdate) as string)) as PO_No,
-       l_orderkey as REQ_No, case when l_linenumber = 7 then null else l_orderkey end as Req_ID,
+    "fx_po_line": """select concat(case when l_quantity <= 10 then '' else 'S' end, cast(l_partkey as string), '-', cast(year(l_shipdate) * 100 + month(l_shipdate) as string)) as PO_No,
+       l_orderkey as REQ_No, case when l_quantity <= 10 and l_linenumber <> 7 then l_orderkey end as Req_ID,
        l_linenumber as Req_Line, l_suppkey % 2 as Business_Unit, l_suppkey as Vendor, l_shipdate as PO_Date,
        case l_returnflag when 'A' then 'A' when 'N' then 'D' else 'C' end as Status,
        case when l_linestatus = 'F' then l_shipdate + interval '1' day end as PO_Approval_Date,
        l_extendedprice as Line_Total, l_quantity as Quantity
-from lineitem where l_quantity <= 10""",
+from lineitem""",
     "fx_po": """select PO_No, Business_Unit, concat('Supp', cast(Vendor as string)) as Buyer,
        concat('Chief', cast(Vendor % 7 as string)) as Approved_By, PO_Date, Status, PO_Approval_Date
 from (select *, row_number() over (partition by PO_No
                                    order by PO_Date, REQ_No, Req_Line, Vendor, Line_Total, Quantity) as rn
       from fx_po_line) t
 where rn = 1""",
-    "fx_link": "select distinct REQ_No, PO_No as PO_Number from fx_po_line",
+    "fx_link": "select distinct REQ_No, case when Quantity <= 10 then PO_No end as PO_Number from fx_po_line",
     "fx_po_worklist": """select k.PO_Number as PO_No, e.event_id as Appr_Inst,
        case e.event_type when 'purchase' then 'Central Procurement' when 'error' then 'PROCUREMENT audit'
             else concat('Team ', e.event_type) end as Work_List,
        cast(e.event_id % 3 as string) as Approval_Number,
        case e.event_type when 'view' then 'I' when 'purchase' then 'A' when 'error' then 'D' else e.event_type end as Appr_Stat,
        date_trunc('hour', e.ts) as Event_Date_Time, cast(e.user_id as string) as "User"
-from events e join fx_link k on k.REQ_No = cast(floor(e.event_id / 3) as bigint)""",
+from events e join fx_link k on k.REQ_No = cast(floor(e.event_id / 3) as bigint) where k.PO_Number is not null""",
     "fx_req_worklist": """select q.REQ_No, e.event_id as Appr_Inst, q.Business_Unit as Unit,
        case e.event_type when 'purchase' then 'Central Procurement' when 'error' then 'PROCUREMENT audit'
             else concat('Team ', e.event_type) end as Work_List,
@@ -46,10 +46,10 @@ from events e join fx_link k on k.REQ_No = cast(floor(e.event_id / 3) as bigint)
        case e.event_type when 'view' then 'I' when 'purchase' then 'A' when 'error' then 'D' else e.event_type end as Appr_Stat,
        e.ts as Date_Time, cast(e.user_id as string) as "User"
 from events e join fx_req q on q.REQ_No = cast(floor(e.event_id / 3) as bigint)""",
-    "fx_xwalk": f"""select l_orderkey as Req_ID, l_orderkey % 2 as Unit, l_linenumber as REQ_Line,
+    "fx_xwalk": f"""select l_orderkey as Req_ID, case when l_quantity <= 10 then l_orderkey % 2 else 9 end as Unit, l_linenumber as REQ_Line,
        concat(cast(l_partkey as string), '-', cast(year(l_shipdate) * 100 + month(l_shipdate) as string)) as PO_No,
        cast(l_suppkey % 100 as string) as PO_Line, {LI_ORDER}
-from lineitem where l_quantity <= 10""",
+from lineitem""",
 }
 
 # Derived views shared by several oracle queries.

@@ -192,7 +192,7 @@ def test_worklist_events_standalone(spark):
                                 ("P1", 2, "procurement", "0", "Z", ts(2020, 1, 1), "u"),
                                 ("P2", 3, None, None, "A", None, "u"),
                                 ("P2", 4, None, None, "A", None, "u")], WL)
-    got = {r["ID"]: r for r in T.worklist_events(wl).collect()}
+    got = {r["ID"]: r for r in T.worklist_events(wl, "Appr_Inst").collect()}
     assert got["2"]["seq"] == 0 and got["1"]["seq"] == 1 and got["1"]["Auto"] and not got["2"]["Auto"]
     assert got["1"]["EventType"] == "Denied" and got["2"]["EventType"] == "Z" and got["2"]["Internal"]
     assert got["3"]["Text"] == ", ." and not got["3"]["Auto"] and got["4"]["Auto"]
