@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from reqtrail.llm.common import mounted_path, offsets_of, shared_folder, slices, text_bytes, write_once
 
-BINS, ORDERS = 17, (1, 2, 3)
+BINS, ORDERS = 16, (1, 2, 3)
 PENALTY = 9.0  # of a change of language, in nats
 LEAST_SHARE, NOT_CANDIDATE = 0.002, -40.0  # of a language's letters in a script; nats
-WORDS = 500_000  # different words held by a worker
-TOGETHER = 4096  # texts decoded side by side
+WORDS = 400_000  # different words held by a worker
+TOGETHER = 2048  # texts decoded side by side
 #: First code points of script ranges, Latin first; what lies between is by the nearest start below.
 SCRIPTS = [0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0700, 0x0900, 0x0980, 0x0A00, 0x0A80, 0x0B00, 0x0B80, 0x0C00, 0x0C80, 0x0D00,
            0x0D80, 0x0E00, 0x0E80, 0x0F00, 0x1000, 0x10A0, 0x1100, 0x1200, 0x1380, 0x1780, 0x1800, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x30A0,
