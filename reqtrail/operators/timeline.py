@@ -321,7 +321,7 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
 
 def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
                          po_worklist: DataFrame, as_of: dt.datetime | Column | None = None,
-                         null_req: str = "each", worklist_order: str = "Appr_Inst",
+                         null_req: str = "each", worklist_order: str | None = None,
                          req_worklist: DataFrame | None = None, require_worklist: bool = False,
                          include_req_worklist: bool = False, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(classified requisitions, flat timeline events) from the source tables.
@@ -340,23 +340,6 @@ def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_
     return _classified_view(wide), events
 
 
-def build_timeline(classified: DataFrame, req: DataFrame, po: DataFrame, po_worklist: DataFrame,
-                   as_of: dt.datetime | Column | None = None, worklist_order: str = "Appr_Inst",
-                   req_worklist: DataFrame | None = None) -> DataFrame:
-    """Flat timeline events of every complete requisition of ``classified``.
-
-    Output: REQ_No, PO_No, seq (construction order: REQ creation, REQ approval, PO
-    creation, PO approval if dated, worklist steps, then REQ steps if given),
-    ID, Start_DTTM, End_DTTM, EventType, Text, Person, Internal, Neutral, Auto, Lifecycle.
-    Prefer ``requisition_timeline`` when starting from the source tables.
-    """
-    done = (classified.where(F.col("cls") == COMPLETE).select("REQ_No", F.col("PO_No").alias("link_po"))
-                      .join(req.select("REQ_No", *REQ_FIELDS), "REQ_No")
-                      .join(po.select(F.col("PO_No").alias("link_po"),
-                                      *[F.col(k).alias(v) for k, v in PO_FIELDS.items()]), "link_po"))
-    return _events_from_done(done, po_worklist, as_of, worklist_order, req_worklist)
-
-
 def timeline_documents(classified: DataFrame, events: DataFrame) -> DataFrame:
     """One document per requisition; complete ones carry ``events`` in ``seq`` order.
 

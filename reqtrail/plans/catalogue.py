@@ -9,11 +9,13 @@ snapshots overlap in keys.
 from __future__ import annotations
 
 import datetime as dt
+from collections import OrderedDict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reqtrail import schemas as S
 from reqtrail.functions import headers as H
 from reqtrail.functions.nulls import DEFAULT_DUE, fill_columns, fill_timestamp, is_missing, text_or_empty
 from reqtrail.functions.text import decode, matches_from_start, strip_ws, template
@@ -21,6 +23,7 @@ from reqtrail.operators import keyed, link, merge, nest, timeline
 from reqtrail.plans import fixtures as fx
 from reqtrail.plans.job_queries import JOBS
 from reqtrail.plans.oracle_views import LI_ORDER, with_views
+from reqtrail.session import materialize
 
 # Fixed value: the "now" of every catalogue query, so results are reproducible.
 AS_OF = dt.datetime(2030, 1, 1)
@@ -99,17 +102,19 @@ def null_defaults(spark, sf_dir):
                          is_missing("Quantity", numeric=True).alias("qty_missing"))  # F6
 
 
+NEST_MAP = OrderedDict([("Business_Unit", "Department.Number"), ("Buyer", "Vendor.Number"), ("Approved_By", "Vendor.Name"),
+                        ("Site", "Ship_To.Description"), ("Status", "Status")])
+
+
 @query("nest_struct_roundtrip", """
 select REQ_No, Business_Unit as Dept_Number, Buyer as Vendor_Number, Approved_By as Vendor_Name,
        concat('Site ', cast(Business_Unit as string)) as Ship_To_Description, Status
 from fx_req""")
 def nest_struct_roundtrip(spark, sf_dir):
     r = fx.fx_req(_t(spark, sf_dir))
-    doc = r.select("REQ_No", "Status",
-                   F.struct(F.col("Business_Unit").alias("Number")).alias("Department"),
-                   F.struct(F.col("Buyer").alias("Number"), F.col("Approved_By").alias("Name")).alias("Vendor"),
-                   F.struct(F.concat(F.lit("Site "), F.col("Business_Unit").cast("string")).alias("Description"))
-                    .alias("Ship_To"))
+    r = r.withColumn("Site", F.concat(F.lit("Site "), F.col("Business_Unit").cast("string")))
+    # P3 + P4 by the loaders' own projection; the nested documents are written and read back.
+    doc = materialize(S.project(r, NEST_MAP, keep=["REQ_No"]), "nested")
     return doc.select("REQ_No", F.col("Department.Number").alias("Dept_Number"),
                       F.col("Vendor.Number").alias("Vendor_Number"), F.col("Vendor.Name").alias("Vendor_Name"),
                       F.col("Ship_To.Description").alias("Ship_To_Description"), "Status")
@@ -226,7 +231,11 @@ def replace_all_last_wins(spark, sf_dir):
 select event_id, user_id as Req_ID, coalesce(case when event_type = 'click' then null else props end, '') as Req_Descr,
        event_type as Req_Status, case when event_type = 'view' then null else ts end as Req_Created_Date,
        value as Req_Total
-from events""")
+from events where event_type <> 'purchase'
+union all
+select event_id, user_id, coalesce(case when event_type = 'click' then null else props end, ''), event_type,
+       case when event_type = 'view' then null else ts end, value
+from events where event_type <> 'error'""")
 def replace_all_append(spark, sf_dir):
     e = _t(spark, sf_dir).events
     snap = e.select("event_id", e.user_id.alias("Req_ID"),
@@ -234,8 +243,10 @@ def replace_all_append(spark, sf_dir):
                     e.event_type.alias("Req_Status"),
                     F.when(e.event_type != "view", e.ts).alias("Req_Created_Date"),  # D1: dates stay NULL
                     e.value.alias("Req_Total"))
-    # The collection is dropped and every row inserted (K3 + K4): the snapshot is the table.
-    return merge.replace_all(snap)
+    # The collection is dropped and one snapshot stored (K3); every row of the next one is inserted,
+    # also those that are there already (K4).
+    stored = materialize(merge.replace_all(snap.where(F.col("Req_Status") != "purchase")), "early-warnings")
+    return merge.append(stored, snap.where(F.col("Req_Status") != "error"))
 
 
 @query("accumulate_first_vendor", """
@@ -389,13 +400,15 @@ def item_master_alias(spark, sf_dir):
         F.concat(li.l_suppkey.cast("string"), F.lit("-"), li.l_partkey.cast("string")).alias("Mfg_Itm_ID"),
         *[li[c] for c in fx.LINEITEM_ORDER])
     rows = rows.withColumn("Item", strip_ws("Item"))                        # F1 on the id
-    header = keyed.first_per_key(rows, ["Item"], fx.LINEITEM_ORDER,
-                                 cols=["Descr", "Item_Group", "GDescr", "Itm_Status_Dt"])  # A3
-    header = header.select(F.col("Item").alias("Item_No"), F.col("Descr").alias("Item_Description"),
-                           F.col("Item_Group").alias("Group_Number"), F.col("GDescr").alias("Group_Description"),
-                           F.col("Itm_Status_Dt").alias("Status_Date"))
-    subs = rows.select(F.col("Item").alias("Item_No"), "Mfg_ID", F.col("Mfg_Itm_ID").alias("Mfg_Item_ID"))  # K5
-    return header.join(subs, "Item_No")
+    # A3 and K5 in one pass: the first row's fields next to every substitute of the item. The minimum is
+    # taken in the map tasks first; the report is written once, since both sides read it.
+    rows = materialize(rows.select("Item", "Mfg_ID", "Mfg_Itm_ID", F.struct(
+        *fx.LINEITEM_ORDER, "Descr", "Item_Group", "GDescr", "Itm_Status_Dt").alias("_r")), "item-report")
+    header = rows.groupBy("Item").agg(F.min("_r").alias("_h"))
+    return rows.join(header, "Item").select(
+        F.col("Item").alias("Item_No"), F.col("_h.Descr").alias("Item_Description"), F.col("_h.Item_Group").alias("Group_Number"),
+        F.col("_h.GDescr").alias("Group_Description"), F.col("_h.Itm_Status_Dt").alias("Status_Date"),
+        "Mfg_ID", F.col("Mfg_Itm_ID").alias("Mfg_Item_ID"))
 
 
 LINK_SQL = f"""
@@ -448,7 +461,7 @@ with n as (select PO_No, Appr_Inst, Work_List, Approval_Number, Appr_Stat,
 select * from o where PO_No not in (select PO_No from n)
 union all select * from n""")
 def worklist_legacy_shape(spark, sf_dir):
-    wl = fx.fx_po_worklist(_t(spark, sf_dir))
+    wl = materialize(fx.fx_po_worklist(_t(spark, sf_dir)), "worklist-report")  # read by both snapshots and for the keys
 
     def shape(df, src):
         # Each row keeps its own dates; a missing date stays NULL.
@@ -620,18 +633,27 @@ def req_worklist_events(spark, sf_dir):
     return timeline.req_worklist_events(fx.fx_req_worklist(_t(spark, sf_dir)))
 
 
-def _timeline(spark, sf_dir):
+def _timeline(spark, sf_dir, req_steps: bool = False):
     t, req, lnk, po, pl = _inputs(spark, sf_dir)
-    return timeline.requisition_timeline(req, lnk, po, pl, fx.fx_po_worklist(t), as_of=AS_OF)
+    return timeline.requisition_timeline(req, lnk, po, pl, fx.fx_po_worklist(t), as_of=AS_OF, worklist_order="Appr_Inst",
+                                         req_worklist=fx.fx_req_worklist(t) if req_steps else None, include_req_worklist=req_steps)
+
 
+EVENT_FIELDS = "REQ_No, PO_No, seq, ID, Start_DTTM, End_DTTM, EventType, Text, Person, Internal, Neutral, Auto, Lifecycle"
 
-@query("timeline_events", "select REQ_No, PO_No, seq, ID, Start_DTTM, End_DTTM, EventType, Text, Person, Internal, "
-                          "Neutral, Auto, Lifecycle from ox_timeline")
+
+@query("timeline_events", f"select {EVENT_FIELDS} from ox_timeline")
 def timeline_events(spark, sf_dir):
     return _timeline(spark, sf_dir)[1]
 
 
-@query("timeline_documents", f"""
+@query("timeline_events_req_steps", f"select {EVENT_FIELDS} from ox_timeline_req_steps")
+def timeline_events_req_steps(spark, sf_dir):
+    """L16 with the T5 branch: the requisition's own approval steps follow those of its PO."""
+    return _timeline(spark, sf_dir, req_steps=True)[1]
+
+
+@query("timeline_summary", f"""
 with c as ({CLASS_SQL}),
      e as (select REQ_No, count(*) as n_events, min(Start_DTTM) as first_start, max(End_DTTM) as last_end,
                   min(case when seq = 0 then EventType end) as first_type,
@@ -640,11 +662,25 @@ with c as ({CLASS_SQL}),
 select c.REQ_No, c.PO_No, c.Business_Unit, c.cls, c.Complicated, c.Footnote, coalesce(e.n_events, 0) as n_events,
        e.first_start, e.last_end, e.first_type, l.last_text
 from c left join e on e.REQ_No = c.REQ_No left join l on l.REQ_No = c.REQ_No""")
-def timeline_documents(spark, sf_dir):
+def timeline_summary(spark, sf_dir):
     cls, ev = _timeline(spark, sf_dir)
     return timeline.timeline_summary(cls, ev)
 
 
+@query("timeline_documents", f"""
+select c.REQ_No, c.PO_No, c.Business_Unit, c.Complicated, c.cls,
+       cast(row_number() over (partition by c.REQ_No order by e.seq) - 1 as integer) as pos,
+       e.ID, e.Start_DTTM, e.End_DTTM, e.EventType, e.Text, e.Person, e.Internal, e.Neutral, e.Auto, e.Lifecycle
+from ({CLASS_SQL}) c left join ox_timeline e on e.REQ_No = c.REQ_No""")
+def timeline_documents(spark, sf_dir):
+    """The nested documents (T6), written, read back and taken apart again; a document without events is one row."""
+    cls, ev = _timeline(spark, sf_dir)
+    docs = materialize(timeline.timeline_documents(cls, ev), "timeline-documents")
+    flat = docs.select("REQ_No", "PO_No", "Business_Unit", "Complicated", "cls", F.posexplode_outer("events").alias("pos", "e"))
+    return flat.select("REQ_No", "PO_No", "Business_Unit", "Complicated", "cls",
+                       F.coalesce(F.col("pos"), F.lit(0)).cast("int").alias("pos"), "e.*")
+
+
 # ---------------------------------------------------------------- dataset jobs
 
 def _job(run):

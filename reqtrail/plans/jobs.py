@@ -206,13 +206,18 @@ def accumulate_missing_pos(snapshot: DataFrame, missing_po: DataFrame) -> DataFr
 
 def build_timelines(req: DataFrame, req_line: DataFrame, po: DataFrame, po_line: DataFrame,
                     po_worklist: DataFrame, as_of: dt.datetime | Column | None = None, null_req: str = "each",
-                    req_worklist: DataFrame | None = None, require_worklist: bool = False
+                    req_worklist: DataFrame | None = None, require_worklist: bool = False,
+                    include_req_worklist: bool = False, documents: bool = False
                     ) -> tuple[DataFrame, DataFrame]:
-    """(TIMELINE documents, flat events) from the stored tables (K3: replace-all)."""
+    """(classified requisitions, flat events) from the stored tables (K3: replace-all).
+
+    With ``documents`` the first table holds the nested documents instead: one array of all
+    events per requisition, for readers that need that shape.
+    """
     po_number = F.col("PO.PO_Number") if "PO" in req_line.columns else F.lit(None).cast("string")
     link_rows = req_line.select("REQ_No", po_number.alias("PO_Number"))
     lines = po_line.select("PO_No", F.col("Requisition_Data.Req_ID").alias("Req_ID"))
     classified, events = timeline.requisition_timeline(
         req, link_rows, po, lines, po_worklist, as_of=as_of, null_req=null_req, worklist_order=ORD,
-        req_worklist=req_worklist, require_worklist=require_worklist)
-    return timeline.timeline_documents(classified, events), events
+        req_worklist=req_worklist, require_worklist=require_worklist, include_req_worklist=include_req_worklist)
+    return timeline.timeline_documents(classified, events) if documents else classified, events

@@ -104,6 +104,19 @@ from (
   from ox_class c join ox_wl_events w on w.PO_No = c.link_po where c.cls = 'complete'
 ) e"""
 
+VIEWS["ox_timeline_req_steps"] = """select e.REQ_No, e.PO_No, e.seq, e.ID, e.Start_DTTM, e.EventType, e.Text, e.Person, e.Internal, e.Neutral, e.Auto, e.Lifecycle,
+       case when e.Start_DTTM is not null then coalesce(lead(e.Start_DTTM) over (
+           partition by e.REQ_No order by e.Start_DTTM asc nulls last, e.seq), TIMESTAMP '2030-01-01 00:00:00') end as End_DTTM
+from (
+  select REQ_No, PO_No, seq, ID, Start_DTTM, EventType, Text, Person, Internal, Neutral, Auto, Lifecycle from ox_timeline
+  union all
+  select w.REQ_No, c.link_po,
+         cast(n.n + row_number() over (partition by w.REQ_No order by w.Date_Time asc nulls last, cast(w.Appr_Inst as string)) - 1 as integer),
+         cast(w.Appr_Inst as string), w.Date_Time, '', '', '', false, false, false, ''
+  from fx_req_worklist w join ox_class c on c.REQ_No = w.REQ_No and c.cls = 'complete'
+  join (select REQ_No, count(*) as n from ox_timeline group by REQ_No) n on n.REQ_No = w.REQ_No
+) e"""
+
 _ORDER = list(VIEWS)
 
 

@@ -25,7 +25,7 @@ def test_counts_match_published_numbers(spark, sf):
         pytest.skip("driver tables not present")
     t = fx.Tables(spark, d)
     cls, ev = T.requisition_timeline(fx.fx_req(t), fx.fx_link(t), fx.fx_po(t), fx.fx_po_line(t),
-                                     fx.fx_po_worklist(t), as_of=AS_OF)
+                                     fx.fx_po_worklist(t), as_of=AS_OF, worklist_order="Appr_Inst")
     c = {(r["cls"], r["cause"]): r["n"] for r in cls.groupBy("cls", "cause").agg(F.count("*").alias("n")).collect()}
     got = (c.get(("SPLITREQ", None), 0), c.get(("BundledPO", None), 0), c.get(("NoValidPO", "none"), 0),
            c.get(("NoValidPO", "mismatch"), 0), c.get(("NoValidPO", "invalid"), 0), c.get(("complete", None), 0))

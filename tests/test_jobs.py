@@ -94,7 +94,7 @@ def test_procurement_pipeline(spark):
     assert sorted(r["PO_No"] for r in po_worklist.collect()) == ["P1", "P1"]     # P9 has no PO: ignored
     assert {r["Work_List"] for r in po_worklist.collect()} == {"Central Procurement", ""}
 
-    docs, events = jobs.build_timelines(req, req_line, po, po_line, po_worklist, as_of=AS_OF)
+    docs, events = jobs.build_timelines(req, req_line, po, po_line, po_worklist, as_of=AS_OF, documents=True)
     d = {r["REQ_No"]: r for r in docs.collect()}
     assert d[100]["cls"] == "complete" and d[100]["PO_No"] == "P1"
     assert [e["Text"] for e in d[100]["events"]] == ["REQ Creation by bob", "REQ Approved by ann", "PO Creation",

@@ -1,6 +1,8 @@
 """Golden micro-fixtures for classification and timeline rules (FIXTURES.md §4)."""
 from __future__ import annotations
 
+from functools import partial
+
 import pytest
 from conftest import rows, ts
 
@@ -18,6 +20,8 @@ WL = ("PO_No string, Appr_Inst long, Work_List string, Approval_Number string, A
       "Event_Date_Time timestamp_ntz, User string")
 AS_OF = ts(2030, 1, 1)
 
+timeline_of = partial(T.requisition_timeline, worklist_order="Appr_Inst")  # unique in these rows
+
 
 def req_row(n, bu="A"):
     return (n, bu, f"buyer{n}", ts(2020, 1, 1), f"boss{n}", ts(2020, 1, 3))
@@ -41,7 +45,7 @@ def test_complete_request_events(spark):
           ("P1", 11, "Budget", "2", "A", ts(2020, 1, 8), "u2"),
           ("P1", 12, "Budget", "1", "A", ts(2020, 1, 8), "u3")]
     req, pos = spark.createDataFrame([req_row(1)], REQ), spark.createDataFrame([po_row("P1")], PO)
-    classified, ev = T.requisition_timeline(req, spark.createDataFrame([(1, "P1")], LINK), pos,
+    classified, ev = timeline_of(req, spark.createDataFrame([(1, "P1")], LINK), pos,
                                             spark.createDataFrame([("P1", 1)], PO_LINE),
                                             spark.createDataFrame(wl, WL), as_of=AS_OF)
     assert cls_of(classified) == {1: ("complete", None)}
@@ -67,7 +71,7 @@ def test_construction_order_kept_and_ties(spark):
     # PO created before the REQ approval: stored order stays construction order
     req = spark.createDataFrame([req_row(1)], REQ)
     pos = spark.createDataFrame([po_row("P1", created=ts(2020, 1, 2), appr=ts(2020, 1, 3))], PO)
-    _, ev = T.requisition_timeline(req, spark.createDataFrame([(1, "P1")], LINK), pos,
+    _, ev = timeline_of(req, spark.createDataFrame([(1, "P1")], LINK), pos,
                                    spark.createDataFrame([("P1", 1)], PO_LINE), spark.createDataFrame([], WL),
                                    as_of=AS_OF)
     got = rows(ev, "seq")
@@ -131,7 +135,7 @@ def test_validity(spark, status, appr, expected):
 def test_cancelled_has_no_po_approval_event(spark):
     req = spark.createDataFrame([req_row(1)], REQ)
     pos = spark.createDataFrame([po_row("P1", status="X", appr=None)], PO)
-    _, ev = T.requisition_timeline(req, spark.createDataFrame([(1, "P1")], LINK), pos,
+    _, ev = timeline_of(req, spark.createDataFrame([(1, "P1")], LINK), pos,
                                    spark.createDataFrame([("P1", 1)], PO_LINE), spark.createDataFrame([], WL),
                                    as_of=AS_OF)
     assert [r["EventType"] for r in rows(ev, "seq")] == ["Creation", "Approval", "Creation"]
@@ -151,7 +155,7 @@ def test_worklist_rule(spark):
 
 def test_null_start_sorts_last(spark):
     req = spark.createDataFrame([(1, "A", "b", None, "a", ts(2020, 1, 3))], REQ)
-    _, ev = T.requisition_timeline(req, spark.createDataFrame([(1, "P1")], LINK),
+    _, ev = timeline_of(req, spark.createDataFrame([(1, "P1")], LINK),
                                    spark.createDataFrame([po_row("P1")], PO),
                                    spark.createDataFrame([("P1", 1)], PO_LINE), spark.createDataFrame([], WL),
                                    as_of=AS_OF)
@@ -167,7 +171,7 @@ def test_partitioning_does_not_change_results(spark):
     base = None
     for n in (1, 7):
         req = spark.createDataFrame([req_row(1)], REQ).repartition(n)
-        _, ev = T.requisition_timeline(req, spark.createDataFrame([(1, "P1")], LINK),
+        _, ev = timeline_of(req, spark.createDataFrame([(1, "P1")], LINK),
                                        spark.createDataFrame([po_row("P1")], PO),
                                        spark.createDataFrame([("P1", 1)], PO_LINE),
                                        spark.createDataFrame(wl, WL).repartition(n), **args)
@@ -178,7 +182,7 @@ def test_partitioning_does_not_change_results(spark):
 
 def test_timeline_documents(spark):
     req = spark.createDataFrame([req_row(1), req_row(2)], REQ)
-    cls, ev = T.requisition_timeline(req, spark.createDataFrame([(1, "P1")], LINK),
+    cls, ev = timeline_of(req, spark.createDataFrame([(1, "P1")], LINK),
                                      spark.createDataFrame([po_row("P1")], PO),
                                      spark.createDataFrame([("P1", 1)], PO_LINE), spark.createDataFrame([], WL),
                                      as_of=AS_OF)
@@ -213,7 +217,7 @@ def test_end_times_equal_general_definition_with_ties(spark):
     pos = [(f"P{i}", "A", "pb", "pa", day(), "A", day() if rnd.random() > 0.4 else None) for i in range(40)]
     wl = [(f"P{rnd.randint(0, 39)}", n, "w", str(rnd.randint(0, 2)), "A", day() if rnd.random() > 0.1 else None, "u")
           for n in range(300)]
-    _, ev = T.requisition_timeline(spark.createDataFrame(reqs, REQ),
+    _, ev = timeline_of(spark.createDataFrame(reqs, REQ),
                                    spark.createDataFrame([(i, f"P{i}") for i in range(40)], LINK),
                                    spark.createDataFrame(pos, PO),
                                    spark.createDataFrame([(f"P{i}", i) for i in range(40)], PO_LINE),
@@ -235,7 +239,7 @@ def test_hot_requisition_spans_partitions(spark):
           for n in range(700)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        _, ev = T.requisition_timeline(spark.createDataFrame(reqs, REQ),
+        _, ev = timeline_of(spark.createDataFrame(reqs, REQ),
                                        spark.createDataFrame([(i, f"P{i}") for i in range(6)], LINK),
                                        spark.createDataFrame(pos, PO),
                                        spark.createDataFrame([(f"P{i}", i) for i in range(6)], PO_LINE),
@@ -254,14 +258,3 @@ def test_hot_requisition_spans_partitions(spark):
     for po, want in steps.items():
         auto = [i > 0 and want[i - 1][1] == at for i, (_, at) in enumerate(want)]
         assert by_po[po] == [(n, a) for (n, _), a in zip(want, auto)]
-
-
-def test_build_timeline_from_classified_equals_requisition_timeline(spark):
-    wl = [("P1", 10, "Central Procurement", "1", "I", ts(2020, 1, 7), "u1"),
-          ("P1", 11, "Budget", "2", "A", ts(2020, 1, 8), "u2")]
-    req, pos = spark.createDataFrame([req_row(1), req_row(2)], REQ), spark.createDataFrame([po_row("P1")], PO)
-    link, lines = spark.createDataFrame([(1, "P1")], LINK), spark.createDataFrame([("P1", 1)], PO_LINE)
-    worklist = spark.createDataFrame(wl, WL)
-    cls, ev = T.requisition_timeline(req, link, pos, lines, worklist, as_of=AS_OF)
-    again = T.build_timeline(T.classify_requests(req, link, pos, lines), req, pos, worklist, as_of=AS_OF)
-    assert sorted(tuple(r) for r in ev.collect()) == sorted(tuple(r) for r in again.collect())
