@@ -1,14 +1,16 @@
 """Apply report snapshots as they land, with the same batch loaders.
 
-The source system loads one full dated snapshot per run. This module only
-changes *when* a loader runs: a file-stream source watches the snapshot folder
-and every micro-batch (the files that arrived) goes through a loader from
-``reqtrail.plans.jobs`` inside ``foreachBatch``. Results are committed as new
-table versions, so a batch that fails leaves the previous version current, and
-a replayed batch id is skipped (the commit marker names the batch).
+The source system loads one full dated snapshot per run. This module only changes *when* a loader
+runs: a file-stream source watches the snapshot folder, and every micro-batch (the files that
+arrived) goes through a loader from ``reqtrail.plans.jobs`` inside ``foreachBatch``: once for each
+snapshot in it, in order of their dates, as separate runs would have done. All tables of one run
+become current together, by one commit marker, so a run that fails anywhere leaves every table as it
+was. A marker names the dataset, the stream and its batch: a replayed run is skipped, and runs of other
+streams into the same tables are not mistaken for it.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,67 +22,85 @@ from reqtrail.sources.snapshot import ORD
 
 
 class TableStore:
-    """Versioned Parquet tables under ``base``: ``{base}/{table}/v=.../`` plus a commit log.
+    """Versioned Parquet tables under ``base``: ``{base}/{table}/v=.../`` plus one commit log.
 
-    The current version of a table is the one named by its newest commit marker,
-    so a half-written version folder is never read. Listing and markers go through
-    the Hadoop file system API of the session (works on HDFS/S3/local alike).
+    A commit is one empty file whose name holds its number, the tag of its run and the version of each
+    table it makes current, so it appears at once or not at all. Two commits with one
+    number are possible when two runs end together; the one whose name sorts first stands, the
+    other is withdrawn. Listing and markers go through the Hadoop file system API of the session
+    (works on HDFS/S3/local alike).
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._path(self.base).getFileSystem(conf)
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._log = f"{self.base}/_commits"
+
+    def _commits(self) -> list[tuple[int, str, dict[str, str]]]:
+        """(number, tag, versions by table) of every commit that stands, in order."""
+        log, out = self._path(self._log), []
+        names = sorted(st.getPath().getName() for st in self._fs.listStatus(log)) if self._fs.exists(log) else []
+        for name in names:
+            number, tag, tables = name.split("~")
+            if not out or out[-1][0] != int(number):
+                out.append((int(number), tag, dict(t.split("@") for t in tables.split("+"))))
+        return out
 
-    def _log(self, table: str) -> str:
-        return f"{self.base}/_commits/{table}"
+    def current(self, table: str) -> DataFrame | None:
+        for _, _, versions in reversed(self._commits()):
+            if table in versions:
+                return self.spark.read.parquet(f"{self.base}/{table}/v={versions[table]}")
+        return None
 
-    def _commits(self, table: str) -> list[str]:
-        log = self._path(self._log(table))
-        if not self._fs.exists(log):
-            return []
-        return sorted(st.getPath().getName() for st in self._fs.listStatus(log))
+    def committed(self, tag: str) -> bool:
+        return any(t == tag for _, t, _ in self._commits())
 
-    def current(self, table: str) -> DataFrame | None:
-        commits = self._commits(table)
-        if not commits:
-            return None
-        version = commits[-1].split("__", 1)[1]
-        return self.spark.read.parquet(f"{self.base}/{table}/{version}")
+    def commit(self, tables: dict[str, DataFrame], tag: str, after: int) -> bool:
+        """Write the tables and make them current together; False if another run committed since number ``after``."""
+        versions = {name: write_version(df, self.base, name).rsplit("/v=", 1)[1] for name, df in tables.items()}
+        if self.last() != after:
+            return False
+        marker = self._path(f"{self._log}/{after + 1:012d}~{tag}~{'+'.join(f'{t}@{v}' for t, v in versions.items())}")
+        self._fs.create(marker, False).close()
+        if not self.committed(tag):
+            self._fs.delete(marker, False)  # another run took the number
+            return False
+        return True
+
+    def last(self) -> int:
+        return max((n for n, _, _ in self._commits()), default=0)
 
-    def committed(self, table: str, tag: str) -> bool:
-        return any(c.split("__", 1)[0].endswith("-" + tag) for c in self._commits(table))
 
-    def commit(self, table: str, df: DataFrame, tag: str) -> str:
-        path = write_version(df, self.base, table)
-        n = len(self._commits(table))
-        marker = f"{self._log(table)}/{n:012d}-{tag}__{path.rsplit('/', 1)[1]}"
-        self._fs.create(self._path(marker), False).close()
-        return path
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when its checkpoint was made."""
+    return spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
 
 
 def apply_snapshots(spark: SparkSession, source_dir: str, schema: T.StructType, store: TableStore,
                     loader: Callable[..., DataFrame | tuple[DataFrame, ...]], tables: Sequence[str],
-                    checkpoint: str, fmt: str = "parquet"):
-    """Run ``loader(snapshot, *current_tables) -> new tables`` for every batch of new files.
+                    checkpoint: str, fmt: str = "parquet", dataset: str | None = None):
+    """Run ``loader(snapshot, *current_tables) -> new tables`` for every snapshot in every batch of new files.
 
-    ``tables`` names the loader's table arguments and results, in order. Returns the
+    ``tables`` names the loader's table arguments and results, in order. A snapshot is the files of one
+    ``snapshot_date=`` folder, or of one folder where there is none; its name orders it. Returns the
     started query (``trigger(availableNow=True)``: processes what is there, then stops).
     """
+    path = F.col("_metadata.file_path")
+    dated = F.regexp_extract(path, "snapshot_date=([^/]+)", 1)
     stream = (spark.readStream.schema(schema).format(fmt).load(source_dir)
-                   .withColumn(ORD, F.struct(F.col("_metadata.file_path").alias("f"),
-                                             F.col("_metadata.row_index").alias("r"))))
+                   .withColumn(ORD, F.struct(path.alias("f"), F.col("_metadata.row_index").alias("r")))
+                   .withColumn("_snapshot", F.when(dated != "", dated).otherwise(F.regexp_extract(path, "([^/]+)/[^/]+$", 1))))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        tag = f"b{batch_id}"
-        if all(store.committed(t, tag) for t in tables):
-            return  # replay of a committed batch
-        out = loader(batch, *[store.current(t) for t in tables])
-        out = out if isinstance(out, tuple) else (out,)
-        for name, df in zip(tables, out):
-            store.commit(name, df, tag)
+        name = f"{dataset or loader.__name__}:{_stream_id(spark, checkpoint)}"
+        for (snapshot,) in sorted(batch.select("_snapshot").distinct().collect()):  # the days that wait
+            tag = hashlib.sha1(f"{name}:{batch_id}:{snapshot}".encode()).hexdigest()[:20]
+            done = store.committed(tag)  # a replay of a committed run
+            while not done:
+                after = store.last()
+                out = loader(batch.where(F.col("_snapshot") == snapshot).drop("_snapshot"), *[store.current(t) for t in tables])
+                done = store.commit(dict(zip(tables, out if isinstance(out, tuple) else (out,))), tag, after)
 
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
                   .trigger(availableNow=True).start())
