@@ -12,8 +12,8 @@ from reqtrail.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session(4, shuffle_partitions=4, driver_memory="4g")
+def spark(tmp_path_factory):
+    s = local_session(4, shuffle_partitions=4, driver_memory="4g", checkpoint_dir=str(tmp_path_factory.mktemp("checkpoint")))
     yield s
     s.stop()
 
