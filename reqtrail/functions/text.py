@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 
 # Approval status code -> label used for worklist event types.
 WORKLIST_STATUS = {"I": "Initiated", "A": "Approved", "D": "Denied"}
-# PO header status code -> label (declared by the source system; not used by the timeline).
-PO_STATUS = {"A": "Approved", "C": "Complete", "D": "Dispatched", "I": "Initial", "O": "Open",
-             "PA": "Pending Approval", "PX": "Pending Cancel", "X": "Cancelled"}
 # Fixed value: a worklist whose name (first line) contains this word is handled inside procurement.
 INTERNAL_WORD = "procurement"
 

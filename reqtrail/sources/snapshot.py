@@ -24,7 +24,7 @@ def read_snapshot(spark: SparkSession, base: str, dataset: str, date: str, schem
 
     Parquet/JSON carry their own order through ``_metadata``; ``_ord`` is then the
     (file, row) position. Delimited text may start with banner lines above the
-    header; those are dropped by position (see ``read_delimited``).
+    header; those are dropped and columns bound by name (see ``read_delimited``).
     """
     path = snapshot_path(base, dataset, date)
     if fmt == "csv":
@@ -52,40 +52,67 @@ def read_snapshots(spark: SparkSession, base: str, dataset: str, schema: T.Struc
                                        F.col("_metadata.row_index").alias("r")))
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType, skip_lines: int = 1,
-                   sep: str = ",") -> DataFrame:
-    """S1 for delimited text: drop ``skip_lines`` banner lines and the header line.
+#: Cells read for a row beyond those of the first file's header, for files that have more columns.
+SPARE_CELLS = 16
+MALFORMED = "_malformed"
 
-    A large file is read as several splits that Spark may pack into partitions in
-    any order. Lines are therefore located by (file, split start offset, line id):
-    ids are consecutive inside a split, and the banner and header are the first
-    lines of the split that starts at offset 0. Finding that split's first id is one
-    partial aggregation (one row per input file, a list the driver already holds
-    from file listing), so no driver loop and no RDD. ``_ord`` = (file, split start,
-    line id) is the line order of the file. Embedded newlines inside quoted cells
-    are not supported.
-    """
-    raw = (spark.read.text(path)
-                .withColumn("_file", F.col("_metadata.file_path"))
-                .withColumn("_block", F.col("_metadata.file_block_start"))
-                .withColumn("_line", F.monotonically_increasing_id()))
-    firsts = raw.where(F.col("_block") == 0).groupBy("_file").agg(F.min("_line").alias("_first"))
-    head = (F.col("_block") == 0) & (F.col("_line") - F.col("_first") <= skip_lines)
-    body = raw.join(F.broadcast(firsts), "_file").where(~head)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = body.select(F.from_csv(F.col("value"), ddl, {"sep": sep}).alias("_r"),
-                         F.struct(F.col("_file").alias("f"), F.col("_block").alias("b"),
-                                  F.col("_line").alias("r")).alias(ORD))
-    return parsed.select("_r.*", ORD)
-
-
-def header_of(spark: SparkSession, path: str, skip_lines: int = 1, sep: str = ",") -> list[str]:
-    """The raw header names of a delimited snapshot (the line after the banner).
-
-    Reads only the first ``skip_lines + 1`` lines of one file: metadata, not data.
-    """
-    first = spark.read.text(path).limit(skip_lines + 1).collect()
-    return first[skip_lines][0].split(sep)
 
+def _cells(spark: SparkSession, path: str, n: int, sep: str, multi_line: bool) -> DataFrame:
+    """(_file, _block, _line, _cells): the rows of delimited files as text cells, with their place.
 
-__all__ = ["snapshot_path", "read_snapshot", "read_snapshots", "read_delimited", "header_of", "ORD"]
+    With ``multi_line`` a quoted cell may hold line breaks and a file is read by one task (many files
+    by many); without, a large file is read in splits, whose lines have consecutive ids.
+    """
+    ddl = ", ".join(f"c{i} string" for i in range(n))
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    place = {"_file": F.col("_metadata.file_path"), "_line": F.monotonically_increasing_id()}
+    cells = F.array(*[F.col(f"c{i}") for i in range(n)])
+    if multi_line:
+        raw = spark.read.schema(ddl).options(multiLine=True, **options).csv(path)
+        return raw.withColumns(place).select("_file", F.lit(0).cast("long").alias("_block"), "_line", cells.alias("_cells"))
+    raw = spark.read.text(path).withColumns(place).withColumn("_block", F.col("_metadata.file_block_start"))
+    return raw.withColumn("_r", F.from_csv("value", ddl, options)).select("_file", "_block", "_line", "_r.*").select(
+        "_file", "_block", "_line", cells.alias("_cells"))
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, skip_lines: int = 1, sep: str = ",",
+                   multi_line: bool = True, bind: str = "name") -> DataFrame:
+    """S1 for delimited text: drop ``skip_lines`` banner lines, bind columns to the header line below.
+
+    Every file has its own header: ``bind="name"`` takes each field of ``schema`` from the column of that
+    name, wherever it stands, and fails if a file has none; ``bind="position"`` takes them in order, for reports
+    that repeat a column name. Cells are read as text and cast, so ids keep their zeros.
+
+    Rows are located by (file, split start, line id): ids are consecutive inside a split, and banner and
+    header are the first lines of the split that starts at offset 0. The first id and the header of each file
+    are one row per file, joined by whatever plan Spark chooses for their size.
+
+    ``_ord`` is the row order of the file. ``_malformed`` names the fields whose cell does not fit their type (their
+    value is NULL), and "extra cells" for a row that is longer than its header; it is empty for good rows.
+    """
+    first = spark.read.text(path).limit(skip_lines + 1).collect()  # one file's first lines: metadata, not data
+    n = max(len(schema.fields), len(first[-1][0].split(sep)) if len(first) > skip_lines else 0) + SPARE_CELLS
+    raw = _cells(spark, path, n, sep, multi_line)
+    starts = raw.where("_block = 0").groupBy("_file").agg(F.min("_line").alias("_first"))
+    rows = raw.join(starts, "_file")
+    number = F.when(F.col("_block") == 0, F.col("_line") - F.col("_first"))
+    headers = rows.where(number == skip_lines).select("_file", F.transform("_cells", lambda x: F.trim(x)).alias("_names"))
+    body = rows.where(number.isNull() | (number > skip_lines)).join(headers, "_file")
+
+    columns = F.size(F.filter("_names", lambda x: x.isNotNull()))
+    values, misfits = [], [F.when(F.exists(F.slice("_cells", columns + 1, F.lit(n)), lambda x: x.isNotNull()), F.lit("extra cells"))]
+    for i, field in enumerate(schema.fields):
+        if bind == "name":
+            at = F.array_position("_names", field.name)
+            missing = F.raise_error(F.concat(F.lit(f"no column {field.name!r} in "), F.col("_file"))).cast("string")
+            cell = F.when(at > 0, F.get("_cells", (at - 1).cast("int"))).otherwise(missing)
+        else:
+            cell = F.get("_cells", F.lit(i))
+        value = cell.try_cast(field.dataType)
+        values.append(value.alias(field.name))
+        misfits.append(F.when(value.isNull() & (F.trim(cell) != ""), F.lit(field.name)))
+    order = F.struct(F.col("_file").alias("f"), F.col("_block").alias("b"), F.col("_line").alias("r")).alias(ORD)
+    return body.select(*values, order, F.filter(F.array(*misfits), lambda x: x.isNotNull()).alias(MALFORMED))
+
+
+__all__ = ["snapshot_path", "read_snapshot", "read_snapshots", "read_delimited", "ORD", "MALFORMED"]

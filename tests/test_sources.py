@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from reqtrail.sources.snapshot import ORD, read_delimited, read_snapshot, snapshot_path
@@ -23,7 +24,7 @@ def test_delimited_banner_and_header_are_dropped(spark):
             f.write(f"000{i},A,{i % 7},P{i},{i % 3}\n")
     schema = T.StructType([T.StructField(n, T.StringType() if n in ("Req_ID", "Unit", "PO_No") else T.IntegerType())
                            for n in ["Req_ID", "Unit", "REQ_Line", "PO_No", "PO_Line"]])
-    df = read_delimited(spark, path, schema)
+    df = read_delimited(spark, path, schema, bind="position")   # the report repeats "Line"
     got = df.orderBy(ORD).collect()
     assert len(got) == 500
     assert got[0]["Req_ID"] == "0000" and got[-1]["Req_ID"] == "000499"   # text ids keep their zeros
@@ -68,7 +69,7 @@ def test_delimited_many_splits_and_files(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        df = read_delimited(spark, d, schema)
+        df = read_delimited(spark, d, schema, multi_line=False)
         got = [r["Item"] for r in df.orderBy(ORD).collect()]
         n_parts = df.rdd.getNumPartitions()
     finally:
@@ -80,3 +81,50 @@ def test_delimited_many_splits_and_files(spark):
     for item in got:
         by_file.setdefault(item[:2], []).append(item)
     assert all(v == sorted(v) for v in by_file.values())   # _ord keeps each file's line order
+
+
+def text(tmp_path, name, *lines):
+    (tmp_path / name).write_text("\n".join(lines) + "\n")
+
+
+ITEM = T.StructType([T.StructField("Item", T.StringType()), T.StructField("Qty", T.IntegerType()), T.StructField("More Info", T.StringType())])
+
+
+def test_cells_with_line_breaks_and_moved_columns(spark, tmp_path):
+    """Each file binds by its own header; a quoted cell keeps its line breaks, quotes and separators."""
+    text(tmp_path, "a.csv", "Banner", "Item,Qty,More Info", '0001,5,"first', 'second, ""third"""', "0002,6,plain")
+    text(tmp_path, "b.csv", "Banner", "Other,More Info ,Item,Qty", "x,moved,0003,7")
+    got = read_delimited(spark, str(tmp_path), ITEM).orderBy(ORD).collect()
+    assert [(r["Item"], r["Qty"], r["More Info"]) for r in got] == [
+        ("0001", 5, 'first\nsecond, "third"'), ("0002", 6, "plain"), ("0003", 7, "moved")]
+    assert all(r["_malformed"] == [] for r in got)
+
+
+def test_malformed_rows_are_reported(spark, tmp_path):
+    text(tmp_path, "a.csv", "Banner", "Item,Qty,More Info", "0001,five,x", "0002,6,x,y,z", "0003", "0004, ,x")
+    for multi_line in (True, False):
+        got = {r["Item"]: (r["Qty"], r["_malformed"]) for r in read_delimited(spark, str(tmp_path), ITEM, multi_line=multi_line).collect()}
+        assert got == {"0001": (None, ["Qty"]), "0002": (6, ["extra cells"]), "0003": (None, []), "0004": (None, [])}
+
+
+def test_missing_column_is_an_error(spark, tmp_path):
+    text(tmp_path, "a.csv", "Banner", "Item,Quantity,More Info", "0001,5,x")
+    with pytest.raises(Exception, match="no column 'Qty'"):
+        read_delimited(spark, str(tmp_path), ITEM).collect()
+
+
+def test_many_files_without_a_forced_broadcast(spark, tmp_path, capsys):
+    for i in range(40):
+        text(tmp_path, f"{i:02d}.csv", "Banner", "Qty,Item,More Info" if i % 2 else "Item,Qty,More Info", f"{i},{i},x")
+    df = read_delimited(spark, str(tmp_path), ITEM)
+    assert sorted((int(r["Item"]), r["Qty"]) for r in df.collect()) == [(i, i) for i in range(40)]
+    df.explain("extended")
+    assert "ResolvedHint" not in capsys.readouterr().out
+
+
+def test_delimited_snapshot_by_date(spark, tmp_path):
+    folder = tmp_path / "po" / "snapshot_date=2020-01-01"
+    folder.mkdir(parents=True)
+    text(folder, "r.csv", "Banner", "Item,Qty,More Info", "0007,1,x")
+    got = read_snapshot(spark, str(tmp_path), "po", "2020-01-01", ITEM, fmt="csv").first()
+    assert (got["Item"], got["Qty"]) == ("0007", 1)
