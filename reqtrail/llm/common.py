@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reqtrail.session import ensure_checkpoint_dir, materialize  # noqa: F401  (re-exported)
+from reqtrail.session import materialize, scratch_table_path  # noqa: F401  (re-exported)
 
 #: A word, as every contract of this subpackage defines it: Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,8 +38,8 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, as a URI; nothing is written yet."""
-    return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    """A new folder under ``spark.checkpoint.dir``, as a URI; nothing is written yet. It goes with the job's scope."""
+    return scratch_table_path(spark, name)
 
 
 def mounted_path(uri: str) -> str:
