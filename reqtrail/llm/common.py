@@ -8,6 +8,7 @@ from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,8 +86,22 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-def schema(fields: str, carried: T.StructType | None = None) -> T.StructType:
-    """A schema from its text, and a column ``_carried`` if given."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """(_row, _carried): every row with an identity that stays the same however often the table is read.
+
+    For a table read from files that is its place in them; any other is written to the shared folder first.
+    """
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        return docs.select(place.alias("_row"), whole_row(docs).alias("_carried"))
+    except AnalysisException:  # not a file source, or not one that numbers its rows
+        rows = docs.select(F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row")).alias("_row"),
+                           whole_row(docs).alias("_carried"))
+        return materialize(rows, "numbered-rows")
+
+
+def schema(fields: str, carried: T.DataType | None = None) -> T.StructType:
+    """A schema from its text, and a column ``_carried`` of the given type."""
     out = T.StructType([T.StructField(name, T._parse_datatype_string(kind)) for name, kind in (f.split(" ", 1) for f in fields.split(", "))])
     return out.add("_carried", carried) if carried is not None else out
 

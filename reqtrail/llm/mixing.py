@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reqtrail.llm.common import WORD, materialize, whole_row
+from reqtrail.llm.common import WORD, materialize, numbered
 
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2  # of all sizes; of a source's and a document's size
@@ -137,7 +137,7 @@ def mix(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str =
 def mixed(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
-    rows = materialize(docs.select(whole_row(docs).alias("_carried")).withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    numbered = rows.select("_row", *(F.col("_carried").getField(c).alias(c) for c in (id_col, text_col, source_col)))
-    copies = mix(numbered, seed, id_col, text_col, source_col, weights, share, "_row").where("copies > 0").select("_row", "copies")
+    rows = numbered(docs)
+    slim = rows.select("_row", *(F.col("_carried").getField(c).alias(c) for c in (id_col, text_col, source_col)))
+    copies = mix(slim, seed, id_col, text_col, source_col, weights, share, "_row").where("copies > 0").select("_row", "copies")
     return rows.join(copies, "_row").select("_carried", F.explode(F.sequence(F.lit(1), "copies"))).select("_carried.*")

@@ -135,5 +135,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     spread = with_(judged, middle).groupBy("_lang").agg(
         F.first("_middle").alias("_middle"), F.percentile_approx(F.abs(F.col("perplexity") - F.col("_middle")), 0.5, 10_000).alias("_spread"))
+    # a row for each language, written so that its size is known when the join with the texts is planned
+    spread = materialize(spread, "perplexity-bands")
     within = F.abs(F.col("perplexity") - F.col("_middle")) <= F.greatest(width * 1.4826 * F.col("_spread"), least * F.col("_middle"))
     return with_(measured, spread).withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True))).drop("_middle", "_spread", "_lang")

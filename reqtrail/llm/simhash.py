@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqtrail.llm.common import materialize, schema, slices, text_bytes, whole_row
+from reqtrail.llm.common import materialize, numbered, schema, slices, text_bytes
 from reqtrail.llm.components import components
 
 SEED = 42
@@ -72,10 +72,9 @@ def fingerprints(texts: list[bytes], width: int) -> np.ndarray:
     return np.packbits(2 * ones > sizes[:, None], axis=1).view(">u8").astype(np.uint64).reshape(-1)
 
 
-def with_fingerprint(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text",
-                     carry: bool = False) -> DataFrame:
-    """(id, fingerprint as long) of every row; with ``carry`` the row itself as ``_carried``."""
-    out = schema(f"{id_col} long, fingerprint long", docs.schema if carry else None)
+def with_fingerprint(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(id, fingerprint as long) of every row; with ``row_col`` that column as ``_carried``."""
+    out = schema(f"{id_col} long, fingerprint long", docs.schema[row_col].dataType if row_col else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -83,7 +82,7 @@ def with_fingerprint(docs: DataFrame, width: int, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], names=out.names)
 
     slim = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"),
-                       *([whole_row(docs).alias("_carried")] if carry else []))
+                       *([F.col(row_col).alias("_carried")] if row_col else []))
     return slim.mapInArrow(run, out)
 
 
@@ -277,12 +276,14 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str
 
     Which rows stay is decided on ids and fingerprints alone; then the rows are filtered by a row number.
     """
-    rows = with_fingerprint(docs, width, id_col, text_col, carry=True).withColumn("_row", F.monotonically_increasing_id())
-    rows = materialize(rows.withColumn("_hash", F.xxhash64(F.col("_carried").getField(text_col))), "fingerprinted-rows")
-    slim = rows.select("_row", "_hash", id_col, "fingerprint")
+    rows = numbered(docs)
+    text = F.col("_carried").getField(text_col)
+    # the text's hash settles which of several rows with one id stays
+    slim = rows.select(F.col("_carried").getField(id_col).alias(id_col), text.alias("text"),
+                       F.struct(F.xxhash64(text).alias("hash"), "_row").alias("_row"))
+    slim = materialize(with_fingerprint(slim, width, id_col, "text", "_row"), "fingerprints")
     first = slim.join(print_components(slim, distance, id_col), "fingerprint").where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    # equal texts of one id are told apart by row number alone
-    one = first.groupBy("group").agg(F.min(F.struct("_hash", "_row"))["_row"].alias("_row"))
+    one = first.groupBy("group").agg(F.min("_carried")["_row"].alias("_row"))
     return rows.join(one.select("_row"), "_row", "left_semi").select("_carried.*")
 
 
