@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reqtrail import schemas as S
 from reqtrail.functions import headers as H
@@ -23,7 +24,8 @@ from reqtrail.operators import keyed, link, merge, nest, timeline
 from reqtrail.plans import fixtures as fx
 from reqtrail.plans.job_queries import JOBS
 from reqtrail.plans.oracle_views import LI_ORDER, with_views
-from reqtrail.session import materialize
+from reqtrail.session import materialize, scratch_table_path
+from reqtrail.sources import snapshot
 
 # Fixed value: the "now" of every catalogue query, so results are reproducible.
 AS_OF = dt.datetime(2030, 1, 1)
@@ -681,6 +683,108 @@ def timeline_documents(spark, sf_dir):
                        F.coalesce(F.col("pos"), F.lit(0)).cast("int").alias("pos"), "e.*")
 
 
+# ---------------------------------------------------------------- sources and sinks (S1-S3, P2, K3, K11), flags
+
+ORDER_SCHEMA = T.StructType([T.StructField("PO No.", T.StringType()), T.StructField("Vendor", T.StringType()), T.StructField("Amount", T.DoubleType()),
+                             T.StructField("Note", T.StringType())])
+
+
+def _order_report(t: fx.Tables) -> DataFrame:
+    """Ids with leading zeros, and a note that breaks over two lines where the order has a shipping priority."""
+    o = t.orders
+    note = F.when(o.o_custkey % 3 != 0, F.concat(o.o_orderpriority, F.when(o.o_custkey % 2 == 0, F.lit('\nsays "yes", so')).otherwise(F.lit(""))))
+    return o.select(F.lpad(o.o_orderkey.cast("string"), 12, "0").alias("PO No."), o.o_custkey.cast("string").alias("Vendor"),
+                    o.o_totalprice.alias("Amount"), note.alias("Note"), o.o_orderstatus.alias("status"))
+
+
+ORDER_REPORT_SQL = """select lpad(cast(o_orderkey as string), 12, '0') as "PO No.", cast(o_custkey as string) as Vendor, o_totalprice as Amount,
+       case when o_custkey % 3 <> 0 then concat(o_orderpriority, case when o_custkey % 2 = 0 then chr(10) || 'says "yes", so' else '' end) end as Note
+from orders"""
+
+
+@query("snapshot_by_date", f"select * from ({ORDER_REPORT_SQL} where o_orderstatus = 'P') x")
+def snapshot_by_date(spark, sf_dir):
+    """Dated snapshots are written as folders; one date is read with pinned types, ids as text."""
+    base = scratch_table_path(spark, "snapshots")
+    report = _order_report(_t(spark, sf_dir))
+    for status, date in (("O", "2024-01-01"), ("P", "2024-01-02")):
+        report.where(F.col("status") == status).drop("status").write.parquet(snapshot.snapshot_path(base, "po", date))
+    return snapshot.read_snapshot(spark, base, "po", "2024-01-02", ORDER_SCHEMA, with_order=False)
+
+
+@query("snapshot_history", f"""select x.*, '2024-01-01' as snapshot_date from ({ORDER_REPORT_SQL} where o_orderstatus = 'O') x
+union all select x.*, '2024-01-02' from ({ORDER_REPORT_SQL} where o_orderstatus = 'P') x""")
+def snapshot_history(spark, sf_dir):
+    """S2 over several dates, all of them partitions of one dataset."""
+    base = scratch_table_path(spark, "snapshots")
+    report = _order_report(_t(spark, sf_dir))
+    date = F.when(F.col("status") == "O", "2024-01-01").when(F.col("status") == "P", "2024-01-02").otherwise("2023-12-31")
+    report.withColumn("snapshot_date", date).drop("status").write.partitionBy("snapshot_date").parquet(snapshot.snapshot_path(base, "po"))
+    read = snapshot.read_snapshots(spark, base, "po", ORDER_SCHEMA, dates=["2024-01-01", "2024-01-02"])
+    return read.drop(snapshot.ORD)
+
+
+@query("snapshot_delimited", f"select Vendor, \"PO No.\", Note, Amount from ({ORDER_REPORT_SQL}) x")
+def snapshot_delimited(spark, sf_dir):
+    """A report as delimited text with quoted line breaks, its columns in another order than the schema's."""
+    path = scratch_table_path(spark, "report")
+    report = _order_report(_t(spark, sf_dir)).select("Note", "status", "Amount", "`PO No.`", "Vendor")
+    report.write.options(header=True, escape='"').csv(path)
+    read = snapshot.read_delimited(spark, path, ORDER_SCHEMA, skip_lines=0)
+    return read.select("Vendor", F.col("`PO No.`"), "Note", "Amount")
+
+
+@query("duplicate_header", """select l_orderkey as Req_ID, l_orderkey % 2 as Unit, l_linenumber as REQ_Line,
+       concat('P', cast(l_partkey as string)) as PO_No, l_suppkey % 100 as PO_Line from lineitem""")
+def duplicate_header(spark, sf_dir):
+    """The crosswalk repeats the header "Line"; the columns are told apart by place."""
+    li = _t(spark, sf_dir).lineitem
+    report = li.select(li.l_orderkey, li.l_orderkey % 2, li.l_linenumber, F.concat(F.lit("P"), li.l_partkey.cast("string")),
+                       li.l_suppkey % 100).toDF("Req ID", "Unit", "Line", "PO No.", "Line")
+    named = H.rename_positional(report, {2: "REQ_Line", 4: "PO_Line"})
+    return H.clean_headers(named, [H.SPACE, H.SLASH, H.DROP_DOT])
+
+
+@query("write_version_fan_out", """select 'dev' as target, o_orderkey as PO_No, o_orderstatus as Status from orders
+union all select 'prod', o_orderkey, o_orderstatus from orders""")
+def write_version_fan_out(spark, sf_dir):
+    """K3 storage and K11: one table computed once, written as a new version to two targets and read back."""
+    o = _t(spark, sf_dir).orders.select(F.col("o_orderkey").alias("PO_No"), F.col("o_orderstatus").alias("Status"))
+    base = scratch_table_path(spark, "targets")
+    dev, prod = (spark.read.parquet(p) for p in merge.fan_out(o, [f"{base}/dev", f"{base}/prod"], "PO_DATA"))
+    return dev.select(F.lit("dev").alias("target"), "*").unionByName(prod.select(F.lit("prod").alias("target"), "*"))
+
+
+@query("repeated_flag", """select PO_No, Appr_Inst, Event_Date_Time,
+       row_number() over (partition by PO_No, Event_Date_Time order by Approval_Number, Appr_Inst) > 1 as Auto from fx_po_worklist""")
+def repeated_flag(spark, sf_dir):
+    """W2 without ordering a group: an earlier step of the PO has the same time."""
+    wl = fx.fx_po_worklist(_t(spark, sf_dir)).select("PO_No", "Appr_Inst", "Event_Date_Time", "Approval_Number")
+    flagged = keyed.repeated_flag(wl, ["PO_No", "Event_Date_Time"], ["Approval_Number", "Appr_Inst"], name="Auto")
+    return flagged.select("PO_No", "Appr_Inst", "Event_Date_Time", "Auto")
+
+
+@query("first_seen_flag", f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+       row_number() over (partition by l_orderkey order by {LI_ORDER}) = 1 as first_seen from lineitem""")
+def first_seen_flag(spark, sf_dir):
+    """The row that writes the header of its key."""
+    li = _t(spark, sf_dir).lineitem.select(*fx.LINEITEM_ORDER)
+    return keyed.first_seen_flag(li, ["l_orderkey"], fx.LINEITEM_ORDER).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "first_seen")
+
+
+@query("end_times", f"""select PO_No, ID, Start_DTTM, seq,
+       case when Start_DTTM is not null then coalesce(lead(Start_DTTM) over (partition by PO_No order by Start_DTTM asc nulls last, seq), {AS_OF_SQL}) end as End_DTTM
+from (select PO_No, seq, ID, Start_DTTM from ox_po_events union all select PO_No, seq + 2, ID, Start_DTTM from ox_wl_events) e""")
+def end_times(spark, sf_dir):
+    """W1/O2 in the general form: the events of every PO end where its next one starts."""
+    t = _t(spark, sf_dir)
+    cols = ["PO_No", "ID", "Start_DTTM", "seq"]
+    steps = timeline.worklist_events(fx.fx_po_worklist(t), "Appr_Inst").withColumn("seq", F.col("seq") + 2)
+    events = timeline.po_events(fx.fx_po(t)).select(*cols).unionByName(steps.select(*cols))
+    return timeline.with_end_times(events, AS_OF, key="PO_No").select(*cols, "End_DTTM")
+
+
 # ---------------------------------------------------------------- dataset jobs
 
 def _job(run):
