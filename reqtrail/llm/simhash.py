@@ -29,6 +29,7 @@ from reqtrail.llm.components import components
 
 SEED = 42
 TRIE_ROWS = 50_000  # leaves of a trie that one task walks from its root
+DIVISIONS = (2, 4, 8, 12, 16)  # levels below the root at which a larger trie is divided into node pairs
 PAIRS = 100_000  # node pairs expanded at once
 HASHES = 50_000  # shingle hashes held at once as bits
 
@@ -181,22 +182,42 @@ class Trie:
                 stack.append((d + 1, down[keep]))
 
 
+def divided_tries(prints: DataFrame, blocks: list[tuple[int, int]], trie_rows: int) -> dict[tuple[int, int], int]:
+    """(block number, block value) of every trie with too many leaves, and the level at which it is divided.
+
+    The first of DIVISIONS where no node has too many leaves, or the last. At most 2^(bits of a block) rows a block come
+    to the driver, and no more than leaves over ``trie_rows``.
+    """
+    parts = []
+    for k, (first, bits) in enumerate(blocks):
+        block = F.expr(f"shiftrightunsigned(fingerprint, {first}) & {(1 << bits) - 1}L")
+        by = (64 - first - bits) % 64
+        key = f"(shiftleft(fingerprint, {by}) | shiftrightunsigned(fingerprint, {64 - by}))" if by else "fingerprint"
+        below = F.expr(f"shiftrightunsigned(shiftleft({key}, {bits}), {64 - DIVISIONS[-1]})")
+        parts.append(F.struct(F.lit(k).alias("turn"), block.alias("block"), below.alias("below")))
+    leaves = prints.select(F.explode(F.array(*parts)).alias("_x")).select("_x.*")
+    many = leaves.groupBy("turn", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > trie_rows).select("turn", "block")
+    many = materialize(many, "large-tries")
+    if many.isEmpty():
+        return {}
+    nodes = materialize(leaves.join(many, ["turn", "block"]).groupBy("turn", "block", "below").agg(F.count(F.lit(1)).alias("n")), "large-trie-nodes")
+    out: dict[tuple[int, int], int] = {}
+    for levels in DIVISIONS:
+        node = nodes.groupBy("turn", "block", F.shiftrightunsigned("below", DIVISIONS[-1] - levels).alias("node")).agg(F.sum("n").alias("n"))
+        most = node.groupBy("turn", "block").agg(F.max("n").alias("n"))
+        for r in most.collect():
+            if (r.turn, r.block) not in out and (r.n <= trie_rows or levels == DIVISIONS[-1]):
+                out[r.turn, r.block] = levels
+    return out
+
+
 def near_links(prints: DataFrame, distance: int, trie_rows: int = TRIE_ROWS) -> DataFrame:
     """(a, b): links that connect all pairs of the different fingerprints within the distance."""
     if not distance:  # different fingerprints are never equal
         return prints.select(F.col("fingerprint").alias("a"), F.col("fingerprint").alias("b")).limit(0)
     blocks = blocks_of(distance)
 
-    def block_key(k: int, first: int, bits: int):
-        return F.expr(f"shiftrightunsigned(fingerprint, {first}) & {(1 << bits) - 1}L").alias(f"b{k}")
-
-    def explode():
-        parts = [F.struct(F.lit(k).cast("int").alias("turn"), block_key(k, *b).cast("long").alias("block")) for k, b in enumerate(blocks)]
-        return prints.select("fingerprint", F.explode(F.array(*parts)).alias("_x")).select("fingerprint", "_x.turn", "_x.block")
-
-    # tries with too many leaves; their number is at most the count of leaves over trie_rows, and 2^(bits of a block) a turn
-    large = {(r.turn, r.block): max(1, int(np.ceil(np.log2(r.n / trie_rows)))) for r in
-             explode().groupBy("turn", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > trie_rows).collect()}
+    large = divided_tries(prints, blocks, trie_rows)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each node pair that a fingerprint belongs to: the pair of roots, or pairs some levels below."""
