@@ -235,12 +235,14 @@ class _Chunks(dict):
         if len(self) >= CHUNK_CACHE:
             self.clear()
         v = self.vocabulary
-        # mostly a word of ASCII letters, perhaps with one mark after it, which is a pre-token of its own
-        if v.lower and chunk[:-1].isalpha() and chunk.isascii():
-            text = chunk.decode("ascii").lower()
+        text = chunk.decode("utf-8")
+        # mostly a word of Latin letters, perhaps with one mark after it, which is a pre-token of its own; letters
+        # below U+0250 are in normal form, and all but one have a lower case of one letter
+        if v.lower and text[:-1].isalpha() and max(text) < "\u0250" and "\u0130" not in text:
+            text = text.lower()
             ids = self.piece(text) if text.isalpha() else self.piece(text[:-1]) + self.piece(text[-1])
         else:
-            text, out = chunk.decode("utf-8"), []
+            out = []
             for part in v.at_special.split(text) if v.at_special and "<" in text else (text,):
                 if part in v.special:
                     out.append(np.array([v.special[part]], "<u4").tobytes())
@@ -278,18 +280,28 @@ def id_kind(path: str, end_id: int) -> str:
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, packed): the ids of each text and the end id, compressed one by one."""
+    """(counts, doc_id, packed): the ids of each text and the end id, compressed one by one.
+
+    A task's last row has ``counts`` true and holds how often each id occurred in the task.
+    """
     kind = id_kind(path, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
+        total = np.zeros(1 << (8 * np.dtype(kind).itemsize) if kind == "<u2" else 0, np.int64)
         for batch in slices(batches):
             ids = _chunks(path).encode(text_bytes(batch.column(1)), end_id)
-            packed = [pack(np.frombuffer(x, "<u4").astype(kind).tobytes()) for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+            small = np.frombuffer(b"".join(ids), "<u4").astype(kind)
+            ends = offsets_of([len(x) // 4 for x in ids])
+            packed = [pack(small[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+            new = np.bincount(small, minlength=len(total))
+            new[:len(total)] += total
+            total = new
+            yield pa.RecordBatch.from_arrays([pa.array([False] * batch.num_rows), batch.column(0), pa.array(packed, pa.binary())], names=["counts", "doc_id", "packed"])
+        yield pa.RecordBatch.from_arrays([pa.array([True]), pa.array([None], pa.int64()), pa.array([pack(total.tobytes())], pa.binary())], names=["counts", "doc_id", "packed"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, packed binary")
+    return slim.mapInArrow(run, "counts boolean, doc_id long, packed binary")
 
 
 def unpack(packed: list[bytes], kind: str) -> list[np.ndarray]:
@@ -297,19 +309,16 @@ def unpack(packed: list[bytes], kind: str) -> list[np.ndarray]:
     return [np.frombuffer(read(x), kind) for x in packed]
 
 
-def _counts(staged: DataFrame, kind: str) -> np.ndarray:
-    """How often each id occurs: partial sums in the tasks, at most one row per vocabulary entry to the driver."""
+def _counts(staged: DataFrame) -> np.ndarray:
+    """How often each id occurs: the tasks' counts summed; at most one row per vocabulary entry comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in slices(batches):
-            new = np.bincount(np.concatenate([*unpack(batch.column(0).to_pylist(), kind), np.zeros(0, kind)]), minlength=len(total))
-            new[:len(total)] += total
-            total = new
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+        for batch in batches:
+            for total in unpack(batch.column(0).to_pylist(), "<i8"):
+                seen = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
-    rows = staged.select("packed").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = staged.where("counts").select("packed").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max([r.id for r in rows], default=0) + 1, np.int64)
     for r in rows:
         out[r.id] = r.n
@@ -324,9 +333,10 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 2,
     """
     kind = id_kind(path, end_id)
     staged = materialize(tokenized(docs, path, end_id, id_col, text_col), "token-ids")
+    counts, staged = _counts(staged), staged.where("not counts").select("doc_id", "packed")
     if files is None:
         files = 1 + (staged.agg(F.sum(F.octet_length("packed"))).first()[0] or 0) // FILE_BYTES
-    put(f"{folder}/table.npy", _npy(Table.from_counts(_counts(staged, kind)).freq.astype(np.int64)))
+    put(f"{folder}/table.npy", _npy(Table.from_counts(counts).freq.astype(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, number, some = Writer(load_table(folder)), TaskContext.get().partitionId(), False
