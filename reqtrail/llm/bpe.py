@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from reqtrail.llm.common import offsets_of, slices, text_bytes
 
 #: White-space-free chunks whose ids a worker remembers; when full, it starts anew.
-CHUNK_CACHE = 1_000_000
+CHUNK_CACHE = 500_000
 END = "\n"  # stands for the word-end suffix; no byte is written as it
 
 
@@ -233,7 +233,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """(id, ids array<int>) of every text; with ``decoded`` also the string that the ids decode to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1):
             ids, offsets = encode_texts(text_bytes(batch.column(1)), path)
             columns = [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))]
             if decoded:

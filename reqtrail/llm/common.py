@@ -8,6 +8,7 @@ from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 #: Rows that a Python worker turns into objects at once; texts of any length stay whole.
 SLICE_ROWS = 512
+SLICE_BYTES = 3_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,10 +66,19 @@ def write_once(path: str, write: Callable) -> None:
     os.replace(part, path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: int | None = None, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of at most so many rows and, by the sizes of column ``text``, so many bytes, or one row."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        if text is None:
+            ends = np.arange(1, batch.num_rows + 1) * 0
+        else:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

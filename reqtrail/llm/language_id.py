@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqtrail.llm.common import mounted_path, offsets_of, shared_folder, slices, text_bytes, write_once
+from reqtrail.llm.common import SLICE_BYTES, mounted_path, offsets_of, shared_folder, slices, text_bytes, write_once
 
 BINS, ORDERS = 16, (1, 2, 3)
 PENALTY = 9.0  # of a change of language, in nats
@@ -95,7 +95,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen.astype(np.int32)), pa.array(both[seen])], names=["lang", "bin", "n"])
             held.clear()
 
-        for batch in slices(batches):
+        for batch in slices(batches, 1):
             for lang, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
                 held.setdefault(lang, Counter()).update(text.split())
             if sum(map(len, held.values())) > WORDS:
@@ -198,7 +198,7 @@ def label(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
         scorer = load(folder)
         names = [*scorer.langs, "und"]
         none = len(scorer.langs)
-        for batch in slices(batches, TOGETHER):
+        for batch in slices(batches, 1, TOGETHER, 4 * SLICE_BYTES):
             texts = [t.split() for t in text_bytes(batch.column(1))]
             offsets = offsets_of([len(t) for t in texts])
             rows = scorer.rows(texts)

@@ -46,7 +46,7 @@ def train(docs: DataFrame, text_col: str = "text") -> str:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = kn.Counter(shards)
-        for batch in slices(batches):
+        for batch in slices(batches, 0):
             hashes, offsets = tokens(text_bytes(batch.column(0)))
             held.add("g", bigrams(hashes, offsets))
             held.add("token", hashes)
@@ -65,7 +65,7 @@ def score(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
         model = kn.load(folder)
         known = model.table("token")
         types, total = model.meta.get("token", (0, 0))
-        for batch in slices(batches):
+        for batch in slices(batches, 1):
             hashes, offsets = tokens(text_bytes(batch.column(1)))
             count = known.find(hashes)[:, 0]
             base = np.log10(count + 1.0) - np.log10(total + types + 1.0)

@@ -81,7 +81,7 @@ def train(docs: DataFrame, text_col: str = "text") -> str:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, 0):
             texts = [t for t in text_bytes(batch.column(0)) if is_prose(rules(t))]
             if texts:
                 codes, keys = pd.factorize(keys_of(texts)[0])
@@ -104,24 +104,38 @@ def measure(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str
 
     out = schema(f"{id_col} long, _lang string, " + ", ".join(f"{r} long" for r in RULES) + ", base_failed boolean, perplexity double",
                  docs.schema if carry else None)
+    names = docs.columns  # a carried row crosses to the workers once and gives the other columns there
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = kn.load(folder)
-        for batch in slices(batches):
-            texts = text_bytes(batch.column(2))
+        for batch in slices((with_text(b) for b in batches), 0):
+            texts = text_bytes(batch.column(0))
             counts = [rules(t) for t in texts]
-            keys, offsets = keys_of(texts)
-            codes, different = pd.factorize(keys)
-            sums = np.add.reduceat(model.log10(different)[codes], offsets[:-1])
+            sums = perplexities(texts, model)
+            ids, langs = (batch.column(1), batch.column(2))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in zip(*counts)), pa.array(map(base_failed, counts), pa.bool_()),
-                pa.array(-sums / np.diff(offsets)), *batch.columns[3:]], names=out.names)
-
-    slim = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(lang_col).cast("string").alias("_lang"),
-                       F.col(text_col).cast("string").alias("_text"), *([whole_row(docs).alias("_carried")] if carry else []))
+                ids, langs, *(pa.array(c, pa.int64()) for c in zip(*counts)), pa.array(map(base_failed, counts), pa.bool_()),
+                pa.array(sums), *batch.columns[3:]], names=out.names)
+
+    def with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not carry:
+            return batch
+        row = batch.column(0)
+        field = lambda name, kind: row.field(names.index(name)).cast(kind)
+        return pa.RecordBatch.from_arrays([field(text_col, pa.string()), field(id_col, pa.int64()), field(lang_col, pa.string()), row], names=["t", "i", "l", "r"])
+
+    slim = docs.select(whole_row(docs).alias("_carried")) if carry else docs.select(
+        F.col(text_col).cast("string").alias("_text"), F.col(id_col).cast("long").alias(id_col), F.col(lang_col).cast("string").alias("_lang"))
     return slim.mapInArrow(run, out)
 
 
+def perplexities(texts: list[bytes], model: kn.Model) -> np.ndarray:
+    """Mean -log10 probability of each text's code points and end."""
+    keys, offsets = keys_of(texts)
+    codes, different = pd.factorize(keys)
+    return -np.add.reduceat(model.log10(different)[codes], offsets[:-1]) / np.diff(offsets)
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: bool = False,
             width: float = WIDTH, least: float = LEAST) -> DataFrame:
     """(id, counts, base_failed, perplexity, kept) of every row; with ``carry`` the row itself as ``_carried``."""

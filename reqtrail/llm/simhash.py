@@ -78,7 +78,7 @@ def with_fingerprint(docs: DataFrame, width: int, id_col: str = "doc_id", text_c
     out = schema(f"{id_col} long, fingerprint long", docs.schema[row_col].dataType if row_col else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1):
             prints = fingerprints(text_bytes(batch.column(1)), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], names=out.names)
 

@@ -44,7 +44,7 @@ LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63)
 TOGETHER = 64  # blocks coded side by side
 MAGIC = b"RANSIDS1"
 FILE_BYTES = 16_000_000  # of packed ids aimed at in a file
-CHUNK_CACHE = 600_000  # entries of a worker
+CHUNK_CACHE = 500_000  # entries of a worker
 
 
 class Table:
@@ -238,7 +238,7 @@ class _Chunks(dict):
         text = chunk.decode("utf-8")
         # mostly a word of Latin letters, perhaps with one mark after it, which is a pre-token of its own; letters
         # below U+0250 are in normal form, and all but one have a lower case of one letter
-        if v.lower and text[:-1].isalpha() and max(text) < "\u0250" and "\u0130" not in text:
+        if v.lower and text[:-1].isalpha() and (text[-1].isalpha() or "!" <= text[-1] <= "~") and max(text) < "\u0250" and "\u0130" not in text:
             text = text.lower()
             ids = self.piece(text) if text.isalpha() else self.piece(text[:-1]) + self.piece(text[-1])
         else:
@@ -289,7 +289,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
         total = np.zeros(1 << (8 * np.dtype(kind).itemsize) if kind == "<u2" else 0, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, 1):
             ids = _chunks(path).encode(text_bytes(batch.column(1)), end_id)
             small = np.frombuffer(b"".join(ids), "<u4").astype(kind)
             ends = offsets_of([len(x) // 4 for x in ids])

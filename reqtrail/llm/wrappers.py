@@ -298,7 +298,7 @@ def write_wrappers(pages: DataFrame, folder: str, shards: int) -> None:
             save(folder, "tree", now, np.frombuffer(b"".join(data), np.uint8))
             done.append(now)
 
-        for batch in slices(batches):
+        for batch in slices(batches, 2):
             for shard, host, page in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard != now:
                     if now is not None:
@@ -322,7 +322,7 @@ def write_template(pages: DataFrame, folder: str, shards: int) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wrappers = Wrappers(folder, shards)
-        for batch in slices(batches):
+        for batch in slices(batches, 1):
             rows = set()
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 root, blocks, title = parse(page or "")
@@ -391,7 +391,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = load(folder, shards)
-        for batch in slices(batches):
+        for batch in slices(batches, 3):
             texts = [main_text(page, host, *known) for host, page in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
