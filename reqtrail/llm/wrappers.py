@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqtrail.llm.common import materialize, mounted_path, offsets_of, shared_folder, slices, write_once
+from reqtrail.llm.common import materialize, mounted_path, offsets_of, shared_folder, slices
 from reqtrail.llm.kneser_ney import Table, mixed, save, shard_of
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"

@@ -4,7 +4,6 @@ from __future__ import annotations
 import itertools
 import random
 
-import llm_cases as C
 import pytest
 from pyspark.sql import functions as F
 
