@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -156,20 +156,23 @@ class Vocabulary:
                 last = tokens[-1] if tokens else -1
         return tokens
 
-    def encode_chunk(self, chunk: bytes) -> bytes:
-        """Ids (little-endian int32) of a chunk of text without ASCII white space."""
+    def encode_word(self, piece: str) -> bytes:
+        """Ids (little-endian int32) of one pre-token."""
+        if not (piece.isascii() and piece.isprintable()):
+            piece = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        tokens = self.encode_piece(piece + END if self.suffix else piece)
+        return struct.pack(f"<{len(tokens)}i", *map(self.ids.__getitem__, tokens))
+
+    def encode_chunk(self, chunk: bytes, ids_of: Callable[[str], bytes] | None = None) -> bytes:
+        """Ids (little-endian int32) of a chunk of text without ASCII white space; ``ids_of``: of a pre-token."""
         text = chunk.decode("utf-8")
-        out: list[int] = []
-        ids = self.ids
+        out: list[bytes] = []
         for part in self.at_special.split(text) if self.at_special and "<" in text else (text,):
             if part in self.special:
-                out.append(self.special[part])
-                continue
-            for piece in self.pieces_of(part):
-                if not (piece.isascii() and piece.isprintable()):
-                    piece = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-                out += map(ids.__getitem__, self.encode_piece(piece + END if self.suffix else piece))
-        return struct.pack(f"<{len(out)}i", *out)
+                out.append(struct.pack("<i", self.special[part]))
+            else:
+                out += map(ids_of or self.encode_word, self.pieces_of(part))
+        return b"".join(out)
 
     def pieces_of(self, part: str) -> list[str]:
         """Pre-tokens of the normalized part."""
@@ -196,17 +199,39 @@ class Vocabulary:
         return data[keep], bounds - np.concatenate(([0], np.cumsum(filled)))
 
 
-class Chunks(dict):
-    """Ids of the chunks seen so far."""
+class Remembered(dict):
+    """Values made once for the keys seen first, and each time for others once it is full.
 
-    def __init__(self, vocabulary: Vocabulary, size: int = CHUNK_CACHE):
-        self.vocabulary, self.size = vocabulary, size
+    Words that are frequent come early, so a full table keeps them; if many keys are missed all the same, the text
+    has changed and it starts anew.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.missed = size, 0
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= self.size:
-            self.clear()
-        ids = self[chunk] = self.vocabulary.encode_chunk(chunk)
-        return ids
+    def make(self, key: bytes) -> bytes:
+        raise NotImplementedError
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.make(key)
+        if len(self) < self.size:
+            self[key] = value
+        else:
+            self.missed += 1
+            if self.missed > 10 * self.size:
+                self.clear()
+                self.missed = 0
+        return value
+
+
+class Chunks(Remembered):
+    """Ids of the chunks seen so far, and of their pre-tokens."""
+
+    def __init__(self, vocabulary: Vocabulary, size: int = CHUNK_CACHE):
+        super().__init__(size)
+        pieces = Remembered(size)
+        pieces.make = vocabulary.encode_word
+        self.make = lambda chunk: vocabulary.encode_chunk(chunk, pieces.__getitem__)
 
 
 @lru_cache(maxsize=2)

@@ -44,7 +44,7 @@ LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63)
 TOGETHER = 64  # blocks coded side by side
 MAGIC = b"RANSIDS1"
 FILE_BYTES = 16_000_000  # of packed ids aimed at in a file
-CHUNK_CACHE = 500_000  # entries of a worker
+CHUNK_CACHE, PIECE_CACHE = 300_000, 700_000  # entries of a worker
 
 
 class Table:
@@ -223,43 +223,33 @@ def load_table(folder: str) -> Table:
     return Table(np.load(io.BytesIO(get(f"{folder}/table.npy"))))
 
 
-class _Chunks(dict):
+class _Chunks(bpe.Remembered):
     """Ids, as the tokenizers library merges them, of the white-space-free chunks a worker has seen."""
 
     def __init__(self, path: str):
+        super().__init__(CHUNK_CACHE)
         self.vocabulary = bpe.vocabulary(path)
-        self.merge = self.vocabulary.library.model.tokenize
-        self.pieces: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= CHUNK_CACHE:
-            self.clear()
-        v = self.vocabulary
-        text = chunk.decode("utf-8")
-        # mostly a word of Latin letters, perhaps with one mark after it, which is a pre-token of its own; letters
-        # below U+0250 are in normal form, and all but one have a lower case of one letter
-        if v.lower and text[:-1].isalpha() and (text[-1].isalpha() or "!" <= text[-1] <= "~") and max(text) < "\u0250" and "\u0130" not in text:
+        self.pieces = _Pieces(self.vocabulary)
+        self.plain = self.vocabulary.lower
+
+    def make(self, chunk: bytes) -> bytes:
+        # mostly a word of ASCII letters, perhaps with one mark after it, which is a pre-token of its own
+        if self.plain and chunk.isalpha():
+            return self.pieces[chunk.lower()]
+        if self.plain and chunk[:-1].isalpha() and 32 < chunk[-1] < 127:
+            return self.pieces[chunk[:-1].lower()] + self.pieces[chunk[-1:]]
+        text, v, out = chunk.decode("utf-8"), self.vocabulary, []
+        # letters below U+0250 are in normal form, and all but one have a lower case of one letter
+        if self.plain and text[:-1].isalpha() and (text[-1].isalpha() or "!" <= text[-1] <= "~") and max(text) < "\u0250" and "\u0130" not in text:
             text = text.lower()
-            ids = self.piece(text) if text.isalpha() else self.piece(text[:-1]) + self.piece(text[-1])
-        else:
-            out = []
-            for part in v.at_special.split(text) if v.at_special and "<" in text else (text,):
-                if part in v.special:
-                    out.append(np.array([v.special[part]], "<u4").tobytes())
-                else:
-                    out += map(self.piece, v.pieces_of(part))
-            ids = b"".join(out)
-        self[chunk] = ids
-        return ids
-
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= CHUNK_CACHE:
-                self.pieces.clear()
-            found = self.merge(piece if piece.isascii() and piece.isprintable() else piece.encode("utf-8").decode("latin-1").translate(self.vocabulary.letters))
-            ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *[x.id for x in found])
-        return ids
+            parts = (text,) if text.isalpha() else (text[:-1], text[-1])
+            return b"".join([self.pieces[p.encode("utf-8")] for p in parts])
+        for part in v.at_special.split(text) if v.at_special and "<" in text else (text,):
+            if part in v.special:
+                out.append(np.array([v.special[part]], "<u4").tobytes())
+            else:
+                out += [self.pieces[p.encode("utf-8")] for p in v.pieces_of(part)]
+        return b"".join(out)
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         """Ids of each text and the end id, uint32. The tokenizer's pre-tokens never reach over ASCII white space."""
@@ -267,6 +257,19 @@ class _Chunks(dict):
         return [b"".join(map(ids_of, t.split())) + end for t in texts]
 
 
+class _Pieces(bpe.Remembered):
+    """Ids of pre-tokens, by their UTF-8 bytes."""
+
+    def __init__(self, vocabulary: bpe.Vocabulary):
+        super().__init__(PIECE_CACHE)
+        self.merge, self.letters = vocabulary.library.model.tokenize, vocabulary.letters
+
+    def make(self, piece: bytes) -> bytes:
+        text = piece.decode("latin-1")
+        found = self.merge(text if text.isascii() and text.isprintable() else text.translate(self.letters))
+        return struct.pack(f"<{len(found)}I", *[x.id for x in found])
+
+
 @lru_cache(maxsize=2)
 def _chunks(path: str) -> _Chunks:
     return _Chunks(path)
