@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from reqtrail.llm.common import offsets_of, slices, text_bytes
 
 #: White-space-free chunks whose ids a worker remembers; when full, it starts anew.
-CHUNK_CACHE = 500_000
+CHUNK_CACHE = 200_000
 END = "\n"  # stands for the word-end suffix; no byte is written as it
 
 

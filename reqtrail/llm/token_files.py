@@ -44,7 +44,7 @@ LOW = np.uint64(1 << 31)  # states stay in [2^31, 2^63)
 TOGETHER = 64  # blocks coded side by side
 MAGIC = b"RANSIDS1"
 FILE_BYTES = 16_000_000  # of packed ids aimed at in a file
-CHUNK_CACHE, PIECE_CACHE = 300_000, 700_000  # entries of a worker
+CHUNK_CACHE, PIECE_CACHE = 150_000, 350_000  # entries of a worker
 
 
 class Table:
