@@ -229,7 +229,7 @@ class Chunks(Remembered):
 
     def __init__(self, vocabulary: Vocabulary, size: int = CHUNK_CACHE):
         super().__init__(size)
-        pieces = Remembered(size)
+        pieces = Remembered(2 * size)
         pieces.make = vocabulary.encode_word
         self.make = lambda chunk: vocabulary.encode_chunk(chunk, pieces.__getitem__)
 
