@@ -2,9 +2,10 @@
 
 The pages of a host are aligned with a wrapper tree, that of its page with the least seeded hash, by simple tree matching;
 repeated siblings are one node. A text that a node of the wrapper has on nearly all pages, counted over pages with
-different titles, is template; what varies is content of the node's slot. Slots inside elements or classes that
-name menus, headers, footers, sidebars, notices, adverts, forms or comments are not content either, and where a page
-marks its article, only what is inside it is.
+different titles, is template; what varies is content of the node's slot. Menus, footers, asides, buttons and hidden
+elements are not content either, nor are containers whose class or id is, as a whole, a name of such things (``DROPPED_WORDS``),
+unless they hold an article or most of the page's text; inside an article only the names in ``AD_WORDS`` count, on containers
+without headings or paragraphs. Where a page marks its article, only what is inside it is content.
 
 Three passes, none of which moves pages between tasks: the least page of each host (a minimum, summed in the map tasks); counts
 of texts by host and slot; extraction. Wrappers and template slots are sorted hash arrays in the shared folder that
@@ -40,13 +41,19 @@ BLOCKS = frozenset("address article aside blockquote body button caption center
                    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary "
                    "table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe xmp template svg math object canvas audio video".split())
-DROPPED = frozenset("nav footer aside form button select fieldset dialog menu head datalist".split())
+RAW = frozenset("script style title textarea noscript iframe xmp template svg object canvas audio video".split())
+DROPPED = frozenset("nav footer aside button select fieldset dialog menu head datalist".split())
 DROPPED_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
                           "notice notices notification alert popup modal overlay newsletter subscribe subscription sidebar widget widgets related "
                           "recommended recommendations share sharing social comment comments commentlist disqus replies respond breadcrumb "
                           "breadcrumbs menu nav navbar navigation footer header masthead login signup search pagination pager toolbar "
                           "copyright legal disclaimer hidden".split())
+#: Of these, what is no content inside an article either; and words that only say what part of a page a name is for.
+AD_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo newsletter subscribe share sharing social "
+                     "breadcrumb breadcrumbs navbar pagination pager".split())
+PART_WORDS = frozenset("area block bottom box button buttons container footer group header icons inner items left link links list main navigation "
+                       "outer page posts right section site top wrap wrapper".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 MAIN_WORDS = frozenset("article content main post entry story".split())
 #: Elements that a start tag closes, and those that stop the search for them.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -54,6 +61,7 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>?", re.S)
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[A-Za-z]+")
+NAME_PART = re.compile(r"[-_]+")
 
 
 class Node:
@@ -69,27 +77,41 @@ def hashed(*parts) -> int:
     return xxhash.xxh64_intdigest("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"))
 
 
-def attributes(raw: str) -> tuple[str, frozenset[str], str, bool]:
-    """Class names as written, words of class and id, role, whether hidden."""
-    classes, words, role, hidden = "", frozenset(), "", False
+def attributes(raw: str) -> tuple[str, frozenset[str], frozenset[str], frozenset[str], str, bool]:
+    """Class names as written, words of class and id, whole class names, these and the id, role, whether hidden."""
+    classes, words, names, named, role, hidden = "", frozenset(), frozenset(), frozenset(), "", False
     for name, a, b, c in ATTRIBUTE.findall(raw):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
+            split = re.sub(r"([a-z])([A-Z])", r"\1 \2", value)
             classes += f".{value}" if name == "class" else ""
-            words |= {w.lower() for w in WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))}
+            words |= {w.lower() for w in WORD.findall(split)}
+            if name == "class":
+                names |= {n.lower() for n in value.split()}
+            named |= {re.sub(r"([a-z])([A-Z])", r"\1-\2", n).lower() for n in value.split()}
         elif name == "role":
             role = value.lower()
         else:
             hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and bool(re.search(r"display\s*:\s*none", value))
-    return classes, words, role, hidden
+    return classes, words, names, named, role, hidden
+
+
+@lru_cache(maxsize=10_000)
+def names_chrome(name: str, inside: bool) -> bool:
+    """Whether a class name or id is as a whole the name of something that is no content: such a word, alone or with words for parts."""
+    words, wanted = NAME_PART.split(name), AD_WORDS if inside else DROPPED_WORDS
+    return any(w in wanted for w in words) and all(w in wanted or w in PART_WORDS for w in words)
 
 
 def parse(page: str) -> tuple[Node, list[tuple[str, Node, int, float]], str]:
     """Block tree; blocks (text, node, 2 inside an article element, 1 inside one named so, share in links) in order; title."""
     root = Node("", None)
-    stack = [("", root, False, 0)]  # tag, block node, dropped, inside the article
+    stack = [("", root, False, 0, ())]  # tag, block node, dropped, inside the article, containers named as no content around it
     blocks, buffer, links, title = [], [], 0, ""
-    state: list = [root, False, 0]
+    around: list[tuple[int, ...]] = []  # of each block, such containers
+    inner: list[bool] = []  # of each such container, whether it is inside an article
+    holds: list[bool] = []  # of each, whether it holds an article; or for one inside an article, prose
+    state: list = [root, False, 0, ()]
     in_link = 0
     opened: Counter[str] = Counter()  # elements on the stack by tag
 
@@ -99,6 +121,7 @@ def parse(page: str) -> tuple[Node, list[tuple[str, Node, int, float]], str]:
             text = " ".join("".join(buffer).split())
             if text:
                 blocks.append((text, state[0], state[2], links / len(text)))
+                around.append(state[3])
             buffer.clear()
         links = 0
 
@@ -161,11 +184,19 @@ def parse(page: str) -> tuple[Node, list[tuple[str, Node, int, float]], str]:
             flush()
         if tag in VOID:
             continue
-        classes, words, role, hidden = attributes(raw) if raw.strip() else ("", frozenset(), "", False)
-        node, dropped, inside = state
+        classes, words, names, named, role, hidden = attributes(raw) if raw.strip() else ("", frozenset(), frozenset(), frozenset(), "", False)
+        node, dropped, inside, within = state
         own = tag not in ("html", "body", "article", "main")
         dropped = dropped or tag in DROPPED or hidden or tag == "header" and not inside \
-            or (own or tag == "article" and bool(words & {"comment", "comments", "ad", "related"})) and (bool(words & DROPPED_WORDS) or role in ("navigation", "banner", "complementary", "contentinfo", "search"))
+            or own and role in ("navigation", "banner", "complementary", "contentinfo", "search") \
+            or tag == "article" and bool(names & {"comment", "comments", "ad", "related"})
+        if own and tag not in PROSE and len(within) < DEEPEST and (tag == "form" or any(names_chrome(n, inside == 2) for n in named)):
+            within = (*within, len(holds))
+            inner.append(inside == 2 and tag != "form")
+            holds.append(False)
+        elif within and not dropped and (tag in PROSE or tag in ("article", "main") or role == "main"):
+            for i in within:
+                holds[i] |= (tag in PROSE) == inner[i]
         if tag in ("article", "main") or role == "main":
             inside = 2
         elif tag in ("div", "section", "td") and words & MAIN_WORDS:
@@ -174,10 +205,18 @@ def parse(page: str) -> tuple[Node, list[tuple[str, Node, int, float]], str]:
             node = Node(tag + classes, node) if node.depth < DEEPEST else node
         elif tag == "a":
             in_link += 1
-        stack.append((tag, node, dropped, inside))
+        stack.append((tag, node, dropped, inside, within))
         opened[tag] += 1
         state[:] = stack[-1][1:]
     flush()
+    if holds:
+        letters = [0] * len(holds)
+        for block, names in zip(blocks, around):
+            for i in names:
+                letters[i] += len(block[0])
+        most = sum(len(block[0]) for block in blocks) / 2
+        out = [not held and n <= most for held, n in zip(holds, letters)]
+        blocks = [block for block, names in zip(blocks, around) if not any(out[i] for i in names)]
     return root, blocks, title
 
 

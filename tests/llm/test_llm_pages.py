@@ -58,6 +58,19 @@ def test_markup(spark, html, text):
     assert wrappers.main_text(html or "", "", known, table) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<div class='content no-sidebar'><article><p>one</p></article></div>", "one"), ("<div class='layout with-sidebar'><p>one</p></div>", "one"),
+    ("<div class='social-enabled'>one</div>", "one"), ("<div class='sidebar'><article><p>one</p></article></div>", "one"),
+    ("<article><h2 id='legal-history'>a</h2><section id='comments-on-method'><p>b</p></section><p class='notice'>c</p><div class='share-price'>d</div>"
+     "<p class='ad-hoc'>e</p><div class='notice'>f</div><div class='promo'><p>g</p></div></article>", "a\n\nb\n\nc\n\nd\n\ne\n\nf\n\ng"),
+    ("<p>x <math><mi>y</mi></math></p>", "x y"), ("<form><h1>a</h1><p>all of the page</p></form>", "a\n\nall of the page"),
+    ("<div class='sidebar'>s</div><div id='cookieBanner'>c</div><ul class='share-links'><li>l</ul><p>the text of the page</p>", "the text of the page"),
+    ("<article><div class='share-links'>s</div><div class='ad'>s</div><p>text</p></article>", "text"), ("<article id='comment-on-x'><p>text</p></article>", "text"),
+])
+def test_names_drop_no_content(spark, html, text):
+    test_markup(spark, html, text)
+
+
 def test_deep_and_long_pages(spark):
     deep = "<div>" * 20_000 + "bottom" + "<b>" * 5000
     long = "<article>" + "".join(f"<p>paragraph {i}</p>" for i in range(5000)) + "</article>"
