@@ -2,10 +2,11 @@
 
 The pages of a host are aligned with a wrapper tree, that of its page with the least seeded hash, by simple tree matching;
 repeated siblings are one node. A text that a node of the wrapper has on nearly all pages, counted over pages with
-different titles, is template; what varies is content of the node's slot. Menus, footers, asides, buttons and hidden
+different wordings (pages that differ only in digits are copies), is template; what varies is content of the node's slot. Menus, footers, asides, buttons and hidden
 elements are not content either, nor are containers whose class or id is, as a whole, a name of such things (``DROPPED_WORDS``),
 unless they hold an article or most of the page's text; inside an article only the names in ``AD_WORDS`` count, on containers
-without headings or paragraphs. Where a page marks its article, only what is inside it is content.
+without headings or paragraphs. Where a page marks its article, and that holds enough of what varies on the page, only what is inside it is
+content. Template is no content inside an article either, unless it is most of the article: such pages are copies with other surroundings.
 
 Three passes, none of which moves pages between tasks: the least page of each host (a minimum, summed in the map tasks); counts
 of texts by host and slot; extraction. Wrappers and template slots are sorted hash arrays in the shared folder that
@@ -33,7 +34,8 @@ from reqtrail.llm.common import materialize, mounted_path, offsets_of, shared_fo
 from reqtrail.llm.kneser_ney import Table, mixed, save, shard_of
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-LEAST_TITLES, SAME_SHARE = 5, 0.9  # pages with different titles that a template needs; share of one text among them
+LEAST_PAGES, SAME_SHARE = 5, 0.9  # pages with different wordings that a template needs; share of one text among them
+MARKED = 1 / 3  # share of the varying text of a page that a marked article must hold to be all of the content
 DEEPEST = 100  # levels of the block tree; what lies deeper belongs to its ancestor there
 LINKS = 0.5  # share of a block's letters in links, above which it is a menu on pages that mark no article
 
@@ -61,6 +63,7 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>?", re.S)
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[A-Za-z]+")
+DIGITS = re.compile(r"\d+")
 NAME_PART = re.compile(r"[-_]+")
 
 
@@ -356,24 +359,30 @@ def write_wrappers(pages: DataFrame, folder: str, shards: int) -> None:
     materialize(rows.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int"), "wrappers")
 
 
+def wording_of(blocks: list[tuple]) -> int:
+    """The same for pages that differ only in digits and the order of their blocks. Pages with one text in common differ by it if their other texts do."""
+    return hashed(*sorted({DIGITS.sub("", text) for text, *_ in blocks}))
+
+
 def write_template(pages: DataFrame, folder: str, shards: int) -> None:
-    """Texts that a slot has on nearly all pages with different titles, as one sorted array of hashes for each shard."""
+    """Texts that a slot has on nearly all pages with different wordings, as one sorted array of hashes for each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wrappers = Wrappers(folder, shards)
         for batch in slices(batches, 1):
             rows = set()
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                root, blocks, title = parse(page or "")
+                root, blocks, _ = parse(page or "")
                 slots, tree = wrappers.slots(host, root)
-                rows |= {(slots[tree.number[id(node)]], hashed(text), hashed(title)) for text, node, *_ in blocks}
+                wording = wording_of(blocks)
+                rows |= {(slots[tree.number[id(node)]], hashed(text), wording) for text, node, *_ in blocks}
             columns = np.array(list(rows), np.uint64).reshape(-1, 3).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(columns.T)], names=["slot", "text", "title"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(columns.T)], names=["slot", "text", "wording"])
 
-    seen = materialize(pages.select("host", "html").mapInArrow(run, "slot long, text long, title long").distinct(), "slot-texts")
-    # titles of a slot, and of each of its texts: counted in the map tasks first
-    texts = seen.groupBy("slot", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_TITLES)
-    slots = seen.select("slot", "title").distinct().groupBy("slot").agg(F.count(F.lit(1)).alias("all"))
+    seen = materialize(pages.select("host", "html").mapInArrow(run, "slot long, text long, wording long").distinct(), "slot-texts")
+    # wordings of a slot, and of each of its texts: counted in the map tasks first
+    texts = seen.groupBy("slot", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
+    slots = seen.select("slot", "wording").distinct().groupBy("slot").agg(F.count(F.lit(1)).alias("all"))
     template = texts.join(slots, "slot").where(F.col("n") >= SAME_SHARE * F.col("all")).select("slot", "text")
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,14 +417,25 @@ def main_text(page: str, host: str, wrappers: Wrappers, template: Table) -> str:
     root, blocks, _ = parse(page)
     if not blocks:
         return ""
-    marked = max(inside for _, _, inside, _ in blocks)
     slots, tree = wrappers.slots(host, root)
     constant = template.find(in_slot(np.array([slots[tree.number[id(b[1])]] for b in blocks], np.uint64),
-                                     np.array([hashed(b[0]) for b in blocks], np.uint64)))[:, 0]
-    # paragraphs of a marked article are content even where all pages of a host are copies
-    keep = [text for (text, _, inside, links), c in zip(blocks, constant)
-            if (inside == marked if marked else not c and links <= LINKS) and not (c and inside < 2)]
-    return "\n\n".join(keep)
+                                     np.array([hashed(b[0]) for b in blocks], np.uint64)))[:, 0].astype(bool)
+    sizes, marks = np.array([len(b[0]) for b in blocks]), np.array([b[2] for b in blocks])
+    menu = np.array([b[3] > LINKS for b in blocks])
+    for level in (2, 1):  # marked text that is mostly the same on other pages: they are copies
+        here = marks == level
+        if 2 * sizes[here & constant].sum() > sizes[here].sum():
+            constant &= ~here
+    mark = 0
+    for level in (2, 1):
+        inside, outside = sizes[(marks >= level) & ~constant].sum(), sizes[(marks < level) & ~constant & ~menu].sum()
+        if (marks >= level).any() and inside >= MARKED * (inside + outside):
+            mark = level
+            break
+    keep = (marks >= mark) & ~constant
+    if not mark:
+        keep &= ~menu
+    return "\n\n".join(b[0] for b, k in zip(blocks, keep) if k)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", shards: int | None = None) -> DataFrame:

@@ -71,6 +71,27 @@ def test_names_drop_no_content(spark, html, text):
     test_markup(spark, html, text)
 
 
+def test_template_inside_marked_articles(spark):
+    rnd = random.Random(2)
+    body = lambda: " ".join(rnd.choice("abcdefgh") * 4 for _ in range(30))
+    texts = [(body(), body()) for _ in range(8)]
+    pages = [("http://e.example/", f"<title>Site</title><article><p>Subscribe to our letter</p><p>{a}</p><div>All rights kept</div><p>{b}</p></article>") for a, b in texts]
+    assert extracted(spark, pages) == [f"{a}\n\n{b}" for a, b in texts]
+    # one article on all pages, with other words around it
+    copies = [("http://f.example/", f"<title>t{i}</title><article><p>{texts[0][0]}</p><p>{texts[0][1]}</p><p>{a[:9]} x{chr(97 + i)}</p></article><div>{a[:20]}</div>") for i, (a, _) in enumerate(texts)]
+    assert all(t.startswith(f"{texts[0][0]}\n\n{texts[0][1]}") for t in extracted(spark, copies))
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<div id='content'><p>the long text of the page</p></div><article>more</article>", "the long text of the page"),
+    ("<div><p>the long text of the page</p></div><article>more</article>", "the long text of the page\n\nmore"),
+    ("<div><p>short</p></div><article>the long text of the page</article>", "the long text of the page"),
+])
+def test_teaser_article_does_not_hide_the_text(spark, html, text):
+    got = extracted(spark, [(None, html)])[0]
+    assert got.startswith(text)
+
+
 def test_deep_and_long_pages(spark):
     deep = "<div>" * 20_000 + "bottom" + "<b>" * 5000
     long = "<article>" + "".join(f"<p>paragraph {i}</p>" for i in range(5000)) + "</article>"
