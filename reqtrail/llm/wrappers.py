@@ -1,16 +1,18 @@
 """HTML extraction by wrapper induction.
 
-The pages of a host are aligned with a wrapper tree, that of its page with the least seeded hash, by simple tree matching;
-repeated siblings are one node. A text that a node of the wrapper has on nearly all pages, counted over pages with
+The pages of a host that share a layout (the containers where their tree first branches) are aligned with a wrapper tree, that of the page
+with the least seeded hash among them, by simple tree matching; repeated siblings are one node, and a node that the wrapper lacks has its
+labels below the last one that matches for a slot. Over all layouts, nodes with the same labels down from the root are one slot too, and
+template found in one layout counts in all. A text that a slot has on nearly all pages, counted over pages with
 different wordings (pages that differ only in digits are copies), is template; what varies is content of the node's slot. Menus, footers, asides, buttons and hidden
 elements are not content either, nor are containers whose class or id is, as a whole, a name of such things (``DROPPED_WORDS``),
 unless they hold an article or most of the page's text; inside an article only the names in ``AD_WORDS`` count, on containers
 without headings or paragraphs. Where a page marks its article, and that holds enough of what varies on the page, only what is inside it is
 content. Template is no content inside an article either, unless it is most of the article: such pages are copies with other surroundings.
 
-Three passes, none of which moves pages between tasks: the least page of each host (a minimum, summed in the map tasks); counts
-of texts by host and slot; extraction. Wrappers and template slots are sorted hash arrays in the shared folder that
-workers memory-map, so their own memory does not grow with the number of hosts.
+Three passes, none of which moves pages between tasks: the tree of the least page of each layout (a minimum, taken in the map tasks); counts
+of texts by slot; extraction. Wrappers and template slots are sorted hash arrays in the shared folder that
+workers memory-map, so their own memory does not grow with the number of hosts and layouts.
 
 Defined cases: null html is the empty page with empty text; pages without a host share a wrapper; broken markup is read on
 like browsers do, unclosed elements end with their parents; texts of any length stay whole; repeated pages each give a row
@@ -34,8 +36,9 @@ from reqtrail.llm.common import materialize, mounted_path, offsets_of, shared_fo
 from reqtrail.llm.kneser_ney import Table, mixed, save, shard_of
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-LEAST_PAGES, SAME_SHARE = 5, 0.9  # pages with different wordings that a template needs; share of one text among them
+LEAST_PAGES, SAME_SHARE = 3, 0.9  # pages with different wordings that a template needs; share of one text among them
 MARKED = 1 / 3  # share of the varying text of a page that a marked article must hold to be all of the content
+LAYOUTS, HELD = 20_000, 1 << 25  # wrappers in a shard; letters of trees that a map task holds
 DEEPEST = 100  # levels of the block tree; what lies deeper belongs to its ancestor there
 LINKS = 0.5  # share of a block's letters in links, above which it is a menu on pages that mark no article
 
@@ -56,6 +59,7 @@ AD_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponso
 PART_WORDS = frozenset("area block bottom box button buttons container footer group header icons inner items left link links list main navigation "
                        "outer page posts right section site top wrap wrapper".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+LISTS = frozenset("ul ol menu dir dl li dt dd table hr figure legend caption".split())
 MAIN_WORDS = frozenset("article content main post entry story".split())
 #: Elements that a start tag closes, and those that stop the search for them.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -229,18 +233,22 @@ class Tree:
     def __init__(self, root: Node):
         self.number: dict[int, int] = {}  # of a node by its identity
         self.labels: list[str] = []
-        self.top = self._fold(root)
+        self.above: list[int] = []  # number of the parent
+        self.paths: list[int] = []  # hash of the labels from the root
+        self.top = self._fold(root, -1)
 
-    def _fold(self, node: Node) -> list:
+    def _fold(self, node: Node, above: int) -> list:
         out = [node.label, [], len(self.labels)]
         self.labels.append(node.label)
+        self.above.append(above)
+        self.paths.append(hashed(self.paths[above] if above >= 0 else "", node.label))
         self.number[id(node)] = out[2]
         for child in node.children:
             last = out[1][-1] if out[1] else None
             if not child.children and last is not None and last[0] == child.label and not last[1]:
                 self.number[id(child)] = last[2]
             else:
-                out[1].append(self._fold(child))
+                out[1].append(self._fold(child, out[2]))
         return out
 
 
@@ -248,6 +256,15 @@ def dumped(tree: list) -> str:
     return f"{tree[0]}\1{''.join(dumped(c) for c in tree[1])}\2"
 
 
+def layout(tree: list) -> str:
+    """The containers, without digits in their names, where a tree first has several."""
+    while True:
+        inner = [c for c in tree[1] if (tag := c[0].split(".")[0]) not in PROSE and tag not in LISTS and tag != "head"]
+        if len(inner) != 1:
+            return "\1".join(sorted({DIGITS.sub("", c[0]) for c in inner}))
+        tree = inner[0]
+
+
 def read_tree(text: str) -> list:
     stack, n = [["", [], -1]], 0
     for part in re.findall("[^\1\2]*\1|\2", text):
@@ -294,24 +311,23 @@ def match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
 
 
 class Wrappers:
-    """The wrapper tree of each host, memory-mapped."""
+    """The wrapper tree of each layout of a host, memory-mapped."""
 
     def __init__(self, folder: str, shards: int):
         self.index = [(np.load(f"{folder}/host-{s:05d}.npy", mmap_mode="r"), np.load(f"{folder}/at-{s:05d}.npy", mmap_mode="r"),
                        np.load(f"{folder}/tree-{s:05d}.npy", mmap_mode="r")) for s in range(shards)]
-        self.known: dict[str, list] = {}
+        self.known: dict[int, list] = {}
         self.matched: dict[tuple[str, str], dict[int, int]] = {}
 
-    def tree(self, host: str) -> list:
-        if host not in self.known:
+    def tree(self, key: int) -> list:
+        if key not in self.known:
             if len(self.known) > 1000:
                 self.known.clear()
-            key = hashed(host)
-            hosts, at, data = self.index[key % len(self.index)]
-            i = int(np.searchsorted(hosts, np.uint64(key)))
-            text = bytes(data[at[i]:at[i + 1]]).decode("utf-8") if i < len(hosts) and hosts[i] == key else ""
-            self.known[host] = read_tree(text)
-        return self.known[host]
+            keys, at, data = self.index[key % len(self.index)]
+            i = int(np.searchsorted(keys, np.uint64(key)))
+            text = bytes(data[at[i]:at[i + 1]]).decode("utf-8") if i < len(keys) and keys[i] == key else ""
+            self.known[key] = read_tree(text)
+        return self.known[key]
 
     def slots(self, host: str, root: Node) -> tuple[dict[int, int], Tree]:
         """The slot hash of every block node of a page, by node number."""
@@ -320,14 +336,41 @@ class Wrappers:
         if (host, shape) not in self.matched:
             if len(self.matched) > 10_000:
                 self.matched.clear()
-            pairs = dict(match(tree.top, self.tree(host))[1])
-            self.matched[host, shape] = {n: hashed(host, "w", pairs[n]) if n in pairs else hashed(host, "p", n, label)
-                                         for n, label in enumerate(tree.labels)}
+            key = hashed(host, layout(tree.top))
+            pairs = dict(match(tree.top, self.tree(key))[1])
+            slots: dict[int, int] = {}
+            for n, (label, above) in enumerate(zip(tree.labels, tree.above)):  # parents first
+                slots[n] = hashed(key, "w", pairs[n]) if n in pairs else hashed(slots.get(above, key), "p", label)
+            self.matched[host, shape] = slots
         return self.matched[host, shape], tree
 
 
-def write_wrappers(pages: DataFrame, folder: str, shards: int) -> None:
-    """The tree of the page with the least hash of every host, as sorted arrays."""
+def write_wrappers(pages: DataFrame, folder: str, shards: int | None = None) -> int:
+    """The tree of the page with the least hash of every layout of a host, as sorted arrays; returns the number of shards."""
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[int, bytes]] = {}
+        held = 0
+
+        def rows() -> pa.RecordBatch:
+            keys = np.array(list(found), np.uint64).view(np.int64)
+            order = np.array([o for o, _ in found.values()], np.uint64).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(order), pa.array([t for _, t in found.values()], pa.binary())], names=["key", "order", "tree"])
+
+        for batch in slices(batches, 2):
+            for host, url, page in zip(*(c.to_pylist() for c in batch.columns)):
+                top = Tree(parse(page or "")[0]).top
+                key, order = hashed(host, layout(top)), hashed(url, page)
+                if key not in found or order < found[key][0]:
+                    tree = dumped(top).encode("utf-8", "replace")
+                    held += len(tree) - len(found[key][1] if key in found else b"")
+                    found[key] = order, tree
+            if held > HELD:
+                yield rows()
+                found.clear()
+                held = 0
+        if found:
+            yield rows()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows, done = None, [], []
@@ -341,22 +384,25 @@ def write_wrappers(pages: DataFrame, folder: str, shards: int) -> None:
             done.append(now)
 
         for batch in slices(batches, 2):
-            for shard, host, page in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard, key, tree in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard != now:
                     if now is not None:
                         store()
                     now, rows = shard, []
-                if host is not None:
-                    rows.append((hashed(host), dumped(Tree(parse(page or "")[0]).top).encode("utf-8", "replace")))
+                if key is not None:
+                    rows.append((key & (1 << 64) - 1, tree))
         if now is not None:
             store()
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int32())], names=["shard"])
 
-    least = pages.groupBy("host").agg(F.min_by("html", F.struct(F.xxhash64("url", "html"), "html")).alias("html"))
-    shard = F.udf(lambda h: hashed(h) % shards, "int")
-    every = pages.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("html"))
-    rows = least.select(shard("host").alias("shard"), "host", "html").unionByName(every)
+    trees = pages.select("host", "url", "html").mapInArrow(least, "key long, order long, tree binary")
+    trees = materialize(trees.groupBy("key").agg(F.min_by("tree", F.struct("order", "tree")).alias("tree")), "wrapper-trees")
+    shards = shards or 1 + trees.count() // LAYOUTS
+    shard = F.udf(lambda k: (k & (1 << 64) - 1) % shards, "int")
+    every = pages.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("binary").alias("tree"))
+    rows = trees.select(shard("key").alias("shard"), "key", "tree").unionByName(every)
     materialize(rows.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int"), "wrappers")
+    return shards
 
 
 def wording_of(blocks: list[tuple]) -> int:
@@ -375,15 +421,20 @@ def write_template(pages: DataFrame, folder: str, shards: int) -> None:
                 root, blocks, _ = parse(page or "")
                 slots, tree = wrappers.slots(host, root)
                 wording = wording_of(blocks)
-                rows |= {(slots[tree.number[id(node)]], hashed(text), wording) for text, node, *_ in blocks}
-            columns = np.array(list(rows), np.uint64).reshape(-1, 3).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(columns.T)], names=["slot", "text", "wording"])
-
-    seen = materialize(pages.select("host", "html").mapInArrow(run, "slot long, text long, wording long").distinct(), "slot-texts")
+                for text, node, *_ in blocks:
+                    n, key = tree.number[id(node)], hashed(text)
+                    path = hashed(host, tree.paths[n])
+                    rows |= {(slots[n], key, wording, path), (path, key, wording, path)}
+            columns = np.array(list(rows), np.uint64).reshape(-1, 4).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(columns.T)], names=["slot", "text", "wording", "path"])
+
+    seen = materialize(pages.select("host", "html").mapInArrow(run, "slot long, text long, wording long, path long").distinct(), "slot-texts")
     # wordings of a slot, and of each of its texts: counted in the map tasks first
-    texts = seen.groupBy("slot", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
+    texts = seen.groupBy("slot", "text").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).where(F.col("n") >= LEAST_PAGES)
     slots = seen.select("slot", "wording").distinct().groupBy("slot").agg(F.count(F.lit(1)).alias("all"))
-    template = texts.join(slots, "slot").where(F.col("n") >= SAME_SHARE * F.col("all")).select("slot", "text")
+    template = texts.join(slots, "slot").where(F.col("n") >= SAME_SHARE * F.col("all"))
+    # what is template in one layout is so at the same labels in all of a host, be they as rare as they may
+    template = template.select(F.explode(F.array("slot", "path")).alias("slot"), "text").distinct()
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
@@ -418,8 +469,10 @@ def main_text(page: str, host: str, wrappers: Wrappers, template: Table) -> str:
     if not blocks:
         return ""
     slots, tree = wrappers.slots(host, root)
-    constant = template.find(in_slot(np.array([slots[tree.number[id(b[1])]] for b in blocks], np.uint64),
-                                     np.array([hashed(b[0]) for b in blocks], np.uint64)))[:, 0].astype(bool)
+    numbers = [tree.number[id(b[1])] for b in blocks]
+    places = np.array([[slots[n] for n in numbers], [hashed(host, tree.paths[n]) for n in numbers]], np.uint64)
+    texts = np.array([hashed(b[0]) for b in blocks], np.uint64)
+    constant = template.find(in_slot(places.ravel(), np.tile(texts, 2)))[:, 0].reshape(2, -1).any(axis=0)
     sizes, marks = np.array([len(b[0]) for b in blocks]), np.array([b[2] for b in blocks])
     menu = np.array([b[3] > LINKS for b in blocks])
     for level in (2, 1):  # marked text that is mostly the same on other pages: they are copies
@@ -442,10 +495,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(id, url, text) of every page."""
     slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     slim = slim.withColumn("host", F.lower(F.coalesce(F.regexp_extract("url", HOST, 1), F.lit(""))))
-    if shards is None:
-        shards = 1 + (slim.select(F.approx_count_distinct("host")).first()[0] or 0) // 100_000
     folder = mounted_path(shared_folder(pages.sparkSession, "wrappers"))
-    write_wrappers(slim.select("host", "url", "html"), folder, shards)
+    shards = write_wrappers(slim, folder, shards)
     write_template(slim, folder, shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

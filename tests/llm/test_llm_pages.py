@@ -82,6 +82,18 @@ def test_template_inside_marked_articles(spark):
     assert all(t.startswith(f"{texts[0][0]}\n\n{texts[0][1]}") for t in extracted(spark, copies))
 
 
+def test_template_of_few_pages_without_titles_and_of_several_layouts(spark):
+    rnd = random.Random(4)
+    body = lambda: " ".join(rnd.choice("abcdefgh") * 4 for _ in range(30))
+    few = [(f"http://g.example/{i}", f"<div>Welcome to our site</div><div><p>{body()}</p></div><div>All rights kept</div>") for i in range(4)]
+    same = [(f"http://h.example/{i}", f"<title>Site</title><div>Welcome to our site</div><div><p>{body()}</p></div><div>All rights kept</div>") for i in range(9)]
+    # layouts with boilerplate of their own at the same labels, and nodes before them that not all pages have
+    layouts = [(f"http://i.example/{i}", f"<div class='{'abc'[i % 3]}'>top {'abc'[i % 3]}</div>{'<section>now</section>' * (i % 2)}<div><p>{body()}</p></div>"
+                f"{f'<div class=x><ul><li>{body()}</ul></div>' * (i % 5 == 0)}<div>Only layout {'abc'[i % 3]}</div>") for i in range(36)]
+    for got in (extracted(spark, few), extracted(spark, same), extracted(spark, layouts)):
+        assert not any(w in t for t in got for w in ("Welcome", "rights", "Only", "top")) and all(len(t) >= 100 for t in got)
+
+
 @pytest.mark.parametrize("html, text", [
     ("<div id='content'><p>the long text of the page</p></div><article>more</article>", "the long text of the page"),
     ("<div><p>the long text of the page</p></div><article>more</article>", "the long text of the page\n\nmore"),
