@@ -3,8 +3,10 @@
 Patterns (leftmost, not overlapping, per kind): an assignment to a secret's name, an access key, a long hex run. A
 pattern match that is too short is dropped after matching, so it still hides what it covers.
 
-Battery: every long run of letters, digits and ``+/_-`` is a candidate. Its encoding is inferred (digits, hex, base32,
-letters, alphanumeric, base64) and three tests ask whether it is uniform in that alphabet: chi-squared over its
+Battery: every long run of letters, digits and ``+/_-`` is a candidate, and so is every long piece of it between
+separators (``/``, ``_`` and ``-``, each taken as one or not). Of accepted ones that overlap, the one with the most evidence
+is added, then the longest. The encoding is inferred (digits, hex, letters, base32, alphanumeric in one case or both, base58,
+base64); in the alphabets of one case separators only group the symbols and are not tested. Three tests ask whether it is uniform in that alphabet: chi-squared over its
 symbols, runs above and below the middle of the alphabet, serial correlation of neighbours. A candidate that
 fails one is text. For the others two tests ask how likely text is to look like this: it has as few equal symbols, or as many
 changes between lower case, upper case and digits. Both depend on the length, so short candidates need more evidence.
@@ -31,16 +33,16 @@ PATTERNS = [
     ("hex", r"[0-9a-f]{24,}", 0, 24),  # a whole run either way, since it is one class
 ]
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
-#: Alphabets, the first that holds a whole candidate is its encoding.
-ENCODINGS = [
-    ("0123456789",),
-    ("0123456789abcdef",),
-    ("0123456789ABCDEF",),
-    ("abcdefghijklmnopqrstuvwxyz",),
-    ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",),
-    ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",),
-    ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_",),
-]
+#: The pieces of a candidate by which of the separators divide it.
+PIECES = [f"[A-Za-z0-9+{kept}]{{20,}}" for kept in ("_-", "/-", "/_", "-", "_", "/", "")]
+SEPARATORS = "/_-"
+DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Alphabets of one case, the first that holds a whole candidate, without its separators, is its encoding.
+ONE_CASE = [DIGITS, DIGITS + "abcdef", DIGITS + "ABCDEF", LOWER, UPPER, LOWER + "234567", UPPER + "234567",
+            DIGITS + "abcdefghjkmnpqrstvwxyz", DIGITS + "ABCDEFGHJKMNPQRSTVWXYZ", DIGITS + LOWER, DIGITS + UPPER]
+#: Else the first of these that holds it with them.
+BOTH_CASES = [UPPER + LOWER, "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz", DIGITS + UPPER + LOWER,
+              DIGITS + UPPER + LOWER + "+/", DIGITS + UPPER + LOWER + "-_", DIGITS + UPPER + LOWER + "+/-_"]
 UNIFORM_P = 1e-3  # below it a test finds a candidate not uniform
 TEXT_EQUAL, TEXT_TRIPLE = 0.065, 0.0055  # chance that two, and three, letters of text are equal
 TEXT_CHANGE = 0.08  # chance that neighbours in text differ in kind
@@ -84,19 +86,23 @@ def two_sided(z: Column) -> Column:
 
 
 def encoding(value: Column) -> Column:
-    out = F.lit(ENCODINGS[-1][0])
-    for (alphabet,) in reversed(ENCODINGS[:-1]):
+    out = F.lit(BOTH_CASES[-1])
+    for alphabet in reversed(BOTH_CASES[:-1]):
         out = F.when(F.translate(value, alphabet, "") == "", F.lit(alphabet)).otherwise(out)
+    for alphabet in reversed(ONE_CASE):
+        out = F.when(F.translate(value, alphabet + SEPARATORS, "") == "", F.lit(alphabet)).otherwise(out)
     return out
 
 
 def with_battery(spans: DataFrame, value: str = "value") -> DataFrame:
     """Add ``p_uniform``, the least p-value of the three tests of randomness, and ``p_text``."""
-    df = spans.withColumn("_alphabet", encoding(F.col(value))).withColumn("_c", F.split(F.col(value), ""))
+    df = spans.withColumn("_alphabet", encoding(F.col(value)))
+    symbols = F.when(F.col("_alphabet").isin(ONE_CASE), F.translate(F.col(value), SEPARATORS, "")).otherwise(F.col(value))
+    df = df.withColumn("_value", symbols).withColumn("_c", F.split(F.col("_value"), ""))
     df = df.withColumn("_v", F.transform("_c", lambda c: F.instr(F.col("_alphabet"), c) - 1))
-    n, a = F.length(value).cast("double"), F.length("_alphabet").cast("double")
+    n, a = F.length("_value").cast("double"), F.length("_alphabet").cast("double")
     total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, y: s + y)
-    df = df.withColumn("_equal", total(F.transform(F.array_distinct("_c"), lambda c: F.pow(n - F.length(F.replace(F.col(value), c, F.lit(""))), F.lit(2)))))
+    df = df.withColumn("_equal", total(F.transform(F.array_distinct("_c"), lambda c: F.pow(n - F.length(F.replace(F.col("_value"), c, F.lit(""))), F.lit(2)))))
     df = df.withColumn("_mean", total(F.transform("_v", lambda v: v.cast("double"))) / n)
     df = df.withColumn("_high", total(F.transform("_v", lambda v: (v * 2 >= a).cast("double"))))
     next_ = lambda x, f: F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), f)
@@ -124,7 +130,7 @@ def with_battery(spans: DataFrame, value: str = "value") -> DataFrame:
     p_changes = F.when(rate > TEXT_CHANGE, F.exp(-(n - 1) * (rate * F.log(rate / TEXT_CHANGE) + odds))).otherwise(F.lit(1.0))
     return (df.withColumn("p_uniform", F.least(p_chi, p_runs, p_serial))
             .withColumn("p_text", F.least(F.lit(1.0), 2 * F.least(p_equal, p_changes)))
-            .drop("_alphabet", "_c", "_v", "_equal", "_mean", "_high", "_runs", "_spread", "_serial", "_changes"))
+            .drop("_alphabet", "_value", "_c", "_v", "_equal", "_mean", "_high", "_runs", "_spread", "_serial", "_changes"))
 
 
 def evidence(p_text: Column) -> Column:
@@ -154,6 +160,26 @@ def pattern_spans(spans: str, number: int, kind: str, pattern: str, group: int,
         s["start"].alias("start"), F.lit(number).alias("number"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
+def candidates(runs: DataFrame) -> DataFrame:
+    """(_row, run, start, end, value) of every run (_row, start, value, base) and its pieces that touch no span of ``base``."""
+    divided = F.when(F.translate("value", SEPARATORS, "") != F.col("value"), F.col("value"))  # null has no pieces
+    df = runs.withColumn("_divided", divided)
+    for i, pattern in enumerate(PIECES):
+        df = with_spans(df, "_divided", pattern, f"_piece{i}")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length("value").cast("long").alias("end"), F.col("value").alias("value")))
+    every = F.array_distinct(F.concat(whole, *(F.coalesce(f"_piece{i}", F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")) for i in range(len(PIECES)))))
+    free = F.filter(every, lambda c: ~F.exists("base", lambda b: (b["start"] < F.col("start") + c["end"]) & (F.col("start") + c["start"] < b["end"])))
+    return df.select("_row", F.col("start").alias("run"), F.explode(free).alias("_c")).select(
+        "_row", "run", (F.col("run") + F.col("_c.start")).alias("start"), (F.col("run") + F.col("_c.end")).alias("end"), "_c.value")
+
+
+def best(spans: Column) -> Column:
+    """Of spans that overlap, the first in order."""
+    none = F.array().cast("array<struct<bin:int,size:bigint,start:bigint,end:bigint>>")
+    over = lambda s, chosen: F.exists(chosen, lambda c: (c["start"] < s["end"]) & (s["start"] < c["end"]))
+    return F.aggregate(F.array_sort(spans), none, lambda chosen, s: F.when(over(s, chosen), chosen).otherwise(F.concat(chosen, F.array(s))))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_share: float = FALSE_SHARE, carry: bool = False) -> DataFrame:
     """(id, spans array<struct<start, kind number, end, kind>>) of every row; with ``carry`` the row itself as ``_carried``.
 
@@ -166,15 +192,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
         df = with_spans(df, "_text", pattern, f"_{kind}")
         spans.append(pattern_spans(f"_{kind}", number, kind, pattern, group, least))
     df = with_spans(df, "_text", CANDIDATE, "_candidates").withColumn("_base", F.array_sort(F.concat(*spans)))
-    free = F.filter("_candidates", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    # a row for each document without candidates, else one for each candidate
-    rows = df.select("_id", "_base", *carried, free.alias("_free")).withColumn("_row", F.monotonically_increasing_id())
+    touching = lambda base, c: F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    runs = F.transform("_candidates", lambda c: F.struct(c["start"].alias("start"), c["value"].alias("value"), touching(F.col("_base"), c).alias("base")))
+    # a row for each document without candidates, else one for each run of candidates
+    rows = df.select("_id", "_base", *carried, runs.alias("_runs")).withColumn("_row", F.monotonically_increasing_id())
     rows = materialize(rows, "secret-candidates")
-    tested = with_battery(rows.select("_row", F.explode("_free").alias("_c")).select("_row", "_c.start", "_c.end", "_c.value"))
-    tested = materialize(tested.select("_row", "start", "end", F.when(F.col("p_uniform") >= UNIFORM_P, evidence(F.col("p_text"))).alias("bin")), "secret-tests")
+    tested = with_battery(candidates(rows.select("_row", F.explode("_runs").alias("_c")).select("_row", "_c.start", "_c.value", "_c.base")))
+    tested = materialize(tested.select("_row", "run", "start", "end", F.when(F.col("p_uniform") >= UNIFORM_P, evidence(F.col("p_text"))).alias("bin")), "secret-tests")
     least = threshold(tested, false_share)
-    added = tested.where(F.col("bin") >= least if least is not None else F.lit(False)).groupBy("_row").agg(
-        F.collect_list(F.struct("start", F.lit(3).alias("number"), "end", F.lit("random").alias("kind"))).alias("_added"))  # of one document
+    chosen = tested.where(F.col("bin") >= least if least is not None else F.lit(False)).groupBy("_row", "run").agg(
+        best(F.collect_list(F.struct((-F.col("bin")).alias("bin"), (F.col("start") - F.col("end")).alias("size"), "start", "end"))).alias("_best"))  # of one run
+    added = chosen.select("_row", F.explode("_best").alias("_b")).groupBy("_row").agg(
+        F.collect_list(F.struct("_b.start", F.lit(3).alias("number"), "_b.end", F.lit("random").alias("kind"))).alias("_added"))  # of one document
     none = F.array().cast("array<struct<start:bigint,number:int,end:bigint,kind:string>>")
     return rows.join(added, "_row", "left").select(
         F.col("_id").alias(id_col), *carried, F.array_sort(F.concat("_base", F.coalesce("_added", none))).alias("spans"))

@@ -116,6 +116,35 @@ def test_battery_finds_random_strings_and_leaves_words(spark):
     assert texts[i][span[0]:span[2]] == secrets[i]
 
 
+def test_random_strings_of_every_alphabet_are_uniform(spark):
+    rnd = random.Random(11)
+    b32, low, up, digits = "234567", string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = [digits + "abcdef", digits + "ABCDEF", low, up, low + b32, up + b32, digits + low, digits + up, low + up, digits + low + up, digits + low + up + "+/", digits + low + up + "-_"]
+    draw = lambda a, n: "".join(rnd.choices(a, k=n))
+    grouped = lambda t: "-".join(t[i:i + 8] for i in range(0, len(t), 8))
+    data = [(f"{i} {n}", draw(a, n)) for i, a in enumerate(alphabets) for n in (20, 32, 64, 128, 512) for _ in range(300)]
+    data += [(f"grouped {n}", grouped(draw(digits + "abcdef", n))) for n in (32, 64, 128) for _ in range(300)]
+    df = spark.createDataFrame(data, "kind string, value string").repartition(8)
+    rejected = secret_scan.with_battery(df).groupBy("kind").agg(F.avg((F.col("p_uniform") < secret_scan.UNIFORM_P).cast("int")).alias("share")).collect()
+    assert len(rejected) == 63 and max(r.share for r in rejected) <= 0.03, sorted((r.share, r.kind) for r in rejected)[-5:]
+    assert sum(r.share for r in rejected) / len(rejected) <= 0.006
+
+
+def test_battery_finds_keys_in_paths_and_groups(spark):
+    rnd = random.Random(12)
+    draw = lambda a, n: "".join(rnd.choices(a, k=n))
+    base36, hexes, every = string.ascii_lowercase + string.digits, string.digits + "abcdef", string.ascii_letters + string.digits
+    uuid = lambda: "-".join(draw(hexes, n) for n in (8, 4, 4, 4, 12))
+    path = "var/lib/some/long/path/to/the/folder/of/all/the/files/"
+    cases = [("", draw(base36, 64), "") for _ in range(8)] + [("", uuid() + "-" + uuid(), "") for _ in range(8)] + [(path, draw(every, 40), "/") for _ in range(8)] + [(path, uuid(), "") for _ in range(8)]
+    slugs = ["how-to-read-the-long-letters-of-the-old-house", path + "readme", "one_two_three_four_five_six_seven_eight"]
+    got = scanned(spark, [f"see {a}{b}{c} there" for a, b, c in cases] + [f"see {t} there" for t in slugs])
+    random_ = lambda i: [s[:3:2] for s in got[i] if s[3] == "random"]
+    right = [random_(i) == [(4 + len(a), 4 + len(a) + len(b))] for i, (a, b, _) in enumerate(cases)]
+    assert all(sum(right[i:i + 8]) >= 7 for i in range(0, 32, 8)), right
+    assert not any(random_(len(cases) + i) for i in range(len(slugs)))
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.floats(0, 8))
 def test_normal_tail(z):
