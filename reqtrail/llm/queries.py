@@ -42,12 +42,10 @@ def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = scaled_sketch.fingerprints_with_edits(documents(spark, sf_dir))
-    like = {f"{name}_{other}": f(F.col("sketch"), F.col(f"{other}_sketch"))
-            for name, f in (("near", scaled_sketch.containment), ("jaccard", scaled_sketch.jaccard)) for other in ("edited", "next")}
     return made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        scaled_sketch.fingerprint(F.col("sketch")).alias("fingerprint"),
                        scaled_sketch.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-                       *(c.alias(name) for name, c in like.items()))
+                       "near_edited", "near_next", "jaccard_edited", "jaccard_next")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A sketch keeps every different shingle hash below a fixed fraction of the hash range, so sketches of very
 unequal documents are comparable and the sketch of a union is the union of sketches. A text none of whose
-hashes is below keeps its least one, so that no text with words has an empty sketch.
+hashes is below keeps its least one (unsigned), so that no text with words has an empty sketch. That one is not in the
+sketches of texts with hashes below, so pairs with such a text are compared by all hashes of both.
 
 Defined cases: a null text is the empty text; a text without words has an empty sketch (fingerprint ""); fewer
 words than a shingle make one shingle; two empty sketches are alike (1.0), an empty one and another are not (0.0); texts of any length are
@@ -21,23 +22,37 @@ WIDTH, FRACTION = 5, 1 / 8
 BUCKET_ROWS, MOST_BUCKETS = 2000, 4096
 
 
-def with_sketch(df: DataFrame, text_col: str, out: str, width: int = WIDTH, fraction: float = FRACTION) -> DataFrame:
-    """Add the sketch of a text as a sorted array of hashes."""
+def with_hashes(df: DataFrame, text_col: str, out: str, width: int = WIDTH) -> DataFrame:
+    """Add the hashes of all shingles of a text, in order."""
     df = df.withColumn("_words", words(F.col(text_col)))
     at = F.sequence(F.lit(0), F.greatest(F.size("_words") - width, F.lit(0)))
     hashes = F.transform(at, lambda i: F.xxhash64(*(F.get("_words", i + j) for j in range(width))))
-    df = df.withColumn("_hashes", F.when(F.size("_words") > 0, hashes).otherwise(F.array().cast("array<long>"))).drop("_words")
-    below = int(fraction * (1 << 63))
-    df = df.withColumn("_below", F.filter("_hashes", lambda h: F.shiftrightunsigned(h, 1) < below))
-    least = F.when(F.size("_hashes") > 0, F.array(F.array_min("_hashes"))).otherwise(F.array().cast("array<long>"))
+    return df.withColumn(out, F.when(F.size("_words") > 0, hashes).otherwise(F.array().cast("array<long>"))).drop("_words")
+
+
+def is_below(h: Column, fraction: float = FRACTION) -> Column:
+    return F.shiftrightunsigned(h, 1) < int(fraction * (1 << 63))
+
+
+def unsigned_least(hashes: Column) -> Column:
+    """An array of the least hash, unsigned like the threshold; empty of none."""
+    flip = lambda h: h.bitwiseXOR(F.lit(-1 << 63))
+    return F.when(F.size(hashes) > 0, F.array(flip(F.array_min(F.transform(hashes, flip))))).otherwise(F.array().cast("array<long>"))
+
+
+def with_sketch(df: DataFrame, text_col: str, out: str, width: int = WIDTH, fraction: float = FRACTION) -> DataFrame:
+    """Add the sketch of a text as a sorted array of hashes."""
+    df = with_hashes(df, text_col, "_hashes", width)
+    df = df.withColumn("_below", F.filter("_hashes", lambda h: is_below(h, fraction)))
+    least = unsigned_least(F.col("_hashes"))
     return df.withColumn(out, F.when(F.size("_below") > 0, F.array_sort(F.array_distinct("_below"))).otherwise(least)).drop("_hashes", "_below")
 
 
 def merge(a: Column, b: Column, fraction: float = FRACTION) -> Column:
     """The sketch of two documents together, from their sketches."""
     both = F.array_sort(F.array_union(a, b))
-    below = F.filter(both, lambda h: F.shiftrightunsigned(h, 1) < int(fraction * (1 << 63)))
-    return F.when(F.size(below) > 0, below).otherwise(F.slice(both, 1, 1))
+    below = F.filter(both, lambda h: is_below(h, fraction))
+    return F.when(F.size(below) > 0, below).otherwise(unsigned_least(both))
 
 
 def fingerprint(sketch: Column) -> Column:
@@ -60,6 +75,22 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union > 0, shared(a, b) / union).otherwise(F.lit(1.0))
 
 
+def with_compared(df: DataFrame, pairs: list[tuple[str, str, str, str, str]], width: int = WIDTH, fraction: float = FRACTION) -> DataFrame:
+    """Add ``near_<name>`` (containment) and ``jaccard_<name>`` for each (name, text, sketch, other text, other sketch).
+
+    By the sketches where both have hashes below the threshold or one has none at all, else by all hashes of both texts.
+    """
+    only_least = lambda c: (F.size(c) == 1) & ~is_below(F.get(c, 0), fraction)
+    for name, text, sketch, other_text, other in pairs:
+        whole = (only_least(F.col(sketch)) | only_least(F.col(other))) & (F.size(sketch) > 0) & (F.size(other) > 0)
+        for c, t in (("_a", text), ("_b", other_text)):  # no text, so no hashes, where the sketches do
+            df = with_hashes(df.withColumn("_t", F.when(whole, F.col(t)).otherwise(F.lit(""))), "_t", c, width)
+        a, b = (F.when(whole, F.array_distinct(c)).otherwise(F.col(s)) for c, s in (("_a", sketch), ("_b", other)))
+        df = df.withColumn("_a", a).withColumn("_b", b)
+        df = df.withColumns({f"near_{name}": containment(F.col("_a"), F.col("_b")), f"jaccard_{name}": jaccard(F.col("_a"), F.col("_b"))}).drop("_a", "_b", "_t")
+    return df
+
+
 def with_next(df: DataFrame, id_col: str, text_col: str, columns: list[str], rows: int = BUCKET_ROWS) -> DataFrame:
     """Add ``next_<column>`` of the next row in order of (id, text); after the last row comes the first.
 
@@ -92,12 +123,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def fingerprints_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For every row its sketch, that of its text with the last half replaced by the next row's beginning, and the next row's."""
+    """For every row its sketch, that of its text with the last half replaced by the next row's beginning, and the next row's; how alike they are."""
     slim = docs.select(F.col(id_col).cast("long").alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # the ids alone decide the buckets; sketches are made before the shuffle, an eighth of the size of their texts
     rows = with_next(with_sketch(slim, "text", "sketch"), id_col, "text", ["text", "sketch"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = rows.select(id_col, n.cast("long").alias("n_chars"), "sketch", "next_sketch", edited.alias("edited"))
-    return with_sketch(rows, "edited", "edited_sketch")
+    rows = rows.select(id_col, n.cast("long").alias("n_chars"), "sketch", "next_sketch", "text", "next_text", edited.alias("edited"))
+    rows = with_sketch(rows, "edited", "edited_sketch")
+    rows = with_compared(rows, [("edited", "text", "sketch", "edited", "edited_sketch"), ("next", "text", "sketch", "next_text", "next_sketch")])
+    return rows.drop("text", "next_text")

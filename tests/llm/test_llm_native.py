@@ -62,6 +62,36 @@ def test_sketches_estimate_containment(spark):
     assert both == sorted({*s[0], *s[2]})
 
 
+def test_short_text_in_a_long_one(spark):
+    whole = C.prose(1, 600)
+    texts = [" ".join(C.words(whole)[i:i + 5 + i % 4]) for i in range(60)]
+    rows = [(2 * i + j, t) for i, short in enumerate(texts) for j, t in enumerate((short, whole))]
+    got = {r.doc_id: r for r in scaled_sketch.with_compared(*compared(spark, rows)).collect()}
+    shingles = lambda t: {tuple(C.words(t)[i:i + 5]) for i in range(len(C.words(t)) - 4)}
+    none_below = 0
+    for i, short in enumerate(texts):
+        r = got[2 * i]
+        assert r.near_next == 1.0
+        if len(r.sketch) == 1 and r.sketch[0] % (1 << 64) >> 1 >= 1 << 60:
+            none_below += 1
+            assert r.jaccard_next == pytest.approx(len(shingles(short)) / len(shingles(whole)))
+            assert got[2 * i + 1].near_next == (1.0 if shingles(texts[(i + 1) % len(texts)]) <= shingles(whole) else 0.0)
+    assert none_below > 20
+
+
+def compared(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = scaled_sketch.with_next(scaled_sketch.with_sketch(df, "text", "sketch"), "doc_id", "text", ["text", "sketch"])
+    return df, [("next", "text", "sketch", "next_text", "next_sketch")]
+
+
+def test_least_hash_is_unsigned(spark):
+    df = spark.createDataFrame([([-1, -5, 1 << 62],), ([-1],), ([],)], "h array<long>")
+    assert [r[0] for r in df.select(scaled_sketch.unsigned_least(F.col("h"))).collect()] == [[1 << 62], [-1], []]
+    merged = spark.createDataFrame([([-1], [1 << 62])], "a array<long>, b array<long>").select(scaled_sketch.merge(F.col("a"), F.col("b")))
+    assert merged.first()[0] == [1 << 62]
+
+
 def test_fingerprint_text(spark):
     df = spark.createDataFrame([([-1, 5],), ([],)], "s array<long>")
     assert [r[0] for r in df.select(scaled_sketch.fingerprint(F.col("s"))).collect()] == ["f" * 16 + "0" * 15 + "5", ""]
