@@ -3,8 +3,8 @@
 A character n-gram model (interpolated modified Kneser-Ney, ``kneser_ney``: counted in Spark, sorted hash arrays that the
 workers memory-map) learns from every document that reads as prose by plain counts: not failed by the base rules
 and with few symbols. Every document then gets its log perplexity per character, and each language a band around
-its median, as wide as ``WIDTH`` median absolute deviations and at least ``LEAST`` of the median. Documents above
-or below the band of their language are rejected, as are those that fail the base rules.
+its median. Each side of it is as wide as ``WIDTH`` median deviations of the documents on that side, and at least ``LEAST`` of the
+median, for labels of few documents; equal perplexities (copies) count once. Documents above or below the band of their language are rejected, as are those that fail the base rules.
 
 Defined cases: a null text has no words and fails the base rules; null languages are a language of their own;
 texts of any length are read whole; equal rows get equal verdicts; without any prose no perplexity differs
@@ -27,7 +27,7 @@ from reqtrail.llm.common import materialize, offsets_of, schema, slices, text_by
 ORDER, BITS = 4, 16  # code points, and bits of each
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words in repeated windows
 MOST_SYMBOLS = 10  # percent of words, for the documents to learn from
-WIDTH, LEAST = 20.0, 0.25
+WIDTH, LEAST = 6.0, 0.1
 BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
 INSIDE = bytes(range(0x80, 0xC0))  # bytes that continue a code point
 SYMBOLS = b"#*$%&|<>"
@@ -141,15 +141,18 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """(id, counts, base_failed, perplexity, kept) of every row; with ``carry`` the row itself as ``_carried``."""
     measured = materialize(measure(docs, train(docs, text_col), id_col, text_col, lang_col, carry), "perplexities")
     judged = measured.where(~F.col("base_failed"))
+    judged = judged.select("_lang", "perplexity").distinct()
     middle = judged.groupBy("_lang").agg(F.percentile_approx("perplexity", 0.5, 10_000).alias("_middle"))
 
     def with_(a: DataFrame, b: DataFrame) -> DataFrame:  # a row for each language: Spark broadcasts it by its size
         b = b.withColumnRenamed("_lang", "_l")
         return a.join(b, F.col("_lang").eqNullSafe(F.col("_l")), "left").drop("_l")
 
-    spread = with_(judged, middle).groupBy("_lang").agg(
-        F.first("_middle").alias("_middle"), F.percentile_approx(F.abs(F.col("perplexity") - F.col("_middle")), 0.5, 10_000).alias("_spread"))
+    off = F.col("perplexity") - F.col("_middle")
+    spread = with_(judged, middle).groupBy("_lang").agg(F.first("_middle").alias("_middle"), *(
+        F.percentile_approx(F.when(sign * off >= 0, sign * off), 0.5, 10_000).alias(name) for sign, name in ((-1, "_below"), (1, "_above"))))
     # a row for each language, written so that its size is known when the join with the texts is planned
     spread = materialize(spread, "perplexity-bands")
-    within = F.abs(F.col("perplexity") - F.col("_middle")) <= F.greatest(width * 1.4826 * F.col("_spread"), least * F.col("_middle"))
-    return with_(measured, spread).withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True))).drop("_middle", "_spread", "_lang")
+    wide = lambda side: F.greatest(width * 1.4826 * F.col(side), least * F.col("_middle"))
+    within = (off >= -wide("_below")) & (off <= wide("_above"))
+    return with_(measured, spread).withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True))).drop("_middle", "_below", "_above", "_lang")

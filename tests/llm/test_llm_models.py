@@ -145,6 +145,18 @@ def test_quality_bands_reject_junk_and_keep_prose(spark):
     assert kept >= set(range(60)) and len(kept) <= 60 + 2  # exclamation marks are no symbols
 
 
+def test_quality_bands_reject_on_both_sides(spark):
+    good = [(i, C.prose(i, 150), "en", "a", 0) for i in range(200)]
+    copies = [(1000 + i, C.prose(0, 150), "en", "a", 0) for i in range(5)]
+    low = [(2000 + i, C.prose(400 + i, 150, "th the"), "en", "a", 0) for i in range(3)]
+    high = [(3000 + i, C.prose(500 + i, 1500, " ".join(a + b for a in "bcfgjkmpqvwxz" for b in "bcfgjkmpqvwxz")), "en", "a", 0) for i in range(3)]
+    rows = quality.quality(C.frame(spark, good + copies + low + high)).collect()
+    assert not any(r.base_failed for r in rows)
+    assert {r.doc_id for r in rows if r.kept} == {d for d, *_ in good + copies}
+    middle = sorted(r.perplexity for r in rows if r.doc_id < 1000)[100]
+    assert all(0.4 * middle < r.perplexity < middle for r in rows if 2000 <= r.doc_id < 3000)  # not far enough for a floor on each side
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_viterbi_is_the_best_path(seed):
     rng = np.random.default_rng(seed)
