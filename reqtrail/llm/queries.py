@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, language_id, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files, wrappers
+from reqtrail.llm import bpe, cosine_groups, divergence, language_id, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files, wrappers
 from reqtrail.llm.common import documents, remainder
 
 
@@ -74,7 +74,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine_groups.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_mix, op3_wrappers, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op8_languages, op9_secrets, op10_bpe)
+    f.__name__: f for f in (op1_token_files, op2_mix, op3_wrappers, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op8_languages, op9_secrets, op10_bpe, op12_divergence, op13_embeddings)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_divergence": divergence.ORACLE_SQL, "op13_embeddings": cosine_groups.ORACLE_SQL}
