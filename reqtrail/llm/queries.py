@@ -6,14 +6,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqtrail.llm import bpe, cosine_groups, divergence, language_id, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files, wrappers
+from reqtrail.llm import alignment, bpe, cosine_groups, divergence, language_id, lm_scoring, mixing, quality, scaled_sketch, secret_scan, simhash, token_files, wrappers
 from reqtrail.llm.common import documents, remainder
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
 
@@ -83,6 +87,6 @@ def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op2_mix, op3_wrappers, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op8_languages, op9_secrets, op10_bpe, op12_divergence, op13_embeddings)
+    f.__name__: f for f in (op1_token_files, op2_mix, op3_wrappers, op4_simhash, op5_lm_scores, op6_scaled_sketch, op7_quality, op8_languages, op9_secrets, op10_bpe, op11_alignment, op12_divergence, op13_embeddings)
 }
 ORACLE_SQL: dict[str, str] = {"op12_divergence": divergence.ORACLE_SQL, "op13_embeddings": cosine_groups.ORACLE_SQL}
