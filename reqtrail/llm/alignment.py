@@ -2,16 +2,16 @@
 
 Both tokenizers encode the whole text. Where a token of A and one of B end at the same byte and the next
 tokens of both begin with a space, the text is cut: such anchors are checked byte by byte, never assumed, and split a
-document into short windows of token ids. A window is aligned once for each tuple of ids and then remembered, until
-the table of windows has reached its bytes and starts anew.
+document into short windows of token ids. A window is aligned once for each tuple of ids and then remembered, in a
+table that is bounded in bytes.
 
-A first pass counts, for every pair of ids, the links of the whole corpus: tasks add up windows and send the sums of their pairs. The
-counts are kept as sorted arrays in the shared folder, which the tasks of the second pass memory-map to
-find what each link's pair counts. The second pass encodes again, rather than write the ids of all texts.
+A first pass encodes, writes the packed ids, and counts the links of the whole corpus for every pair of ids: tasks add up windows and send
+the sums of their pairs. The counts are kept as sorted arrays in the shared folder, which the tasks of the second pass memory-map to
+find what each link's pair counts.
 
-No token of either vocabulary holds a space after another letter, and no pre-token of A does, so a text is encoded in parts cut before single
-spaces between other letters; parts are encoded by the libraries and the short ones remembered. A vocabulary B of which this is not true is
-used on whole texts.
+No token of either vocabulary holds a space after a letter that is not white space, so a text is encoded in parts cut before single
+spaces between other letters; parts are encoded by the libraries, and short ones that come again are remembered. A vocabulary of which
+this is not true is used on whole texts.
 
 Defined cases: null and empty texts, and texts that either tokenizer does not reproduce (B writes U+2581 and some letters
 in another way), have no tokens, zeros and an empty digest; texts of any length are whole; strings of special tokens are plain
@@ -22,73 +22,74 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reqtrail.llm.bpe import byte_letters
 from reqtrail.llm.common import materialize, mounted_path, offsets_of, shared_folder, slices, write_once
 
-LONGEST_KEY = 64  # bytes of a part or window that is remembered
-CACHE_BYTES = 48_000_000  # of each table of remembered things
-ENTRY_BYTES = 160  # that an entry takes besides its key and value
+LONGEST_KEY = 64  # letters of a part that is remembered
+CACHE_BYTES = 80_000_000  # of remembered parts, and of remembered windows
+ENTRY_BYTES = 160  # that an entry of a table takes besides its key
+MET_BYTES = 1 << 22  # of the bit table of parts met before; a power of 2
+RARE_SPACES = ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+TOGETHER = 512  # parts encoded at once
 SEPARATOR = 0xFFFFFFFF
 SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+SPACE_AFTER_LETTER = re.compile(r"\S ")
 UNSAFE = re.compile(r"\A\s| \s|\s |\s\Z")
 
 
-class Tokens(NamedTuple):
-    """Ids of many texts in one array, the offsets of each text, and which texts they reproduce."""
-
-    ids: np.ndarray
-    offsets: np.ndarray
-    whole: np.ndarray
-
-
 class Tokenizer:
-    """A vocabulary: byte length of every token, whether it begins with a space, and its texts' ids by parts."""
+    """A vocabulary: the bytes of every token, and the ids of parts of texts."""
 
     def __init__(self, pieces: list[bytes]):
+        self.pieces = pieces
         self.lengths = np.array([len(p) for p in pieces], np.int64)
+        self.pool, self.starts = np.frombuffer(b"".join(pieces), np.uint8), offsets_of(self.lengths)[:-1]
         self.spaced = np.array([p[:1] == b" " for p in pieces])
-        self.pieces, self.known, self.size, self.differ = pieces, {}, 0, set()
-        self.by_parts = not any(b" " in p.lstrip(b" ") for p in pieces)
+        self.by_parts = not any(SPACE_AFTER_LETTER.search(p.decode("utf-8", "replace")) for p in pieces)
 
-    def ids_of(self, parts: list[str]) -> list[list[int]]:
+    def ids_of(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def parts(self, text: str) -> list[str]:
-        if not self.by_parts:
-            return [text]
-        return SINGLE_SPACE.split(text) if UNSAFE.search(text) else text.split(" ")
-
-    def encode(self, texts: list[str]) -> Tokens:
-        if self.size > CACHE_BYTES:
-            self.known, self.size, self.differ = {}, 0, set()
-        cut = [self.parts(t) if t else [] for t in texts]
-        new = list(set().union(*cut).difference(self.known))
-        for part, ids in zip(new, self.ids_of(new)):
-            self.known[part] = np.array(ids, "<u4").tobytes()
-            self.size += len(self.known[part]) + 2 * len(part) + ENTRY_BYTES
-            if b"".join(map(self.pieces.__getitem__, ids)) != (" " + part).encode("utf-8"):
-                self.differ.add(part)
-        out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
-        whole = np.array([bool(t) for t in texts], bool)
-        if self.differ:
-            for i in [i for i, c in enumerate(cut) if not self.differ.isdisjoint(c)]:
-                written = b"".join(self.pieces[x] for x in np.frombuffer(out[i], "<u4").tolist())
-                whole[i] = written == (" " + texts[i]).encode("utf-8")
-        for part in new:
-            if len(part) > LONGEST_KEY:
-                self.size -= len(self.known.pop(part)) + 2 * len(part) + ENTRY_BYTES
-                self.differ.discard(part)
-        return Tokens(np.frombuffer(b"".join(out), "<u4").astype(np.int64), offsets_of([len(x) // 4 for x in out]), whole)
+    def written(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes that ids stand for."""
+        lengths = self.lengths[ids]
+        place = np.arange(lengths.sum()) + np.repeat(self.starts[ids] - offsets_of(lengths)[:-1], lengths)
+        return self.pool[place]
+
+    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all parts in one array, their number in each part, and which parts they reproduce.
+
+        Parts without spaces are encoded many at once, as a text that their ids are cut from again.
+        """
+        ids, counts, whole = [], np.zeros(len(parts), np.int64), np.ones(len(parts), bool)
+        for first in range(0, len(parts), TOGETHER):
+            some = parts[first:first + TOGETHER]
+            joined = " ".join(some)
+            data = np.frombuffer((" " + joined).encode("utf-8"), np.uint8)
+            spaces = np.flatnonzero(data == 32)
+            if self.by_parts and len(spaces) == len(some) and not UNSAFE.search(joined):
+                found = np.array(self.ids_of([joined])[0], np.int64)
+                if np.array_equal(self.written(found), data):
+                    at = np.searchsorted(np.cumsum(self.lengths[found]), np.append(spaces[1:], len(data))) + 1
+                    ids.append(found)
+                    counts[first:first + len(some)] = np.diff(np.append(0, at))
+                    continue
+            for i, (part, found) in enumerate(zip(some, self.ids_of(some)), first):
+                found = np.array(found, np.int64)
+                ids.append(found)
+                counts[i], whole[i] = len(found), self.written(found).tobytes() == (" " + part).encode("utf-8")
+        return np.concatenate([*ids, np.zeros(0, np.int64)]), counts, whole
 
 
 class ByteTokenizer(Tokenizer):
@@ -105,8 +106,8 @@ class ByteTokenizer(Tokenizer):
         special = {i for i, t in self.library.get_added_tokens_decoder().items() if t.special}
         super().__init__([b"" if i in special or i not in names else bytes(byte_of[x] for x in names[i]) for i in range(max(names) + 1)])
 
-    def ids_of(self, parts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+    def ids_of(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 class PieceTokenizer(Tokenizer):
@@ -120,8 +121,8 @@ class PieceTokenizer(Tokenizer):
         super().__init__([bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i) else b"" if model.is_control(i)
                           else model.id_to_piece(i).replace("▁", " ").encode("utf-8") for i in range(n)])
 
-    def ids_of(self, parts: list[str]) -> list[list[int]]:
-        return self.library.encode(parts, num_threads=1) if parts else []
+    def ids_of(self, texts: list[str]) -> list[list[int]]:
+        return self.library.encode(texts, num_threads=1) if texts else []
 
 
 @lru_cache(maxsize=2)
@@ -130,47 +131,152 @@ def tokenizers(path_a: str, path_b: str) -> tuple[Tokenizer, Tokenizer]:
 
 
 class Cut(NamedTuple):
-    """Windows of many texts as keys (ids of A, a separator, ids of B), the windows of each text, and counts by text."""
+    """Windows as keys (ids of A, a separator, ids of B), the windows of each text, and shared ends by text."""
 
     keys: list[bytes]
     offsets: np.ndarray
-    n_a: np.ndarray
-    n_b: np.ndarray
     n_groups: np.ndarray
 
 
-def windows(texts: list[str], a: Tokenizer, b: Tokenizer) -> Cut:
-    """Encode the texts and cut them at anchors."""
-    of_a, of_b = a.encode(texts), b.encode(texts)
-    whole = of_a.whole & of_b.whole
-    (ids_a, at_a), (ids_b, at_b) = (_only(t, whole) for t in (of_a, of_b))
-    n = len(texts)
+def cut_windows(ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray, a: Tokenizer, b: Tokenizer) -> Cut:
+    """Cut the ids of many texts, which both tokenizers reproduce, at anchors."""
     if not len(ids_a):
-        return Cut([], np.zeros(n + 1, np.int64), *(np.zeros(n, np.int64) for _ in range(3)))
+        return Cut([], np.zeros(len(n_a) + 1, np.int64), np.zeros(len(n_a), np.int64))
+    at_a = offsets_of(n_a)
     # offsets run on from text to text; both tokenizers give each text the same bytes
     ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
     near = np.searchsorted(ends_b, ends_a)
     i = np.flatnonzero(ends_b[near] == ends_a)
     j = near[i]
+    last = np.zeros(len(ids_a) + 1, bool)
+    last[at_a] = True
     spaced_a, spaced_b = np.append(a.spaced[ids_a], True), np.append(b.spaced[ids_b], True)
-    starts_text = np.zeros(len(ids_a) + 1, bool)
-    starts_text[at_a] = True
-    anchors = starts_text[i + 1] | (spaced_a[i + 1] & spaced_b[j + 1])
+    anchors = last[i + 1] | (spaced_a[i + 1] & spaced_b[j + 1])
     to_a, to_b = i[anchors] + 1, j[anchors] + 1
     from_a, from_b = np.append(0, to_a[:-1]), np.append(0, to_b[:-1])
-    count = len(to_a)
-    place = from_a + from_b + np.arange(count)
-    row = np.full(len(ids_a) + len(ids_b) + count, SEPARATOR, "<u4")
-    row[np.arange(len(ids_a)) + np.repeat(from_b + np.arange(count), to_a - from_a)] = ids_a
-    row[np.arange(len(ids_b)) + np.repeat(to_a + np.arange(count) + 1, to_b - from_b)] = ids_b
+    count = np.arange(len(to_a))
+    place = from_a + from_b + count
+    row = np.full(len(ids_a) + len(ids_b) + len(count), SEPARATOR, "<u4")
+    row[np.arange(len(ids_a)) + np.repeat(from_b + count, to_a - from_a)] = ids_a
+    row[np.arange(len(ids_b)) + np.repeat(to_a + count + 1, to_b - from_b)] = ids_b
     data, bounds = row.tobytes(), (4 * np.append(place, len(row))).tolist()
     keys = [data[x:y] for x, y in zip(bounds, bounds[1:])]
-    return Cut(keys, np.searchsorted(to_a, at_a, "right"), np.diff(at_a), np.diff(at_b), np.diff(np.searchsorted(i + 1, at_a, "right")))
+    return Cut(keys, np.searchsorted(to_a, at_a, "right"), np.diff(np.searchsorted(i + 1, at_a, "right")))
+
+
+class Numbers:
+    """Numbers that are appended to, and cut off again."""
 
+    def __init__(self):
+        self.data, self.size = np.zeros(1024, np.int64), 0
 
-def _only(tokens: Tokens, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.diff(tokens.offsets)
-    return tokens.ids[np.repeat(whole, lengths)], offsets_of(np.where(whole, lengths, 0))
+    def extend(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.data):
+            self.data = np.append(self.data, np.zeros(max(need - len(self.data), len(self.data)), np.int64))
+        self.data[self.size:need] = values
+        self.size = need
+
+    def values(self) -> np.ndarray:
+        return self.data[:self.size]
+
+
+def gathered(pool: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of each row, which lie in ``pool`` up to its end, and their offsets."""
+    starts = np.append(0, ends[:-1])
+    length = (ends - starts)[rows]
+    total = offsets_of(length)
+    return pool[np.repeat(starts[rows] - total[:-1], length) + np.arange(total[-1])], total
+
+
+class Parts:
+    """Ids of the parts of texts. Parts that come a second time are kept, until the table is full; others are for their batch alone."""
+
+    def __init__(self, a: Tokenizer, b: Tokenizer):
+        self.a, self.b = a, b
+        self.number: dict[str, int] = {}
+        self.whole, self.end_a, self.end_b, self.ids_a, self.ids_b = (Numbers() for _ in range(5))
+        self.size, self.met = 0, bytearray(MET_BYTES)
+
+    def parts_of(self, text: str) -> list[str]:
+        if not (self.a.by_parts and self.b.by_parts):
+            return [text]
+        plain = text.isascii() and not text[0].isspace() and not text[-1].isspace() and not any(map(text.__contains__, RARE_SPACES))
+        return text.split(" ") if plain or not UNSAFE.search(text) else SINGLE_SPACE.split(text)
+
+    def _met_before(self, part: str) -> bool:
+        """Whether a short part (or, rarely, another of its hash) was met in an earlier batch: one that comes once takes no place."""
+        place = hash(part) & (8 * len(self.met) - 1)
+        byte, bit = place >> 3, 1 << (place & 7)
+        if len(part) > LONGEST_KEY or self.met[byte] & bit:
+            return len(part) <= LONGEST_KEY
+        self.met[byte] |= bit
+        return False
+
+    def learn(self, parts: list[str]) -> None:
+        (ids_a, n_a, whole_a), (ids_b, n_b, whole_b) = self.a.encode(parts), self.b.encode(parts)
+        self.whole.extend(whole_a & whole_b)
+        for ids, n, pool, ends in ((ids_a, n_a, self.ids_a, self.end_a), (ids_b, n_b, self.ids_b, self.end_b)):
+            ends.extend(pool.size + np.cumsum(n))
+            pool.extend(ids)
+        self.number.update(zip(parts, range(len(self.number), len(self.number) + len(parts))))
+        self.size += sum(map(len, parts)) + len(parts) * ENTRY_BYTES + 8 * (len(ids_a) + len(ids_b))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A of all texts and their number in each, and the same of B; a text not reproduced has none."""
+        cut = [self.parts_of(t) if t else [] for t in texts]
+        new = list(set().union(*cut).difference(self.number))
+        known = [self._met_before(p) for p in new]
+        before = self._mark()
+        self.learn([p for p, k in zip(new, known) if k])
+        kept = self._mark()
+        self.learn([p for p, k in zip(new, known) if not k])
+        parts = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64)
+        offsets = offsets_of([len(c) for c in cut])
+        if not self.whole.values().all():  # as a whole, a text may be reproduced all the same; else it has no tokens
+            good = self.whole.values()[parts]
+            for i in [i for i, c in enumerate(cut) if c and not good[offsets[i]:offsets[i + 1]].all()]:
+                if texts[i] not in self.number:
+                    self.learn([texts[i]])
+                    new.append(texts[i])
+                cut[i] = [texts[i]] if self.whole.values()[self.number[texts[i]]] else []
+            parts = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64)
+            offsets = offsets_of([len(c) for c in cut])
+        out = []
+        for ids, ends in ((self.ids_a, self.end_a), (self.ids_b, self.end_b)):
+            found, at = gathered(ids.values(), ends.values(), parts)
+            out += [found, np.diff(at[offsets])]
+        self._back(kept if kept[3] <= CACHE_BYTES else before, new)
+        return tuple(out)
+
+    def _mark(self) -> tuple[int, int, int, int]:
+        return len(self.number), self.ids_a.size, self.ids_b.size, self.size
+
+    def _back(self, mark: tuple[int, int, int, int], new: list[str]) -> None:
+        n, self.ids_a.size, self.ids_b.size, self.size = mark
+        for part in new:
+            if self.number.get(part, -1) >= n:
+                del self.number[part]
+        self.whole.size = self.end_a.size = self.end_b.size = n
+
+
+class Windows:
+    """Numbers of windows by their tuples of ids, so that each is aligned once; a full table starts anew."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.keys: list[bytes] = []
+        self.size = 0
+
+    def of(self, keys: list[bytes]) -> np.ndarray:
+        for key in set(keys).difference(self.number):
+            self.number[key] = len(self.keys)
+            self.keys.append(key)
+            self.size += len(key) + 2 * ENTRY_BYTES
+        return np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+
+    def full(self) -> bool:
+        return self.size > CACHE_BYTES
 
 
 def links(keys: list[bytes], a: Tokenizer, b: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
@@ -192,17 +298,18 @@ def links(keys: list[bytes], a: Tokenizer, b: Tokenizer) -> tuple[np.ndarray, np
 
 def groups_text(key: bytes, a: Tokenizer, b: Tokenizer) -> str:
     """The groups of one window: `a1,a2|b1;a3|b2,b3`."""
-    row = np.frombuffer(key, "<u4")
-    mark = int(np.flatnonzero(row == SEPARATOR)[0])
-    ids_a, ids_b = row[:mark], row[mark + 1:]
-    ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
-    ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    out = []
-    names_a, names_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    x = y = 0
-    for u, v in zip((np.searchsorted(ends_a, ends) + 1).tolist(), (np.searchsorted(ends_b, ends) + 1).tolist()):
-        out.append(",".join(names_a[x:u]) + "|" + ",".join(names_b[y:v]))
-        x, y = u, v
+    row = np.frombuffer(key, "<u4").tolist()
+    mark = row.index(SEPARATOR)
+    ids_b, out = row[mark + 1:], []
+    first_a = first_b = at_b = end_a = end_b = 0
+    for at_a, token in enumerate(row[:mark], 1):
+        end_a += len(a.pieces[token])
+        while end_b < end_a:
+            end_b += len(b.pieces[ids_b[at_b]])
+            at_b += 1
+        if end_b == end_a:
+            out.append(",".join(map(str, row[first_a:at_a])) + "|" + ",".join(map(str, ids_b[first_b:at_b])))
+            first_a, first_b = at_a, at_b
     return ";".join(out)
 
 
@@ -226,31 +333,46 @@ class Counted:
         return count, best
 
 
-def count_pairs(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text") -> DataFrame:
-    """(pair, n): links of the corpus by pair of ids."""
+def added(done: tuple[np.ndarray, np.ndarray], keys: list[bytes], n: np.ndarray, a: Tokenizer, b: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by pair, and the pairs of windows that were seen n times."""
+    if not keys:
+        return done
+    pairs, window = links(keys, a, b)
+    found, at = np.unique(np.append(done[0], pairs), return_inverse=True)
+    sums = np.zeros(len(found), np.int64)
+    np.add.at(sums, at, np.append(done[1], n[window]))
+    return found, sums
+
+
+ENCODED = "ids array<long>, n_a array<long>, n_b array<long>, coded binary, pair long, n long"
+
+
+def encode_and_count(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """From (id, text): rows with the packed ids of some texts each, and rows (pair, n) of links counted by a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = tokenizers(path_a, path_b)
-        seen, size = Counter(), 0
-        for batch in slices(batches, 0):
-            cut = windows(batch.column(0).to_pylist(), a, b)
-            before = len(seen)
-            seen.update(cut.keys)
-            if len(seen) > before:
-                size += (len(seen) - before) * (ENTRY_BYTES + LONGEST_KEY) + sum(map(len, filter(lambda k: len(k) > LONGEST_KEY, cut.keys)))
-            if size > CACHE_BYTES:
-                yield sums(seen)
-                seen, size = Counter(), 0
-        yield sums(seen)
-
-    def sums(seen: Counter) -> pa.RecordBatch:
-        pairs, window = links(list(seen), *tokenizers(path_a, path_b)) if seen else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        found, at = np.unique(pairs, return_inverse=True)
-        n = np.zeros(len(found), np.int64)
-        np.add.at(n, at, np.fromiter(seen.values(), np.int64, len(seen))[window])
-        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["pair", "n"])
-
-    return docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        parts, table, seen = Parts(a, b), Windows(), np.zeros(0, np.int64)
+        done = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in slices(batches, 1):
+            ids_a, n_a, ids_b, n_b = parts.encode(batch.column(1).to_pylist())
+            cut = cut_windows(ids_a, n_a, ids_b, n_b, a, b)
+            now = np.bincount(table.of(cut.keys), minlength=len(table.keys))
+            now[:len(seen)] += seen
+            seen = now
+            if table.full():
+                done, table, seen = added(done, table.keys, seen, a, b), Windows(), seen[:0]
+            coded = zstandard.compress(np.append(ids_a, ids_b).astype("<u4").view("<u2").reshape(-1, 2).T.tobytes(), 1)
+            yield row([batch.column(0).to_pylist()], [n_a.tolist()], [n_b.tolist()], [coded], [None], [None])
+        pairs, n = added(done, table.keys, seen, a, b)
+        nothing = [None] * len(pairs)
+        yield row(nothing, nothing, nothing, nothing, pairs, n)
+
+    def row(*columns) -> pa.RecordBatch:
+        kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["ids", "n_a", "n_b", "coded", "pair", "n"])
+
+    return docs.mapInArrow(run, ENCODED)
 
 
 def store_counts(counts: DataFrame) -> list[tuple[int, str]]:
@@ -275,33 +397,36 @@ def store_counts(counts: DataFrame) -> list[tuple[int, str]]:
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every text."""
-    files = store_counts(count_pairs(docs, path_a, path_b, text_col))
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    encoded = materialize(encode_and_count(slim, path_a, path_b), "encoded-twice")
+    files = store_counts(encoded.where("pair is not null").groupBy("pair").agg(F.sum("n").alias("n")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = tokenizers(path_a, path_b)
-        counted = Counted(files)
-        number, size, texts, best, total = {}, 0, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in slices(batches, 1):
-            cut = windows(batch.column(1).to_pylist(), a, b)
-            if size > CACHE_BYTES:  # also full of long windows, which are of use to their own texts alone
-                number, size, texts, best, total = {}, 0, [], best[:0], total[:0]
-            new = list(set(cut.keys).difference(number))
+        counted, table, texts, best, total = Counted(files), Windows(), [], Numbers(), Numbers()
+        for batch in slices(batches, rows=1):
+            ids, n_a, n_b = (np.array(batch.column(c)[0].as_py(), object if c == 0 else np.int64) for c in range(3))
+            row = np.frombuffer(zstandard.decompress(batch.column(3)[0].as_py()), "<u2").reshape(2, -1)
+            row = row[0] + row[1].astype(np.int64) * 65536
+            cut = cut_windows(row[:n_a.sum()], n_a, row[n_a.sum():], n_b, a, b)
+            if table.full():
+                table, texts, best, total = Windows(), [], Numbers(), Numbers()
+            found = table.of(cut.keys)
+            new = table.keys[len(texts):]
             if new:
                 pairs, window = links(new, a, b)
                 n, is_best = counted.find(pairs)
                 starts = np.searchsorted(window, np.arange(len(new)))
-                best, total = np.append(best, np.add.reduceat(is_best.astype(np.int64), starts)), np.append(total, np.add.reduceat(n, starts))
-                number.update(zip(new, range(len(texts), len(texts) + len(new))))
+                best.extend(np.add.reduceat(is_best.astype(np.int64), starts))
+                total.extend(np.add.reduceat(n, starts))
                 texts += [groups_text(k, a, b) for k in new]
-                size += sum(map(len, texts[-len(new):])) + sum(map(len, new)) + ENTRY_BYTES * len(new)
-            found = list(map(number.__getitem__, cut.keys))
-            at = np.array(found, np.int64)
-            bounds = cut.offsets.tolist()
-            of_text = lambda values: np.diff(np.append(0, np.cumsum(values[at]))[cut.offsets])
-            digests = [hashlib.sha256(";".join(map(texts.__getitem__, found[x:y])).encode("ascii")).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])]
-            columns = [cut.n_a, cut.n_b, cut.n_groups, cut.n_a + cut.n_b - cut.n_groups, of_text(best), of_text(total)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns), pa.array(digests, pa.string())],
+                table.size += sum(map(len, texts[-len(new):]))
+            of_text = lambda column: np.diff(np.append(0, np.cumsum(column.values()[found]))[cut.offsets])
+            written, bounds = list(map(texts.__getitem__, found.tolist())), cut.offsets.tolist()
+            digests = [hashlib.sha256(";".join(written[x:y]).encode("ascii")).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])]
+            columns = [n_a, n_b, cut.n_groups, n_a + n_b - cut.n_groups, of_text(best), of_text(total)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids.tolist(), pa.int64()), *(pa.array(c, pa.int64()) for c in columns), pa.array(digests, pa.string())],
                                              names=[id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
-    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return slim.mapInArrow(run, f"{id_col} long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    coded = encoded.where("coded is not null").select("ids", "n_a", "n_b", "coded")
+    return coded.mapInArrow(run, f"{id_col} long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
