@@ -33,9 +33,10 @@ from reqtrail.llm.common import materialize, offsets_of, slices
 
 LEAST_DOCUMENTS = 10  # of a language that hold a kept term
 TOP_TERMS = 10
-BLOCK_BYTES = 96_000_000  # of postings that a task holds before it spills
+BLOCK_BYTES = 64_000_000  # of postings that a task holds before it spills
 POSTING_BYTES = 130  # that a posting takes besides its term
-SHARD_BYTES = 256_000_000  # of text for each hash shard
+SHARD_BYTES = 32_000_000  # of text for each hash shard
+OPEN_TERMS = 64  # of a run that a merge has unpacked
 DOCUMENT = 1 << 48  # a posting's number holds its documents above its occurrences
 #: Lower-cases A-Z, keeps a-z and all bytes of other letters, and makes the rest blank.
 TERM_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -84,14 +85,17 @@ class Block:
         self.groups, self.size = {}, 0
 
 
-def walk(run: dict) -> Iterator[tuple[bytes, list[tuple[str, str]], np.ndarray]]:
-    """(term, groups, postings) of a run in term order."""
-    at = offsets_of(np.frombuffer(run["lengths"], "<u4")).tolist()
-    first = offsets_of(np.frombuffer(run["n_postings"], "<u4")).tolist()
+def walk(run: dict) -> Iterator[tuple[bytes, list[tuple[str, str]], list[tuple[int, int, int]]]]:
+    """(term, groups, postings) of a run in term order; a run stays packed but for a few terms at a time."""
+    at, first = (offsets_of(np.frombuffer(run[c], "<u4")) for c in ("lengths", "n_postings"))
     groups, terms = [(g["lang"], g["source"]) for g in run["groups"]], run["terms"]
-    postings = np.frombuffer(run["postings"], POSTING).tolist()
-    for i in range(run["n_terms"]):
-        yield terms[at[i]:at[i + 1]], groups, postings[first[i]:first[i + 1]]
+    postings = np.frombuffer(run["postings"], POSTING)
+    for low in range(0, run["n_terms"], OPEN_TERMS):
+        high = min(low + OPEN_TERMS, run["n_terms"])
+        found = postings[first[low]:first[high]].tolist()
+        bounds, places = at[low:high + 1].tolist(), (first[low:high + 1] - first[low]).tolist()
+        for i in range(high - low):
+            yield terms[bounds[i]:bounds[i + 1]], groups, found[places[i]:places[i + 1]]
 
 
 def merged(runs: list[dict], least: int) -> Iterator[tuple[str, str, str, int, int, bool]]:
