@@ -22,6 +22,7 @@ from reqtrail.functions.nulls import DEFAULT_DUE, fill_columns, fill_timestamp,
 from reqtrail.functions.text import decode, matches_from_start, strip_ws, template
 from reqtrail.operators import keyed, link, merge, nest, timeline
 from reqtrail.plans import fixtures as fx
+from reqtrail.plans.increments import INCREMENTS
 from reqtrail.plans.job_queries import JOBS
 from reqtrail.plans.oracle_views import LI_ORDER, with_views
 from reqtrail.session import materialize, scratch_table_path
@@ -358,7 +359,6 @@ def nest_lines_positions(spark, sf_dir):
     """A1 in the flat canonical form: each line's position under its order (the array
     index of the document view), from the skew-safe sequencer, for lines whose order exists."""
     t = _t(spark, sf_dir)
-    # Project first: the sequencer's Python pass is opaque to column pruning.
     lines = (t.lineitem.select(*fx.LINEITEM_ORDER)
               .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"))
     pos = nest.positions(lines, ["l_orderkey"], fx.LINEITEM_ORDER[1:])
@@ -791,7 +791,7 @@ def _job(run):
     return lambda spark, sf_dir: run(_t(spark, sf_dir))
 
 
-for _name, (_run, _sql) in JOBS.items():
+for _name, (_run, _sql) in [*JOBS.items(), *INCREMENTS.items()]:
     query(_name, _sql)(_job(_run))
 
 

@@ -11,65 +11,74 @@ streams into the same tables are not mistaken for it.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqtrail.operators.merge import write_version
+from reqtrail.operators.rewrite import FileSet, Rewrite, files_under, write_files
+from reqtrail.sources.commits import CommitLog
 from reqtrail.sources.snapshot import ORD
 
 
 class TableStore:
     """Versioned Parquet tables under ``base``: ``{base}/{table}/v=.../`` plus one commit log.
 
-    A commit is one empty file whose name holds its number, the tag of its run and the version of each
-    table it makes current, so it appears at once or not at all. Two commits with one
-    number are possible when two runs end together; the one whose name sorts first stands, the
-    other is withdrawn. Listing and markers go through the Hadoop file system API of the session
-    (works on HDFS/S3/local alike).
+    A commit is one log entry: the tag of its run and, for each table it makes current, the version and whether that is a list
+    of files (a ``Rewrite``: files kept from earlier versions and new ones) or all of its folder. All tables of a commit become
+    current together when the entry appears; of two commits that want one number, one gets it and the other one nothing
+    (``sources.commits``).
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
-        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._log = f"{self.base}/_commits"
-
-    def _commits(self) -> list[tuple[int, str, dict[str, str]]]:
-        """(number, tag, versions by table) of every commit that stands, in order."""
-        log, out = self._path(self._log), []
-        names = sorted(st.getPath().getName() for st in self._fs.listStatus(log)) if self._fs.exists(log) else []
-        for name in names:
-            number, tag, tables = name.split("~")
-            if not out or out[-1][0] != int(number):
-                out.append((int(number), tag, dict(t.split("@") for t in tables.split("+"))))
-        return out
+        self.log = CommitLog(spark, f"{self.base}/_commits")
+
+    def _commits(self) -> list[tuple[int, dict]]:
+        return [(number, json.loads(text)) for number, text in self.log.entries()]
+
+    def files(self, table: str) -> FileSet | None:
+        """The current version of a table as a list of files, for the merges of ``operators.rewrite``."""
+        for _, commit in reversed(self._commits()):
+            if table in commit["tables"]:
+                version = commit["tables"][table]
+                if not version["listed"]:
+                    return files_under(self.spark, f"{self.base}/{table}/v={version['id']}")
+                listed = self.spark.read.parquet(f"{self.base}/{table}/_files/v={version['id']}")
+                names = tuple(sorted(r.path for r in listed.select("path").toLocalIterator()))
+                return FileSet(names, T.StructType.fromJson(version["schema"]))
+        return None
 
     def current(self, table: str) -> DataFrame | None:
-        for _, _, versions in reversed(self._commits()):
-            if table in versions:
-                return self.spark.read.parquet(f"{self.base}/{table}/v={versions[table]}")
-        return None
+        found = self.files(table)
+        return None if found is None else found.read(self.spark)
 
     def committed(self, tag: str) -> bool:
-        return any(t == tag for _, t, _ in self._commits())
-
-    def commit(self, tables: dict[str, DataFrame], tag: str, after: int) -> bool:
+        return any(commit["tag"] == tag for _, commit in self._commits())
+
+    def _write(self, table: str, new: DataFrame | Rewrite) -> dict:
+        if isinstance(new, DataFrame):
+            return {"id": write_version(new, self.base, table).rsplit("/v=", 1)[1], "listed": False}
+        version = uuid.uuid4().hex
+        made = write_files(new, f"{self.base}/{table}/v={version}")
+        kept = set(new.kept)
+        names = self.spark.createDataFrame([(f, f in kept) for f in made.files], "path string, kept boolean")
+        names.coalesce(1).write.parquet(f"{self.base}/{table}/_files/v={version}")
+        return {"id": version, "listed": True, "schema": made.schema.jsonValue()}
+
+    def commit(self, tables: Mapping[str, DataFrame | Rewrite], tag: str, after: int) -> bool:
         """Write the tables and make them current together; False if another run committed since number ``after``."""
-        versions = {name: write_version(df, self.base, name).rsplit("/v=", 1)[1] for name, df in tables.items()}
         if self.last() != after:
-            return False
-        marker = self._path(f"{self._log}/{after + 1:012d}~{tag}~{'+'.join(f'{t}@{v}' for t, v in versions.items())}")
-        self._fs.create(marker, False).close()
-        if not self.committed(tag):
-            self._fs.delete(marker, False)  # another run took the number
-            return False
-        return True
+            return False  # before anything is written; the log decides for those that go on
+        versions = {name: self._write(name, new) for name, new in tables.items()}
+        return self.log.publish(after + 1, json.dumps({"tag": tag, "tables": versions}))
 
     def last(self) -> int:
-        return max((n for n, _, _ in self._commits()), default=0)
+        return max((n for n, _ in self._commits()), default=0)
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:

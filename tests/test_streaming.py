@@ -97,3 +97,51 @@ def test_a_commit_of_another_run_is_not_overwritten(stage):
     assert stage.store.commit({"t": df}, "one", 0)
     assert not stage.store.commit({"t": df}, "two", 0) and stage.store.commit({"t": df}, "two", 1)
     assert stage.store.committed("one") and stage.store.committed("two") and stage.store.last() == 2
+
+
+def _two_writers(spark, root, at):
+    """Commit "a" of one store while another one commits "b" in full just before its step number ``at``."""
+    from reqtrail.streaming import snapshots
+
+    a, b = TableStore(spark, str(root)), TableStore(spark, str(root))
+    df = lambda n: spark.createDataFrame([(n,)], "n long")
+    steps, won = [], {}
+
+    def rival(f):
+        def call(*args, **kwargs):
+            steps.append(f.__name__)
+            if len(steps) == at:
+                won["b"] = b.commit({"t": df(2), "u": df(2)}, "b", 0)
+            return f(*args, **kwargs)
+        return call
+
+    for part in ("last", "_write"):
+        setattr(a, part, rival(getattr(a, part)))
+    a.log.publish = rival(a.log.publish)
+    won["a"] = a.commit({"t": df(1), "u": df(1)}, "a", 0)
+    return a, b, won, steps
+
+
+@pytest.mark.parametrize("at", [1, 2, 3, 4])
+def test_one_of_two_commits_gets_the_number(spark, tmp_path, at):
+    """Whatever step the other commit comes at, one wins whole, the other one is told and commits after it."""
+    a, b, won, steps = _two_writers(spark, tmp_path / "store", at)
+    assert sorted(won.values()) == [False, True] and won["b"]
+    store = TableStore(spark, str(tmp_path / "store"))
+    assert store.committed("b") and not store.committed("a") and store.last() == 1
+    assert store.current("t").first().n == store.current("u").first().n == 2
+    assert TableStore(spark, str(tmp_path / "store")).commit({"t": spark.createDataFrame([(1,)], "n long")}, "a", store.last())
+    assert store.committed("a") and store.last() == 2 and store.current("t").first().n == 1 and store.current("u").first().n == 2
+
+
+def test_many_writers_of_one_number(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from reqtrail.sources.commits import CommitLog
+
+    for number in range(1, 21):
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(lambda i: CommitLog(spark, str(tmp_path / "log")).publish(number, f"writer {i}"), range(8)))
+        assert won.count(True) == 1
+        assert CommitLog(spark, str(tmp_path / "log")).entries()[-1] == (number, f"writer {won.index(True)}")
+    assert sorted(p.name for p in (tmp_path / "log").iterdir()) == [f"{n:012d}" for n in range(1, 21)]
