@@ -734,6 +734,19 @@ def snapshot_delimited(spark, sf_dir):
     return read.select("Vendor", F.col("`PO No.`"), "Note", "Amount")
 
 
+@query("snapshot_banner", f"select Vendor, \"PO No.\", Note, Amount from ({ORDER_REPORT_SQL}) x")
+def snapshot_banner(spark, sf_dir):
+    """S1 as the reports come: every file has two banner lines, one of them a quoted cell of two, above its header."""
+    path = scratch_table_path(spark, "report")
+    report = _order_report(_t(spark, sf_dir)).select("Note", "Amount", "`PO No.`", "Vendor")
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in report.columns]), {"escape": '"'})
+    first = F.monotonically_increasing_id() % (1 << 33) == 0  # of its partition, so of its file
+    above = F.lit('Open orders\n"printed by\nthe report server",page 1\nNote,Amount,PO No.,Vendor')
+    report.repartition(4, "`PO No.`").select(F.when(first, F.concat_ws("\n", above, line)).otherwise(line)).write.text(path)
+    read = snapshot.read_delimited(spark, path, ORDER_SCHEMA, skip_lines=2)
+    return read.select("Vendor", F.col("`PO No.`"), "Note", "Amount")
+
+
 @query("duplicate_header", """select l_orderkey as Req_ID, l_orderkey % 2 as Unit, l_linenumber as REQ_Line,
        concat('P', cast(l_partkey as string)) as PO_No, l_suppkey % 100 as PO_Line from lineitem""")
 def duplicate_header(spark, sf_dir):

@@ -80,11 +80,16 @@ LOADS = {
 }
 
 
+@pytest.fixture(scope="module")
+def built(spark):
+    old = small(spark)
+    return old, increments.build(old)
+
+
 @pytest.mark.parametrize("name", LOADS)
-def test_one_load_recomputes_what_it_can_change(spark, name):
-    old, (edits, wanted) = small(spark), LOADS[name]
+def test_one_load_recomputes_what_it_can_change(built, name):
+    (old, before), (edits, wanted) = built, LOADS[name]
     new = old | {table: edit(old[table]) for table, edit in edits.items()}
-    before = increments.build(old)
     after, affected = incremental.update_timeline(before, old, new, as_of=increments.AS_OF, worklist_order="Appr_Inst")
     full = increments.build(new)
     assert {r["REQ_No"] for r in affected.collect()} == wanted

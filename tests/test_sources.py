@@ -128,3 +128,58 @@ def test_delimited_snapshot_by_date(spark, tmp_path):
     text(folder, "r.csv", "Banner", "Item,Qty,More Info", "0007,1,x")
     got = read_snapshot(spark, str(tmp_path), "po", "2020-01-01", ITEM, fmt="csv").first()
     assert (got["Item"], got["Qty"]) == ("0007", 1)
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def quoted(cell, always):
+    if cell is None:
+        return ""
+    hard = always or cell == "" or cell[0] == '"' or any(x in cell for x in ",\n\r")
+    return '"' + cell.replace('"', '""') + '"' if hard else cell
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_one_file_in_many_splits_equals_the_whole_file_reader(spark, tmp_path, small_splits, end):
+    """Cells with breaks, quotes and separators fall on borders of splits; some are longer than several splits."""
+    import random
+
+    rnd = random.Random(7)
+    parts = ["a", "bc", "\n", ",", '"', "x y", "\n\n", '",', ',"', "5\" pipe", "-" * 40]
+    rows = []
+    for i in range(250):
+        cells = [None if rnd.random() < 0.1 else "".join(rnd.choice(parts) for _ in range(rnd.choice([0, 1, 3, 9]))) for _ in range(2)]
+        cells.append("long\n" * 300 if i in (60, 61, 200) else "z")
+        rows.append([f"{i:04d}", *cells])
+    body = end.join(",".join(quoted(c, rnd.random() < 0.2) for c in r) for r in rows)
+    (tmp_path / "r.csv").write_bytes(f"Printed by,server{end}Id,A,B,C{end}{body}{end}".encode())
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("Id", "A", "B", "C")])
+    df = read_delimited(spark, str(tmp_path / "r.csv"), schema)
+    got = [(r["Id"], r["A"], r["B"], r["C"]) for r in df.orderBy(ORD).collect()]
+    assert got == [tuple(c or None for c in r) for r in rows] and all(r["_malformed"] == [] for r in df.collect())
+    splits = df.select(f"{ORD}.b").distinct().count()
+    assert splits > 20
+    whole = spark.read.schema("Id string, A string, B string, C string").options(multiLine=True, quote='"', escape='"').csv(str(tmp_path / "r.csv"))
+    assert [tuple(r) for r in whole.collect()][2:] == got
+
+
+def test_any_number_of_columns(spark, tmp_path, small_splits):
+    """The second file is wider than the first by more than any spare, whichever is read first."""
+    text(tmp_path, "a.csv", "Banner", "Item,Qty,More Info", "0001,1,x")
+    text(tmp_path, "b.csv", "Banner", ",".join([f"c{i}" for i in range(40)] + ["Qty", "More Info", "Item"]), ",".join([""] * 40 + ["2", '"a,b"', "0002"]),
+         ",".join([""] * 40 + ["3", "y", "0003", "", "extra"]))
+    got = {r["Item"]: (r["Qty"], r["More Info"], r["_malformed"]) for r in read_delimited(spark, str(tmp_path), ITEM).collect()}
+    assert got == {"0001": (1, "x", []), "0002": (2, "a,b", []), "0003": (3, "y", ["extra cells"])}
+
+
+def test_separators_in_quoted_headers_and_banners(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"Banner, of\ntwo lines"\n\n"Qty";"More, Info";Item\n1;"p;q";007\n'.replace('"More, Info"', '"More Info"'))
+    got = read_delimited(spark, str(tmp_path), ITEM, sep=";").first()
+    assert (got["Item"], got["Qty"], got["More Info"]) == ("007", 1, "p;q")
