@@ -10,7 +10,7 @@ import duckdb
 import llm_cases as C
 import numpy as np
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from reqtrail.llm import cosine_groups, divergence, queries
 
@@ -68,7 +68,7 @@ def test_audit_of_the_shared_cases(spark):
 
 def test_large_counts_stay_exact(spark):
     n = 3 * 10**12 + 7
-    got = spark.createDataFrame([(n - 5, n, 11)], "c long, n long, v long").select(divergence.share(*(divergence.F.col(x) for x in "cnv"))).first()[0]
+    got = spark.createDataFrame([(n - 5, n, 11)], "c long, n long, v long").select(divergence.share(*(F.col(x) for x in "cnv"))).first()[0]
     assert got == 1 + 10**9 * (n - 5 + 2) // (n + 22)
 
 
@@ -100,7 +100,7 @@ def test_queries_equal_duckdb(spark, name):
     assert sorted(want.columns) == columns and as_set(got) == as_set(want)
 
 
-VECTORS = T._parse_datatype_string("vec_id long, embedding array<float>, label int, home string, node string, bucket string")
+VECTORS = "vec_id long, embedding array<float>, label int, home string, node string, bucket string"
 
 
 def groups(length: int = 24, seed: int = 3) -> list[tuple]:
