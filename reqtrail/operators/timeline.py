@@ -255,9 +255,18 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
     base = (F.col("PO_Approval_Date").isNotNull().cast("int") + 3).alias("_base")
     owners = done.select(F.col("link_po").alias("PO_No"), "REQ_No", base,
                          *[F.col(c).alias(f"_s{k}") for k, c in enumerate(starts)])
-    steps = _worklist(po_worklist, worklist_order).join(owners, "PO_No")
-    steps = sequence_groups(steps, ["REQ_No"], ["Event_Date_Time", "Approval_Number", worklist_order],
-                            lag_cols=["Event_Date_Time"], lead_cols=["Event_Date_Time"])
+    steps = _worklist(po_worklist, worklist_order).join(owners, "PO_No").withColumn("_po_step", F.lit(True))
+    order = ["Event_Date_Time", "Approval_Number", worklist_order]
+    if req_worklist is not None:
+        # T5: the requisition's own steps are merged into the stream: after PO steps of the same time, by their id. Positions among
+        # the steps of either kind are running counts, so one sequencing serves both orders.
+        own = req_worklist.select("REQ_No", F.col("Appr_Inst").cast("string").alias("_req_step"), F.col("Date_Time").alias("Event_Date_Time"))
+        own = own.join(owners, "REQ_No").withColumn("_po_step", F.lit(False))
+        steps = steps.withColumn("_req_step", F.lit(None).cast("string")).unionByName(own, allowMissingColumns=True)
+        order = ["Event_Date_Time", F.col("_po_step").cast("int") * -1, "Approval_Number", worklist_order, "_req_step"]
+    steps = sequence_groups(steps, ["REQ_No"], order, lag_cols=["Event_Date_Time", "_po_step"], lead_cols=["Event_Date_Time"],
+                            count_cols=["_po_step"])
+    steps = materialize_table(steps, "sequenced-steps")  # read as events and for the first step after each fixed event
     t = F.col("Event_Date_Time")
 
     def ev(seq, id_, start, etype, text, person, internal, auto, life, end):
@@ -271,11 +280,12 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
     # Steps. A later fixed event has a strictly later start (its seq is smaller).
     later_fixed = F.least(*[F.when(F.col(f"_s{k}") > t, F.col(f"_s{k}")) for k in range(4)])
     step_end = F.when(t.isNotNull(), F.coalesce(F.least(F.col("_lead_Event_Date_Time"), later_fixed), as_of_c))
-    auto = (F.col("_rank") > 1) & F.col("_lag_Event_Date_Time").eqNullSafe(t)
+    # PO steps of one time stand together, so the PO step before this one is the row before it if their times are equal.
+    auto = F.coalesce(F.col("_lag__po_step"), F.lit(False)) & F.col("_lag_Event_Date_Time").eqNullSafe(t)
     stat = F.col("Appr_Stat")
     text = F.when(stat == "I", F.lit(TXT_PO_INITIATED)).otherwise(
         template(TXT_WORKLIST_STEP, "Work_List", "Approval_Number"))
-    step_ev = (steps.select("REQ_No", "PO_No", ev(F.col("_base") + F.col("_rank") - 1, F.col("Appr_Inst"), t,
+    step_ev = (steps.where("_po_step").select("REQ_No", "PO_No", ev(F.col("_base") + F.col("_count__po_step") - 1, F.col("Appr_Inst"), t,
                                                   decode(stat), text, F.col("User"),
                                                   matches_from_start(F.col("Work_List")), auto, "PO",
                                                   step_end).alias("e"))
@@ -283,7 +293,7 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
 
     # REQ/PO events. First step at or after each fixed start: one partial aggregation.
     first_after = steps.groupBy("REQ_No").agg(
-        *[F.min(F.when(t >= F.col(f"_s{k}"), t)).alias(f"_m{k}") for k in range(4)])
+        F.count_if("_po_step").alias("_nwl"), *[F.min(F.when(t >= F.col(f"_s{k}"), t)).alias(f"_m{k}") for k in range(4)])
     fx = done.join(first_after, "REQ_No", "left")
     s_ = [F.col(c) for c in starts]
     s_[3] = F.when(F.col("PO_Approval_Date").isNotNull(), F.col("PO_Approval_Date"))
@@ -307,15 +317,12 @@ def _events_from_done(done: DataFrame, po_worklist: DataFrame, as_of: dt.datetim
                   .select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM", *EVENT_COLS[3:]))
     events = fixed_ev.unionByName(step_ev)
     if req_worklist is not None:
-        # Optional branch (T5): REQ steps follow the PO steps; End times over all events.
-        n_steps = steps.groupBy("REQ_No").agg(F.count(F.lit(1)).alias("_nwl"))
-        rw = req_worklist_events(req_worklist).join(done.select("REQ_No", F.col("link_po").alias("PO_No"), base),
-                                                    "REQ_No")
-        rw = sequence_groups(rw, ["REQ_No"], ["Start_DTTM", "ID"])
-        rw = rw.join(n_steps, "REQ_No", "left").withColumn(
-            "seq", (F.col("_base") + F.coalesce(F.col("_nwl"), F.lit(0)) + F.col("_rank") - 1).cast("int"))
-        events = events.drop("End_DTTM").unionByName(rw.select("REQ_No", "PO_No", *EVENT_COLS))
-        events = with_end_times(events, as_of)
+        # T5: in construction order the requisition's steps follow those of the PO.
+        own = steps.where(~F.col("_po_step")).join(first_after.select("REQ_No", "_nwl"), "REQ_No")
+        blank = F.lit("")
+        own = own.select("REQ_No", "PO_No", ev(F.col("_base") + F.col("_nwl") + F.col("_rank") - F.col("_count__po_step") - 1, F.col("_req_step"), t,
+                                               "", blank, blank, False, False, "", step_end).alias("e"))
+        events = events.unionByName(own.select("REQ_No", "PO_No", "e.*"))
     return events.select("REQ_No", "PO_No", "seq", "ID", "Start_DTTM", "End_DTTM", *EVENT_COLS[3:])
 
 

@@ -96,3 +96,14 @@ def test_hot_key_is_spread_over_many_partitions(spark):
     assert max(sizes) < 0.6 * sum(sizes)                # no single task holds most of it
     ranks = sorted(r["_rank"] for r in out.where("k = 'hot'").collect())
     assert ranks == list(range(1, len(ranks) + 1))      # positions still continue across them
+
+
+def test_running_counts_equal_the_plain_window(spark):
+    """Positions inside two streams merged in one order, across the borders of ranges, for a key with most rows."""
+    rows = [(1 if i % 5 else i % 3, i // 4, i, i % 3 == 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, t long, o long, own boolean")
+    got = sequence_groups(df, ["k"], ["t", "o"], count_cols=["own"], partitions=7, partition_col="part")
+    plain = Window.partitionBy("k").orderBy("t", "o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.withColumn("n", F.count_if("own").over(plain))
+    assert {(r.o, r._count_own) for r in got.collect()} == {(r.o, r.n) for r in want.collect()}
+    assert got.where("k = 1").select("part").distinct().count() > 2
