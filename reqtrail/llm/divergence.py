@@ -65,7 +65,7 @@ class Block:
                 size += len(term) + POSTING_BYTES
         self.size += size
 
-    def spill(self) -> Iterator[pa.RecordBatch]:
+    def spill(self) -> Iterator[dict]:
         """One run for each shard that has terms, sorted by term; the block is empty afterwards."""
         by_term: dict[bytes, list[tuple[int, int, int]]] = {}
         for g, known in enumerate(self.groups.values()):
