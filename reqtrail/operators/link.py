@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reqtrail.operators.chunks import set_in_chunks
 from reqtrail.operators.keyed import ColLike, last_per_key
 from reqtrail.operators.nest import set_in_array
 
@@ -38,10 +39,11 @@ def attach_link(lines: DataFrame, crosswalk: DataFrame, line_keys: Sequence[str]
 
 def attach_link_nested(docs: DataFrame, crosswalk: DataFrame, doc_keys: Sequence[str], xwalk_keys: Sequence[str],
                        arr: str, elem_key: str, xwalk_elem_key: str, field: str, link_cols: dict[str, str],
-                       order: Sequence[ColLike], doc_id: Sequence[str] | None = None) -> DataFrame:
+                       order: Sequence[ColLike], doc_id: Sequence[str] | None = None, chunk: str | None = None) -> DataFrame:
     """K9: the same link written into the nested ``arr[*].field`` struct of each document.
 
     ``doc_id``: the subset of ``doc_keys`` that identifies a document (see ``set_in_array``).
+    ``chunk``: the chunk column where ``docs`` are chunked children (see ``chunks``).
     """
     doc_keys, xwalk_keys = list(doc_keys), list(xwalk_keys)
     all_keys = xwalk_keys + [xwalk_elem_key]
@@ -51,5 +53,7 @@ def attach_link_nested(docs: DataFrame, crosswalk: DataFrame, doc_keys: Sequence
     x = last_per_key(crosswalk.where(notnull), all_keys, order, cols=list(link_cols))
     x = x.select(*[F.col(a).alias(b) for a, b in zip(xwalk_keys, doc_keys)], F.col(xwalk_elem_key).alias("_lk"),
                  *[F.col(src).alias(dst) for src, dst in link_cols.items()])
+    if chunk:
+        return set_in_chunks(docs, x, doc_keys, arr, elem_key, "_lk", field, list(link_cols.values()), chunk)
     return set_in_array(docs, x, doc_keys, arr, elem_key, "_lk", field, list(link_cols.values()),
                         partition_keys=doc_id)

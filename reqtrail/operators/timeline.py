@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from reqtrail.functions.nulls import ts_literal
 from reqtrail.functions.text import decode, matches_from_start, template
+from reqtrail.operators.chunks import CHUNK_ROWS, chunk_lines, with_header
 from reqtrail.operators.sequence import sequence_groups
 from reqtrail.session import materialize as materialize_table
 
@@ -347,15 +348,17 @@ def requisition_timeline(req: DataFrame, req_line: DataFrame, po: DataFrame, po_
     return _classified_view(wide), events
 
 
+#: Fields of one event of a document.
+EVENT_FIELDS = ["ID", "Start_DTTM", "End_DTTM", "EventType", "Text", "Person", "Internal", "Neutral", "Auto", "Lifecycle"]
+
+
 def timeline_documents(classified: DataFrame, events: DataFrame) -> DataFrame:
     """One document per requisition; complete ones carry ``events`` in ``seq`` order.
 
     Complicated rows carry their message and an empty ``events`` array.
     """
-    ev_fields = ["ID", "Start_DTTM", "End_DTTM", "EventType", "Text", "Person", "Internal", "Neutral", "Auto",
-                 "Lifecycle"]
     arr = (events.groupBy("REQ_No")
-                 .agg(F.sort_array(F.collect_list(F.struct("seq", *ev_fields))).alias("_a"))
+                 .agg(F.sort_array(F.collect_list(F.struct("seq", *EVENT_FIELDS))).alias("_a"))
                  .select("REQ_No", F.transform("_a", lambda e: e.dropFields("seq")).alias("events")))
     arr_type = arr.schema["events"].dataType
     docs = classified.join(arr, "REQ_No", "left")
@@ -363,6 +366,13 @@ def timeline_documents(classified: DataFrame, events: DataFrame) -> DataFrame:
                        F.coalesce(F.col("events"), F.array().cast(arr_type)).alias("events"))
 
 
+def timeline_document_chunks(classified: DataFrame, events: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:
+    """``timeline_documents`` in chunks of at most ``rows`` events: one row per requisition and ``chunk``."""
+    parts = chunk_lines(events, ["REQ_No"], ["seq"], EVENT_FIELDS, "events", rows=rows)
+    header = classified.select("REQ_No", "PO_No", "Business_Unit", "Complicated", "Footnote", "cls")
+    return with_header(header, parts, ["REQ_No"], "events")
+
+
 def timeline_summary(classified: DataFrame, events: DataFrame) -> DataFrame:
     """T6/T7/U2 as one flat row per requisition: class, message, number of events, first
     Start, last End, first event type and last event text (in ``seq`` order).

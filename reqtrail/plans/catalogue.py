@@ -20,7 +20,7 @@ from reqtrail import schemas as S
 from reqtrail.functions import headers as H
 from reqtrail.functions.nulls import DEFAULT_DUE, fill_columns, fill_timestamp, is_missing, text_or_empty
 from reqtrail.functions.text import decode, matches_from_start, strip_ws, template
-from reqtrail.operators import keyed, link, merge, nest, timeline
+from reqtrail.operators import chunks, keyed, link, merge, nest, timeline
 from reqtrail.plans import fixtures as fx
 from reqtrail.plans.increments import INCREMENTS
 from reqtrail.plans.job_queries import JOBS
@@ -453,6 +453,29 @@ def attach_po_nested(spark, sf_dir):
                        F.col("l.PO.PO_Number").alias("PO_Number"), F.col("l.PO.Line_No").alias("PO_Line_No"))
 
 
+@query("link_chunked_documents", f"""
+with x as (select l_returnflag, l_orderkey, l_suppkey from (
+             select *, row_number() over (partition by l_returnflag, l_orderkey
+                                          order by {', '.join(c + ' desc' for c in LI_ORDER.split(', '))}) as rn
+             from lineitem where l_linestatus = 'F') t where rn = 1)
+select l.l_returnflag, cast(floor(l.pos / {chunks.CHUNK_ROWS}) as integer) as chunk, l.pos, l.l_orderkey, l.l_linenumber, l.l_quantity,
+       cast(x.l_suppkey as bigint) as supplier
+from (select *, cast(row_number() over (partition by l_returnflag order by {LI_ORDER}) - 1 as integer) as pos from lineitem) l
+left join x on x.l_returnflag = l.l_returnflag and x.l_orderkey = l.l_orderkey""")
+def link_chunked_documents(spark, sf_dir):
+    """A1 and K9 on documents larger than a row: one document per return flag, which holds up to half of all lines; each of its
+    elements gets the supplier of its order's last finished line there. Chunks are written, linked and taken apart."""
+    li = _t(spark, sf_dir).lineitem
+    docs = materialize(chunks.chunk_lines(li.select("l_returnflag", *fx.LINEITEM_ORDER), ["l_returnflag"], fx.LINEITEM_ORDER,
+                                          ["l_orderkey", "l_linenumber", "l_quantity"]), "line-chunks")
+    finished = li.where(li.l_linestatus == "F")
+    linked = link.attach_link_nested(docs, finished, ["l_returnflag"], ["l_returnflag"], "lines", "l_orderkey", "l_orderkey", "last",
+                                     {"l_suppkey": "supplier"}, fx.LINEITEM_ORDER, chunk="chunk")
+    flat = chunks.unchunk_lines(linked, ["l_returnflag", "chunk"], "lines")
+    return flat.select("l_returnflag", "chunk", "pos", "l_orderkey", "l_linenumber", "l_quantity",
+                       F.col("last.supplier").cast("long").alias("supplier"))
+
+
 @query("worklist_legacy_shape", """
 with n as (select PO_No, Appr_Inst, Work_List, Approval_Number, Appr_Stat,
                   case when Appr_Stat = 'D' then Event_Date_Time end as Denial_Date_Time, "User" as Lv_Appr, 'new' as src
@@ -683,6 +706,19 @@ def timeline_documents(spark, sf_dir):
                        F.coalesce(F.col("pos"), F.lit(0)).cast("int").alias("pos"), "e.*")
 
 
+@query("timeline_document_chunks", f"""
+select c.REQ_No, c.PO_No, c.Business_Unit, c.Complicated, c.cls,
+       cast(floor((row_number() over (partition by c.REQ_No order by e.seq) - 1) / 2) as integer) as chunk,
+       e.ID, e.Start_DTTM, e.End_DTTM, e.EventType, e.Text, e.Person, e.Internal, e.Neutral, e.Auto, e.Lifecycle
+from ({CLASS_SQL}) c left join ox_timeline e on e.REQ_No = c.REQ_No""")
+def timeline_document_chunks(spark, sf_dir):
+    """The documents in chunks of two events, so that most have several; written, read back and taken apart again."""
+    cls, ev = _timeline(spark, sf_dir)
+    docs = materialize(timeline.timeline_document_chunks(cls, ev, rows=2), "timeline-chunks")
+    return docs.select("REQ_No", "PO_No", "Business_Unit", "Complicated", "cls", "chunk", F.explode_outer("events").alias("e")).select(
+        "REQ_No", "PO_No", "Business_Unit", "Complicated", "cls", "chunk", "e.*")
+
+
 # ---------------------------------------------------------------- sources and sinks (S1-S3, P2, K3, K11), flags
 
 ORDER_SCHEMA = T.StructType([T.StructField("PO No.", T.StringType()), T.StructField("Vendor", T.StringType()), T.StructField("Amount", T.DoubleType()),
