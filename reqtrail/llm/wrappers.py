@@ -39,6 +39,7 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 LEAST_PAGES, SAME_SHARE = 3, 0.9  # pages with different wordings that a template needs; share of one text among them
 MARKED = 1 / 3  # share of the varying text of a page that a marked article must hold to be all of the content
 LAYOUTS, HELD = 20_000, 1 << 25  # wrappers in a shard; letters of trees that a map task holds
+SMALL_TABLE = 1024  # cells of an alignment that is counted without arrays
 DEEPEST = 100  # levels of the block tree; what lies deeper belongs to its ancestor there
 LINKS = 0.5  # share of a block's letters in links, above which it is a menu on pages that mark no article
 
@@ -278,36 +279,140 @@ def read_tree(text: str) -> list:
     return stack[0][1][0] if stack[0][1] else ["", [], 0]
 
 
+class Shapes:
+    """A number for every different subtree, with its label, the shapes of its children and its count of nodes."""
+
+    def __init__(self):
+        self.known: dict[tuple, int] = {}
+        self.label: list[str] = []
+        self.children: list[list[int]] = []
+        self.starts: list[np.ndarray] = []  # of the children's numbers, from the node's own
+        self.nodes: list[int] = []
+
+    def of(self, tree: list) -> int:
+        children = [self.of(c) for c in tree[1]]
+        key = (tree[0], *children)
+        shape = self.known.setdefault(key, len(self.label))
+        if shape == len(self.label):
+            ends = 1 + np.cumsum([0] + [self.nodes[c] for c in children])
+            self.label.append(tree[0])
+            self.children.append(children)
+            self.starts.append(ends[:-1])
+            self.nodes.append(int(ends[-1]))
+        return shape
+
+
+def trimmed(x: list[int], y: list[int]) -> tuple[int, int]:
+    """How many elements are equal in front, and behind among the others."""
+    n, head, tail = min(len(x), len(y)), 0, 0
+    while head < n and x[head] == y[head]:
+        head += 1
+    while tail < n - head and x[-1 - tail] == y[-1 - tail]:
+        tail += 1
+    return head, tail
+
+
+def next_row(above: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """A row of the alignment table from the one above and what its element gains with each of the other side."""
+    row = above.copy()
+    np.maximum(row[1:], above[:-1] + gains, out=row[1:])
+    return np.maximum.accumulate(row, out=row)
+
+
+def align(x: np.ndarray, y: np.ndarray, gain: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs in order with the most gain, where ``gain[x[i], y[j]]`` is that of a pair.
+
+    The table is filled by rows, of which one in each block is kept; the way back fills the blocks again, from the last.
+    """
+    block = max(1, int(len(x) ** 0.5))
+    row, kept = np.zeros(len(y) + 1, np.int32), []
+    for i, e in enumerate(x):
+        if i % block == 0:
+            kept.append(row)
+        row = next_row(row, gain[e][y])
+    out, j = [], len(y)
+    for n in range(len(kept) - 1, -1, -1):
+        rows = [kept[n][:j + 1]]
+        for e in x[n * block:(n + 1) * block]:
+            rows.append(next_row(rows[-1], gain[e][y[:j]]))
+        i = len(rows) - 1
+        while i and j:
+            if rows[i][j] == rows[i - 1][j]:
+                i -= 1
+            elif rows[i][j] == rows[i][j - 1]:
+                j -= 1
+            else:
+                out.append((n * block + i - 1, j - 1))
+                i, j = i - 1, j - 1
+    return out
+
+
 def match(a: list, b: list) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching: the most nodes that match in order under matching parents, and their numbers."""
+    """Simple tree matching: the most nodes that match in order under matching parents, and their numbers (counted parents first).
+
+    Equal subtrees match whole, in front and behind first; what is between is aligned once for each pair of different subtrees.
+    Lists of any length take memory in proportion to their length times its root. Time is quadratic in what is between.
+    """
+    shapes = Shapes()
+    tops = shapes.of(a), shapes.of(b)
+    nodes, children = shapes.nodes, shapes.children
+    counts: dict[tuple[int, int], int] = {}
+
+    def between(s: int, t: int) -> tuple[int, int, list[int], list[int]]:
+        x, y = children[s], children[t]
+        head, tail = trimmed(x, y)
+        return head, tail, x[head:len(x) - tail], y[head:len(y) - tail]
+
+    def gains(x: list[int], y: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        kinds, i_x = np.unique(x, return_inverse=True)
+        others, i_y = np.unique(y, return_inverse=True)
+        return i_x, i_y, np.array([[count(k, o) for o in others.tolist()] for k in kinds.tolist()], np.int32)
+
+    def count(s: int, t: int) -> int:
+        """The most nodes that match in two subtrees."""
+        if s == t:
+            return nodes[s]
+        if shapes.label[s] != shapes.label[t]:
+            return 0
+        if not children[s] or not children[t]:
+            return 1
+        if (s, t) not in counts:
+            head, tail, x, y = between(s, t)
+            most = 1 + sum(nodes[c] for c in children[s][:head]) + sum(nodes[c] for c in children[s][len(children[s]) - tail:])
+            if x and y and len(x) * len(y) <= SMALL_TABLE:
+                row = [0] * (len(y) + 1)
+                for c in x:
+                    above, row = row, [0]
+                    for j, d in enumerate(y):
+                        row.append(max(above[j + 1], row[j], above[j] + count(c, d)))
+                most += row[-1]
+            elif x and y:
+                i_x, i_y, gain = gains(x, y)
+                row = np.zeros(len(y) + 1, np.int32)
+                for e in i_x:
+                    row = next_row(row, gain[e][i_y])
+                most += int(row[-1])
+            counts[s, t] = most
+        return counts[s, t]
+
+    def pairs(s: int, t: int) -> np.ndarray:
+        """Numbers of matching nodes, from those of the two roots, which match."""
+        if s == t:
+            return np.tile(np.arange(nodes[s]), (2, 1))
+        head, tail, x, y = between(s, t)
+        both = [(i, i) for i in range(head)]
+        if x and y:
+            both += [(head + i, head + j) for i, j in align(*gains(x, y))]
+        both += [(len(children[s]) - i, len(children[t]) - i) for i in range(tail, 0, -1)]
+        found = [np.zeros((2, 1), np.int64)]
+        for i, j in both:
+            found.append(pairs(children[s][i], children[t][j]) + np.array([[shapes.starts[s][i]], [shapes.starts[t][j]]]))
+        return np.concatenate(found, axis=1)
+
     if a[0] != b[0]:
         return 0, []
-    x, y = a[1], b[1]
-    head = 0
-    pairs = [(a[2], b[2])]
-    while head < min(len(x), len(y)) and x[head][0] == y[head][0] and not x[head][1] and not y[head][1]:
-        pairs.append((x[head][2], y[head][2]))  # equal leaves in front always match
-        head += 1
-    x, y = x[head:], y[head:]
-    best = np.zeros((len(x) + 1, len(y) + 1), np.int64)
-    found = {}
-    for i, c in enumerate(x, 1):
-        for j, d in enumerate(y, 1):
-            n = 0
-            if c[0] == d[0]:
-                found[i, j] = match(c, d)
-                n = found[i, j][0]
-            best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + n)
-    i, j = len(x), len(y)
-    while i and j:
-        if best[i, j] == best[i - 1, j]:
-            i -= 1
-        elif best[i, j] == best[i, j - 1]:
-            j -= 1
-        else:
-            pairs += found[i, j][1]
-            i, j = i - 1, j - 1
-    return 1 + head + int(best[-1, -1]), pairs
+    out = pairs(*tops) + np.array([[a[2]], [b[2]]])
+    return out.shape[1], list(map(tuple, out.T.tolist()))
 
 
 class Wrappers:

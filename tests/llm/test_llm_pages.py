@@ -3,7 +3,9 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,53 @@ def test_simple_tree_matching():
         assert wrappers.read_tree(wrappers.dumped(a)) == a
 
 
+def test_alignment_of_long_lists():
+    """By blocks of rows, against the whole table."""
+    rnd = random.Random(5)
+    for _ in range(40):
+        kinds = rnd.randrange(1, 5)
+        gain = np.array([[rnd.randrange(4) for _ in range(kinds)] for _ in range(kinds)], np.int32)
+        x, y = (np.array([rnd.randrange(kinds) for _ in range(rnd.randrange(1, 40))]) for _ in range(2))
+        best = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i, p in enumerate(x, 1):
+            for j, q in enumerate(y, 1):
+                best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + gain[p, q])
+        got = wrappers.align(x, y, gain)
+        assert sum(gain[x[i], y[j]] for i, j in got) == best[-1, -1]
+        assert all(i > k and j > m for (i, j), (k, m) in zip(got, got[1:]))
+
+
+@pytest.mark.parametrize("row, other", [("<div><p>a</p><span>b</span></div>", "<div><p>a</p><span>b</span></div>"),
+                                        ("<div><p>a</p><ul><li>b</li></ul></div>", "<div><ul><li>b</li></ul></div>")])
+def test_pages_of_20000_rows(row, other):
+    started = time.monotonic()
+    a, b = (wrappers.Tree(wrappers.parse(f"<body><div>{(row + other) * (n // 2)}<h2>end</h2></div></body>")[0]).top for n in (20_000, 19_000))
+    n, pairs = wrappers.match(a, b)
+    want = wrappers.Shapes()
+    assert n == len(pairs) == want.nodes[want.of(b)]  # all of the smaller
+    assert time.monotonic() - started < 60  # one to two seconds on a free machine
+
+
+def test_lists_of_many_different_rows():
+    rnd = random.Random(6)
+    rows = ["<div>" + "".join(rnd.choice(["<p>x</p>", "<ul><li>x</li></ul>", "<h3>x</h3>"]) for _ in range(8)) + "</div>" for _ in range(800)]
+    page = lambda part: wrappers.Tree(wrappers.parse(f"<body>{''.join(part)}</body>")[0]).top
+    started = time.monotonic()
+    n, pairs = wrappers.match(page(rows), page(rows[::2]))
+    assert n == len(pairs) == wrappers.match(page(rows[::2]), page(rows[::2]))[0]
+    assert time.monotonic() - started < 60
+
+
+def test_template_decides_where_tags_do_not(spark):
+    """Plain containers without names: what all pages of the host say is left out; a page alone keeps it."""
+    pages = [f"<div><div>Shop Home Contact</div><div><p>Story number {w} of the {w} valley.</p></div><div>Write to us any time.</div></div>"
+             for w in ("red", "green", "old", "wide", "quiet", "northern")]
+    got = extracted(spark, [("http://plain.example/", p) for p in pages])
+    assert got == [f"Story number {w} of the {w} valley." for w in ("red", "green", "old", "wide", "quiet", "northern")]
+    alone = extracted(spark, [("http://plain.example/", pages[0])])[0]
+    assert "Shop Home Contact" in alone and "Write to us any time." in alone
+
+
 def test_driver_pages_have_no_markup_left(spark):
     import os
 
