@@ -6,8 +6,8 @@ length goes first, and a bounded-knapsack dynamic programme over the lengths fil
 lengths allow. The documents of a length are those with the smallest seeded hashes.
 
 Defined cases: a null text has size 0 and is never taken; a null source is a source of its own, the last
-one; rows with the same id and text are ordered among themselves at random but give equal rows; an empty table gives an
-empty result; if all sizes are 0 all targets are 0; other columns are not read.
+one; rows of one id are chosen by their texts, or by all their columns where whole rows are mixed, so reruns agree; equal rows are
+ordered among themselves at random but give equal rows; an empty table gives an empty result; if all sizes are 0 all targets are 0; other columns are not read.
 """
 from __future__ import annotations
 
@@ -75,6 +75,52 @@ def fit_programme(budget: int, lengths: list[int], counts: list[int]) -> dict[in
     return out
 
 
+def fill(sizes: np.ndarray, counts: np.ndarray, extra: np.ndarray, left: int) -> tuple[np.ndarray, int]:
+    """One more document of some sizes, so that little of the budget is left: the longest first, down to what the programme fits."""
+    extra = extra.copy()
+    for i in np.argsort(-sizes, kind="stable"):
+        if left <= PROGRAMME:
+            break
+        more = min(int(counts[i] - extra[i]), max(0, left - PROGRAMME // 2) // max(1, int(sizes[i])))
+        extra[i] += more
+        left -= more * int(sizes[i])
+    open_ = np.flatnonzero((sizes > 0) & (extra < counts) & (sizes <= left))
+    if left > PROGRAMME:  # any other open size is above left - PROGRAMME / 2: one document fits, the longest
+        chosen = {int(sizes[open_].max()): 1} if len(open_) else {}
+    else:
+        chosen = fit_programme(max(0, left), sizes[open_].tolist(), (counts - extra)[open_].tolist())
+    place = {int(sizes[i]): i for i in open_}
+    for size, n in chosen.items():
+        extra[place[size]] += n
+        left -= n * size
+    return extra, left
+
+
+def fill_long(sizes: np.ndarray, counts: np.ndarray, extra: np.ndarray, left: int) -> tuple[np.ndarray, int]:
+    """The same with the long documents chosen together and first: a programme in units of words, their sizes rounded up, so that
+    they fit. The short ones share what these leave in proportion to their numbers."""
+    extra, short = extra.copy(), sizes <= PROGRAMME // 2
+    left += int((extra * sizes)[short].sum())
+    extra[short] = 0
+    unit = -(-left // (8 * PROGRAMME))
+    open_: dict[int, list[int]] = {}
+    for i in np.argsort(-sizes, kind="stable"):
+        if PROGRAMME // 2 < sizes[i] <= left and extra[i] < counts[i]:
+            open_.setdefault(-(-int(sizes[i]) // unit), []).append(int(i))
+    units = list(open_)
+    for length, n in fit_programme(left // unit, units, [int((counts - extra)[open_[u]].sum()) for u in units]).items():
+        for i in open_[length]:
+            more = min(n, int(counts[i] - extra[i]))
+            extra[i] += more
+            n -= more
+            left -= more * int(sizes[i])
+    total = int((sizes * counts)[short].sum())
+    if left > PROGRAMME and total:
+        extra[short] = [min(n, n * (left - PROGRAMME // 2) // total) for n in counts[short].tolist()]
+        left -= int((extra * sizes)[short].sum())
+    return fill(sizes, counts, extra, left)
+
+
 def fit(sizes: np.ndarray, counts: np.ndarray, target: float, limit: int = LIMIT) -> tuple[int, np.ndarray]:
     """Whole copies of every document, and how many documents of each size get one more."""
     total = int((sizes * counts).sum())
@@ -86,25 +132,24 @@ def fit(sizes: np.ndarray, counts: np.ndarray, target: float, limit: int = LIMIT
     if budget > PROGRAMME:
         extra = np.array([n * (budget - PROGRAMME // 2) // total for n in counts.tolist()], np.int64)
     left = budget - int((extra * sizes).sum())
-    for i in np.argsort(-sizes, kind="stable"):  # what the shares of rare lengths leave over, down to the programme
-        if left <= PROGRAMME:
-            break
-        more = min(int(counts[i] - extra[i]), max(0, left - PROGRAMME // 2) // max(1, int(sizes[i])))
-        extra[i] += more
-        left -= more * int(sizes[i])
-    place = {int(s): i for i, s in enumerate(sizes)}
-    open_ = (sizes > 0) & (extra < counts) & (sizes <= left)
-    for size, n in fit_programme(max(0, min(left, 8 * PROGRAMME)), sizes[open_].tolist(), (counts - extra)[open_].tolist()).items():
-        extra[place[size]] += n
-    return whole, extra
+    filled, rest = fill(sizes, counts, extra, left)
+    if rest and sizes.max() > PROGRAMME // 2:  # documents in the way of each other
+        other, less = fill_long(sizes, counts, extra, left)
+        filled = other if less < rest else filled
+    return whole, filled
 
 
 def mix(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, row_col: str | None = None) -> DataFrame:
-    """(id, size, source_size, target, copies, taken) of every document; ``row_col`` is carried along if given."""
+        weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, row_col: str | None = None, row_hash: str | None = None) -> DataFrame:
+    """(id, size, source_size, target, copies, taken) of every document; ``row_col`` is carried along if given.
+
+    Rows of one id, source and size are told apart by their texts, or by the hash of the row in ``row_hash``.
+    """
     carried = [F.col(row_col).alias("_row")] if row_col else []
+    content = F.col(row_hash) if row_hash else F.xxhash64(F.col(text_col))
     slim = materialize(docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"),
-                                   n_words(F.col(text_col)).alias("size"), *carried), "mix-sizes")
+                                   n_words(F.col(text_col)).alias("size"),
+                                   F.xxhash64(F.lit(seed), F.col(id_col), content).alias("_hash"), *carried), "mix-sizes")
     sizes = materialize(slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-lengths")
     aims = targets(sizes, weights, share)
 
@@ -118,7 +163,6 @@ def mix(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str =
     # documents of one length by seeded hash, divided by its first bits: a bucket is in, out, or cut by rank
     most = sizes.agg(F.max("n")).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, most / BUCKET_ROWS)))))
-    slim = slim.withColumn("_hash", F.xxhash64(F.lit(seed), "_id"))
     slim = slim.withColumn("_bucket", F.expr(f"shiftrightunsigned(_hash, {64 - bits})") if bits else F.lit(0).cast("long"))
     buckets = slim.groupBy("source", "size", "_bucket").agg(F.count(F.lit(1)).alias("_in"))
     before = W.partitionBy("source", "size").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -138,6 +182,8 @@ def mixed(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str
           weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
     rows = numbered(docs)
-    slim = rows.select("_row", *(F.col("_carried").getField(c).alias(c) for c in (id_col, text_col, source_col)))
-    copies = mix(slim, seed, id_col, text_col, source_col, weights, share, "_row").where("copies > 0").select("_row", "copies")
+    hashed = [F.col("_carried").getField(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    slim = rows.select("_row", *(F.col("_carried").getField(c).alias(c) for c in (id_col, text_col, source_col)),
+                       F.xxhash64(*hashed).alias("_content"))
+    copies = mix(slim, seed, id_col, text_col, source_col, weights, share, "_row", "_content").where("copies > 0").select("_row", "copies")
     return rows.join(copies, "_row").select("_carried", F.explode(F.sequence(F.lit(1), "copies"))).select("_carried.*")

@@ -51,6 +51,42 @@ def test_fit_is_near_its_target(items, share):
     assert taken <= share * total + 1 and taken >= share * total - sizes.max() - 1
 
 
+@pytest.mark.parametrize("items, target, taken", [
+    ({2_000_000: 3}, 10_000_000, 10_000_000),  # beyond the programme's reach
+    ({7_000_000: 1, 6_000_000: 1, 4_000_000: 1}, 27_000_000, 27_000_000),  # the longest is not part of the best choice
+    ({7_000_001: 1, 6_000_000: 1, 4_000_000: 1, 3: 2000}, 27_009_000, 27_008_998),
+    ({50_000_000: 2}, 149_999_999, 100_000_000),
+])
+def test_long_documents_fit(items, target, taken):
+    sizes, counts = np.array(list(items)), np.array(list(items.values()))
+    whole, extra = mixing.fit(sizes, counts, target)
+    assert int((sizes * (whole * counts + extra)).sum()) == taken and (extra <= counts).all()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3000), st.integers(1, 40)), min_size=1, max_size=12, unique_by=lambda x: x[0]), st.floats(0, 2))
+def test_fit_beyond_the_programme(items, share):
+    """With a programme of 64 words nearly every document is a long one."""
+    sizes, counts = np.array([x for x, _ in items]), np.array([n for _, n in items])
+    total = int((sizes * counts).sum())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(mixing, "PROGRAMME", 64)
+        whole, extra = mixing.fit(sizes, counts, share * total)
+    taken = whole * total + int((sizes * extra).sum())
+    assert (extra >= 0).all() and (extra <= counts).all() and whole + (extra > 0).max() <= 2
+    assert share * total - sizes.max() - 1 <= taken <= share * total + 1
+
+
+def test_rows_of_one_id_are_chosen_by_their_columns(spark):
+    """A third of all rows has one id; texts of one length and other columns differ. Any order of rows gives the same mix."""
+    rows = [(7 if i % 3 == 0 else i, f"word{i % 5} and {i % 11}", "s" if i % 2 else None, i) for i in range(300)]
+    bag = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, source string, other long").repartition(3)
+        bag.append(sorted(tuple(map(str, r)) for r in mixing.mixed(df).collect()))
+    assert bag[0] == bag[1] and bag[0]
+
+
 def check(got, data):
     size = Counter()
     for _, t, _, s, _ in data:
