@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reqtrail.llm.common import materialize, whole_row
@@ -160,17 +161,28 @@ def pattern_spans(spans: str, number: int, kind: str, pattern: str, group: int,
         s["start"].alias("start"), F.lit(number).alias("number"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
-def candidates(runs: DataFrame) -> DataFrame:
-    """(_row, run, start, end, value) of every run (_row, start, value, base) and its pieces that touch no span of ``base``."""
+def candidates(runs: DataFrame, base: DataFrame) -> DataFrame:
+    """(_row, run, start, end, value), once each, of every run (_row, start, value) and its pieces that touch no span of ``base`` (_row, start, end).
+
+    One sweep over a text: a span touches a candidate if it starts before the candidate's end and, of all such spans, the largest end is behind its start.
+    """
     divided = F.when(F.translate("value", SEPARATORS, "") != F.col("value"), F.col("value"))  # null has no pieces
     df = runs.withColumn("_divided", divided)
     for i, pattern in enumerate(PIECES):
         df = with_spans(df, "_divided", pattern, f"_piece{i}")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.length("value").cast("long").alias("end"), F.col("value").alias("value")))
-    every = F.array_distinct(F.concat(whole, *(F.coalesce(f"_piece{i}", F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")) for i in range(len(PIECES)))))
-    free = F.filter(every, lambda c: ~F.exists("base", lambda b: (b["start"] < F.col("start") + c["end"]) & (F.col("start") + c["start"] < b["end"])))
-    return df.select("_row", F.col("start").alias("run"), F.explode(free).alias("_c")).select(
-        "_row", "run", (F.col("run") + F.col("_c.start")).alias("start"), (F.col("run") + F.col("_c.end")).alias("end"), "_c.value")
+    every = F.concat(whole, *(F.coalesce(f"_piece{i}", F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")) for i in range(len(PIECES))))
+    df = df.select("_row", F.col("start").alias("run"), F.explode(every).alias("_c")).select(
+        "_row", (F.col("run") + F.col("_c.end")).alias("_at"), F.lit(False).alias("_is_base"), "run",
+        (F.col("run") + F.col("_c.start")).alias("start"), (F.col("run") + F.col("_c.end")).alias("end"), "_c.value")
+    spans = base.select("_row", F.col("start").alias("_at"), F.lit(True).alias("_is_base"), F.lit(None).cast("long").alias("run"), "start", "end",
+                        F.lit(None).cast("string").alias("value"))
+    sweep = W.partitionBy("_row").orderBy("_at", "_is_base", "start")
+    reach = F.max(F.when(F.col("_is_base"), F.col("end"))).over(sweep.rowsBetween(W.unboundedPreceding, -1))
+    last = F.lag(F.struct("_at", "_is_base", "start")).over(sweep)
+    df = df.unionByName(spans).withColumn("_touched", F.coalesce(reach > F.col("start"), F.lit(False)))
+    df = df.withColumn("_again", F.coalesce(last == F.struct("_at", "_is_base", "start"), F.lit(False)))
+    return df.where("not _is_base and not _touched and not _again").select("_row", "run", "start", "end", "value")
 
 
 def best(spans: Column) -> Column:
@@ -192,16 +204,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
         df = with_spans(df, "_text", pattern, f"_{kind}")
         spans.append(pattern_spans(f"_{kind}", number, kind, pattern, group, least))
     df = with_spans(df, "_text", CANDIDATE, "_candidates").withColumn("_base", F.array_sort(F.concat(*spans)))
-    touching = lambda base, c: F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    runs = F.transform("_candidates", lambda c: F.struct(c["start"].alias("start"), c["value"].alias("value"), touching(F.col("_base"), c).alias("base")))
-    # a row for each document without candidates, else one for each run of candidates
+    runs = F.transform("_candidates", lambda c: F.struct(c["start"].alias("start"), c["value"].alias("value")))
     rows = df.select("_id", "_base", *carried, runs.alias("_runs")).withColumn("_row", F.monotonically_increasing_id())
     rows = materialize(rows, "secret-candidates")
-    tested = with_battery(candidates(rows.select("_row", F.explode("_runs").alias("_c")).select("_row", "_c.start", "_c.value", "_c.base")))
+    free = candidates(rows.select("_row", F.explode("_runs").alias("_c")).select("_row", "_c.start", "_c.value"),
+                      rows.where(F.size("_runs") > 0).select("_row", F.explode("_base").alias("_b")).select("_row", "_b.start", "_b.end"))
+    tested = with_battery(free)
     tested = materialize(tested.select("_row", "run", "start", "end", F.when(F.col("p_uniform") >= UNIFORM_P, evidence(F.col("p_text"))).alias("bin")), "secret-tests")
     least = threshold(tested, false_share)
-    chosen = tested.where(F.col("bin") >= least if least is not None else F.lit(False)).groupBy("_row", "run").agg(
-        best(F.collect_list(F.struct((-F.col("bin")).alias("bin"), (F.col("start") - F.col("end")).alias("size"), "start", "end"))).alias("_best"))  # of one run
+    accepted = tested.where(F.col("bin") >= least if least is not None else F.lit(False))
+    # of those that overlap, at first or last, the best ones: a group begins where none before reaches
+    order = W.partitionBy("_row").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    groups = accepted.withColumn("_first", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")).withColumn("_group", F.sum("_first").over(order))
+    chosen = groups.groupBy("_row", "_group").agg(
+        best(F.collect_list(F.struct((-F.col("bin")).alias("bin"), (F.col("start") - F.col("end")).alias("size"), "start", "end"))).alias("_best"))
     added = chosen.select("_row", F.explode("_best").alias("_b")).groupBy("_row").agg(
         F.collect_list(F.struct("_b.start", F.lit(3).alias("number"), "_b.end", F.lit("random").alias("kind"))).alias("_added"))  # of one document
     none = F.array().cast("array<struct<start:bigint,number:int,end:bigint,kind:string>>")
@@ -215,13 +232,28 @@ def written(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span replaced; of overlapping spans the first covers what it reaches."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    """The text with every span replaced; of overlapping spans the first covers what it reaches.
+
+    Spans are taken in blocks of as many as there are blocks, so the whole text is read once a block, and a span reads its block's part alone.
+    """
+    n = F.size(spans)
+    block = F.greatest(F.lit(1), F.ceil(F.sqrt(n))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")), lambda b: F.slice(spans, b * block + 1, block))
+    cut = lambda t, at, end: F.substring(t, (at + 1).cast("int"), F.greatest(end - at, F.lit(0)).cast("int"))
 
     def step(acc: Column, s: Column) -> Column:
-        between = F.substring(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        between = cut(acc["part"], acc["at"] - acc["base"], s["start"] - acc["base"])
         return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
-            F.concat(acc["out"], between, F.when(s["start"] >= acc["at"], F.lit(mark)).otherwise(F.lit(""))).alias("out"), s["end"].alias("at")))
-
-    done = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+            F.concat(acc["out"], between, F.when(s["start"] >= acc["at"], F.lit(mark)).otherwise(F.lit(""))).alias("out"),
+            s["end"].alias("at"), acc["base"].alias("base"), acc["part"].alias("part")))
+
+    def block_step(acc: Column, some: Column) -> Column:
+        part = cut(text, acc["at"], F.array_max(F.transform(some, lambda s: s["end"])))
+        first = F.struct(F.lit("").alias("out"), acc["at"].alias("at"), acc["at"].alias("base"), part.alias("part"))
+        done = F.aggregate(some, first, step, lambda x: F.struct(x["out"].alias("out"), x["at"].alias("at")))
+        # one evaluation of ``done``: an array of one, taken apart
+        return F.element_at(F.transform(F.array(done), lambda d: F.struct(F.concat(acc["out"], F.array(d["out"])).alias("out"), d["at"].alias("at"))), 1)
+
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("long").alias("at"))
+    whole = F.aggregate(blocks, start, block_step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    return F.when(n > 0, whole).otherwise(text)

@@ -202,3 +202,47 @@ def test_redaction(spark):
     data = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
     df = secret_scan.scan(C.frame(spark, data), carry=True).select("doc_id", secret_scan.redacted(F.col("_carried.text"), F.col("spans")).alias("t"))
     assert {r.doc_id: r.t for r in df.collect()} == {0: "a [SECRET] b", 1: "[SECRET] x", 2: "none", 3: None, 4: "é [SECRET]"}
+
+
+def test_redaction_of_many_overlapping_spans(spark):
+    rnd = random.Random(9)
+    data = []
+    for i in range(60):
+        t = "".join(rnd.choice("abc dé\U0001F600") for _ in range(rnd.randrange(200)))
+        spans = sorted((a, min(len(t), a + rnd.randrange(1, 20))) for a in (rnd.randrange(len(t)) for _ in range(rnd.randrange(60)))) if t else []
+        data.append((i, t, spans))
+    df = spark.createDataFrame(data, "i long, t string, spans array<struct<start:bigint,end:bigint>>")
+    got = {r.i: r.out for r in df.select("i", secret_scan.redacted(F.col("t"), F.col("spans"), "#").alias("out")).collect()}
+    for i, t, spans in data:
+        out, at = "", 0
+        for a, b in spans:
+            if b > at:
+                out, at = out + t[at:a] + ("#" if a >= at else ""), b
+        assert got[i] == out + t[at:]
+
+
+def test_candidates_touch_no_base_span(spark):
+    """The sweep against every candidate compared with every span."""
+    rnd = random.Random(10)
+    runs, base = [], []
+    for row in range(40):
+        at = 0
+        for _ in range(rnd.randrange(5)):
+            value = "".join(rnd.choice(["abcdefghij0123456789", "Q" * 25, "/", "-", "_", "x"]) for _ in range(rnd.randrange(2, 12)))
+            if len(value) >= 20:
+                runs.append((row, at, value))
+            base += [(row, a, a + rnd.randrange(1, 30)) for a in (at + rnd.randrange(len(value)) for _ in range(rnd.choice([0, 0, 1, 2])))]
+            at += len(value) + 3
+    got = secret_scan.candidates(spark.createDataFrame(runs, "_row long, start long, value string"),
+                                 spark.createDataFrame(base, "_row long, start long, end long")).collect()
+    want = set()
+    for row, at, value in runs:
+        found = {(0, len(value))} | {m.span() for p in secret_scan.PIECES for m in re.finditer(p, value)}
+        want |= {(row, at, at + a, at + b, value[a:b]) for a, b in found if not any(r == row and s < at + b and at + a < e for r, s, e in base)}
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 20
+
+
+def test_one_text_of_many_spans(spark):
+    lines = [f"{i:08x}" * 4 + f" key{i}=Zq{i:07d}kTr5vW8yBnM3" for i in range(20_000)]
+    got = scanned(spark, ["\n".join(lines)])[0]
+    assert [s for s in got if s[1] < 3] == base_spans("\n".join(lines)) and len(got) >= 20_000
