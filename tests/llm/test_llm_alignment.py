@@ -108,6 +108,17 @@ def test_parts_give_the_ids_of_whole_texts():
             assert counts.tolist() == [len(x) for x in tokenizer.ids_of(parts.parts_of(text))]
 
 
+def test_quick_library_gives_the_same_ids():
+    a, _ = pair()
+    assert a.quick
+    points = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000]
+    for i in range(0, len(points), 4000):  # after and before letters, digits, signs, breaks and spaces
+        text = "".join(f" x{c}y7{c}8!{c}?\n{c} {c}" for c in points[i:i + 4000])
+        assert a.quick.encode_ordinary(" " + text) == a.ids_of([text])[0], hex(ord(points[i]))
+    for text in [t for _, t, *_ in C.rows() if t] + HARD + ["ab" * 3000, "漢字" * 2000]:
+        assert a.quick.encode_ordinary(" " + text) == a.ids_of([text])[0]
+
+
 def test_empty_table(spark):
     assert align(C.frame(spark, [])).collect() == []
 
