@@ -2,16 +2,18 @@
 
 A character n-gram model (interpolated modified Kneser-Ney, ``kneser_ney``: counted in Spark, sorted hash arrays that the
 workers memory-map) learns from every document that reads as prose by plain counts: not failed by the base rules
-and with few symbols. Every document then gets its log perplexity per character, and each language a band around
-its median. Each side of it is as wide as ``WIDTH`` median deviations of the documents on that side, and at least ``LEAST`` of the
+and with few symbols (else the model learns the symbols of junk, which then passes). There are two models, each of about half of the different
+texts by a checksum, and a document is scored by the one that it, and its copies, are not in, so that no text speaks for itself.
+Every document then gets its log perplexity per character, and each language a band around its median. Each side of it is as wide as ``WIDTH`` median deviations of the documents on that side, and at least ``LEAST`` of the
 median, for labels of few documents; equal perplexities (copies) count once. Documents above or below the band of their language are rejected, as are those that fail the base rules.
 
 Defined cases: a null text has no words and fails the base rules; null languages are a language of their own;
-texts of any length are read whole; equal rows get equal verdicts; without any prose no perplexity differs
-and only the base rules reject; an empty table gives an empty result; other columns are not read.
+texts of any length are read whole; equal rows get equal verdicts; a half without any text to learn from gives
+the other half's documents one perplexity; an empty table gives an empty result; other columns are not read.
 """
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,6 +29,7 @@ from reqtrail.llm.common import materialize, offsets_of, schema, slices, text_by
 ORDER, BITS = 4, 16  # code points, and bits of each
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words in repeated windows
 MOST_SYMBOLS = 10  # percent of words, for the documents to learn from
+FOLDS = 2
 WIDTH, LEAST = 6.0, 0.1
 BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
 INSIDE = bytes(range(0x80, 0xC0))  # bytes that continue a code point
@@ -58,6 +61,10 @@ def is_prose(counts: tuple[int, int, int, int, int]) -> bool:
     return not base_failed(counts) and 100 * counts[2] <= MOST_SYMBOLS * counts[0]
 
 
+def fold_of(text: bytes) -> int:
+    return zlib.crc32(text) % FOLDS
+
+
 def keys_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """n-gram keys of all code points and an end of each text, and the offsets of each text. Digits count as 0."""
     decoded = [t.decode("utf-8") for t in texts]
@@ -74,31 +81,41 @@ def keys_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[keep], offsets_of(sizes)
 
 
-def train(docs: DataFrame, text_col: str = "text") -> str:
-    """Count the documents that read as prose and write the model; returns its folder."""
+def train(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """Count the documents that read as prose and write a model of each fold; returns their folders."""
     slim = docs.select(F.col(text_col).cast("string").alias("text"))
-    shards, folder = 1 + kn.shards_for(slim, "text") // 16, kn.new_folder(docs.sparkSession)  # few different keys
+    shards = 1 + kn.shards_for(slim, "text") // 16  # few different keys
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = [[] for _ in range(FOLDS)], [0] * FOLDS
         for batch in slices(batches, 0):
             texts = [t for t in text_bytes(batch.column(0)) if is_prose(rules(t))]
-            if texts:
-                codes, keys = pd.factorize(keys_of(texts)[0])
-                held.append((keys, np.bincount(codes).reshape(-1, 1)))
-                size += len(keys)
-            if size > kn.FLUSH:
-                held, size = [kn.merged(held)], 0
-                if len(held[0][0]) > kn.FLUSH:
-                    yield kn.rows_of(list(kn.dealt("g", *held.pop(), shards)))
-        if held:
-            yield kn.rows_of(list(kn.dealt("g", *kn.merged(held), shards)))
-
-    kn.build(slim.mapInArrow(count, kn.PART), folder, ORDER, BITS, shards)
-    return folder
-
-
-def measure(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+            for fold in range(FOLDS):
+                some = [t for t in texts if fold_of(t) == fold]
+                if some:
+                    codes, keys = pd.factorize(keys_of(some)[0])
+                    held[fold].append((keys, np.bincount(codes).reshape(-1, 1)))
+                    size[fold] += len(keys)
+                if size[fold] > kn.FLUSH // FOLDS:
+                    held[fold], size[fold] = [kn.merged(held[fold])], 0
+                    if len(held[fold][0][0]) > kn.FLUSH // FOLDS:
+                        yield sent(fold, *held[fold].pop())
+        for fold in range(FOLDS):
+            if held[fold]:
+                yield sent(fold, *kn.merged(held[fold]))
+
+    def sent(fold: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return kn.rows_of([(kind, fold * shards + shard, packed) for kind, shard, packed in kn.dealt("g", keys, counts, shards)])
+
+    parts, folders = materialize(slim.mapInArrow(count, kn.PART), "ngrams-by-fold"), []
+    for fold in range(FOLDS):
+        own = parts.where(F.col("shard").between(fold * shards, (fold + 1) * shards - 1))
+        folders.append(kn.new_folder(docs.sparkSession))
+        kn.build(own.withColumn("shard", F.col("shard") - fold * shards), folders[-1], ORDER, BITS, shards)
+    return folders
+
+
+def measure(docs: DataFrame, folders: list[str], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
             carry: bool = False) -> DataFrame:
     """(id, language, the counts of RULES, base_failed, log10 perplexity per character) of every row; ``carry``: and the row."""
 
@@ -107,11 +124,11 @@ def measure(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str
     names = docs.columns  # a carried row crosses to the workers once and gives the other columns there
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = kn.load(folder)
+        models = [kn.load(f) for f in folders]
         for batch in slices((with_text(b) for b in batches), 0):
             texts = text_bytes(batch.column(0))
             counts = [rules(t) for t in texts]
-            sums = perplexities(texts, model)
+            sums = perplexities(texts, models)
             ids, langs = (batch.column(1), batch.column(2))
             yield pa.RecordBatch.from_arrays([
                 ids, langs, *(pa.array(c, pa.int64()) for c in zip(*counts)), pa.array(map(base_failed, counts), pa.bool_()),
@@ -129,11 +146,15 @@ def measure(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str
     return slim.mapInArrow(run, out)
 
 
-def perplexities(texts: list[bytes], model: kn.Model) -> np.ndarray:
-    """Mean -log10 probability of each text's code points and end."""
-    keys, offsets = keys_of(texts)
-    codes, different = pd.factorize(keys)
-    return -np.add.reduceat(model.log10(different)[codes], offsets[:-1]) / np.diff(offsets)
+def perplexities(texts: list[bytes], models: list[kn.Model]) -> np.ndarray:
+    """Mean -log10 probability of each text's code points and end, by the model of the next fold."""
+    out, folds = np.zeros(len(texts)), np.array([fold_of(t) for t in texts], np.int64)
+    for fold in np.unique(folds).tolist():
+        some = np.flatnonzero(folds == fold)
+        keys, offsets = keys_of([texts[i] for i in some.tolist()])
+        codes, different = pd.factorize(keys)
+        out[some] = -np.add.reduceat(models[(fold + 1) % FOLDS].log10(different)[codes], offsets[:-1]) / np.diff(offsets)
+    return out
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: bool = False,

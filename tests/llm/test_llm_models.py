@@ -120,8 +120,9 @@ def test_quality_rules_and_perplexity_against_brute_force(spark):
     got = sorted(((r.doc_id is not None, r.doc_id or 0, *(r[c] for c in quality.RULES), r.perplexity), r) for r in quality.quality(C.frame(spark)).collect())
     prose = [t for _, t, *_ in data if quality.is_prose(rules(t))]
     symbols = lambda t: ["0" if "0" <= c <= "9" else ord(c) & 0xFFFF for c in t or ""] + [2]
-    model = BruteModel([symbols(t) for t in prose], quality.ORDER, 1)
-    want = sorted((((d is not None, d or 0, *rules(t), -model.log10(symbols(t)) / len(symbols(t))), t, lang) for d, t, lang, *_ in data), key=lambda x: x[0])
+    fold = lambda t: zlib.crc32((t or "").encode()) % 2
+    models = [BruteModel([symbols(t) for t in prose if fold(t) != own], quality.ORDER, 1) for own in (0, 1)]  # of the other half
+    want = sorted((((d is not None, d or 0, *rules(t), -models[fold(t)].log10(symbols(t)) / len(symbols(t))), t, lang) for d, t, lang, *_ in data), key=lambda x: x[0])
     for (key, r), (other, t, _) in zip(got, want, strict=True):
         assert key == pytest.approx(other, rel=1e-6) and r.base_failed == quality.base_failed(rules(t))
         assert not (r.base_failed and r.kept)
@@ -129,12 +130,14 @@ def test_quality_rules_and_perplexity_against_brute_force(spark):
     for (_, r), (_, _, lang) in zip(got, want):
         if not r.base_failed:
             bands[lang].append(r.perplexity)
+    middle_of = lambda p: sorted(p)[(len(p) - 1) // 2]
     for (_, r), (_, _, lang) in zip(got, want):
         if not r.base_failed:
-            p = sorted(bands[lang])
-            middle = p[(len(p) - 1) // 2]
-            spread = sorted(abs(x - middle) for x in p)[(len(p) - 1) // 2]
-            assert r.kept == (abs(r.perplexity - middle) <= max(quality.WIDTH * 1.4826 * spread, quality.LEAST * middle))
+            different = set(bands[lang])
+            middle = middle_of(different)
+            below, above = (middle_of([s * (x - middle) for x in different if s * (x - middle) >= 0]) for s in (-1, 1))
+            wide = lambda side, m=middle: max(quality.WIDTH * 1.4826 * side, quality.LEAST * m)
+            assert r.kept == (middle - wide(below) <= r.perplexity <= middle + wide(above))
     assert quality.quality(C.frame(spark, [])).count() == 0
 
 
@@ -157,6 +160,17 @@ def test_quality_bands_reject_on_both_sides(spark):
     assert all(0.4 * middle < r.perplexity < middle for r in rows if 2000 <= r.doc_id < 3000)  # not far enough for a floor on each side
 
 
+def test_quality_texts_do_not_speak_for_themselves(spark):
+    """A document without symbols, of letters that no other has, is rejected though it is short or comes many times."""
+    letters = [a + b for a in "bcfgjkmpqvwxz" for b in "bcfgjkmpqvwxz"]
+    good = [(i, C.prose(i, 150), "en", "a", 0) for i in range(200)]
+    odd = [(3000 + i, C.prose(500 + i, 60, " ".join(letters[40 * i:40 * i + 40])), "en", "a", 0) for i in range(4)]
+    copies = [(4000 + i, odd[0][1], "en", "a", 0) for i in range(30)]
+    rows = quality.quality(C.frame(spark, good + odd + copies)).collect()
+    assert not any(r.base_failed or r.n_symbols for r in rows)
+    assert {r.doc_id for r in rows if r.kept} == {d for d, *_ in good}
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_viterbi_is_the_best_path(seed):
     rng = np.random.default_rng(seed)
