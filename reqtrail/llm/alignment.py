@@ -406,6 +406,43 @@ class Counted:
         return count, best
 
 
+class Aligned:
+    """Windows that were aligned, with their groups as text and the sums of their links; a full table starts anew."""
+
+    def __init__(self, files: list[tuple[int, str]]):
+        self.counted = Counted(files)
+        self.clear()
+
+    def clear(self) -> None:
+        self.table, self.texts, self.best, self.total = Windows(), [], Numbers(), Numbers()
+
+    def of(self, keys: list[bytes], a: Tokenizer, b: Tokenizer) -> np.ndarray:
+        if self.table.full():
+            self.clear()
+        found = self.table.of(keys)
+        new = self.table.keys[len(self.texts):]
+        if new:
+            pairs, window = links(new, a, b)
+            n, is_best = self.counted.find(pairs)
+            starts = np.searchsorted(window, np.arange(len(new)))
+            self.best.extend(np.add.reduceat(is_best.astype(np.int64), starts))
+            self.total.extend(np.add.reduceat(n, starts))
+            self.texts += [groups_text(k, a, b) for k in new]
+            self.table.size += sum(map(len, self.texts[-len(new):]))
+        return found
+
+
+KEPT = {}
+
+
+def kept(key: tuple, make):
+    """The table that a worker keeps from task to task: one at a time, bounded in bytes by itself."""
+    if key not in KEPT:
+        KEPT.clear()
+        KEPT[key] = make()
+    return KEPT[key]
+
+
 def added(done: tuple[np.ndarray, np.ndarray], keys: list[bytes], n: np.ndarray, a: Tokenizer, b: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
     """Sums by pair, and the pairs of windows that were seen n times."""
     if not keys:
@@ -425,7 +462,7 @@ def encode_and_count(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = tokenizers(path_a, path_b)
-        parts, table, seen = Parts(a, b), Windows(), np.zeros(0, np.int64)
+        parts, table, seen = kept(("parts", path_a, path_b), lambda: Parts(a, b)), Windows(), np.zeros(0, np.int64)
         done = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in slices(batches, 1):
             coded = parts.coded(batch.column(1).to_pylist())
@@ -478,29 +515,18 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = tokenizers(path_a, path_b)
-        counted, table, texts, best, total = Counted(files), Windows(), [], Numbers(), Numbers()
+        aligned = kept(("windows", path_a, path_b, tuple(files[:1])), lambda: Aligned(files))  # the first path tells runs apart
         for batch in slices(batches, rows=1):
             ids = batch.column(0)[0].as_py()
             coded = Coded.unpacked(np.array(batch.column(1)[0].as_py(), np.int64), batch.column(2)[0].as_py())
             cut = cut_windows(coded.ids_a, coded.n_a, coded.ids_b, coded.n_b, a, b)
-            if table.full():
-                table, texts, best, total = Windows(), [], Numbers(), Numbers()
-            found = table.of(cut.keys)
-            new = table.keys[len(texts):]
-            if new:
-                pairs, window = links(new, a, b)
-                n, is_best = counted.find(pairs)
-                starts = np.searchsorted(window, np.arange(len(new)))
-                best.extend(np.add.reduceat(is_best.astype(np.int64), starts))
-                total.extend(np.add.reduceat(n, starts))
-                texts += [groups_text(k, a, b) for k in new]
-                table.size += sum(map(len, texts[-len(new):]))
+            found = aligned.of(cut.keys, a, b)
             of_part = lambda column: np.diff(np.append(0, np.cumsum(column.values()[found]))[cut.offsets])
-            written, bounds = list(map(texts.__getitem__, found.tolist())), cut.offsets.tolist()
+            written, bounds = list(map(aligned.texts.__getitem__, found.tolist())), cut.offsets.tolist()
             written = [";".join(written[x:y]) for x, y in zip(bounds, bounds[1:])]
             written, bounds = list(map(written.__getitem__, coded.index.tolist())), offsets_of(coded.n_parts).tolist()
             digests = [hashlib.sha256(";".join(written[x:y]).encode("ascii")).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])]
-            columns = [coded.of_texts(c) for c in (coded.n_a, coded.n_b, cut.n_groups, coded.n_a + coded.n_b - cut.n_groups, of_part(best), of_part(total))]
+            columns = [coded.of_texts(c) for c in (coded.n_a, coded.n_b, cut.n_groups, coded.n_a + coded.n_b - cut.n_groups, of_part(aligned.best), of_part(aligned.total))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in columns), pa.array(digests, pa.string())],
                                              names=[id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
