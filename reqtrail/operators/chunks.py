@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reqtrail.operators.keyed import ColLike
-from reqtrail.operators.nest import positions, set_in_array
+from reqtrail.operators.nest import positions
 
 CHUNK_ROWS = 4096
 
@@ -48,9 +48,24 @@ def unchunk_lines(chunks: DataFrame, keys: Sequence[str], arr: str, chunk: str =
 
 def set_in_chunks(chunks: DataFrame, links: DataFrame, keys: Sequence[str], arr: str, elem_key: str, link_key: str, field: str,
                   value_cols: Sequence[str], chunk: str = "chunk") -> DataFrame:
-    """K9: ``nest.set_in_array`` by chunk. Each chunk fetches the links of its own elements, at most one for each of them,
-    by a join on (keys, element key); no map holds the links of a whole document."""
+    """K9: ``nest.set_in_array`` by chunk. Every element meets its link in a join on (keys, element key); a chunk gets the links of its
+    elements in their order and is zipped with them, so an element costs the same however many links its chunk has.
+
+    ``links``: one row per (keys, link_key); a (keys, chunk) that comes twice, or a link that does, is an error."""
     keys = list(keys)
-    wanted = chunks.select(*keys, chunk, F.explode(F.array_distinct(F.transform(arr, lambda e: e[elem_key]))).alias("_lk"))
-    found = wanted.join(links.select(*keys, F.col(link_key).alias("_lk"), *value_cols), [*keys, "_lk"])
-    return set_in_array(chunks, found, [*keys, chunk], arr, elem_key, "_lk", field, value_cols)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    elements = chunks.where(known).select(*keys, chunk, F.posexplode(F.transform(arr, lambda e: e[elem_key])).alias("_i", "_lk"))
+    value = F.struct(*value_cols)
+    links = links.where(known & F.col(link_key).isNotNull()).select(*keys, F.col(link_key).alias("_lk"), value.alias("_v"))
+    # The join is LEFT, so that chunks get a value or NULL for each element; AQE can divide an element key that many elements have.
+    found = (elements.join(links, [*keys, "_lk"], "left").groupBy(*keys, chunk)
+                     .agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_found")))
+    if field not in chunks.schema[arr].dataType.elementType.fieldNames():
+        none = F.lit(None).cast(links.schema["_v"].dataType)
+        chunks = chunks.withColumn(arr, F.transform(arr, lambda e: e.withField(field, none)))
+    linked = F.zip_with(arr, "_found", lambda e, v: F.when(v["_v"].isNotNull(), e.withField(field, v["_v"])).otherwise(e))
+    unlike = F.raise_error(F.lit("set_in_chunks: a chunk or a link comes twice")).cast(chunks.schema[arr].dataType)
+    out = F.when(F.col("_found").isNull(), F.col(arr)).when(F.size("_found") == F.size(arr), linked).otherwise(unlike)
+    return chunks.join(found, [*keys, chunk], "left").withColumn(arr, out).drop("_found")
