@@ -56,3 +56,12 @@ def test_a_link_that_is_there_stays_and_one_that_comes_twice_is_an_error(spark,
     twice = spark.createDataFrame([("a", 2, "z"), ("a", 2, "w")], "k string, item int, po string")
     with pytest.raises(Exception, match="twice"):
         chunks.set_in_chunks(chunked, twice, ["k"], "lines", "item", "item", "link", ["po"]).collect()
+
+
+def test_strip_ws_is_the_pattern_without_a_pattern(spark):
+    odd = [chr(c) for c in (*range(0, 0x21), 0x7f, 0x85, 0xa0, 0x1680, 0x180e, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202f, 0x205f, 0x2060, 0x3000, 0xfeff)]
+    texts = [None, "", "a", "a b", " \t\n", "\r\na\r\n", "a \n "] + [s for c in odd for s in (c, c + "a", "a" + c, f"{c}{c}a{c}b{c}{c}")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    new, was = strip_ws("t").alias("new"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("was")
+    assert [r for r in df.select("t", new, was).collect() if r.new != r.was] == []
+    assert "regexp" not in plan(df.select(new))
