@@ -89,3 +89,9 @@ def repeated_flag(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
     """True when an earlier row (in ``order``) has the same ``keys``."""
     out = first_seen_flag(df, keys, order, name="_fs")
     return out.withColumn(name, ~F.col("_fs")).drop("_fs")
+
+
+def hashed(keys: DataFrame, many: bool = True) -> DataFrame:
+    """The key side of a semi or anti join. ``many``: too many keys to broadcast; they are hashed by shuffle, and the rows that meet
+    them stream past unsorted. Else Spark chooses, so few keys are broadcast and the rows stay where they are."""
+    return keys.hint("shuffle_hash") if many else keys

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqtrail.operators.keyed import ColLike, last_per_key, order_key
+from reqtrail.operators.keyed import ColLike, hashed, last_per_key, order_key
 from reqtrail.session import materialize
 
 SRC = "_src_present"
@@ -111,16 +111,17 @@ def replace_children(children: DataFrame, new_rows: DataFrame, keys: Sequence[st
     ``parent`` given = update-only (K2): snapshot keys without a parent row are
     ignored. ``dedup_fields`` given = add-to-set inside the snapshot (K6).
     The snapshot is read twice (its keys, its rows); ``once`` writes it to the shared
-    folder first, for a snapshot that is costly to compute.
+    folder first, for a snapshot that is costly to compute. Wide rows stream past hashed
+    keys and are not sorted for the joins; AQE may divide a hot key's rows.
     """
     keys = list(keys)
     rows = materialize(new_rows, "snapshot") if once else new_rows
     rows = rows.where(_not_null(keys))
     if parent is not None:
-        rows = rows.join(parent.select(*keys), keys, "left_semi")
+        rows = rows.join(hashed(parent.select(*keys)), keys, "left_semi")
     if dedup_fields is not None:
         rows = dedup_children(rows, keys, dedup_fields, order)
-    kept = children.join(rows.select(*keys), keys, "left_anti")  # needs no distinct keys
+    kept = children.join(hashed(rows.select(*keys)), keys, "left_anti")  # needs no distinct keys
     return kept.unionByName(rows, allowMissingColumns=True)
 
 

@@ -65,3 +65,14 @@ def test_strip_ws_is_the_pattern_without_a_pattern(spark):
     new, was = strip_ws("t").alias("new"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("was")
     assert [r for r in df.select("t", new, was).collect() if r.new != r.was] == []
     assert "regexp" not in plan(df.select(new))
+
+
+def test_wide_rows_are_not_sorted_to_meet_keys(spark):
+    rows = spark.createDataFrame([(i % 7, f"r{i}") for i in range(30)] + [(None, "n")], "k int, v string")
+    stored = spark.createDataFrame([(i, f"s{i}") for i in range(10)] + [(9, "again")], "k int, v string")
+    parent = spark.createDataFrame([(i,) for i in (1, 2, 2, 3, None)], "k int")
+    with no_broadcast(spark):
+        out = merge.replace_children(stored, rows, ["k"], parent=parent)
+        assert hashed_joins_only(out)
+        got = sorted((r.k, r.v) for r in out.collect())
+    assert got == sorted([(i % 7, f"r{i}") for i in range(30) if i % 7 in (1, 2, 3)] + [(i, f"s{i}") for i in (0, 4, 5, 6, 7, 8, 9)] + [(9, "again")])
