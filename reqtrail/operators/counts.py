@@ -3,7 +3,8 @@
 How many requisitions a PO names cannot be kept as a number alone: when lines are replaced, whether a requisition is still named depends on
 how often it was. The state is therefore one row per (PO, requisition) with the number of lines that hold the pair. A
 replacement is a set of signed counts: minus what the state holds for the replaced POs, plus the pairs of the new lines.
-The stored lines are never read; the state is as large as its distinct pairs, and only the pairs of touched POs change.
+The stored lines are never read; the state is as large as its distinct pairs, and only the pairs of touched POs change. ``many`` says that a
+report touches many of the keys (see ``keyed.hashed``).
 """
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reqtrail.operators.keyed import hashed
 from reqtrail.operators.timeline import NULL_REQ_MODES, _n_req
 
 N = "n_lines"
@@ -25,16 +27,16 @@ def pair_counts(lines: DataFrame, keys: Sequence[str], member: str) -> DataFrame
     return known.groupBy(*keys, member).agg(F.count(F.lit(1)).alias(N))
 
 
-def replacement_deltas(state: DataFrame, new_lines: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+def replacement_deltas(state: DataFrame, new_lines: DataFrame, keys: Sequence[str], member: str, many: bool = False) -> DataFrame:
     """Signed counts that replace the lines of every key in ``new_lines`` (K7 + K5)."""
     plus = pair_counts(new_lines, keys, member)
-    minus = state.join(plus.select(*keys).distinct(), list(keys), "left_semi")
+    minus = state.join(hashed(plus.select(*keys).distinct(), many), list(keys), "left_semi")
     return plus.unionByName(minus.select(*keys, member, (-F.col(N)).alias(N)))
 
 
-def removal_deltas(state: DataFrame, removed: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+def removal_deltas(state: DataFrame, removed: DataFrame, keys: Sequence[str], member: str, many: bool = False) -> DataFrame:
     """Signed counts that take all lines of the keys in ``removed`` away."""
-    gone = state.join(removed.select(*keys).distinct(), list(keys), "left_semi")
+    gone = state.join(hashed(removed.select(*keys).distinct(), many), list(keys), "left_semi")
     return gone.select(*keys, member, (-F.col(N)).alias(N))
 
 
@@ -51,9 +53,9 @@ def distinct_counts(state: DataFrame, keys: Sequence[str], member: str) -> DataF
     return counts.select(*keys, *[_n_req(m).alias(f"n_req_{m}") for m in NULL_REQ_MODES])
 
 
-def updated_counts(counts: DataFrame, state: DataFrame, deltas: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+def updated_counts(counts: DataFrame, state: DataFrame, deltas: DataFrame, keys: Sequence[str], member: str, many: bool = False) -> DataFrame:
     """``distinct_counts`` after the deltas, made anew for the keys that they name alone. ``state`` is the one after them."""
-    touched = deltas.select(*keys).distinct()
+    touched = hashed(deltas.select(*keys).distinct(), many)
     fresh = distinct_counts(state.join(touched, list(keys), "left_semi"), keys, member)
     return counts.join(touched, list(keys), "left_anti").unionByName(fresh)
 

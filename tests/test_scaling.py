@@ -76,3 +76,15 @@ def test_wide_rows_are_not_sorted_to_meet_keys(spark):
         assert hashed_joins_only(out)
         got = sorted((r.k, r.v) for r in out.collect())
     assert got == sorted([(i % 7, f"r{i}") for i in range(30) if i % 7 in (1, 2, 3)] + [(i, f"s{i}") for i in (0, 4, 5, 6, 7, 8, 9)] + [(9, "again")])
+
+
+def test_counted_states_meet_touched_keys_unsorted(spark):
+    lines = spark.createDataFrame([("a", 1), ("a", 2), ("b", None), ("c", 3), (None, 1)], "po string, req int")
+    with no_broadcast(spark):
+        state = counts.pair_counts(lines, ["po"], "req")
+        deltas = counts.replacement_deltas(state, lines.where("po = 'a' and req = 1"), ["po"], "req", many=True)
+        after = counts.apply_deltas(state, deltas, ["po"], "req")
+        out = counts.updated_counts(counts.distinct_counts(state, ["po"], "req"), after, deltas, ["po"], "req", many=True)
+        for df in (deltas, counts.removal_deltas(state, lines.where("po = 'c'"), ["po"], "req", many=True), out):
+            assert hashed_joins_only(df)
+        assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 1, 1), ("b", 1, 1, 0), ("c", 1, 1, 1)]
