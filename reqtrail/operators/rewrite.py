@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqtrail.operators import merge
-from reqtrail.operators.keyed import ColLike, last_per_key
+from reqtrail.operators.keyed import ColLike, hashed, last_per_key
 
 FILE = "_file_path"
+#: Snapshots of more rows are not broadcast to find the files they touch.
+MANY = 1_000_000
 
 
 class FileSet(NamedTuple):
@@ -76,24 +78,33 @@ def create(df: DataFrame, keys: Sequence[str], base: str, table: str) -> FileSet
     return write_files(Rewrite((), (), df, df.schema, tuple(keys)), f"{base.rstrip('/')}/{table}/v={uuid.uuid4().hex}")
 
 
-def _near(scan: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Only rows between the source's least and greatest key: a filter that Parquet statistics can answer."""
-    low, high = source.agg(F.min(key), F.max(key)).first()
+def _extent(source: DataFrame, key: str) -> tuple:
+    """The source's least and greatest key, and its number of rows."""
+    return tuple(source.agg(F.min(key), F.max(key), F.count(F.lit(1))).first())
+
+
+def _between(scan: DataFrame, key: str, low: object, high: object) -> DataFrame:
     if low is None:
         return scan.where(F.lit(False))
     return scan.where((F.col(key) >= F.lit(low)) & (F.col(key) <= F.lit(high)))
 
 
+def _near(scan: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Only rows between the source's least and greatest key: a filter that Parquet statistics can answer."""
+    return _between(scan, key, *_extent(source, key)[:2])
+
+
 def _names(rows: DataFrame) -> set[str]:
     return {_uri(r[0]) for r in rows.select(FILE).distinct().toLocalIterator()}
 
 
 def touched_by_keys(spark: SparkSession, table: FileSet, source: DataFrame, keys: Sequence[str]) -> set[str]:
-    """Files with a row whose key the source has."""
+    """Files with a row whose key the source has. The table's rows, each with its file's name, are not sorted to meet many keys."""
     if not table.files:
         return set()
     scan = table.read(spark).select(*keys, F.col("_metadata.file_path").alias(FILE))
-    return _names(_near(scan, source, keys[0]).join(source.select(*keys), list(keys), "left_semi"))
+    low, high, n = _extent(source, keys[0])
+    return _names(_between(scan, keys[0], low, high).join(hashed(source.select(*keys), n > MANY), list(keys), "left_semi"))
 
 
 def _rewrite(spark: SparkSession, table: FileSet, touched: set[str], rows: DataFrame, keys: Sequence[str]) -> Rewrite:

@@ -78,6 +78,17 @@ def test_wide_rows_are_not_sorted_to_meet_keys(spark):
     assert got == sorted([(i % 7, f"r{i}") for i in range(30) if i % 7 in (1, 2, 3)] + [(i, f"s{i}") for i in (0, 4, 5, 6, 7, 8, 9)] + [(9, "again")])
 
 
+def test_file_names_are_not_sorted_to_find_touched_files(spark, tmp_path, monkeypatch):
+    table = rewrite.create(spark.range(1000).withColumn("v", F.lit("x")), ["id"], str(tmp_path), "t")
+    seen, names = [], rewrite._names
+    monkeypatch.setattr(rewrite, "_names", lambda df: seen.append(df) or names(df))
+    monkeypatch.setattr(rewrite, "MANY", 2, raising=False)
+    with no_broadcast(spark):
+        found = rewrite.touched_by_keys(spark, table, spark.range(3), ["id"])
+        assert hashed_joins_only(seen[0])
+    assert found and found <= set(table.files)
+
+
 def test_counted_states_meet_touched_keys_unsorted(spark):
     lines = spark.createDataFrame([("a", 1), ("a", 2), ("b", None), ("c", 3), (None, 1)], "po string, req int")
     with no_broadcast(spark):
