@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reqtrail.operators import changes, timeline
+from reqtrail.operators.keyed import hashed
 from reqtrail.session import materialize
 
 #: The tables of the timeline and the key that a load changes them by.
@@ -55,28 +56,28 @@ def affected_requests(changed: Mapping[str, DataFrame], links_before: DataFrame,
     return found.where("REQ_No is not null").distinct()
 
 
-def _of_requests(tables: Mapping[str, DataFrame], affected: DataFrame) -> dict[str, DataFrame]:
+def _of_requests(tables: Mapping[str, DataFrame], affected: DataFrame, many: bool = False) -> dict[str, DataFrame]:
     """The rows that the timelines of ``affected`` read: their own, and those of the POs that they link."""
-    out = {n: tables[n].join(affected, "REQ_No", "left_semi") for n in ("req", "req_line", "req_worklist") if tables.get(n) is not None}
+    out = {n: tables[n].join(hashed(affected, many), "REQ_No", "left_semi") for n in ("req", "req_line", "req_worklist") if tables.get(n) is not None}
     linked = out["req_line"].where("PO_Number is not null").select(F.col("PO_Number").alias("PO_No")).distinct()
-    return out | {n: tables[n].join(linked, "PO_No", "left_semi") for n in ("po", "po_line", "po_worklist")}
+    return out | {n: tables[n].join(hashed(linked, many), "PO_No", "left_semi") for n in ("po", "po_line", "po_worklist")}
 
 
 def update_timeline(before: Timelines, old: Mapping[str, DataFrame], new: Mapping[str, DataFrame],
                     as_of: dt.datetime | Column | None = None, worklist_order: str | None = None,
-                    changed: Mapping[str, DataFrame] | None = None, **options) -> tuple[Timelines, DataFrame]:
+                    changed: Mapping[str, DataFrame] | None = None, many: bool = False, **options) -> tuple[Timelines, DataFrame]:
     """The timelines after a load, and the requisitions that were recomputed.
 
     ``old`` and ``new`` hold the tables by their names in ``KEYS`` (``req_worklist`` if used). ``changed`` gives their changed keys
-    where a merge knows them; else they are found by row hashes. ``options`` and ``as_of`` go to ``timeline.requisition_timeline``;
+    where a merge knows them; else they are found by row hashes. ``many``: a load that affects many requisitions (see ``keyed.hashed``). ``options`` and ``as_of`` go to ``timeline.requisition_timeline``;
     with another ``as_of`` than before the End of last events differs, so pass the same one or build from scratch.
     """
     changed = changed_by_table(old, new) if changed is None else changed
     affected = materialize(affected_requests(changed, old["req_line"], new["req_line"]), "affected-requests")
-    t = _of_requests(new, affected)
+    t = _of_requests(new, affected, many)
     classified, events = timeline.requisition_timeline(t["req"], t["req_line"], t["po"], t["po_line"], t["po_worklist"], as_of=as_of,
                                                        worklist_order=worklist_order, req_worklist=t.get("req_worklist"), **options)
-    stay = lambda df: df.join(affected, "REQ_No", "left_anti")
+    stay = lambda df: df.join(hashed(affected, many), "REQ_No", "left_anti")
     after = Timelines(materialize(stay(before.classified).unionByName(classified), "classified-after"),
                       materialize(stay(before.events).unionByName(events), "events-after"))
     return after, affected

@@ -152,17 +152,18 @@ from part p left join s on s.Item_No = cast(p.p_partkey as string)"""
 
 def po_req_counts_incremental(t: fx.Tables) -> DataFrame:
     """Requisitions per PO, kept up to date from a counted multiset while lines are replaced and removed."""
-    lines, keys, member = fx.fx_po_line(t).select("PO_No", "Req_ID", "Status", "Quantity", "Req_Line"), ["PO_No"], "Req_ID"
+    keys, member = ["PO_No"], "Req_ID"
+    lines = materialize(fx.fx_po_line(t).select("PO_No", "Req_ID", "Status", "Quantity", "Req_Line"), "po-lines")  # read by six reports
     state = materialize(counts.pair_counts(lines.where(F.col("Status") != "C"), keys, member), "pair-counts")
     result = materialize(counts.distinct_counts(state, keys, member), "distinct-counts")
     replaced = lines.where(F.col("Status") != "A")
     renamed = lines.where(F.col("Quantity") > 25).withColumn("Req_ID", F.when(F.col("Req_Line") < 4, F.col("Req_ID")))
     removed = lines.where(F.col("Quantity") == 50).select("PO_No")
-    for deltas_of in (lambda s: counts.replacement_deltas(s, replaced, keys, member), lambda s: counts.replacement_deltas(s, renamed, keys, member),
-                      lambda s: counts.removal_deltas(s, removed, keys, member)):
+    for deltas_of in (lambda s: counts.replacement_deltas(s, replaced, keys, member, many=True), lambda s: counts.replacement_deltas(s, renamed, keys, member, many=True),
+                      lambda s: counts.removal_deltas(s, removed, keys, member, many=True)):
         deltas = materialize(deltas_of(state), "pair-deltas")
         state = materialize(counts.apply_deltas(state, deltas, keys, member), "pair-counts")
-        result = materialize(counts.updated_counts(result, state, deltas, keys, member), "distinct-counts")
+        result = materialize(counts.updated_counts(result, state, deltas, keys, member, many=True), "distinct-counts")
     return result
 
 
@@ -187,8 +188,10 @@ def timeline_loads(t: fx.Tables) -> list[dict[str, DataFrame]]:
     Before them, pending requisitions are unknown and urgent ones signed by another, links of small lines are missing, stock
     orders have another status, large lines have not come, and denials are not in the worklist.
     """
-    req, link, po, po_line, steps = fx.fx_req(t), fx.fx_link(t), fx.fx_po(t), fx.fx_po_line(t), fx.fx_po_worklist(t)
-    small = fx.fx_po_line(t).where("Quantity > 5").select("REQ_No", F.when(fx.is_requested(F.col("Quantity")), F.col("PO_No")).alias("PO_Number")).distinct()
+    req, po_line = fx.fx_req(t), fx.fx_po_line(t)
+    # Every load reads these as its old and its new tables, to compare and to build from: they are made once.
+    link, po, steps = (materialize(df, name) for df, name in ((fx.fx_link(t), "req-lines"), (fx.fx_po(t), "po"), (fx.fx_po_worklist(t), "po-worklist")))
+    small = materialize(fx.fx_po_line(t).where("Quantity > 5").select("REQ_No", F.when(fx.is_requested(F.col("Quantity")), F.col("PO_No")).alias("PO_Number")).distinct(), "small-req-lines")
     signed = F.when(F.col("Approved_By") == "1-URGENT", F.lit("Deputy")).otherwise(F.col("Approved_By"))
     first = {"req": req.where("Status <> 'P'").withColumn("Approved_By", signed), "req_line": small,
              "po": po.withColumn("Status", F.when(F.col("PO_No").startswith("S"), F.lit("X")).otherwise(F.col("Status"))),
@@ -208,7 +211,7 @@ def _after_loads(t: fx.Tables) -> incremental.Timelines:
     loads = timeline_loads(t)
     now = build(loads[0])
     for old, new in zip(loads, loads[1:]):
-        now, _ = incremental.update_timeline(now, old, new, as_of=AS_OF, worklist_order="Appr_Inst")
+        now, _ = incremental.update_timeline(now, old, new, as_of=AS_OF, worklist_order="Appr_Inst", many=True)
     return now
 
 

@@ -99,3 +99,32 @@ def test_counted_states_meet_touched_keys_unsorted(spark):
         for df in (deltas, counts.removal_deltas(state, lines.where("po = 'c'"), ["po"], "req", many=True), out):
             assert hashed_joins_only(df)
         assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 1, 1), ("b", 1, 1, 0), ("c", 1, 1, 1)]
+
+
+class OneOrder:
+    """Tables of one order with two lines and three events."""
+
+    def __init__(self, spark):
+        day = dt.datetime(2024, 1, 1)
+        self.spark = spark
+        self.orders = spark.createDataFrame([(1, 1, "F", 1.0, day, "1-URGENT")], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string")
+        self.lineitem = spark.createDataFrame([(1, 5, 2, n, q, 9.0, "A", "F", day) for n, q in ((1, 7.0), (2, 50.0))],
+                                              "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+        self.events = spark.createDataFrame([(i, day, 4, "view") for i in (3, 4, 5)], "event_id long, ts timestamp_ntz, user_id long, event_type string")
+
+
+def test_tables_of_several_loads_are_made_once(spark):
+    for load in increments.timeline_loads(OneOrder(spark)):
+        assert not any(step in plan(load[name]) for name in ("req_line", "po", "po_worklist") for step in ("Exchange", "Window", "Join", "Aggregate"))
+
+
+def test_lines_of_the_counts_are_made_once(spark):
+    written = []
+    watch = lambda name, df: written.append((name, df))
+    session.watchers.append(watch)
+    try:
+        rows = increments.po_req_counts_incremental(OneOrder(spark)).collect()
+    finally:
+        session.watchers.remove(watch)
+    assert [tuple(r) for r in rows] == [("5-202401", 1, 1, 1)]
+    assert [name for name, df in written if "concat" in plan(df)] == ["po-lines"]
