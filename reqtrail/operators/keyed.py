@@ -8,12 +8,17 @@ reduces a key holding a third of the data on every map task before the shuffle
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ColLike = str | Column
 
+#: Reads of a report whose rows are reduced by key (``in_slices``). A map task sorts its part of a split in memory: wide rows of
+#: a split of 128 MB (Spark's default) are over 2 GB, an eighth of them is less than a core's share of a usual executor.
+SLICES = 8
+
 
 def _col(c: ColLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -44,6 +49,19 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike], cols: Se
               .select(*keys, *cols))
 
 
+def in_slices(df: DataFrame, keys: Sequence[str], n: int = SLICES) -> DataFrame:
+    """The same rows as the union of ``n`` reads of ``df``, each of the keys with one hash.
+
+    For the wide rows of a report read from files, before ``first_per_key`` or ``last_per_key``: their map tasks sort the rows
+    they read, and spill all of a large split. In slices a task sorts an n-th of its split. All rows of a key are in one slice,
+    so a split gives no more rows to the shuffle than before. ``df`` is computed ``n`` times up to its filter by key, so it must
+    be the same each time.
+    """
+    keys = list(keys)
+    place = F.pmod(F.xxhash64(*keys), F.lit(n))
+    return reduce(DataFrame.union, [df.where(place == i) for i in range(n)])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColLike],
                   cols: Sequence[str] | None = None) -> DataFrame:
     """A3: the first row of each key in ``order`` (header from its first line)."""

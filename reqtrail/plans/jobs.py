@@ -39,7 +39,8 @@ def _children(df: DataFrame, key_src: str, key: str, mapping) -> DataFrame:
 
 def _header_upsert(target: DataFrame | None, snap: DataFrame, key_src: str, key: str, mapping) -> DataFrame:
     """A3 (first row per key) + K1 upsert of the listed header fields. ``target=None``: first load."""
-    first = keyed.first_per_key(snap.where(F.col(key_src).isNotNull()), [key_src], [ORD])
+    rows = keyed.in_slices(snap.where(F.col(key_src).isNotNull()), [key_src])
+    first = keyed.first_per_key(rows, [key_src], [ORD])
     src = S.project(first.withColumn("_key_", F.col(key_src)), _without(mapping, key_src), keep=["_key_"]) \
            .withColumnRenamed("_key_", key)
     if target is None:
@@ -182,13 +183,15 @@ def load_item_backorders(snapshot: DataFrame, item: DataFrame) -> DataFrame:
                                                      F.col("Qty_Req").alias("Total_Backorder"), ORD)
     if "Total_Backorder" not in item.columns:
         item = item.withColumn("Total_Backorder", F.lit(None).cast(snap.schema["Total_Backorder"].dataType))
+    snap = keyed.in_slices(snap, ["Item_No"])
     return merge.reset_and_set(item, snap, ["Item_No"], "Total_Backorder", [ORD], default=0)
 
 
 def refresh_dashboard(snapshot: DataFrame) -> DataFrame:
     """Replace-all; repeated requisitions keep their last row (K3 + A4); the id twice."""
     snap = _clean(snapshot, "dashboard")
-    last = merge.replace_all(snap.withColumnRenamed("Requisition_ID", "REQ_No"), keys=["REQ_No"], order=[ORD])
+    snap = keyed.in_slices(snap.withColumnRenamed("Requisition_ID", "REQ_No"), ["REQ_No"])
+    last = merge.replace_all(snap, keys=["REQ_No"], order=[ORD])
     return S.project(last.withColumn("Requisition_ID", F.col("REQ_No")), S.DASHBOARD, keep=["REQ_No"])
 
 
@@ -200,7 +203,8 @@ def refresh_early_warnings(snapshot: DataFrame) -> DataFrame:
 def accumulate_missing_pos(snapshot: DataFrame, missing_po: DataFrame) -> DataFrame:
     """First vendor per PO upserted into a table that is never cleared."""
     snap = _clean(snapshot, "missing_po")
-    first = keyed.first_per_key(snap.where(F.col("PO_No").isNotNull()), ["PO_No"], [ORD], cols=["Vendor"])
+    rows = keyed.in_slices(snap.where(F.col("PO_No").isNotNull()), ["PO_No"])
+    first = keyed.first_per_key(rows, ["PO_No"], [ORD], cols=["Vendor"])
     return first if missing_po is None else merge.upsert(missing_po, first, ["PO_No"], ["Vendor"])
 
 

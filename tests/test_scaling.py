@@ -3,14 +3,15 @@ from __future__ import annotations
 
 import datetime as dt
 from contextlib import contextmanager
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from reqtrail import session
 from reqtrail.functions.text import strip_ws
-from reqtrail.operators import chunks, counts, merge, rewrite
-from reqtrail.plans import increments
+from reqtrail.operators import chunks, counts, keyed, merge, rewrite
+from reqtrail.plans import increments, job_queries
 
 
 @contextmanager
@@ -128,3 +129,30 @@ def test_lines_of_the_counts_are_made_once(spark):
         session.watchers.remove(watch)
     assert [tuple(r) for r in rows] == [("5-202401", 1, 1, 1)]
     assert [name for name, df in written if "concat" in plan(df)] == ["po-lines"]
+
+
+def test_slices_hold_all_rows_and_whole_keys(spark, tmp_path):
+    data = [(i % 11, "ab"[i % 2], i) for i in range(60)] + [(None, None, 7), (None, "a", 8), (3, "b", 3), (3, "b", 3)]
+    spark.createDataFrame(data, "k int, g string, v int").coalesce(1).write.parquet(str(tmp_path / "t"))
+    places = keyed.in_slices(spark.read.parquet(str(tmp_path / "t")), ["k", "g"], 4).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted([tuple(r)[:3] for r in places], key=str) == sorted(data, key=str)
+    tasks, keys = [r.task for r in places], {}
+    for r in places:
+        keys.setdefault((r.k, r.g), set()).add(r.task)
+    assert all(len(at) == 1 for at in keys.values()) and len(set(tasks)) > 1
+    assert max(map(tasks.count, set(tasks))) < len(data)
+
+
+def test_a_task_sorts_a_slice_of_a_report(spark):
+    day = dt.datetime(2024, 1, 1)
+    data = [(o, 14 * o + n, s, n, 1.0, 9.0, "ANR"[(o + n) % 3], day) for o in range(40) for n in range(4) for s in (2, 1)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"
+    out = job_queries.JOBS["job_req"][0](SimpleNamespace(lineitem=spark.createDataFrame(data, schema)))
+    reads = plan(out).split("Exchange hashpartitioning")[1:]
+    assert len(reads) == 2 and all("Union" in read and "WindowGroupLimit" in read for read in reads)
+    first = {}
+    for flag, tag in (("A", "n"), ("R", "o")):                   # the next report holds no A, the earlier one no R
+        for o, part, supp, n, *_ in sorted(r for r in data if r[6] != flag and r[1] % 13):
+            if (o, tag) not in first and not (tag == "o" and (o, "n") in first):
+                first[o, tag] = (o, None if part % 5 == 0 else f"Acc{part % 3}{tag}{supp % 4}")
+    assert sorted((r.REQ_No, r.Account) for r in out.collect()) == sorted(first.values())
